@@ -32,7 +32,7 @@ def has_token(text: Column, token: str) -> Column:
 
 def comma_elements(text: Column) -> Column:
     """Trimmed elements of a comma list."""
-    return F.transform(F.split(text, ","), F.trim)
+    return F.transform(F.split(text, ","), lambda element: F.trim(element))
 
 
 def named_tags(cell: Column, strict: bool = False) -> Column:

@@ -161,7 +161,7 @@ def latest_mismatch(latest: DataFrame, evidence: DataFrame) -> DataFrame:
 def impossible_dates(df: DataFrame, column: str) -> DataFrame:
     """Rows whose text is no calendar date in ``yyyy-MM-dd`` form; NULL is allowed."""
     text = F.col(column)
-    strict = text.rlike(r"^\d{4}-\d{2}-\d{2}$") & F.try_to_date(text, F.lit("yyyy-MM-dd")).isNotNull()
+    strict = text.rlike(r"^\d{4}-\d{2}-\d{2}$") & F.try_to_date(text, "yyyy-MM-dd").isNotNull()
     return df.filter(text.isNotNull() & ~F.coalesce(strict, F.lit(False)))
 
 

@@ -133,10 +133,14 @@ class Catalogue:
     def headline_movies(self) -> DataFrame:
         return self.kept.keep("headline_movies", marts.headline_movies(self.dim_movies, self.headline_ratings))
 
+    @cached_property
+    def headline_credits(self) -> DataFrame:
+        """The people bridge, for headline titles only."""
+        return curated.bridge_movie_people(self.headline_movies, self.stg_title_principals)
+
     @property
     def mart_top_people(self) -> DataFrame:
-        people = curated.bridge_movie_people(self.headline_movies, self.stg_title_principals)
-        return marts.mart_top_people(people, self.headline_ratings, self.dim_person)
+        return marts.mart_top_people(self.headline_credits, self.headline_ratings, self.dim_person)
 
     @property
     def mart_top_years(self) -> DataFrame:

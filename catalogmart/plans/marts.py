@@ -123,13 +123,12 @@ def headline_movies(movies: DataFrame, headline: DataFrame) -> DataFrame:
     return movies.select("movie_id", "imdb_id").join(headline.select("movie_id"), "movie_id", "left_semi")
 
 
-def mart_top_people(people: DataFrame, headline: DataFrame, persons: DataFrame, k: int = PEOPLE_PER_ROLE) -> DataFrame:
-    """Best-rated people per role over credits of headline titles.
+def eligible_people(people: DataFrame, headline: DataFrame) -> DataFrame:
+    """Mean rating and distinct titles of every person who reaches their role's minimum.
 
-    The mean weights repeated credits; the role minimum counts distinct titles.
-    Credits collapse to (person, role, title) before the per-person sums, so
-    neither a title with very many credits nor a very active person gathers raw
-    rows in one task. A ranked person without a name row leaves a gap.
+    The mean weights repeated credits. Credits collapse to (person, role, title)
+    before the per-person sums, so neither a title with very many credits nor a
+    very active person gathers raw rows in one task.
     """
     roles = list(rules.ROLE_MINIMUMS)
     credits = people.filter(F.col("job_role").isin(roles)).select("movie_id", "person_id", "job_role")
@@ -141,9 +140,13 @@ def mart_top_people(people: DataFrame, headline: DataFrame, persons: DataFrame,
     per_person = per_title.groupBy("person_id", "job_role").agg(
         mean_of_scaled(F.sum("total"), F.sum("rated")).alias("person_rating"), F.count(F.lit(1)).alias("movie_count")
     )
-    eligible = per_person.filter(F.col("movie_count") >= rules.role_minimum(F.col("job_role")))
+    return per_person.filter(F.col("movie_count") >= rules.role_minimum(F.col("job_role")))
+
+
+def mart_top_people(people: DataFrame, headline: DataFrame, persons: DataFrame, k: int = PEOPLE_PER_ROLE) -> DataFrame:
+    """Best-rated people per role; a ranked person without a name row leaves a gap."""
     order = [F.col("person_rating").desc_nulls_last(), F.col("person_id").asc()]
-    ranked = top_per_group(eligible, "job_role", order, k, "job_rank")
+    ranked = top_per_group(eligible_people(people, headline), "job_role", order, k, "job_rank")
     # At most k rows for each of the listed roles.
     return persons.join(F.broadcast(ranked), "person_id").select(
         "person_id", "job_role", "person_rating", "job_rank", "movie_count", "person_name", "birth_year", "death_year"

@@ -56,7 +56,7 @@ def _has_required_keys(payload: Column) -> Column:
 
 def _date(text: Column) -> Column:
     """Blank means unknown; an impossible date becomes NULL."""
-    return F.try_to_date(F.nullif(text, F.lit("")), F.lit("yyyy-MM-dd"))
+    return F.try_to_date(F.nullif(text, F.lit("")), "yyyy-MM-dd")
 
 
 def flatten_details(payloads: DataFrame, payload: str = "payload") -> DataFrame:

@@ -37,7 +37,7 @@ FROM {part}""",
 SELECT concat('tt', cast(l_partkey AS string)) AS tconst,
        cast((l_partkey * 37) % 101 AS double) / 10 AS averagerating,
        cast(count(*) * (1 + (l_partkey * l_partkey * 13) % 3600) AS bigint) AS numvotes
-FROM {lineitem} WHERE l_partkey % 6 <> 0 GROUP BY l_partkey""",
+FROM {lineitem} GROUP BY l_partkey HAVING count(*) >= 25""",
     "title_crew": """
 SELECT concat('tt', cast(p_partkey AS string)) AS tconst,
        concat('nm', cast(p_partkey % 100 AS string)) AS directors,
@@ -82,7 +82,7 @@ SELECT 100000 + p_partkey AS id,
        cast((p_partkey * 13) % 101 AS double) / 10 AS vote_average,
        cast((p_partkey * 7) % 2500 AS bigint) AS vote_count,
        cast(NULL AS string) AS poster_path
-FROM {part} WHERE p_partkey % 4 = 0""",
+FROM {part}""",
     "genres": """
 SELECT cast(n_nationkey AS bigint) AS id,
        CASE WHEN n_nationkey = 7 THEN ' News ' WHEN n_nationkey = 11 THEN NULL ELSE n_name END AS name

@@ -26,29 +26,28 @@ class ExcludedIds(NamedTuple):
 
 
 def tagged_in_list(title_basics: DataFrame, label: str = EXCLUDED_LABEL) -> DataFrame:
-    """First-source ids whose comma list holds the label."""
-    hits = title_basics.filter(has_token(F.col("genres"), label))
-    return hits.select(F.col("tconst").alias("imdb_id")).distinct()
+    """First-source ids whose comma list holds the label, once per row."""
+    return title_basics.filter(has_token(F.col("genres"), label)).select(F.col("tconst").alias("imdb_id"))
 
 
 def tagged_by_name(details: DataFrame, label: str = EXCLUDED_LABEL) -> DataFrame:
     """Second-source ids with a tag object of that name; unreadable JSON tags nothing."""
     tags = named_tags(F.col("genres"))
     hits = details.filter(F.exists(tags, lambda tag: is_label(tag["name"], label)))
-    return hits.select(F.col("id").alias("tmdb_id")).distinct()
+    return hits.select(F.col("id").alias("tmdb_id"))
 
 
 def label_ids(genres: DataFrame, label: str = EXCLUDED_LABEL) -> DataFrame:
     """Dictionary ids that stand for the label."""
-    return genres.filter(is_label(F.col("name"), label)).select(F.col("id").alias("genre_id")).distinct()
+    return genres.filter(is_label(F.col("name"), label)).select(F.col("id").alias("genre_id"))
 
 
 def tagged_by_id(now_playing: DataFrame, genres: DataFrame, label: str = EXCLUDED_LABEL) -> DataFrame:
-    """Second-source ids listed with a tag id that stands for the label."""
+    """Second-source ids listed with a tag id that stands for the label, once per listing and tag."""
     listed = now_playing.select(
         F.col("id").alias("tmdb_id"), F.explode(id_tags(F.col("genre_ids"))).alias("genre_id")
     )
-    return listed.join(label_ids(genres, label), "genre_id", "left_semi").select("tmdb_id").distinct()
+    return listed.join(label_ids(genres, label), "genre_id", "left_semi").select("tmdb_id")
 
 
 def excluded_ids(

@@ -6,9 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def without(df: DataFrame, ids: DataFrame, key: str, id_column: str) -> DataFrame:
-    """Rows whose key is not among ``ids``; rows with a NULL key stay."""
-    return df.join(ids, df[key] == ids[id_column], "left_anti")
+def without(df: DataFrame, ids: DataFrame, key: str) -> DataFrame:
+    """Rows whose key is not in the ``ids`` column of the same name; rows with a NULL key stay."""
+    return df.join(ids, key, "left_anti").select(*df.columns)
 
 
 def left_join_known(left: DataFrame, right: DataFrame, key: str) -> DataFrame:

@@ -66,6 +66,20 @@ class Catalogue:
     def stg_now_playing(self) -> DataFrame:
         return staging.stg_now_playing(self.raw["now_playing"], self.excluded)
 
+    # Projections without exclusion, for joins from the merged catalogue. Its ids
+    # hold no excluded title: the excluded sets are closed over the identity link.
+    @cached_property
+    def _principals(self) -> DataFrame:
+        return staging.title_principals(self.raw["title_principals"])
+
+    @cached_property
+    def _ratings(self) -> DataFrame:
+        return staging.title_ratings(self.raw["title_ratings"])
+
+    @cached_property
+    def _details(self) -> DataFrame:
+        return staging.details(self.raw["details"])
+
     # curated -----------------------------------------------------------------
     @cached_property
     def dim_movies(self) -> DataFrame:
@@ -87,13 +101,13 @@ class Catalogue:
 
     @cached_property
     def bridge_movie_people(self) -> DataFrame:
-        return curated.bridge_movie_people(self.dim_movies, self.stg_title_principals)
+        return curated.bridge_movie_people(self.dim_movies, self._principals)
 
     @cached_property
     def fct_movie_ratings(self) -> DataFrame:
         return self.kept.keep(
             "fct_movie_ratings",
-            curated.fct_movie_ratings(self.dim_movies, self.stg_title_ratings, self.stg_details),
+            curated.fct_movie_ratings(self.dim_movies, self._ratings, self._details),
         )
 
     @cached_property
@@ -111,7 +125,7 @@ class Catalogue:
 
     @property
     def decade_avg_rating(self) -> DataFrame:
-        return marts.decade_avg_rating(self.dim_movies, self.fct_movie_ratings)
+        return marts.decade_avg_rating(self.era_ratings)
 
     @property
     def no_of_movies_every_decade(self) -> DataFrame:
@@ -126,25 +140,23 @@ class Catalogue:
         return marts.mart_top_movies(self.fct_movie_ratings, self.dim_movies)
 
     @cached_property
-    def headline_ratings(self) -> DataFrame:
-        return self.kept.keep("headline_ratings", marts.headline_ratings(self.fct_movie_ratings))
-
-    @cached_property
-    def headline_movies(self) -> DataFrame:
-        return self.kept.keep("headline_movies", marts.headline_movies(self.dim_movies, self.headline_ratings))
-
-    @cached_property
-    def headline_credits(self) -> DataFrame:
-        """The people bridge, for headline titles only."""
-        return curated.bridge_movie_people(self.headline_movies, self.stg_title_principals)
+    def headline_titles(self) -> DataFrame:
+        """The floor admits few titles. Kept, the planner knows how few, and can
+        filter the credits in place instead of shuffling the largest relation.
+        """
+        return self.kept.keep("headline_titles", marts.headline_titles(self.dim_movies, self.fct_movie_ratings))
 
     @property
     def mart_top_people(self) -> DataFrame:
-        return marts.mart_top_people(self.headline_credits, self.headline_ratings, self.dim_person)
+        return marts.mart_top_people(self._principals, self.headline_titles, self.dim_person)
+
+    @cached_property
+    def era_ratings(self) -> DataFrame:
+        return self.kept.keep("era_ratings", marts.era_ratings(self.dim_movies, self.fct_movie_ratings))
 
     @property
     def mart_top_years(self) -> DataFrame:
-        return marts.mart_top_years(self.dim_movies, self.fct_movie_ratings)
+        return marts.mart_top_years(self.era_ratings)
 
     @property
     def mart_now_playing_recommendations(self) -> DataFrame:

@@ -51,21 +51,22 @@ def average_runtime_by_genre(genres: DataFrame, movies: DataFrame) -> DataFrame:
     return joined.groupBy("genre_name").agg(F.avg("runtime_min").alias("genre_avg_runtime"))
 
 
-def _era_qualified(movies: DataFrame, ratings: DataFrame) -> DataFrame:
-    """Rated titles whose preferred votes reach the floor of their release year."""
-    rated = _rated(ratings.filter(rules.has_rating() & rules.has_votes()))
+def era_ratings(movies: DataFrame, ratings: DataFrame) -> DataFrame:
+    """Rated titles whose preferred votes reach the floor of their release year.
+
+    The lowest floor of all applies before the join, each year's own after it.
+    """
+    rated = _rated(ratings.filter(rules.has_rating()))
     dated = movies.filter(F.col("release_year").isNotNull()).select("movie_id", "release_year")
     lowest = min([rules.ERA_FLOOR_LATEST, *[votes for _, votes in rules.ERA_FLOORS]])
     joined = dated.join(rated.filter(F.col("num_of_votes") >= lowest), "movie_id")
-    return joined.filter(F.col("num_of_votes") >= rules.era_vote_floor(F.col("release_year")))
+    return joined.filter(F.col("num_of_votes") >= rules.era_vote_floor(F.col("release_year"))).drop("num_of_votes")
 
 
-def decade_avg_rating(movies: DataFrame, ratings: DataFrame) -> DataFrame:
+def decade_avg_rating(era: DataFrame) -> DataFrame:
     """Mean rating per decade; years outside the displayed range share a NULL decade."""
     decade = rules.decade_label(F.col("release_year")).alias("decade")
-    return _era_qualified(movies, ratings).groupBy(decade).agg(
-        exact_mean(F.col("avg_rating")).alias("decade_avg_rating")
-    )
+    return era.groupBy(decade).agg(exact_mean(F.col("avg_rating")).alias("decade_avg_rating"))
 
 
 def no_of_movies_every_decade(movies: DataFrame) -> DataFrame:
@@ -108,34 +109,35 @@ def with_names(ranked: DataFrame, movies: DataFrame) -> DataFrame:
     return ranked.join(found, "movie_id", "left")
 
 
-def headline_ratings(ratings: DataFrame) -> DataFrame:
-    """Ratings of the titles whose credits count for people rankings."""
-    return qualifying(ratings, rules.HEADLINE_FLOOR).select("movie_id", "avg_rating")
+def headline_titles(movies: DataFrame, ratings: DataFrame) -> DataFrame:
+    """Catalogue titles whose credits count for people rankings, with their rating sums.
 
-
-def headline_movies(movies: DataFrame, headline: DataFrame) -> DataFrame:
-    """Catalogue ids of those titles: all the people ranking needs to join credits to.
-
-    The floor admits few titles. Keeping both results before the credits are
-    read lets the planner see how small they are, and then the largest raw
-    relation is filtered in place instead of shuffled.
+    Ratings fold to one row per movie id first, so a credit meets its title and
+    the title's ratings in a single join.
     """
-    return movies.select("movie_id", "imdb_id").join(headline.select("movie_id"), "movie_id", "left_semi")
+    rated = (
+        qualifying(ratings, rules.HEADLINE_FLOOR)
+        .groupBy("movie_id")
+        .agg(F.sum(scaled(F.col("avg_rating"))).alias("total"), F.count("avg_rating").alias("rated"))
+    )
+    return movies.select("movie_id", "imdb_id").filter(F.col("imdb_id").isNotNull()).join(rated, "movie_id")
 
 
-def eligible_people(people: DataFrame, headline: DataFrame) -> DataFrame:
+def eligible_people(credits: DataFrame, headline: DataFrame) -> DataFrame:
     """Mean rating and distinct titles of every person who reaches their role's minimum.
 
-    The mean weights repeated credits. Credits collapse to (person, role, title)
-    before the per-person sums, so neither a title with very many credits nor a
-    very active person gathers raw rows in one task.
+    ``credits`` has ``imdb_id``, ``person_id`` and ``job_role``. The mean weights
+    repeated credits. Sums per (person, role, title) come before the sums per
+    person, and both start inside the map tasks, so neither a title with very
+    many credits nor a very active person gathers raw rows in one task.
     """
     roles = list(rules.ROLE_MINIMUMS)
-    credits = people.filter(F.col("job_role").isin(roles)).select("movie_id", "person_id", "job_role")
+    named = credits.filter(F.col("job_role").isin(roles) & F.col("person_id").isNotNull())
     per_title = (
-        credits.join(headline, "movie_id")
+        named.select("imdb_id", "person_id", "job_role")
+        .join(headline, "imdb_id")
         .groupBy("person_id", "job_role", "movie_id")
-        .agg(F.sum(scaled(F.col("avg_rating"))).alias("total"), F.count("avg_rating").alias("rated"))
+        .agg(F.sum("total").alias("total"), F.sum("rated").alias("rated"))
     )
     per_person = per_title.groupBy("person_id", "job_role").agg(
         mean_of_scaled(F.sum("total"), F.sum("rated")).alias("person_rating"), F.count(F.lit(1)).alias("movie_count")
@@ -143,22 +145,22 @@ def eligible_people(people: DataFrame, headline: DataFrame) -> DataFrame:
     return per_person.filter(F.col("movie_count") >= rules.role_minimum(F.col("job_role")))
 
 
-def mart_top_people(people: DataFrame, headline: DataFrame, persons: DataFrame, k: int = PEOPLE_PER_ROLE) -> DataFrame:
+def mart_top_people(
+    credits: DataFrame, headline: DataFrame, persons: DataFrame, k: int = PEOPLE_PER_ROLE
+) -> DataFrame:
     """Best-rated people per role; a ranked person without a name row leaves a gap."""
     order = [F.col("person_rating").desc_nulls_last(), F.col("person_id").asc()]
-    ranked = top_per_group(eligible_people(people, headline), "job_role", order, k, "job_rank")
+    ranked = top_per_group(eligible_people(credits, headline), "job_role", order, k, "job_rank")
     # At most k rows for each of the listed roles.
     return persons.join(F.broadcast(ranked), "person_id").select(
         "person_id", "job_role", "person_rating", "job_rank", "movie_count", "person_name", "birth_year", "death_year"
     )
 
 
-def mart_top_years(movies: DataFrame, ratings: DataFrame, k: int = YEARS_SHOWN) -> DataFrame:
+def mart_top_years(era: DataFrame, k: int = YEARS_SHOWN) -> DataFrame:
     """Best years by rounded mean rating among years with enough distinct titles."""
-    per_title = (
-        _era_qualified(movies, ratings)
-        .groupBy("release_year", "movie_id")
-        .agg(F.sum(scaled(F.col("avg_rating"))).alias("total"), F.count("avg_rating").alias("rated"))
+    per_title = era.groupBy("release_year", "movie_id").agg(
+        F.sum(scaled(F.col("avg_rating"))).alias("total"), F.count("avg_rating").alias("rated")
     )
     per_year = per_title.groupBy("release_year").agg(
         F.round(mean_of_scaled(F.sum("total"), F.sum("rated")), 2).alias("release_yr_avg_rating"),

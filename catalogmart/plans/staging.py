@@ -1,7 +1,9 @@
 """Staging: renamed, cleaned raw relations without excluded titles.
 
-All are lazy projections over one scan. The anti join sits on the raw key, so
-the projection prunes columns down to the scan.
+All are lazy projections over one scan, with an anti join on the title id.
+``title_principals``, ``title_ratings`` and ``details`` are the projections
+alone: the curated layer joins them on ids that are already free of excluded
+titles, where a second exclusion of the largest relations would change nothing.
 """
 
 from __future__ import annotations
@@ -33,8 +35,8 @@ def stg_name_basics(raw: DataFrame) -> DataFrame:
 
 def stg_title_basics(raw: DataFrame, excluded: ExcludedIds) -> DataFrame:
     """Titles of every type."""
-    return _renamed(
-        without(raw, excluded.imdb, "tconst", "imdb_id"),
+    titles = _renamed(
+        raw,
         {
             "imdb_id": "tconst",
             "content_type": "titletype",
@@ -47,11 +49,12 @@ def stg_title_basics(raw: DataFrame, excluded: ExcludedIds) -> DataFrame:
             "genres": "genres",
         },
     )
+    return without(titles, excluded.imdb, "imdb_id")
 
 
 def stg_title_akas(raw: DataFrame, excluded: ExcludedIds) -> DataFrame:
-    return _renamed(
-        without(raw, excluded.imdb, "titleid", "imdb_id"),
+    akas = _renamed(
+        raw,
         {
             "imdb_id": "titleid",
             "alternate_title_order": "ordering",
@@ -63,18 +66,17 @@ def stg_title_akas(raw: DataFrame, excluded: ExcludedIds) -> DataFrame:
             "is_original_title": "isoriginaltitle",
         },
     )
+    return without(akas, excluded.imdb, "imdb_id")
 
 
 def stg_title_crew(raw: DataFrame, excluded: ExcludedIds) -> DataFrame:
-    return _renamed(
-        without(raw, excluded.imdb, "tconst", "imdb_id"),
-        {"imdb_id": "tconst", "all_director_ids": "directors", "all_writer_ids": "writers"},
-    )
+    crew = _renamed(raw, {"imdb_id": "tconst", "all_director_ids": "directors", "all_writer_ids": "writers"})
+    return without(crew, excluded.imdb, "imdb_id")
 
 
-def stg_title_principals(raw: DataFrame, excluded: ExcludedIds) -> DataFrame:
+def title_principals(raw: DataFrame) -> DataFrame:
     return _renamed(
-        without(raw, excluded.imdb, "tconst", "imdb_id"),
+        raw,
         {
             "imdb_id": "tconst",
             "principal_order": "ordering",
@@ -86,16 +88,21 @@ def stg_title_principals(raw: DataFrame, excluded: ExcludedIds) -> DataFrame:
     )
 
 
+def stg_title_principals(raw: DataFrame, excluded: ExcludedIds) -> DataFrame:
+    return without(title_principals(raw), excluded.imdb, "imdb_id")
+
+
+def title_ratings(raw: DataFrame) -> DataFrame:
+    return _renamed(raw, {"imdb_id": "tconst", "avg_rating": "averagerating", "num_of_votes": "numvotes"})
+
+
 def stg_title_ratings(raw: DataFrame, excluded: ExcludedIds) -> DataFrame:
-    return _renamed(
-        without(raw, excluded.imdb, "tconst", "imdb_id"),
-        {"imdb_id": "tconst", "avg_rating": "averagerating", "num_of_votes": "numvotes"},
-    )
+    return without(title_ratings(raw), excluded.imdb, "imdb_id")
 
 
-def stg_details(raw: DataFrame, excluded: ExcludedIds) -> DataFrame:
+def details(raw: DataFrame) -> DataFrame:
     return _renamed(
-        without(raw, excluded.tmdb, "id", "tmdb_id"),
+        raw,
         {
             "tmdb_id": "id",
             "imdb_id": "imdb_id",
@@ -117,6 +124,10 @@ def stg_details(raw: DataFrame, excluded: ExcludedIds) -> DataFrame:
     )
 
 
+def stg_details(raw: DataFrame, excluded: ExcludedIds) -> DataFrame:
+    return without(details(raw), excluded.tmdb, "tmdb_id")
+
+
 def stg_genres(raw: DataFrame, label: str = EXCLUDED_LABEL) -> DataFrame:
     """Genre dictionary without the excluded label; unnamed entries stay."""
     kept = raw.filter(~F.coalesce(is_label(F.col("name"), label), F.lit(False)))
@@ -127,13 +138,14 @@ def stg_now_playing(raw: DataFrame, excluded: ExcludedIds) -> DataFrame:
     """One listing row per title, region and capture date: the most popular, then most voted.
 
     An unknown value sorts first, as the largest. The remaining columns break
-    full ties so reruns agree.
+    full ties so reruns agree. Exclusion goes by title, so whole keys leave and
+    it may follow the ranking: the per-task limit then sits below the first
+    shuffle, which a large exclusion set would otherwise place by title alone.
     """
     order = [F.col("popularity").desc_nulls_first(), F.col("vote_count").desc_nulls_first()]
     ties = ["title", "release_date", "vote_average", "genre_ids", "overview", "poster_path"]
-    listed = without(raw, excluded.tmdb, "id", "tmdb_id")
-    best = best_per_key(listed, ["id", "region", "snapshot_date"], order + [F.col(c).asc_nulls_first() for c in ties])
-    return _renamed(
+    best = best_per_key(raw, ["id", "region", "snapshot_date"], order + [F.col(c).asc_nulls_first() for c in ties])
+    listed = _renamed(
         best,
         {
             "tmdb_id": "id",
@@ -149,3 +161,4 @@ def stg_now_playing(raw: DataFrame, excluded: ExcludedIds) -> DataFrame:
             "snapshot_date": "snapshot_date",
         },
     )
+    return without(listed, excluded.tmdb, "tmdb_id")

@@ -204,12 +204,12 @@ def _(c):
 
 @query("json_object_tags", "SELECT tmdb_id FROM tagged_objects")
 def _(c):
-    return exclusion.tagged_by_name(c.raw["details"])
+    return exclusion.tagged_by_name(c.raw["details"]).distinct()
 
 
 @query("json_id_tags", "SELECT tmdb_id FROM tagged_listings")
 def _(c):
-    return exclusion.tagged_by_id(c.raw["now_playing"], c.raw["genres"])
+    return exclusion.tagged_by_id(c.raw["now_playing"], c.raw["genres"]).distinct()
 
 
 @query(
@@ -230,8 +230,7 @@ SELECT id, d.imdb_id FROM raw_details d
 WHERE NOT EXISTS (SELECT 1 FROM excluded_imdb e WHERE e.imdb_id = d.imdb_id)""",
 )
 def _(c):
-    linked = c.raw["details"].select("id", F.col("imdb_id").alias("key"))
-    return without(linked, c.excluded.imdb, "key", "imdb_id").select("id", F.col("key").alias("imdb_id"))
+    return without(c.raw["details"].select("id", "imdb_id"), c.excluded.imdb, "imdb_id")
 
 
 # Curated -----------------------------------------------------------------------
@@ -670,7 +669,7 @@ HAVING count(*) > 20 OR count_if(movie_count < {ROLE_FLOOR}) > 0""",
 )
 def _(c):
     """Full lists instead of the published ones, with one title too few."""
-    full = marts.eligible_people(c.headline_credits, c.headline_ratings).join(c.dim_person, "person_id", "left_semi")
+    full = marts.eligible_people(c.stg_title_principals, c.headline_titles).join(c.dim_person, "person_id", "left_semi")
     people = full.select(F.col("job_role").alias("role"), (F.col("movie_count") - 1).alias("movie_count"))
     return contract.role_limit_issues(people)
 

@@ -76,19 +76,20 @@ def label_occurrences(relations: Mapping[str, DataFrame], label: str, column: st
 def excluded_occurrences(relations: Mapping[str, DataFrame], excluded: ExcludedIds) -> DataFrame:
     """Rows of any relation that still hold an excluded id of either source.
 
-    Matching on "either id" would pair every row with every excluded id, so each
-    id has its own hash semi join. A row caught by both ids shows up twice.
+    Matching on "either id" would pair every row with every excluded id, so all
+    relations together meet each id set in one hash semi join. A row caught by
+    both ids shows up twice.
     """
-    hits = []
+    columns = ["model_name", "imdb_id", "tmdb_id"]
+    listed = []
     for name, df in relations.items():
         imdb = F.col("imdb_id") if "imdb_id" in df.columns else F.lit(None).cast("string")
         tmdb = F.col("tmdb_id") if "tmdb_id" in df.columns else F.lit(None).cast("bigint")
-        ids = df.select(F.lit(name).alias("model_name"), imdb.alias("imdb_id"), tmdb.alias("tmdb_id"))
-        if "imdb_id" in df.columns:
-            hits.append(ids.join(excluded.imdb, "imdb_id", "left_semi").select(ids.columns))
-        if "tmdb_id" in df.columns:
-            hits.append(ids.join(excluded.tmdb, "tmdb_id", "left_semi").select(ids.columns))
-    return reduce(DataFrame.unionByName, hits)
+        listed.append(df.select(F.lit(name).alias("model_name"), imdb.alias("imdb_id"), tmdb.alias("tmdb_id")))
+    ids = reduce(DataFrame.unionByName, listed)
+    by_imdb = ids.filter("imdb_id IS NOT NULL").join(excluded.imdb, "imdb_id", "left_semi").select(columns)
+    by_tmdb = ids.filter("tmdb_id IS NOT NULL").join(excluded.tmdb, "tmdb_id", "left_semi").select(columns)
+    return by_imdb.unionByName(by_tmdb)
 
 
 def misranked_rows(

@@ -252,11 +252,12 @@ def _public_text(name: str, kind: str) -> Column:
         return F.when(whole, finite.cast("bigint").cast("string")).otherwise(finite.cast("string"))
     if kind == "decimal":
         text = c.cast("string")
-        trimmed = F.regexp_replace(text, r"\.?0+$", "")
+        trimmed = F.rtrim(F.rtrim(text, F.lit("0")), F.lit("."))
         return F.when(F.instr(text, ".") > 0, trimmed).otherwise(text)
     if kind == "timestamp":
         utc = F.to_utc_timestamp(c, F.current_timezone())
-        return F.concat(F.regexp_replace(F.date_format(utc, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), r"\.0+$", ""), F.lit("Z"))
+        text = F.date_format(utc, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+        return F.concat(F.replace(text, F.lit(".000000"), F.lit("")), F.lit("Z"))
     return c.cast("string")
 
 

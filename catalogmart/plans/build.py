@@ -13,7 +13,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 
 from catalogmart.operators.exclusion import ExcludedIds, excluded_ids
-from catalogmart.plans import curated, kpis, marts, staging
+from catalogmart.plans import curated, kpis, marts, public, staging
 from catalogmart.sources.tables import KeptTables
 
 
@@ -206,3 +206,9 @@ class Catalogue:
     @property
     def total_movies(self) -> DataFrame:
         return kpis.total_movies(self.dim_movies)
+
+    # public results ----------------------------------------------------------
+    @cached_property
+    def public_results(self) -> dict[str, DataFrame]:
+        """Every public result set, kept so that all contract checks see the same rows."""
+        return {name: self.kept.keep(f"public_{name}", plan(self)) for name, plan in public.RESULTS.items()}

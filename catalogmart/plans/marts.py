@@ -195,7 +195,7 @@ def mart_now_playing_recommendations(
         F.col("num_of_votes").desc_nulls_last(),
         F.col("now_playing_popularity").desc_nulls_last(),
         F.col("movie_id").asc(),
-        *_listing_ties(),
+        *listing_ties(),
     ]
     return top_per_group(_recommendable(now_playing, ratings), "tmdb_region", order, k, "recommendation_rank")
 
@@ -207,11 +207,12 @@ def top_recommended_now_playing_movie(now_playing: DataFrame, ratings: DataFrame
         F.col("num_of_votes").desc_nulls_first(),
         F.col("now_playing_popularity").desc_nulls_first(),
         F.col("movie_id").asc(),
-        *_listing_ties(),
+        *listing_ties(),
     ]
     return top_per_group(_recommendable(now_playing, ratings), "tmdb_region", order, 1, "recommendation_rank")
 
 
-def _listing_ties():
+def listing_ties():
+    """Order among listing rows of one title."""
     ties = ["now_playing_release_date", "now_playing_overview", "movie_name"]
     return [F.col(c).asc_nulls_first() for c in ties]

@@ -129,6 +129,31 @@ def captures(now_playing: DataFrame) -> DataFrame:
     return bounded_select(evidence, "captures", columns, [F.col("region").asc()], maximum=MAX_REGIONS)
 
 
+# Public name -> selection from a catalogue.
+RESULTS = {
+    "total_movies": lambda c: scalar(c.total_movies, "total_movies", "total_movies"),
+    "rated_movies": lambda c: scalar(c.rated_movies, "rated_movies", "total_rated_movies"),
+    "avg_rating": lambda c: scalar(c.avg_movie_rating, "avg_rating", "avg_movie_rating"),
+    "avg_runtime_minutes": lambda c: scalar(c.average_runtime, "avg_runtime_minutes", "average_runtime"),
+    "highest_rated_movie": lambda c: highlight(c.highest_rated_movie, "highest_rated_movie"),
+    "most_voted_movie": lambda c: highlight(c.most_popular_movie, "most_voted_movie"),
+    "rating_bins": lambda c: rating_bins(c.mart_rating_distribution),
+    "genre_ratings": lambda c: genre_ratings(c.average_rating_by_genre),
+    "genre_runtimes": lambda c: genre_runtimes(c.average_runtime_by_genre),
+    "decade_counts": lambda c: decade_counts(c.no_of_movies_every_decade),
+    "decade_ratings": lambda c: decade_ratings(c.decade_avg_rating),
+    "top_years": lambda c: top_years(c.mart_top_years),
+    "top_movies": lambda c: top_movies(c.mart_top_movies),
+    "people": lambda c: people(c.mart_top_people),
+    "region_counts": lambda c: region_counts(c.number_of_movies_now_playing),
+    "recommendations": lambda c: recommendations(c.mart_now_playing_recommendations),
+    "latest_snapshot_date": lambda c: scalar(
+        c.latest_now_playing_snapshot, "latest_snapshot_date", "latest_now_playing_snapshot"
+    ),
+    "captures": lambda c: captures(c.fct_now_playing),
+}
+
+
 # Constraints of the public fields.
 BRACKETS = ("0-1", "1-2", "2-3", "3-4", "4-5", "5-6", "6-7", "7-8", "8-9", "9-10")
 DECADE_PATTERN = r"^(189|19\d|20[0-2])0s$"
@@ -162,7 +187,8 @@ FIELD_RULES = {
         FieldRule("avg_rating", **RATING),
         FieldRule("movie_count", low=5),
     ],
-    "highlight": TITLE_RULES,
+    "highest_rated_movie": TITLE_RULES,
+    "most_voted_movie": TITLE_RULES,
     "top_movies": [FieldRule("rank", low=1, high=10), *TITLE_RULES],
     "people": [
         FieldRule("role", values=tuple(ROLE_MINIMUMS)),

@@ -195,3 +195,11 @@ def test_people_bridge_and_listing_fact(rows):
 def test_genre_dimension_numbers_all_title_types_by_name(rows):
     titles = rows([("movie", "b, a"), ("tvSeries", "c,a"), ("movie", None)], "content_type string, genres string")
     assert tuples(curated.dim_genre(titles)) == [(1, "a"), (2, "b"), (3, "c")]
+
+
+def test_declared_tests_are_complete():
+    from catalogmart.plans import quality
+
+    flags = [t for columns in quality.COLUMN_TESTS.values() for tests in columns.values() for t in tests]
+    assert flags.count("N") == 41 and flags.count("U") == 12
+    assert len(quality.ACCEPTED_VALUES) == 2 and len(quality.REFERENCES) == 3

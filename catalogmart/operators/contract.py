@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from catalogmart.functions.rules import ROLE_MINIMUMS, TOP_BRACKET, role_minimum
 from catalogmart.operators.checks import PERCENTAGE_TOLERANCE
+from catalogmart.sources.bounded import require_at_most
 
 SHARE_TOLERANCE = 0.0051
 REGIONS = ("IN", "US")
@@ -271,13 +272,14 @@ def non_finite_rows(df: DataFrame, identity: str, columns: Sequence[str]) -> Dat
     return df.select(identity, F.explode(F.array_compact(F.array(*cells))).alias("invalid_column"))
 
 
-def fingerprint(df: DataFrame) -> DataFrame:
-    """SHA-256 over the sorted JSON rows of a bounded public result.
+def fingerprint(df: DataFrame, maximum: int) -> DataFrame:
+    """SHA-256 over the sorted JSON rows of a public result of at most ``maximum`` rows.
 
     Keys are in name order and row order does not matter, so an unchanged
-    rebuild has an unchanged fingerprint. Use it on ``bounded_select`` results:
-    the rows meet in one aggregate.
+    rebuild has an unchanged fingerprint. The rows meet in one aggregate, hence
+    the bound: a larger result fails.
     """
     row = F.to_json(F.struct(*sorted(df.columns)), {"ignoreNullFields": "false"})
     rows = F.sort_array(F.collect_list(row))
-    return df.agg(F.sha2(F.concat_ws("\n", rows), 256).alias("sha256"), F.count(F.lit(1)).alias("row_count"))
+    bounded = require_at_most(df, maximum, "fingerprinted result")
+    return bounded.agg(F.sha2(F.concat_ws("\n", rows), 256).alias("sha256"), F.count(F.lit(1)).alias("row_count"))

@@ -91,7 +91,7 @@ class Catalogue:
 
     @cached_property
     def dim_genre(self) -> DataFrame:
-        return curated.dim_genre(self.stg_title_basics)
+        return curated.dim_genre(self.stg_title_basics, self.kept)
 
     @cached_property
     def bridge_movie_genres(self) -> DataFrame:

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from catalogmart.functions.rules import CATALOGUE_TYPES, FALLBACK_ID_PREFIX, FALLBACK_TYPE
 from catalogmart.functions.text import comma_elements, named_tags
 from catalogmart.operators.joins import left_join_known
+from catalogmart.operators.ranking import numbered
+from catalogmart.sources.tables import KeptTables
 
 
 def catalogue_titles(titles: DataFrame) -> DataFrame:
@@ -61,15 +63,10 @@ def dim_person(names: DataFrame) -> DataFrame:
     return names.select("person_id", F.col("primary_name").alias("person_name"), "birth_year", "death_year")
 
 
-def dim_genre(titles: DataFrame) -> DataFrame:
-    """Distinct genres of all staged titles, numbered by name.
-
-    The names are a vocabulary: duplicates collapse inside the map tasks and
-    only distinct labels reach the numbering window.
-    """
+def dim_genre(titles: DataFrame, kept: KeptTables) -> DataFrame:
+    """Distinct genres of all staged titles, numbered by name."""
     names = titles.select(F.explode(comma_elements(F.col("genres"))).alias("genre_name")).distinct()
-    number = F.row_number().over(Window.partitionBy().orderBy("genre_name"))
-    return names.select(number.alias("genre_id"), "genre_name")
+    return numbered(names, "genre_name", "genre_id", kept)
 
 
 def bridge_movie_genres(titles: DataFrame, details: DataFrame) -> DataFrame:

@@ -36,7 +36,9 @@ def most_popular_movie(ratings: DataFrame, movies: DataFrame) -> DataFrame:
 
 
 def _named(best: DataFrame, movies: DataFrame) -> DataFrame:
-    return with_names(best, movies).select("movie_id", "movie_name", "avg_rating", "num_of_votes")
+    named = with_names(best, movies).select("movie_id", "movie_name", "avg_rating", "num_of_votes")
+    # One row even if the catalogue repeats the id.
+    return named.orderBy(F.col("movie_name").asc_nulls_last()).limit(1)
 
 
 def latest_now_playing_snapshot(now_playing: DataFrame) -> DataFrame:

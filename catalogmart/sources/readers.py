@@ -20,11 +20,14 @@ def scan_tsv(spark: SparkSession, path, schema: str, partitions: int | None = No
     return df.repartition(partitions) if partitions else df
 
 
-def scan_csv(spark: SparkSession, path, schema: str) -> DataFrame:
-    """Quoted CSV whose cells may hold JSON, doubled quotes and line breaks."""
-    return spark.read.csv(
-        path, schema=schema, header=True, multiLine=True, quote='"', escape='"', mode="FAILFAST"
-    )
+def scan_csv(spark: SparkSession, path, schema: str, partitions: int | None = None) -> DataFrame:
+    """Quoted CSV whose cells may hold JSON, doubled quotes and line breaks.
+
+    A quoted line break rules out splitting a file, so each file is one task;
+    ``partitions`` works as for ``scan_tsv``.
+    """
+    df = spark.read.csv(path, schema=schema, header=True, multiLine=True, quote='"', escape='"', mode="FAILFAST")
+    return df.repartition(partitions) if partitions else df
 
 
 def scan_raw(spark: SparkSession, relation: str, path, partitions: int | None = None) -> DataFrame:
@@ -32,4 +35,4 @@ def scan_raw(spark: SparkSession, relation: str, path, partitions: int | None =
     schema = RAW_SCHEMAS[relation]
     if relation in TSV_RELATIONS:
         return scan_tsv(spark, path, schema, partitions)
-    return scan_csv(spark, path, schema)
+    return scan_csv(spark, path, schema, partitions)

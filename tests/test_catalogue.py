@@ -8,6 +8,7 @@ import pytest
 
 from catalogmart.operators.exclusion import ExcludedIds, excluded_ids, tagged_union
 from catalogmart.operators.joins import left_join_known, without
+from catalogmart.operators.ranking import numbered
 from catalogmart.plans import curated, staging
 from catalogmart.sources.schemas import RAW_SCHEMAS
 from catalogmart.sources.tables import KeptTables
@@ -192,9 +193,32 @@ def test_people_bridge_and_listing_fact(rows):
     assert tuples(got) == [("tmdb_8", None, 8, "listed eight"), ("tt1", "tt1", 5, "One")]
 
 
-def test_genre_dimension_numbers_all_title_types_by_name(rows):
+def test_genre_dimension_numbers_all_title_types_by_name(spark, rows):
     titles = rows([("movie", "b, a"), ("tvSeries", "c,a"), ("movie", None)], "content_type string, genres string")
-    assert tuples(curated.dim_genre(titles)) == [(1, "a"), (2, "b"), (3, "c")]
+    assert tuples(curated.dim_genre(titles, KeptTables(spark))) == [(1, "a"), (2, "b"), (3, "c")]
+
+
+def test_numbering_crosses_ranges(spark):
+    from pyspark.sql import functions as F
+
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        df = spark.range(5000).select(F.sha2(F.col("id").cast("string"), 256).alias("name"))
+        got = numbered(df, "name", "n", KeptTables(spark)).collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert [r.name for r in sorted(got)] == sorted(r.name for r in got)
+    assert sorted(r.n for r in got) == list(range(1, 5001))
+
+
+def test_one_highlight_even_if_the_catalogue_repeats_the_id(rows):
+    from catalogmart.plans import kpis
+
+    facts = rows([("a", 9.0, 100_000, None, None)],
+                 "movie_id string, imdb_avg_rating double, imdb_num_of_votes bigint, tmdb_avg_rating double, "
+                 "tmdb_num_of_votes bigint")
+    movies = rows([("a", "y"), ("a", "x")], "movie_id string, movie_name string")
+    assert tuples(kpis.highest_rated_movie(facts, movies)) == [("a", "x", 9.0, 100_000)]
 
 
 def test_declared_tests_are_complete():

@@ -203,9 +203,11 @@ def test_scalars_take_their_public_form(spark, rows):
 def test_fingerprint_ignores_row_order_and_partitioning(rows):
     schema = "decade string, movie_count bigint"
     data = [("1990s", 5), ("2020s", 7), (None, None)]
-    first = tuples(contract.fingerprint(rows(data, schema)))
-    assert first == tuples(contract.fingerprint(rows(data[::-1], schema).repartition(3).select("movie_count", "decade")))
-    assert first != tuples(contract.fingerprint(rows(data[:2], schema)))
+    first = tuples(contract.fingerprint(rows(data, schema), 3))
+    assert first == tuples(contract.fingerprint(rows(data[::-1], schema).repartition(3).select("movie_count", "decade"), 3))
+    assert first != tuples(contract.fingerprint(rows(data[:2], schema), 3))
+    with pytest.raises(PySparkException):
+        contract.fingerprint(rows(data, schema), 2).collect()
 
 
 def test_dense_histogram_fills_zero_only_for_a_known_population(rows):

@@ -739,7 +739,7 @@ SELECT sha256(string_agg(line, chr(10) ORDER BY line)) AS sha256, count(*) AS ro
 FROM (SELECT '{"decade":"' || decade || '","movie_count":' || movie_count || '}' AS line FROM public_decade_counts)""",
 )
 def _(c):
-    return contract.fingerprint(PUBLIC["public_decade_counts"](c))
+    return contract.fingerprint(PUBLIC["public_decade_counts"](c), public.MAX_DECADES)
 
 
 # Presentation ------------------------------------------------------------------

@@ -36,23 +36,23 @@ class Catalogue:
 
     @cached_property
     def stg_title_basics(self) -> DataFrame:
-        return staging.stg_title_basics(self.raw["title_basics"], self.excluded)
+        return staging.staged_titles("title_basics", self.raw["title_basics"], self.excluded)
 
     @cached_property
     def stg_title_akas(self) -> DataFrame:
-        return staging.stg_title_akas(self.raw["title_akas"], self.excluded)
+        return staging.staged_titles("title_akas", self.raw["title_akas"], self.excluded)
 
     @cached_property
     def stg_title_crew(self) -> DataFrame:
-        return staging.stg_title_crew(self.raw["title_crew"], self.excluded)
+        return staging.staged_titles("title_crew", self.raw["title_crew"], self.excluded)
 
     @cached_property
     def stg_title_principals(self) -> DataFrame:
-        return staging.stg_title_principals(self.raw["title_principals"], self.excluded)
+        return staging.staged_titles("title_principals", self.raw["title_principals"], self.excluded)
 
     @cached_property
     def stg_title_ratings(self) -> DataFrame:
-        return staging.stg_title_ratings(self.raw["title_ratings"], self.excluded)
+        return staging.staged_titles("title_ratings", self.raw["title_ratings"], self.excluded)
 
     @cached_property
     def stg_details(self) -> DataFrame:
@@ -70,15 +70,15 @@ class Catalogue:
     # hold no excluded title: the excluded sets are closed over the identity link.
     @cached_property
     def _principals(self) -> DataFrame:
-        return staging.title_principals(self.raw["title_principals"])
+        return staging.projected("title_principals", self.raw["title_principals"])
 
     @cached_property
     def _ratings(self) -> DataFrame:
-        return staging.title_ratings(self.raw["title_ratings"])
+        return staging.projected("title_ratings", self.raw["title_ratings"])
 
     @cached_property
     def _details(self) -> DataFrame:
-        return staging.details(self.raw["details"])
+        return staging.projected("details", self.raw["details"])
 
     # curated -----------------------------------------------------------------
     @cached_property
@@ -211,4 +211,4 @@ class Catalogue:
     @cached_property
     def public_results(self) -> dict[str, DataFrame]:
         """Every public result set, kept so that all contract checks see the same rows."""
-        return {name: self.kept.keep(f"public_{name}", plan(self)) for name, plan in public.RESULTS.items()}
+        return {name: self.kept.keep(f"public_{name}", public.result(name, self)) for name in public.RESULT_NAMES}

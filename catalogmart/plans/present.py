@@ -6,8 +6,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from catalogmart.functions.rules import DECADE_COUNT, FIRST_DECADE, TOP_BRACKET
-from catalogmart.operators.ranking import top_rows
-from catalogmart.plans.public import MAX_GENRES
+from catalogmart.plans.public import LARGEST
+from catalogmart.sources.bounded import require_at_most
 
 CHART_PEOPLE = 10
 STALE_DAYS = 8
@@ -86,9 +86,12 @@ def region_view(recommendations: DataFrame, counts: DataFrame, captures: DataFra
 
 
 def genre_order(rows: DataFrame, value: str) -> DataFrame:
-    """Chart order: value descending with unknown last, name ascending, with its position."""
-    order = [F.col(value).desc_nulls_last(), F.col("genre").asc()]
-    return top_rows(rows, order, MAX_GENRES, "position")
+    """Chart order: value descending with unknown last, name ascending, with its position.
+
+    Fails beyond the published list size, so only bounded lists are numbered.
+    """
+    place = F.row_number().over(Window.partitionBy().orderBy(F.col(value).desc_nulls_last(), F.col("genre").asc()))
+    return require_at_most(rows, LARGEST["genre_ratings"], "genres").withColumn("position", place)
 
 
 def shared_leader(highest: DataFrame, most_voted: DataFrame) -> DataFrame:

@@ -10,148 +10,131 @@ from catalogmart.operators.contract import FieldRule, capture_evidence
 from catalogmart.operators.ranking import top_rows
 from catalogmart.sources.bounded import bounded_select
 
-# Largest allowed size of each list.
-MAX_BINS = 10
-MAX_GENRES = 1000
-MAX_DECADES = 14
-MAX_YEARS = 10
-MAX_TITLES = 10
-MAX_PEOPLE = 220
-MAX_REGIONS = 2
-MAX_RECOMMENDATIONS = 10
-
-TITLE_COLUMNS = [
-    ("movie_id", "movie_id"),
-    ("title", "movie_name"),
-    ("rating", "avg_rating"),
-    ("votes", "num_of_votes"),
-]
-
-
-def _desc(column: str):
-    return F.col(column).desc_nulls_last()
-
-
-def scalar(df: DataFrame, name: str, column: str) -> DataFrame:
-    """A one-row KPI under its public name."""
-    return bounded_select(df, name, [(name, column)])
-
-
-def highlight(df: DataFrame, name: str) -> DataFrame:
-    """A highlighted title; no row when nothing qualifies."""
-    return bounded_select(df, name, TITLE_COLUMNS)
-
-
-def rating_bins(distribution: DataFrame) -> DataFrame:
-    columns = [
-        ("bracket", "rating_bracket"),
-        ("order", "bucket_order"),
-        ("movie_count", "movie_count"),
-        ("percentage", "percentage_of_movies"),
-        ("population_count", "total_no_of_movies"),
-    ]
-    return bounded_select(distribution, "rating bins", columns, [F.col("bucket_order").asc()], maximum=MAX_BINS)
-
-
-def genre_ratings(averages: DataFrame) -> DataFrame:
-    columns = [("genre", "genre_name"), ("avg_rating", "genre_avg_rating")]
-    order = [_desc("genre_avg_rating"), F.col("genre_name").asc()]
-    return bounded_select(averages, "genre ratings", columns, order, maximum=MAX_GENRES)
-
-
-def genre_runtimes(averages: DataFrame) -> DataFrame:
-    columns = [("genre", "genre_name"), ("avg_runtime_minutes", "genre_avg_runtime")]
-    order = [_desc("genre_avg_runtime"), F.col("genre_name").asc()]
-    return bounded_select(averages, "genre runtimes", columns, order, maximum=MAX_GENRES)
-
-
-def decade_counts(counts: DataFrame) -> DataFrame:
-    columns = [("decade", "decade"), ("movie_count", "movies_made_in_decade")]
-    return bounded_select(counts, "decade counts", columns, [F.col("decade").asc()], maximum=MAX_DECADES)
-
-
-def decade_ratings(averages: DataFrame) -> DataFrame:
-    """Displayed decades only; the mart's NULL decade stays private."""
-    columns = [("decade", "decade"), ("avg_rating", "decade_avg_rating")]
-    known = F.col("decade").isNotNull()
-    return bounded_select(averages, "decade ratings", columns, [F.col("decade").asc()], known, MAX_DECADES)
-
-
-def top_years(years: DataFrame) -> DataFrame:
-    """Years in published order with ranks 1..n."""
-    columns = [("year", "release_year"), ("avg_rating", "release_yr_avg_rating"), ("movie_count", "movie_count")]
-    order = [_desc("release_yr_avg_rating"), F.col("release_year").asc()]
-    listed = bounded_select(years, "top years", columns, order, maximum=MAX_YEARS)
-    ranked = top_rows(listed, [_desc("avg_rating"), F.col("year").asc()], MAX_YEARS, "rank")
-    return ranked.select("rank", "year", "avg_rating", "movie_count")
-
-
-def top_movies(movies: DataFrame) -> DataFrame:
-    columns = [("rank", "movie_rank"), *TITLE_COLUMNS]
-    return bounded_select(movies, "top movies", columns, [F.col("movie_rank").asc()], maximum=MAX_TITLES)
-
+# Public field -> mart column, per result set.
+TITLE_FIELDS = {"movie_id": "movie_id", "title": "movie_name", "rating": "avg_rating", "votes": "num_of_votes"}
+FIELDS = {
+    "total_movies": {"total_movies": "total_movies"},
+    "rated_movies": {"rated_movies": "total_rated_movies"},
+    "avg_rating": {"avg_rating": "avg_movie_rating"},
+    "avg_runtime_minutes": {"avg_runtime_minutes": "average_runtime"},
+    "highest_rated_movie": TITLE_FIELDS,
+    "most_voted_movie": TITLE_FIELDS,
+    "rating_bins": {
+        "bracket": "rating_bracket",
+        "order": "bucket_order",
+        "movie_count": "movie_count",
+        "percentage": "percentage_of_movies",
+        "population_count": "total_no_of_movies",
+    },
+    "genre_ratings": {"genre": "genre_name", "avg_rating": "genre_avg_rating"},
+    "genre_runtimes": {"genre": "genre_name", "avg_runtime_minutes": "genre_avg_runtime"},
+    "decade_counts": {"decade": "decade", "movie_count": "movies_made_in_decade"},
+    "decade_ratings": {"decade": "decade", "avg_rating": "decade_avg_rating"},
+    "top_years": {"year": "release_year", "avg_rating": "release_yr_avg_rating", "movie_count": "movie_count"},
+    "top_movies": {"rank": "movie_rank", **TITLE_FIELDS},
+    "people": {
+        "role": "job_role",
+        "rank": "job_rank",
+        "person_id": "person_id",
+        "name": "person_name",
+        "movie_count": "movie_count",
+        "avg_rating": "person_rating",
+    },
+    "region_counts": {"region": "tmdb_region", "movie_count": "no_of_movies_now_playing"},
+    "recommendations": {
+        "region": "tmdb_region",
+        "rank": "recommendation_rank",
+        **TITLE_FIELDS,
+        "release_date": "now_playing_release_date",
+        "overview": "now_playing_overview",
+        "popularity": "now_playing_popularity",
+    },
+    "latest_snapshot_date": {"latest_snapshot_date": "latest_now_playing_snapshot"},
+}
+# The relation behind each result set, and the largest allowed size of each list.
+RELATIONS = {
+    "total_movies": "total_movies",
+    "rated_movies": "rated_movies",
+    "avg_rating": "avg_movie_rating",
+    "avg_runtime_minutes": "average_runtime",
+    "highest_rated_movie": "highest_rated_movie",
+    "most_voted_movie": "most_popular_movie",
+    "rating_bins": "mart_rating_distribution",
+    "genre_ratings": "average_rating_by_genre",
+    "genre_runtimes": "average_runtime_by_genre",
+    "decade_counts": "no_of_movies_every_decade",
+    "decade_ratings": "decade_avg_rating",
+    "top_years": "mart_top_years",
+    "top_movies": "mart_top_movies",
+    "people": "mart_top_people",
+    "region_counts": "number_of_movies_now_playing",
+    "recommendations": "mart_now_playing_recommendations",
+    "latest_snapshot_date": "latest_now_playing_snapshot",
+}
+LARGEST = {
+    "rating_bins": 10,
+    "genre_ratings": 1000,
+    "genre_runtimes": 1000,
+    "decade_counts": 14,
+    "decade_ratings": 14,
+    "top_years": 10,
+    "top_movies": 10,
+    "people": 220,
+    "region_counts": 2,
+    "recommendations": 10,
+    "captures": 2,
+}
+# Mart columns each list is published by; a leading minus is descending, unknown last.
+ORDER = {
+    "rating_bins": ["bucket_order"],
+    "genre_ratings": ["-genre_avg_rating", "genre_name"],
+    "genre_runtimes": ["-genre_avg_runtime", "genre_name"],
+    "decade_counts": ["decade"],
+    "decade_ratings": ["decade"],
+    "top_years": ["-release_yr_avg_rating", "release_year"],
+    "top_movies": ["movie_rank"],
+    "people": ["job_role", "job_rank"],
+    "region_counts": ["tmdb_region"],
+    "recommendations": ["tmdb_region", "recommendation_rank"],
+}
 
-def people(ranked: DataFrame) -> DataFrame:
-    columns = [
-        ("role", "job_role"),
-        ("rank", "job_rank"),
-        ("person_id", "person_id"),
-        ("name", "person_name"),
-        ("movie_count", "movie_count"),
-        ("avg_rating", "person_rating"),
-    ]
-    order = [F.col("job_role").asc(), F.col("job_rank").asc()]
-    return bounded_select(ranked, "people", columns, order, maximum=MAX_PEOPLE)
 
+def _ordering(columns):
+    return [F.col(c[1:]).desc_nulls_last() if c.startswith("-") else F.col(c).asc() for c in columns]
 
-def region_counts(counts: DataFrame) -> DataFrame:
-    columns = [("region", "tmdb_region"), ("movie_count", "no_of_movies_now_playing")]
-    return bounded_select(counts, "region counts", columns, [F.col("tmdb_region").asc()], maximum=MAX_REGIONS)
 
+def published(name: str, mart: DataFrame) -> DataFrame:
+    """One result set from its mart: exact fields, stated order, at most its published size.
 
-def recommendations(ranked: DataFrame) -> DataFrame:
-    columns = [
-        ("region", "tmdb_region"),
-        ("rank", "recommendation_rank"),
-        *TITLE_COLUMNS,
-        ("release_date", "now_playing_release_date"),
-        ("overview", "now_playing_overview"),
-        ("popularity", "now_playing_popularity"),
-    ]
-    order = [F.col("tmdb_region").asc(), F.col("recommendation_rank").asc()]
-    return bounded_select(ranked, "recommendations", columns, order, maximum=MAX_RECOMMENDATIONS)
+    Scalars and highlights have at most one row. Years get ranks 1..n in
+    published order; the unlabelled decade stays private.
+    """
+    if name == "decade_ratings":
+        mart = mart.filter(F.col("decade").isNotNull())
+    listed = bounded_select(
+        mart, name, list(FIELDS[name].items()), _ordering(ORDER.get(name, [])), maximum=LARGEST.get(name, 1)
+    )
+    if name == "top_years":
+        ranked = top_rows(listed, _ordering(["-avg_rating", "year"]), LARGEST[name], "rank")
+        return ranked.select("rank", *FIELDS[name])
+    return listed
 
 
 def captures(now_playing: DataFrame) -> DataFrame:
     """Private evidence behind the published capture dates."""
     evidence = capture_evidence(now_playing)
     columns = [(c, c) for c in evidence.columns]
-    return bounded_select(evidence, "captures", columns, [F.col("region").asc()], maximum=MAX_REGIONS)
-
-
-# Public name -> selection from a catalogue.
-RESULTS = {
-    "total_movies": lambda c: scalar(c.total_movies, "total_movies", "total_movies"),
-    "rated_movies": lambda c: scalar(c.rated_movies, "rated_movies", "total_rated_movies"),
-    "avg_rating": lambda c: scalar(c.avg_movie_rating, "avg_rating", "avg_movie_rating"),
-    "avg_runtime_minutes": lambda c: scalar(c.average_runtime, "avg_runtime_minutes", "average_runtime"),
-    "highest_rated_movie": lambda c: highlight(c.highest_rated_movie, "highest_rated_movie"),
-    "most_voted_movie": lambda c: highlight(c.most_popular_movie, "most_voted_movie"),
-    "rating_bins": lambda c: rating_bins(c.mart_rating_distribution),
-    "genre_ratings": lambda c: genre_ratings(c.average_rating_by_genre),
-    "genre_runtimes": lambda c: genre_runtimes(c.average_runtime_by_genre),
-    "decade_counts": lambda c: decade_counts(c.no_of_movies_every_decade),
-    "decade_ratings": lambda c: decade_ratings(c.decade_avg_rating),
-    "top_years": lambda c: top_years(c.mart_top_years),
-    "top_movies": lambda c: top_movies(c.mart_top_movies),
-    "people": lambda c: people(c.mart_top_people),
-    "region_counts": lambda c: region_counts(c.number_of_movies_now_playing),
-    "recommendations": lambda c: recommendations(c.mart_now_playing_recommendations),
-    "latest_snapshot_date": lambda c: scalar(
-        c.latest_now_playing_snapshot, "latest_snapshot_date", "latest_now_playing_snapshot"
-    ),
-    "captures": lambda c: captures(c.fct_now_playing),
-}
+    return bounded_select(evidence, "captures", columns, [F.col("region").asc()], maximum=LARGEST["captures"])
+
+
+def result(name: str, catalogue) -> DataFrame:
+    """One result set of a catalogue, by public name."""
+    if name == "captures":
+        return captures(catalogue.fct_now_playing)
+    return published(name, getattr(catalogue, RELATIONS[name]))
+
+
+RESULT_NAMES = (*RELATIONS, "captures")
 
 
 # Constraints of the public fields.

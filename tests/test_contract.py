@@ -268,19 +268,19 @@ def test_slices(rows):
 
 def test_public_top_years_are_ranked_and_bounded(rows):
     schema = "release_year int, release_yr_avg_rating double, movie_count bigint"
-    got = public.top_years(rows([(1996, 7.0, 5), (1995, 8.0, 5), (1994, 7.0, 6)], schema)).orderBy("rank")
+    got = public.published("top_years", rows([(1996, 7.0, 5), (1995, 8.0, 5), (1994, 7.0, 6)], schema)).orderBy("rank")
     assert [tuple(r) for r in got.collect()] == [(1, 1995, 8.0, 5), (2, 1994, 7.0, 6), (3, 1996, 7.0, 5)]
-    with pytest.raises(PySparkException, match="top years has more than 10 rows"):
-        public.top_years(rows([(1900 + i, 7.0, 5) for i in range(11)], schema)).collect()
+    with pytest.raises(PySparkException, match="top_years has more than 10 rows"):
+        public.published("top_years", rows([(1900 + i, 7.0, 5) for i in range(11)], schema)).collect()
 
 
-@pytest.mark.parametrize(("select", "schema", "maximum"), [
-    (public.top_movies, "movie_rank int, movie_id string, movie_name string, avg_rating double, num_of_votes bigint", 10),
-    (public.people, "job_role string, job_rank int, person_id string, person_name string, movie_count bigint, person_rating double", 220),
-    (public.region_counts, "tmdb_region string, no_of_movies_now_playing bigint", 2),
+@pytest.mark.parametrize(("name", "schema", "maximum"), [
+    ("top_movies", "movie_rank int, movie_id string, movie_name string, avg_rating double, num_of_votes bigint", 10),
+    ("people", "job_role string, job_rank int, person_id string, person_name string, movie_count bigint, person_rating double", 220),
+    ("region_counts", "tmdb_region string, no_of_movies_now_playing bigint", 2),
 ])
-def test_overflowing_lists_fail(rows, select, schema, maximum):
+def test_overflowing_lists_fail(rows, name, schema, maximum):
     width = len(schema.split(","))
-    assert select(rows([(None,) * width] * maximum, schema)).count() == maximum
+    assert public.published(name, rows([(None,) * width] * maximum, schema)).count() == maximum
     with pytest.raises(PySparkException, match="more than"):
-        select(rows([(None,) * width] * (maximum + 1), schema)).collect()
+        public.published(name, rows([(None,) * width] * (maximum + 1), schema)).collect()

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -477,7 +478,7 @@ def _(c):
 
 
 # Public results ----------------------------------------------------------------
-PUBLIC = {f"public_{name}": plan for name, plan in public.RESULTS.items()}
+PUBLIC = {f"public_{name}": partial(public.result, name) for name in public.RESULT_NAMES}
 for _key, _plan in PUBLIC.items():
     query(_key, f"SELECT * FROM {_key}")(_plan)
 query("ranked_years", "SELECT * FROM public_top_years")(PUBLIC["public_top_years"])
@@ -739,7 +740,7 @@ SELECT sha256(string_agg(line, chr(10) ORDER BY line)) AS sha256, count(*) AS ro
 FROM (SELECT '{"decade":"' || decade || '","movie_count":' || movie_count || '}' AS line FROM public_decade_counts)""",
 )
 def _(c):
-    return contract.fingerprint(PUBLIC["public_decade_counts"](c), public.MAX_DECADES)
+    return contract.fingerprint(PUBLIC["public_decade_counts"](c), public.LARGEST["decade_counts"])
 
 
 # Presentation ------------------------------------------------------------------

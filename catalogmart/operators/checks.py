@@ -100,7 +100,8 @@ def misranked_rows(
     Meant for published rank lists, which are bounded per group.
     """
     expected = F.row_number().over(Window.partitionBy(*within).orderBy(*order))
-    ranks = df.select(F.lit(list_name).alias("list_name"), F.col(rank).alias("actual_rank"), expected.alias("expected_rank"))
+    listed = F.lit(list_name).alias("list_name")
+    ranks = df.select(listed, F.col(rank).alias("actual_rank"), expected.alias("expected_rank"))
     return ranks.filter("actual_rank <> expected_rank")
 
 

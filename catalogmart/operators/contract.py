@@ -224,7 +224,9 @@ def field_rule_issues(df: DataFrame, rules: Sequence[FieldRule]) -> DataFrame:
         F.when(
             test,
             F.struct(
-                F.lit(rule.field).alias("field"), F.lit(name).alias("rule"), F.col(rule.field).cast("string").alias("value")
+                F.lit(rule.field).alias("field"),
+                F.lit(name).alias("rule"),
+                F.col(rule.field).cast("string").alias("value"),
             ),
         )
         for rule in rules

@@ -6,8 +6,9 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
+from catalogmart.sources.payloads import enrichment_gaps
 from catalogmart.sources.readers import scan_raw
-from catalogmart.sources.tables import guarded_replace
+from catalogmart.sources.tables import IncompleteLoadError, guarded_replace
 
 STAGING = (
     "stg_name_basics",
@@ -74,6 +75,13 @@ def load_raw(
     }
 
 
+def replace_details(listing: DataFrame, details: DataFrame, table: str, folder: str) -> DataFrame:
+    """Replace the detail rows only when every listed title has one."""
+    if not enrichment_gaps(listing, details).isEmpty():
+        raise IncompleteLoadError(f"listed titles without details; {table} was left unchanged")
+    return guarded_replace(details, table, folder)
+
+
 def write_layers(c, curated: str = "curated", analytics: str = "analytics") -> None:
     """Staging as views; curated and analytics as freshly written tables."""
     for name in STAGING:

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from catalogmart.sources.schemas import RAW_SCHEMAS, TSV_RELATIONS
 
@@ -23,10 +25,17 @@ def scan_tsv(spark: SparkSession, path, schema: str, partitions: int | None = No
 def scan_csv(spark: SparkSession, path, schema: str, partitions: int | None = None) -> DataFrame:
     """Quoted CSV whose cells may hold JSON, doubled quotes and line breaks.
 
-    A quoted line break rules out splitting a file, so each file is one task;
-    ``partitions`` works as for ``scan_tsv``.
+    Whole numbers may be written with a zero fraction, as writers do for columns
+    that hold gaps. A quoted line break rules out splitting a file, so each file
+    is one task; ``partitions`` works as for ``scan_tsv``.
     """
-    df = spark.read.csv(path, schema=schema, header=True, multiLine=True, quote='"', escape='"', mode="FAILFAST")
+    target = T.StructType.fromDDL(schema)
+    whole = [field.name for field in target if isinstance(field.dataType, T.IntegralType)]
+    landed = T.StructType(
+        [T.StructField(f.name, T.DecimalType(20, 1) if f.name in whole else f.dataType) for f in target]
+    )
+    df = spark.read.csv(path, schema=landed, header=True, multiLine=True, quote='"', escape='"', mode="FAILFAST")
+    df = df.select(*[F.col(f.name).cast(f.dataType) for f in target])
     return df.repartition(partitions) if partitions else df
 
 

@@ -13,6 +13,10 @@ class EmptyLoadError(RuntimeError):
     """A load produced no rows; the target was left as it was."""
 
 
+class IncompleteLoadError(RuntimeError):
+    """A load misses rows it must have; the target was left as it was."""
+
+
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
@@ -20,7 +24,7 @@ def shared_folder(spark: SparkSession) -> str:
     are one process.
     """
     context = spark.sparkContext
-    folder = context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if folder:
         return folder.rstrip("/")
     if context.master.startswith("local"):
@@ -45,6 +49,12 @@ class KeptTables:
         df.write.mode("error").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def discard(self) -> None:
+        """Delete everything kept here; results that read it stop working."""
+        jvm = self.spark.sparkContext._jvm
+        path = jvm.org.apache.hadoop.fs.Path(self.folder)
+        path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
 
 def guarded_replace(df: DataFrame, table: str, folder: str) -> DataFrame:
     """Replace all rows of an external Parquet table, or leave it untouched.

@@ -2,15 +2,17 @@ from __future__ import annotations
 
 import gzip
 import json
+import os
 
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
+from catalogmart.plans.layers import replace_details
 from catalogmart.sources import payloads
 from catalogmart.sources.bounded import bounded_select
 from catalogmart.sources.readers import scan_raw
-from catalogmart.sources.tables import EmptyLoadError, KeptTables, guarded_replace, shared_folder
+from catalogmart.sources.tables import EmptyLoadError, IncompleteLoadError, KeptTables, guarded_replace, shared_folder
 from tests.conftest import as_dicts, tuples
 
 
@@ -42,6 +44,14 @@ def test_csv_cells_may_hold_json_quotes_and_line_breaks(spark, tmp_path):
     assert str(row["release_date"]) == "2026-01-02"
 
 
+def test_csv_whole_numbers_may_have_a_zero_fraction(spark, tmp_path):
+    path = tmp_path / "genres.csv"
+    path.write_text("id,name\n28.0,Action\n,Unknown\n9007199254740993,Big\n")
+    df = scan_raw(spark, "genres", str(path), partitions=2)
+    assert df.dtypes == [("id", "bigint"), ("name", "string")]
+    assert tuples(df) == [(28, "Action"), (9007199254740993, "Big"), (None, "Unknown")]
+
+
 def detail(**changes):
     base = {
         "id": 1,
@@ -118,6 +128,16 @@ def test_guarded_replace(spark, rows, tmp_path):
     spark.sql("DROP TABLE ratings")
 
 
+def test_details_are_replaced_only_when_complete(spark, rows, tmp_path):
+    folder, listing = str(tmp_path / "details"), rows([(1,), (1,), (2,)], "id bigint")
+    schema = "id bigint, title string"
+    replace_details(listing, rows([(1, "a"), (2, "b")], schema), "details_table", folder)
+    with pytest.raises(IncompleteLoadError):
+        replace_details(listing, rows([(1, "new")], schema), "details_table", folder)
+    assert tuples(spark.table("details_table")) == [(1, "a"), (2, "b")]
+    spark.sql("DROP TABLE details_table")
+
+
 def test_bounded_select_refuses_instead_of_truncating(spark):
     df = spark.range(20).withColumn("v", F.col("id") * 2)
     exact = bounded_select(df, "list", [("public", "v")], [F.col("id").desc()], F.col("id") < 5, maximum=5)
@@ -133,3 +153,5 @@ def test_kept_tables_live_in_the_shared_folder(spark, rows):
     df = kept.keep("x", rows([(1, "a"), (2, None)], "id int, s string"))
     assert tuples(df) == [(1, "a"), (2, None)]
     assert "kept-" in df.inputFiles()[0]
+    kept.discard()
+    assert not os.path.exists(kept.folder)

@@ -22,9 +22,10 @@ from catalogmart.plans.build import Catalogue
 from catalogmart.sources import payloads
 from catalogmart.sources.bounded import bounded_select
 from catalogmart.sources.readers import scan_raw
-from catalogmart.sources.tables import EmptyLoadError, guarded_replace, shared_folder
+from catalogmart.sources.tables import EmptyLoadError, guarded_replace
 from workload.raw import Given
-from workload.relations_sql import ROLE_FLOOR, mean, with_query
+from workload.relations_sql import ROLE_FLOOR, with_query
+from workload.report_sql import contract_report_sql, declared_tests_sql
 
 SPARK: dict[str, Callable[[Catalogue], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -841,72 +842,11 @@ def _(c):
 
 
 # Whole-catalogue check reports -------------------------------------------------
-def _declared_tests_sql() -> str:
-    """Counts per declared test, written from the same list of tests."""
-    parts = []
-    for relation_name, columns in quality.COLUMN_TESTS.items():
-        for column, tests in columns.items():
-            if "N" in tests:
-                parts.append((f"not_null {relation_name}.{column}", f"FROM {relation_name} WHERE {column} IS NULL"))
-            if "U" in tests:
-                grouped = f"SELECT {column} FROM {relation_name} WHERE {column} IS NOT NULL GROUP BY 1 HAVING count(*) > 1"
-                parts.append((f"unique {relation_name}.{column}", f"FROM ({grouped})"))
-    for (relation_name, column), accepted in quality.ACCEPTED_VALUES.items():
-        outside = f"SELECT {column} FROM {relation_name} WHERE {column} NOT IN {accepted} GROUP BY 1"
-        parts.append((f"accepted_values {relation_name}.{column}", f"FROM ({outside})"))
-    for (relation_name, column), (parent, field) in quality.REFERENCES.items():
-        parts.append((f"relationships {relation_name}.{column}", f"FROM {relation_name} WHERE {column} IS NOT NULL "
-                      f"AND {column} NOT IN (SELECT {field} FROM {parent})"))
-    for relation_name, keys in quality.COMPOSITE_KEYS.items():
-        columns = ", ".join(keys)
-        parts.append((f"unique_key {relation_name}",
-                      f"FROM (SELECT {columns} FROM {relation_name} GROUP BY ALL HAVING count(*) > 1)"))
-    parts += [
-        ("rating_range", "FROM (SELECT unnest([imdb_avg_rating, tmdb_avg_rating]) AS r FROM fct_movie_ratings) "
-         "WHERE r NOT BETWEEN 0 AND 10"),
-        ("votes_nonnegative", "FROM (SELECT unnest([imdb_num_of_votes, tmdb_num_of_votes]) AS v FROM fct_movie_ratings) "
-         "WHERE v < 0"),
-        ("label_excluded", "FROM (" + " UNION ALL ".join(
-            f"SELECT genre_name FROM {name}" for name in quality.LABEL_SCOPE) + ") WHERE lower(trim(genre_name)) = 'news'"),
-        ("ids_excluded", "FROM (" + " UNION ALL ".join(
-            f"SELECT imdb_id AS id FROM {name} WHERE imdb_id IN (SELECT imdb_id FROM excluded_imdb)"
-            for name in quality.EXCLUSION_SCOPE if name != "stg_now_playing") + " UNION ALL " + " UNION ALL ".join(
-            f"SELECT cast(tmdb_id AS varchar) FROM {name} WHERE tmdb_id IN (SELECT tmdb_id FROM excluded_tmdb)"
-            for name in quality.EXCLUSION_SCOPE if not name.startswith("stg_title")) + ")"),
-        ("rank_order", "FROM (SELECT movie_rank AS stored, row_number() OVER (ORDER BY avg_rating DESC NULLS LAST, "
-         "num_of_votes DESC NULLS LAST, movie_id) AS place FROM mart_top_movies UNION ALL "
-         "SELECT job_rank, row_number() OVER (PARTITION BY job_role ORDER BY person_rating DESC NULLS LAST, person_id) "
-         "FROM mart_top_people) WHERE stored <> place"),
-        ("histogram", "FROM mart_rating_distribution WHERE bucket_order NOT BETWEEN 0 AND 9 OR rating_bracket IS NULL"),
-    ]
-    return "\nUNION ALL\n".join(f"SELECT '{name}' AS test, count(*) AS violations {body}" for name, body in parts)
-
-
-@query("declared_tests", _declared_tests_sql())
+@query("declared_tests", declared_tests_sql())
 def _(c):
     return quality.summary(c)
 
 
-def _contract_sql() -> str:
-    """Zero for every check but the two that dated listings break: repeated titles and several capture dates."""
-    checked = [f"one_row {name}" for name in (*validate.SCALARS, *validate.HIGHLIGHTS)]
-    checked += [f"{kind} {name}" for name in validate.RANKED_LISTS for kind in ("identity", "ranks")]
-    checked += [f"identity {name}" for name in validate.UNRANKED_LISTS]
-    checked += ["populations", "bins", "roles", "regions", "captures", "latest"]
-    checked += [f"fields {name}" for name in public.FIELD_RULES]
-    counts = {
-        "identity recommendations": "SELECT region, movie_id FROM public_recommendations GROUP BY ALL HAVING count(*) > 1",
-        "captures": """SELECT c.region FROM public_captures c JOIN public_region_counts n ON c.region = n.region
-WHERE row_count <> unique_movie_count OR row_count <> movie_count OR min_capture_date <> max_capture_date""",
-    }
-    rows = [
-        f"SELECT '{name}' AS \"check\", " + (f"count(*) AS violations FROM ({counts[name]})" if name in counts
-                                            else "cast(0 AS bigint) AS violations")
-        for name in checked
-    ]
-    return "\nUNION ALL\n".join(rows)
-
-
-@query("contract_report", _contract_sql())
+@query("contract_report", contract_report_sql())
 def _(c):
     return validate.summary(c.public_results)

@@ -2,13 +2,14 @@
 
 Each relation is an attribute built on first use. Staging stays a view. Results
 that several relations read are kept as written tables, so one build computes
-the exclusion set, the merged catalogue and its facts once.
+the exclusion set, the merged catalogue and its facts once. Given ``LayerTables``
+the curated and analytics relations become the tables of a build instead.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping
-from functools import cached_property
+from functools import cached_property, wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -17,12 +18,27 @@ from catalogmart.plans import curated, kpis, marts, public, staging
 from catalogmart.sources.tables import KeptTables
 
 
+def _stored(how: str):
+    def mark(build):
+        @wraps(build)
+        def get(self):
+            return getattr(self.kept, how)(build.__name__, build(self))
+
+        return cached_property(get)
+
+    return mark
+
+
+kept = _stored("keep")  # several relations read it
+layered = _stored("layer")  # a relation of the curated or analytics layer, read where needed
+
+
 class Catalogue:
     """Staging, curated, mart and KPI relations over ``raw``, by relation name."""
 
-    def __init__(self, spark: SparkSession, raw: Mapping[str, DataFrame]):
+    def __init__(self, spark: SparkSession, raw: Mapping[str, DataFrame], kept: KeptTables | None = None):
         self.raw = raw
-        self.kept = KeptTables(spark)
+        self.kept = kept or KeptTables(spark)
 
     @cached_property
     def excluded(self) -> ExcludedIds:
@@ -81,129 +97,124 @@ class Catalogue:
         return staging.projected("details", self.raw["details"])
 
     # curated -----------------------------------------------------------------
-    @cached_property
+    @kept
     def dim_movies(self) -> DataFrame:
-        return self.kept.keep("dim_movies", curated.dim_movies(self.stg_details, self.stg_title_basics))
+        return curated.dim_movies(self.stg_details, self.stg_title_basics)
 
-    @cached_property
+    @layered
     def dim_person(self) -> DataFrame:
         return curated.dim_person(self.stg_name_basics)
 
-    @cached_property
+    @layered
     def dim_genre(self) -> DataFrame:
         return curated.dim_genre(self.stg_title_basics, self.kept)
 
-    @cached_property
+    @kept
     def bridge_movie_genres(self) -> DataFrame:
-        return self.kept.keep(
-            "bridge_movie_genres", curated.bridge_movie_genres(self.stg_title_basics, self.stg_details)
-        )
+        return curated.bridge_movie_genres(self.stg_title_basics, self.stg_details)
 
-    @cached_property
+    @layered
     def bridge_movie_people(self) -> DataFrame:
         return curated.bridge_movie_people(self.dim_movies, self._principals)
 
-    @cached_property
+    @kept
     def fct_movie_ratings(self) -> DataFrame:
-        return self.kept.keep(
-            "fct_movie_ratings",
-            curated.fct_movie_ratings(self.dim_movies, self._ratings, self._details),
-        )
+        return curated.fct_movie_ratings(self.dim_movies, self._ratings, self._details)
 
-    @cached_property
+    @kept
     def fct_now_playing(self) -> DataFrame:
-        return self.kept.keep("fct_now_playing", curated.fct_now_playing(self.stg_now_playing, self.dim_movies))
+        return curated.fct_now_playing(self.stg_now_playing, self.dim_movies)
 
     # marts -------------------------------------------------------------------
-    @property
+    @layered
     def average_rating_by_genre(self) -> DataFrame:
         return marts.average_rating_by_genre(self.bridge_movie_genres, self.fct_movie_ratings)
 
-    @property
+    @layered
     def average_runtime_by_genre(self) -> DataFrame:
         return marts.average_runtime_by_genre(self.bridge_movie_genres, self.dim_movies)
 
-    @property
+    @layered
     def decade_avg_rating(self) -> DataFrame:
         return marts.decade_avg_rating(self.era_ratings)
 
-    @property
+    @layered
     def no_of_movies_every_decade(self) -> DataFrame:
         return marts.no_of_movies_every_decade(self.dim_movies)
 
-    @property
+    @layered
     def mart_rating_distribution(self) -> DataFrame:
         return marts.mart_rating_distribution(self.fct_movie_ratings)
 
-    @property
+    @layered
     def mart_top_movies(self) -> DataFrame:
         return marts.mart_top_movies(self.fct_movie_ratings, self.dim_movies)
 
-    @cached_property
+    @kept
     def headline_titles(self) -> DataFrame:
         """The floor admits few titles. Kept, the planner knows how few, and can
         filter the credits in place instead of shuffling the largest relation.
         """
-        return self.kept.keep("headline_titles", marts.headline_titles(self.dim_movies, self.fct_movie_ratings))
+        return marts.headline_titles(self.dim_movies, self.fct_movie_ratings)
 
-    @property
+    @layered
     def mart_top_people(self) -> DataFrame:
         return marts.mart_top_people(self._principals, self.headline_titles, self.dim_person)
 
-    @cached_property
+    @kept
     def era_ratings(self) -> DataFrame:
-        return self.kept.keep("era_ratings", marts.era_ratings(self.dim_movies, self.fct_movie_ratings))
+        return marts.era_ratings(self.dim_movies, self.fct_movie_ratings)
 
-    @property
+    @layered
     def mart_top_years(self) -> DataFrame:
         return marts.mart_top_years(self.era_ratings)
 
-    @property
+    @layered
     def mart_now_playing_recommendations(self) -> DataFrame:
         return marts.mart_now_playing_recommendations(self.fct_now_playing, self.fct_movie_ratings)
 
     # KPIs --------------------------------------------------------------------
-    @property
+    @layered
     def average_runtime(self) -> DataFrame:
         return kpis.average_runtime(self.dim_movies)
 
-    @property
+    @layered
     def avg_movie_rating(self) -> DataFrame:
         return kpis.avg_movie_rating(self.fct_movie_ratings)
 
-    @property
+    @layered
     def highest_rated_movie(self) -> DataFrame:
         return kpis.highest_rated_movie(self.fct_movie_ratings, self.dim_movies)
 
-    @property
+    @layered
     def most_popular_movie(self) -> DataFrame:
         return kpis.most_popular_movie(self.fct_movie_ratings, self.dim_movies)
 
-    @property
+    @layered
     def latest_now_playing_snapshot(self) -> DataFrame:
         return kpis.latest_now_playing_snapshot(self.fct_now_playing)
 
-    @property
+    @layered
     def number_of_movies_now_playing(self) -> DataFrame:
         return kpis.number_of_movies_now_playing(self.fct_now_playing)
 
-    @property
+    @layered
     def rated_movies(self) -> DataFrame:
         return kpis.rated_movies(self.fct_movie_ratings)
 
-    @property
+    @layered
     def top_recommended_now_playing_movie(self) -> DataFrame:
         return marts.top_recommended_now_playing_movie(self.fct_now_playing, self.fct_movie_ratings)
 
-    @property
+    @layered
     def top_rated_genre(self) -> DataFrame:
         return kpis.top_rated_genre(self.bridge_movie_genres, self.fct_movie_ratings)
 
-    @property
+    @layered
     def total_genres(self) -> DataFrame:
         return kpis.total_genres(self.dim_genre)
 
-    @property
+    @layered
     def total_movies(self) -> DataFrame:
         return kpis.total_movies(self.dim_movies)
 

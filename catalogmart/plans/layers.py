@@ -1,4 +1,4 @@
-"""Loading the raw layer and writing the curated and analytics layers as tables."""
+"""Loading the raw layer and building the curated and analytics layers as tables."""
 
 from __future__ import annotations
 
@@ -6,9 +6,10 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
+from catalogmart.plans.build import Catalogue
 from catalogmart.sources.payloads import enrichment_gaps
 from catalogmart.sources.readers import scan_raw
-from catalogmart.sources.tables import IncompleteLoadError, guarded_replace
+from catalogmart.sources.tables import IncompleteLoadError, LayerTables, guarded_replace
 
 STAGING = (
     "stg_name_basics",
@@ -82,11 +83,22 @@ def replace_details(listing: DataFrame, details: DataFrame, table: str, folder:
     return guarded_replace(details, table, folder)
 
 
-def write_layers(c, curated: str = "curated", analytics: str = "analytics") -> None:
-    """Staging as views; curated and analytics as freshly written tables."""
+def build_layers(
+    spark: SparkSession,
+    raw: Mapping[str, DataFrame],
+    folder: str,
+    curated: str = "curated",
+    analytics: str = "analytics",
+) -> Catalogue:
+    """Build everything: staging as views, curated and analytics as replaced tables.
+
+    The returned catalogue reads the written tables, so tests and public results
+    that follow see what was published.
+    """
+    databases = {**dict.fromkeys(CURATED, curated), **dict.fromkeys(ANALYTICS, analytics)}
+    built = Catalogue(spark, raw, LayerTables(spark, databases, folder))
     for name in STAGING:
-        getattr(c, name).createOrReplaceTempView(name)
-    for database, names in ((curated, CURATED), (analytics, ANALYTICS)):
-        c.kept.spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
-        for name in names:
-            getattr(c, name).write.mode("overwrite").saveAsTable(f"{database}.{name}")
+        getattr(built, name).createOrReplaceTempView(name)
+    for name in databases:
+        getattr(built, name)
+    return built

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -49,6 +50,10 @@ class KeptTables:
         df.write.mode("error").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def layer(self, name: str, df: DataFrame) -> DataFrame:
+        """A relation of the curated or analytics layer; read where it is needed, not kept."""
+        return df
+
     def discard(self) -> None:
         """Delete everything kept here; results that read it stop working."""
         jvm = self.spark.sparkContext._jvm
@@ -56,7 +61,30 @@ class KeptTables:
         path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def guarded_replace(df: DataFrame, table: str, folder: str) -> DataFrame:
+class LayerTables(KeptTables):
+    """Writes the named relations as tables of their layer's database.
+
+    ``databases`` maps relation names to databases. Each relation is written
+    once; whatever reads it afterwards reads the table.
+    """
+
+    def __init__(self, spark: SparkSession, databases: Mapping[str, str], folder: str):
+        super().__init__(spark)
+        self.databases = databases
+        self.tables_folder = folder.rstrip("/")
+        for database in sorted(set(databases.values())):
+            spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+
+    def keep(self, name: str, df: DataFrame) -> DataFrame:
+        return self.layer(name, df) if name in self.databases else super().keep(name, df)
+
+    def layer(self, name: str, df: DataFrame) -> DataFrame:
+        database = self.databases[name]
+        folder = f"{self.tables_folder}/{database}/{name}"
+        return guarded_replace(df, f"{database}.{name}", folder, allow_empty=True)
+
+
+def guarded_replace(df: DataFrame, table: str, folder: str, allow_empty: bool = False) -> DataFrame:
     """Replace all rows of an external Parquet table, or leave it untouched.
 
     New rows go to the slot the table does not point at; a failed or empty load
@@ -75,7 +103,7 @@ def guarded_replace(df: DataFrame, table: str, folder: str) -> DataFrame:
             raise ValueError(f"columns do not match {table}: {sorted(missing)}")
         df = df.select(*[F.col(field.name).cast(field.dataType) for field in target])
     df.write.mode("overwrite").parquet(slot)
-    if spark.read.schema(df.schema).parquet(slot).isEmpty():
+    if not allow_empty and spark.read.schema(df.schema).parquet(slot).isEmpty():
         raise EmptyLoadError(f"load of {table} has no rows; the table was left unchanged")
     if exists:
         spark.sql(f"ALTER TABLE {table} SET LOCATION '{slot}'")

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
-from functools import partial
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,7 +17,7 @@ from catalogmart.functions.rules import ROLE_MINIMUMS
 from catalogmart.functions.text import LENIENT_JSON, NAMED_TAGS, comma_elements, has_token
 from catalogmart.operators import checks, contract, exclusion
 from catalogmart.operators.joins import without
-from catalogmart.plans import marts, present, public, quality, validate
+from catalogmart.plans import layers, marts, present, public, quality, validate
 from catalogmart.plans.build import Catalogue
 from catalogmart.sources import payloads
 from catalogmart.sources.bounded import bounded_select
@@ -25,7 +25,7 @@ from catalogmart.sources.readers import scan_raw
 from catalogmart.sources.tables import EmptyLoadError, guarded_replace
 from workload.raw import Given
 from workload.relations_sql import ROLE_FLOOR, with_query
-from workload.report_sql import contract_report_sql, declared_tests_sql
+from workload.report_sql import built_layers_sql, contract_report_sql, declared_tests_sql
 
 SPARK: dict[str, Callable[[Catalogue], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -573,7 +573,8 @@ def _(c):
     "check_population_chain",
     """
 SELECT t.total_movies AS qualifying, r.total_rated_movies AS rated, q.n AS total
-FROM total_movies t CROSS JOIN rated_movies r CROSS JOIN (SELECT coalesce(max(total_no_of_movies), 0) AS n FROM mart_rating_distribution) q
+FROM total_movies t CROSS JOIN rated_movies r
+CROSS JOIN (SELECT coalesce(max(total_no_of_movies), 0) AS n FROM mart_rating_distribution) q
 WHERE t.total_movies > r.total_rated_movies OR r.total_rated_movies > q.n""",
 )
 def _(c):
@@ -841,7 +842,7 @@ def _(c):
     return present.shared_leader(c.highest_rated_movie, c.most_popular_movie)
 
 
-# Whole-catalogue check reports -------------------------------------------------
+# Whole-catalogue reports -------------------------------------------------------
 @query("declared_tests", declared_tests_sql())
 def _(c):
     return quality.summary(c)
@@ -850,3 +851,16 @@ def _(c):
 @query("contract_report", contract_report_sql())
 def _(c):
     return validate.summary(c.public_results)
+
+
+@query("built_layers", built_layers_sql())
+def _(c):
+    """Both layers built as tables in databases of their own, counted from those tables."""
+    run = uuid.uuid4().hex
+    built = layers.build_layers(c.raw.spark, c.raw, _scratch(c, "layers"), f"curated_{run}", f"analytics_{run}")
+    names = layers.CURATED + layers.ANALYTICS
+    counted = [
+        getattr(built, name).agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(name).alias("relation"), "row_count")
+        for name in names
+    ]
+    return reduce(DataFrame.unionByName, counted)

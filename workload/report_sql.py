@@ -1,8 +1,8 @@
-"""Check SQL of the two whole-catalogue reports, written from their lists of checks."""
+"""Check SQL of the whole-catalogue reports, written from their lists of relations and checks."""
 
 from __future__ import annotations
 
-from catalogmart.plans import public, quality, validate
+from catalogmart.plans import layers, public, quality, validate
 
 
 def _counts(parts: list[tuple[str, str]], label: str) -> str:
@@ -86,3 +86,9 @@ def contract_report_sql() -> str:
     names += [f"fields {name}" for name in public.FIELD_RULES]
     nothing = "SELECT region FROM public_captures WHERE false"
     return _counts([(name, f"FROM ({BROKEN_BY_DATES.get(name, nothing)})") for name in names], '"check"')
+
+
+def built_layers_sql() -> str:
+    """(relation, row_count) of every curated and analytics relation."""
+    names = layers.CURATED + layers.ANALYTICS
+    return "\nUNION ALL\n".join(f"SELECT '{n}' AS relation, count(*) AS row_count FROM {n}" for n in names)

@@ -1,0 +1,122 @@
+"""Hot and missing keys: a third of the rows on one key, another third on none."""
+
+from __future__ import annotations
+
+import pytest
+from pyspark.sql import functions as F
+
+from catalogmart.operators.ranking import best_per_key
+from catalogmart.plans import curated, marts
+
+SMALL_PARTITIONS = {
+    "spark.sql.shuffle.partitions": "16",
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "32k",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
+}
+
+
+@pytest.fixture(autouse=True)
+def shuffled(spark):
+    before = {key: spark.conf.get(key, None) for key in SMALL_PARTITIONS}
+    for key, value in SMALL_PARTITIONS.items():
+        spark.conf.set(key, value)
+    yield
+    for key, value in before.items():
+        spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+def executed(df):
+    """Rows, and the plan after adaptive execution."""
+    rows = df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return rows, plan.split("Initial Plan")[0]
+
+
+def titles(spark):
+    return spark.range(0, 6000, 1, 4).select(
+        F.concat(F.lit("tt"), F.col("id").cast("string")).alias("imdb_id"),
+        F.lit("movie").alias("content_type"),
+        F.sha1(F.col("id").cast("string")).alias("primary_title"),
+        F.lit("o").alias("original_title"),
+        F.lit(0).alias("is_adult"),
+        F.lit(1990).alias("start_year"),
+        F.lit(None).cast("int").alias("end_year"),
+        F.lit(90).alias("runtime_min"),
+    )
+
+
+def third_hot(number, hot, other):
+    return F.when(number % 3 == 0, hot).when(number % 3 == 1, None).otherwise(other)
+
+
+def test_merge_splits_a_hot_link_and_spares_missing_ones(spark):
+    number = F.col("id")
+    linked = F.concat(F.lit("tt"), (number % 9000).cast("string"))
+    details = spark.range(0, 60_000, 1, 8).select(
+        number.alias("tmdb_id"),
+        third_hot(number, "tt77", linked).alias("imdb_id"),
+        F.sha1((number + 1).cast("string")).alias("movie_title"),
+        F.lit(None).cast("date").alias("tmdb_release_date"),
+        F.lit(100).alias("tmdb_runtime_min"),
+    )
+    films = titles(spark)
+    rows, plan = executed(curated.dim_movies(details, films))
+    assert "skew=true" in plan and "FullOuter" not in plan
+    expected = details.withColumnRenamed("imdb_id", "link").join(films, F.col("link") == F.col("imdb_id"), "full_outer")
+    movie_id = F.coalesce("imdb_id", F.concat(F.lit("tmdb_"), F.col("tmdb_id").cast("string")))
+    name = F.coalesce("primary_title", "movie_title")
+    want = sorted(map(tuple, expected.select(movie_id, F.coalesce("tmdb_id", F.lit(-1)), name).collect()))
+    assert sorted((r.movie_id, -1 if r.tmdb_id is None else r.tmdb_id, r.movie_name) for r in rows) == want
+
+
+def credits(spark):
+    number = F.col("id")
+    return spark.range(0, 60_000, 1, 8).select(
+        third_hot(number, "tt77", F.concat(F.lit("tt"), (number % 6000).cast("string"))).alias("imdb_id"),
+        number.cast("int").alias("principal_order"),
+        F.when(number % 5 == 0, "nm1").otherwise(F.concat(F.lit("nm"), (number % 997).cast("string"))).alias("person_id"),
+        F.lit("director").alias("job_role"),
+        F.sha1(number.cast("string")).alias("specific_job"),
+    )
+
+
+def movies(spark):
+    return titles(spark).select(
+        F.col("imdb_id").alias("movie_id"), "imdb_id", F.col("primary_title").alias("movie_name")
+    )
+
+
+def test_credits_of_a_hot_title_are_split(spark):
+    people, plan = executed(curated.bridge_movie_people(movies(spark), credits(spark)))
+    assert "skew=true" in plan
+    assert len(people) == 40_000
+
+
+def test_people_sums_start_before_the_shuffle(spark):
+    ratings = movies(spark).select(
+        "movie_id",
+        F.lit(8.5).alias("imdb_avg_rating"),
+        F.lit(200_000).cast("bigint").alias("imdb_num_of_votes"),
+        F.lit(None).cast("double").alias("tmdb_avg_rating"),
+        F.lit(None).cast("bigint").alias("tmdb_num_of_votes"),
+    )
+    headline = marts.headline_titles(movies(spark), ratings)
+    people, plan = executed(marts.eligible_people(credits(spark), headline))
+    busiest = next(row for row in people if row.person_id == "nm1")
+    linked = credits(spark).filter("person_id = 'nm1'").filter("imdb_id IS NOT NULL")
+    assert busiest.movie_count == linked.select("imdb_id").distinct().count()
+    assert {row.person_rating for row in people} == {8.5}
+    assert plan.count("partial_sum") >= 2
+
+
+def test_one_row_per_task_of_a_hot_key_is_shuffled(spark):
+    listing = spark.range(0, 40_000, 1, 8).select(
+        F.when(F.col("id") % 3 < 2, F.lit(7)).otherwise(F.col("id")).alias("key"), F.col("id").alias("popularity")
+    )
+    best = best_per_key(listing, ["key"], [F.col("popularity").desc()])
+    rows, plan = executed(best)
+    assert next(r.popularity for r in rows if r.key == 7) == 39_999
+    above, below = plan.split("Exchange", 1)
+    assert "WindowGroupLimit" in above and "WindowGroupLimit" in below

@@ -31,9 +31,14 @@ def tagged_in_list(title_basics: DataFrame, label: str = EXCLUDED_LABEL) -> Data
 
 
 def tagged_by_name(details: DataFrame, label: str = EXCLUDED_LABEL) -> DataFrame:
-    """Second-source ids with a tag object of that name; unreadable JSON tags nothing."""
-    tags = named_tags(F.col("genres"))
-    hits = details.filter(F.exists(tags, lambda tag: is_label(tag["name"], label)))
+    """Second-source ids with a tag object of that name; unreadable JSON tags nothing.
+
+    Only cells whose text holds the label, or an escape that could spell it, are
+    worth parsing.
+    """
+    cell = F.col("genres")
+    candidates = details.filter(F.contains(F.lower(cell), F.lit(label.lower())) | F.contains(cell, F.lit("\\")))
+    hits = candidates.filter(F.exists(named_tags(cell), lambda tag: is_label(tag["name"], label)))
     return hits.select(F.col("id").alias("tmdb_id"))
 
 

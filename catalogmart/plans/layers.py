@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from catalogmart.plans.build import Catalogue
 from catalogmart.sources.payloads import enrichment_gaps
 from catalogmart.sources.readers import scan_raw
-from catalogmart.sources.tables import IncompleteLoadError, LayerTables, guarded_replace
+from catalogmart.sources.tables import IncompleteLoadError, LayerTables, ensure_database, guarded_replace
 
 STAGING = (
     "stg_name_basics",
@@ -67,7 +67,7 @@ def load_raw(
     Replacement is atomic per table: a failing file leaves its table and those
     after it on their previous rows.
     """
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    ensure_database(spark, database, folder)
     return {
         relation: guarded_replace(
             scan_raw(spark, relation, path, partitions), f"{database}.{relation}", f"{folder}/{relation}"

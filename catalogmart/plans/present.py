@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from catalogmart.functions.rules import DECADE_COUNT, FIRST_DECADE, TOP_BRACKET
+from catalogmart.operators.contract import not_finite
 from catalogmart.plans.public import LARGEST
 from catalogmart.sources.bounded import require_at_most
 
@@ -37,8 +38,9 @@ def dense_decades(decades: DataFrame, value: str) -> DataFrame:
 
 
 def leaders(rows: DataFrame, value: str) -> DataFrame:
-    """All rows that share the largest known value."""
-    best = rows.agg(F.max(value).alias("_best"))
+    """All rows that share the largest known, finite value."""
+    known = F.when(~not_finite(F.col(value).cast("double")), F.col(value))
+    best = rows.agg(F.max(known).alias("_best"))
     return rows.join(best, rows[value] == best["_best"], "left_semi")
 
 

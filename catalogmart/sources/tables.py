@@ -73,7 +73,7 @@ class LayerTables(KeptTables):
         self.databases = databases
         self.tables_folder = folder.rstrip("/")
         for database in sorted(set(databases.values())):
-            spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+            ensure_database(spark, database, self.tables_folder)
 
     def keep(self, name: str, df: DataFrame) -> DataFrame:
         return self.layer(name, df) if name in self.databases else super().keep(name, df)
@@ -84,6 +84,11 @@ class LayerTables(KeptTables):
         return guarded_replace(df, f"{database}.{name}", folder, allow_empty=True)
 
 
+def ensure_database(spark: SparkSession, database: str, folder: str) -> None:
+    """A database whose own location is in the given folder."""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{folder.rstrip('/')}/{database}'")
+
+
 def guarded_replace(df: DataFrame, table: str, folder: str, allow_empty: bool = False) -> DataFrame:
     """Replace all rows of an external Parquet table, or leave it untouched.
 

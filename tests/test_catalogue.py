@@ -38,7 +38,7 @@ def test_exclusion_closes_over_both_sources(spark, rows):
             {"id": 1, "imdb_id": "tt1", "genres": "[]"},  # through the first source
             {"id": 2, "imdb_id": "tt2", "genres": '[{"id": 9, "name": " news"}]'},  # by name, pulls tt2
             {"id": 3, "imdb_id": "tt3", "genres": "broken"},  # through the listing's tag id, pulls tt3
-            {"id": 4, "imdb_id": None, "genres": '[{"id": 9, "name": "News"}]'},
+            {"id": 4, "imdb_id": None, "genres": '[{"id": 9, "name": "\\u004eews"}]'},  # spelled with an escape
             {"id": 5, "imdb_id": None, "genres": None},
             {"id": 6, "imdb_id": "tt2", "genres": "[]"},  # second row of a pulled title
         ],

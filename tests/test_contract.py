@@ -229,6 +229,8 @@ def test_leaders_share_the_maximum(rows):
     df = rows([("a", 2.0), ("b", 2.0), ("c", 1.0), ("d", None)], "genre string, v double")
     assert tuples(present.leaders(df, "v")) == [("a", 2.0), ("b", 2.0)]
     assert present.leaders(df.filter("v IS NULL"), "v").isEmpty()
+    odd = rows([("a", float("nan")), ("b", float("inf")), ("c", 1.0)], "genre string, v double")
+    assert tuples(present.leaders(odd, "v")) == [("c", 1.0)]
 
 
 def test_coverage_and_shared_leader(rows):

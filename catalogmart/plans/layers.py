@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from catalogmart.plans.build import Catalogue
 from catalogmart.sources.payloads import enrichment_gaps
 from catalogmart.sources.readers import scan_raw
-from catalogmart.sources.tables import IncompleteLoadError, LayerTables, ensure_database, guarded_replace
+from catalogmart.sources.tables import Buckets, IncompleteLoadError, LayerTables, ensure_database, guarded_replace
 
 STAGING = (
     "stg_name_basics",
@@ -53,6 +53,8 @@ ANALYTICS = (
     "total_genres",
     "total_movies",
 )
+# Few rows per movie id, so buckets stay even; credits are not among them, a title may have very many.
+JOINED_BY_MOVIE = ("dim_movies", "fct_movie_ratings", "bridge_movie_genres")
 
 
 def load_raw(
@@ -89,14 +91,18 @@ def build_layers(
     folder: str,
     curated: str = "curated",
     analytics: str = "analytics",
+    buckets: int | None = None,
 ) -> Catalogue:
     """Build everything: staging as views, curated and analytics as replaced tables.
 
     The returned catalogue reads the written tables, so tests and public results
-    that follow see what was published.
+    that follow see what was published. With ``buckets`` the relations that meet
+    on the movie id are bucketed by it, and the marts join them without a
+    shuffle; count one bucket per few hundred megabytes of the largest of them.
     """
     databases = {**dict.fromkeys(CURATED, curated), **dict.fromkeys(ANALYTICS, analytics)}
-    built = Catalogue(spark, raw, LayerTables(spark, databases, folder))
+    layout = dict.fromkeys(JOINED_BY_MOVIE, Buckets("movie_id", buckets)) if buckets else None
+    built = Catalogue(spark, raw, LayerTables(spark, databases, folder, layout))
     for name in STAGING:
         getattr(built, name).createOrReplaceTempView(name)
     for name in databases:

@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Mapping
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -61,16 +62,31 @@ class KeptTables:
         path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+class Buckets(NamedTuple):
+    """Rows hashed by a column into a fixed number of files, for joins without a shuffle."""
+
+    column: str
+    count: int
+
+
 class LayerTables(KeptTables):
     """Writes the named relations as tables of their layer's database.
 
-    ``databases`` maps relation names to databases. Each relation is written
-    once; whatever reads it afterwards reads the table.
+    ``databases`` maps relation names to databases, ``buckets`` those that are
+    joined again and again to their bucketing. Each relation is written once;
+    whatever reads it afterwards reads the table.
     """
 
-    def __init__(self, spark: SparkSession, databases: Mapping[str, str], folder: str):
+    def __init__(
+        self,
+        spark: SparkSession,
+        databases: Mapping[str, str],
+        folder: str,
+        buckets: Mapping[str, Buckets] | None = None,
+    ):
         super().__init__(spark)
         self.databases = databases
+        self.buckets = buckets or {}
         self.tables_folder = folder.rstrip("/")
         for database in sorted(set(databases.values())):
             ensure_database(spark, database, self.tables_folder)
@@ -81,7 +97,7 @@ class LayerTables(KeptTables):
     def layer(self, name: str, df: DataFrame) -> DataFrame:
         database = self.databases[name]
         folder = f"{self.tables_folder}/{database}/{name}"
-        return guarded_replace(df, f"{database}.{name}", folder, allow_empty=True)
+        return guarded_replace(df, f"{database}.{name}", folder, True, self.buckets.get(name))
 
 
 def ensure_database(spark: SparkSession, database: str, folder: str) -> None:
@@ -89,25 +105,30 @@ def ensure_database(spark: SparkSession, database: str, folder: str) -> None:
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{folder.rstrip('/')}/{database}'")
 
 
-def guarded_replace(df: DataFrame, table: str, folder: str, allow_empty: bool = False) -> DataFrame:
+def guarded_replace(
+    df: DataFrame, table: str, folder: str, allow_empty: bool = False, buckets: Buckets | None = None
+) -> DataFrame:
     """Replace all rows of an external Parquet table, or leave it untouched.
 
     New rows go to the slot the table does not point at; a failed or empty load
     never reaches the live slot. One catalog update then repoints the table, so
     readers see either the old or the new rows. Two slots alternate, which keeps
-    the previous load readable until the next one.
+    the previous load readable until the next one. A table's columns and
+    bucketing stay as first created.
     """
     spark = df.sparkSession
     exists = spark.catalog.tableExists(table)
-    live = _location(spark, table) if exists else ""
+    live = _described(spark, table, "Location") if exists else ""
     slot = f"{folder.rstrip('/')}/{'b' if live.rstrip('/').endswith('/a') else 'a'}"
     if exists:
         target = spark.table(table).schema
         missing = set(target.names) ^ set(df.columns)
         if missing:
             raise ValueError(f"columns do not match {table}: {sorted(missing)}")
+        if _described(spark, table, "Num Buckets") != (str(buckets.count) if buckets else None):
+            raise ValueError(f"bucketing does not match {table}")
         df = df.select(*[F.col(field.name).cast(field.dataType) for field in target])
-    df.write.mode("overwrite").parquet(slot)
+    _write_slot(df, table, slot, buckets)
     if not allow_empty and spark.read.schema(df.schema).parquet(slot).isEmpty():
         raise EmptyLoadError(f"load of {table} has no rows; the table was left unchanged")
     if exists:
@@ -115,10 +136,24 @@ def guarded_replace(df: DataFrame, table: str, folder: str, allow_empty: bool =
         spark.catalog.refreshTable(table)
     else:
         columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
-        spark.sql(f"CREATE TABLE {table} ({columns}) USING parquet LOCATION '{slot}'")
+        layout = f"CLUSTERED BY ({buckets.column}) INTO {buckets.count} BUCKETS" if buckets else ""
+        spark.sql(f"CREATE TABLE {table} ({columns}) USING parquet {layout} LOCATION '{slot}'")
     return spark.table(table)
 
 
-def _location(spark: SparkSession, table: str) -> str:
-    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").filter("col_name = 'Location'").collect()
-    return rows[0]["data_type"]
+def _write_slot(df: DataFrame, table: str, slot: str, buckets: Buckets | None) -> None:
+    if buckets is None:
+        df.write.mode("overwrite").parquet(slot)
+        return
+    # Bucketed files can only be written through a table; dropping an external one keeps them.
+    following = f"{table}_next"
+    df.sparkSession.sql(f"DROP TABLE IF EXISTS {following}")
+    by_bucket = df.repartition(buckets.count, buckets.column)  # one file per bucket
+    by_bucket.write.mode("overwrite").bucketBy(*reversed(buckets)).option("path", slot).saveAsTable(following)
+    df.sparkSession.sql(f"DROP TABLE {following}")
+
+
+def _described(spark: SparkSession, table: str, property_name: str) -> str | None:
+    described = spark.sql(f"DESCRIBE TABLE EXTENDED {table}")
+    rows = described.filter(F.col("col_name") == property_name).collect()
+    return rows[0]["data_type"] if rows else None

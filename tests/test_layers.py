@@ -7,7 +7,7 @@ from functools import partial
 
 import pytest
 
-from catalogmart.plans import layers, quality, validate
+from catalogmart.plans import layers, marts, quality, validate
 from catalogmart.plans.build import Catalogue
 from catalogmart.sources.schemas import CSV_RELATIONS, RAW_SCHEMAS, TSV_RELATIONS
 from catalogmart.sources.tables import EmptyLoadError
@@ -65,6 +65,38 @@ def test_landed_files_to_tables_and_back(spark, tmp_path):
         spark.catalog.dropTempView(view)
 
 
+def test_bucketed_layers_join_without_a_shuffle(spark, tmp_path):
+    given = Given(spark, FOLDER)
+    build = partial(layers.build_layers, spark, given, str(tmp_path), "curated_bucketed", "analytics_bucketed")
+    build(buckets=4)
+    built = build(buckets=4)  # into the other slots
+    with pytest.raises(ValueError):
+        build(buckets=5)
+    direct = Catalogue(spark, given)
+    for name in layers.CURATED:
+        assert tuples(spark.table(f"curated_bucketed.{name}")) == tuples(getattr(direct, name))
+    assert len(list((tmp_path / "curated_bucketed" / "dim_movies" / "b").glob("*.parquet"))) == 4
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = {
+            "rating": marts.average_rating_by_genre(built.bridge_movie_genres, built.fct_movie_ratings),
+            "runtime": marts.average_runtime_by_genre(built.bridge_movie_genres, built.dim_movies),
+            "era": marts.era_ratings(built.dim_movies, built.fct_movie_ratings),
+        }
+        for df in joined.values():
+            plan = df._jdf.queryExecution().executedPlan().toString()
+            assert "SortMergeJoin" in plan and "hashpartitioning(movie_id" not in plan
+        assert tuples(joined["rating"]) == tuples(direct.average_rating_by_genre)
+        assert tuples(joined["era"]) == tuples(direct.era_ratings)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    for database in ("curated_bucketed", "analytics_bucketed"):
+        spark.sql(f"DROP DATABASE {database} CASCADE")
+    for view in layers.STAGING:
+        spark.catalog.dropTempView(view)
+
+
 def test_declared_tests_by_name(spark):
     found = quality.violations(Catalogue(spark, Given(spark, FOLDER)))
     assert len(found) == 67

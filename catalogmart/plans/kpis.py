@@ -57,7 +57,8 @@ def rated_movies(ratings: DataFrame) -> DataFrame:
 def top_rated_genre(genres: DataFrame, ratings: DataFrame) -> DataFrame:
     """Genre with the best mean rating; an unknown mean counts as the largest."""
     averages = average_rating_by_genre(genres, ratings)
-    return averages.orderBy(F.col("genre_avg_rating").desc_nulls_first(), F.col("genre_name").asc_nulls_first()).limit(1)
+    order = [F.col("genre_avg_rating").desc_nulls_first(), F.col("genre_name").asc_nulls_first()]
+    return averages.orderBy(*order).limit(1)
 
 
 def total_genres(genre_dimension: DataFrame) -> DataFrame:

@@ -36,7 +36,7 @@ FROM {part}""",
     "title_ratings": """
 SELECT concat('tt', cast(l_partkey AS string)) AS tconst,
        cast((l_partkey * 37) % 101 AS double) / 10 AS averagerating,
-       cast(count(*) * (1 + (l_partkey * l_partkey * 13) % 3600) AS bigint) AS numvotes
+       cast(count(*) * (1 + ((l_partkey % 3600) * (l_partkey % 3600) * 13) % 3600) AS bigint) AS numvotes
 FROM {lineitem} GROUP BY l_partkey HAVING count(*) >= 25""",
     "title_crew": """
 SELECT concat('tt', cast(p_partkey AS string)) AS tconst,
@@ -78,7 +78,8 @@ SELECT 100000 + p_partkey AS id,
        '[]' AS production_companies,
        CASE WHEN p_partkey % 44 = 0 THEN NULL
             WHEN p_partkey % 52 = 0 THEN '[{{"id": 7, "name": "News "}}]'
-            ELSE concat('[{{"id": 1, "name": "', replace(p_name, ' ', '"}}, {{"id": 2, "name": "'), '"}}]') END AS genres,
+            ELSE concat('[{{"id": 1, "name": "', replace(p_name, ' ', '"}}, {{"id": 2, "name": "'), '"}}]')
+       END AS genres,
        cast((p_partkey * 13) % 101 AS double) / 10 AS vote_average,
        cast((p_partkey * 7) % 2500 AS bigint) AS vote_count,
        cast(NULL AS string) AS poster_path

@@ -109,18 +109,18 @@ def with_names(ranked: DataFrame, movies: DataFrame) -> DataFrame:
     return ranked.join(found, "movie_id", "left")
 
 
-def headline_titles(movies: DataFrame, ratings: DataFrame) -> DataFrame:
-    """Catalogue titles whose credits count for people rankings, with their rating sums.
-
-    Ratings fold to one row per movie id first, so a credit meets its title and
-    the title's ratings in a single join.
-    """
-    rated = (
+def headline_ratings(ratings: DataFrame) -> DataFrame:
+    """Rating sum and rated rows per movie id whose credits count for people rankings."""
+    return (
         qualifying(ratings, rules.HEADLINE_FLOOR)
         .groupBy("movie_id")
         .agg(F.sum(scaled(F.col("avg_rating"))).alias("total"), F.count("avg_rating").alias("rated"))
     )
-    return movies.select("movie_id", "imdb_id").filter(F.col("imdb_id").isNotNull()).join(rated, "movie_id")
+
+
+def headline_titles(movies: DataFrame, headline: DataFrame) -> DataFrame:
+    """Their catalogue rows, so a credit meets its title and the title's ratings in a single join."""
+    return movies.select("movie_id", "imdb_id").filter(F.col("imdb_id").isNotNull()).join(headline, "movie_id")
 
 
 def eligible_people(credits: DataFrame, headline: DataFrame) -> DataFrame:

@@ -127,7 +127,7 @@ def test_people_match_brute_force_with_repeats_and_duplicates(rows, seed):
     ]
     persons = [(p, p.upper(), 1950, None) for p in people if p != "nm3"]
     movie_df, fact_df = rows(movies, MOVIES), rows(facts, RATINGS)
-    headline = marts.headline_titles(movie_df, fact_df)
+    headline = marts.headline_titles(movie_df, marts.headline_ratings(fact_df))
     got = marts.mart_top_people(rows(credits, CREDITS), headline, rows(persons, PERSONS))
     keep = [(r.person_id, r.job_role, None if r.person_rating is None else round(r.person_rating, 9), r.job_rank,
              r.movie_count) for r in got.collect()]

@@ -102,7 +102,7 @@ def test_people_sums_start_before_the_shuffle(spark):
         F.lit(None).cast("double").alias("tmdb_avg_rating"),
         F.lit(None).cast("bigint").alias("tmdb_num_of_votes"),
     )
-    headline = marts.headline_titles(movies(spark), ratings)
+    headline = marts.headline_titles(movies(spark), marts.headline_ratings(ratings))
     people, plan = executed(marts.eligible_people(credits(spark), headline))
     busiest = next(row for row in people if row.person_id == "nm1")
     linked = credits(spark).filter("person_id = 'nm1'").filter("imdb_id IS NOT NULL")

@@ -124,10 +124,10 @@ class SortedHashes:
 
     def __init__(self, ordered: np.ndarray):
         self.ordered = ordered.astype(np.uint64)
-        bits = max(1, min(24, int(len(ordered) * 2).bit_length()))
+        bits = max(1, min(24, len(ordered).bit_length()))
         self.shift = np.uint64(64 - bits)
-        starts = np.arange(1 << bits, dtype=np.uint64) << self.shift
-        self.first = np.append(np.searchsorted(self.ordered, starts), len(ordered)).astype(np.int32)
+        held = np.bincount((self.ordered >> self.shift).astype(np.int64), minlength=1 << bits)
+        self.first = np.append(0, np.cumsum(held)).astype(np.int32)
 
     def find(self, hashes: np.ndarray) -> np.ndarray:
         """Place of each hash, -1 where it is missing."""

@@ -10,37 +10,39 @@ checkpoints decode on their own. The code lengths lie beside the blocks.
 
 from __future__ import annotations
 
+import bisect
 import itertools
 import os
-import re
 import uuid
 import zlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from catalogmart.llm.common import Scratch, cached, ragged, slices, texts
+from catalogmart.llm.common import SLICE_BYTES, Scratch, SortedHashes, cached, joined, ragged, raw_texts, slices, sums, xxhash_long
 
 MAX_BITS = 16
 #: Ids between checkpoints, ids per block (whole documents) and per file, about.
 CHECK, BLOCK_IDS, FILE_IDS = 256, 1 << 16, 8 << 20
-#: Pieces of text whose ids a worker remembers.
-REMEMBERED = 300_000
+#: Pieces of text whose ids a worker remembers, their greatest length in bytes, and how many are encoded as one text.
+REMEMBERED, LONGEST, JOINED = 1_500_000, 64, 20_000
 END_ID = 0
 
-_BLANK = r"\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-_TWO_BLANKS = re.compile(f"[{_BLANK}] | [{_BLANK}]")
+# Characters that are white space for some tokenizer: ASCII ones, and the UTF-8 bytes that begin or spell the others.
+_BLANKS = np.isin(np.arange(256), [9, 10, 11, 12, 13, 28, 29, 30, 31, 32])
+_WIDE_BLANKS = (b"\xc2\x85", b"\xc2\xa0", b"\xe1\x9a\x80", b"\xe2\x80", b"\xe2\x81\x9f", b"\xe3\x80\x80")
 
 
 class Encoder:
     """Ids of texts by the tokenizers library.
 
     A single blank between two other characters always starts a new word for a
-    byte-level tokenizer, so the pieces between blanks are encoded once each and
-    remembered; texts with blanks in a row are encoded whole.
+    byte-level tokenizer, so texts are cut at such blanks, each distinct piece is
+    encoded once and remembered under a hash. Texts with blanks in a row stay
+    whole. The ids must spell the texts byte by byte; should a hash ever confuse
+    two pieces, the texts are encoded as they are.
     """
 
     def __init__(self, path: str):
@@ -49,41 +51,127 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.known: dict[str, list[int]] = {}
-
-    def _ids(self, pieces: list[str]) -> list[list[int]]:
-        missing = [x for x in pieces if x not in self.known]
-        fresh = dict(zip(missing, (e.ids for e in self.tokenizer.encode_batch_fast(missing, add_special_tokens=False)))) if missing else {}
-        out = [fresh[x] if x in fresh else self.known[x] for x in pieces]
-        if len(self.known) + len(fresh) > REMEMBERED:
-            self.known.clear()
-        if len(fresh) <= REMEMBERED:
-            self.known.update((k, v) for k, v in fresh.items() if len(k) < 64)
-        return out
-
-    def encode(self, values: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        size = self.tokenizer.get_vocab_size()
+        self.kind = np.uint16 if size <= 1 << 16 else np.uint32
+        spelled = [_spelled(self.tokenizer.id_to_token(k) or "") for k in range(size)]
+        self.bytes = np.frombuffer(b"".join(spelled), np.uint8)
+        self.length = np.fromiter(map(len, spelled), np.int64, size)
+        self.begin = np.cumsum(self.length) - self.length
+        self.factor = np.random.default_rng(5).integers(0, 1 << 63, LONGEST + 1, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+        self.forget()
+
+    def forget(self) -> None:
+        self.hashes, self.start, self.size = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.table, self.flat = SortedHashes(self.hashes), np.zeros(0, self.kind)
+
+    def _library(self, values: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the values one after the other, and how many each has."""
+        found = [e.ids for e in self.tokenizer.encode_batch_fast(values, add_special_tokens=False)]
+        size = np.fromiter(map(len, found), np.int64, len(found))
+        return np.fromiter(itertools.chain.from_iterable(found), self.kind, int(size.sum())), size
+
+    def _joined(self, body: bytes, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The same for pieces in a row that each start a new word: encoded as one text, cut by spelled length."""
+        ids, _ = self._library([body.decode()])
+        at = np.searchsorted(np.cumsum(self.length[ids]), np.cumsum(size), "left") + 1
+        return ids, np.diff(np.append(0, at))
+
+    def _learn(self, hashes: np.ndarray, data: np.ndarray, start: np.ndarray, size: np.ndarray, apart: np.ndarray) -> None:
+        """Remember the ids of new pieces of data, given by ascending hashes.
+
+        Pieces of a blank with other characters on both sides of the rest are
+        encoded many at a time; those set apart, and odd ones, each by itself.
+        """
+        end = start + size - 1
+        alike = ~apart & (size > 1) & (data[start] == 32) & ~_BLANKS[data[np.minimum(start + 1, end)]] & ~_BLANKS[data[end]]
+        order, parts = np.append(np.flatnonzero(alike), np.flatnonzero(~alike)), []
+        for k in range(0, int(alike.sum()), JOINED):
+            some = order[k : min(k + JOINED, int(alike.sum()))]
+            parts.append(self._joined(data[ragged(start[some], size[some])].tobytes(), size[some]))
+        if not alike.all():
+            parts.append(self._library([data[start[k] : start[k] + size[k]].tobytes().decode() for k in np.flatnonzero(~alike)]))
+        ids, count = (np.concatenate(x) for x in zip(*parts))
+        begin = np.empty(len(order), np.int64)
+        begin[order] = len(self.flat) + np.cumsum(count) - count
+        counts = np.empty(len(order), np.int64)
+        counts[order] = count
+        self.flat = np.append(self.flat, ids)
+        at = np.searchsorted(self.hashes, hashes)
+        self.start, self.size = np.insert(self.start, at, begin), np.insert(self.size, at, counts)
+        self.hashes = np.insert(self.hashes, at, hashes)
+        self.table = SortedHashes(self.hashes)
+
+    def encode(self, raw: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """All ids, each text followed by the end id, and the number of ids of each text."""
-        index: dict[str, int] = {}
-        codes: list[int] = []
-        ends = np.zeros(len(values), np.int64)
-        for k, text in enumerate(values):
-            if _TWO_BLANKS.search(text):
-                pieces = [text]
-            else:
-                first, *rest = text.split(" ")
-                pieces = [first, *[" " + x for x in rest]]
-            codes.extend([index.setdefault(x, len(index)) for x in pieces])
-            codes.append(-1)
-            ends[k] = len(codes)
-        known = self._ids(list(index))
-        size = np.append(np.fromiter(map(len, known), np.int64, len(known)), 1)
-        flat = np.append(np.fromiter(itertools.chain.from_iterable(known), np.uint32, int(size[:-1].sum())), END_ID).astype(np.uint32)
-        code = np.array(codes, np.int64)
-        start = np.cumsum(size) - size
-        lengths = size[code]
-        ids = flat[ragged(start[code], lengths)]
-        total = np.append(0, np.cumsum(lengths))
-        return ids, np.diff(total[np.append(0, ends)])
+        data, first, length = joined(raw)
+        if not len(data):
+            return np.full(len(raw), END_ID, np.uint32), np.ones(len(raw), np.int64)
+        space = data == 32
+        blank = _BLANKS[data]
+        odd = np.zeros(len(data), bool)
+        odd[1:] |= space[1:] & blank[:-1]
+        odd[:-1] |= space[:-1] & blank[1:]
+        whole = sums(odd.view(np.int8), first, length) > 0
+        whole |= np.array([not x.isascii() and any(c in x for c in _WIDE_BLANKS) for x in raw])
+        cut = space & ~np.repeat(whole, length)
+        cut[first[length > 0]] = True
+        start = np.flatnonzero(cut)
+        size = np.diff(np.append(start, len(data)))
+        short = size <= LONGEST
+        place = np.arange(len(data)) - np.repeat(start, size)
+        weighed = (data.astype(np.uint64) + np.uint64(1)) * self.factor[np.minimum(place, LONGEST)]
+        hashes = xxhash_long(np.add.reduceat(weighed, start) + size.astype(np.uint64))
+        found = self.table.find(hashes)
+        new = np.flatnonzero((found < 0) & short)
+        if len(new):
+            fresh, at = np.unique(hashes[new], return_index=True)
+            at = new[at]
+            if len(self.hashes) + len(fresh) > REMEMBERED:
+                self.forget()
+                fresh, at = np.unique(hashes[short], return_index=True)
+                at = np.flatnonzero(short)[at]
+            apart = np.repeat(whole, length)[start[at]]
+            self._learn(fresh, data, start[at], size[at], apart)
+            found = self.table.find(hashes)
+        long = np.flatnonzero(~short)
+        flat, begin, count = self.flat, np.zeros(len(start), np.int64), np.zeros(len(start), np.int64)
+        begin[short], count[short] = self.start[found[short]], self.size[found[short]]
+        if len(long):
+            ids, n = self._library([data[a : a + k].tobytes().decode() for a, k in zip(start[long], size[long])])
+            begin[long], count[long] = len(flat) + np.cumsum(n) - n, n
+            flat = np.append(flat, ids)
+        ids = flat[ragged(begin, count)]
+        if self.bytes[ragged(self.begin[ids], self.length[ids])].tobytes() != data.tobytes():
+            ids, total = self._library([x.decode() for x in raw])
+        else:
+            total = sums(count, *_within(start, first, length))
+        at_end = np.cumsum(total + 1) - 1
+        out = np.full(len(ids) + len(raw), END_ID, np.uint32)
+        body = np.ones(len(out), bool)
+        body[at_end] = False
+        out[body] = ids
+        return out, total + 1
+
+
+def _within(start: np.ndarray, first: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of each text the first of the pieces that start in it, and their number."""
+    low = np.searchsorted(start, first)
+    return low, np.searchsorted(start, first + length) - low
+
+
+def _spelled(token: str) -> bytes:
+    """Bytes that a token of a byte-level vocabulary stands for; its own text for any other."""
+    return bytes(_BYTE_OF[c] for c in token) if all(c in _BYTE_OF for c in token) else token.encode()
+
+
+def _byte_alphabet() -> dict[str, int]:
+    """Byte-level vocabularies write printable bytes as themselves and the others as the characters from 256 on, in order."""
+    plain = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    rest = [b for b in range(256) if b not in plain]
+    return {chr(b): b for b in plain} | {chr(256 + k): b for k, b in enumerate(rest)}
+
+
+_BYTE_OF = _byte_alphabet()
 
 
 def code_lengths(counts: np.ndarray, limit: int = MAX_BITS) -> np.ndarray:
@@ -199,18 +287,34 @@ def _binary(values: np.ndarray, ends: np.ndarray) -> list[bytes]:
 
 
 def encode_documents(df: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id and ids (little-endian 16-bit, 32-bit for larger vocabularies), the end id included; a null counts as empty."""
+    """doc_id, tie (a checksum) and ids (little-endian 16-bit, 32-bit for larger vocabularies) with the end id; a null counts as empty."""
 
     def run(batches):
         encoder = cached(("encoder", path), lambda: Encoder(path))
-        kind = "<u2" if encoder.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
         for batch in batches:
-            for part in slices(batch, "text"):
-                ids, size = encoder.encode(texts(part))
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(_binary(ids.astype(kind), np.cumsum(size)), pa.binary())], ["doc_id", "ids"])
+            for part in slices(batch, "text", 2 * SLICE_BYTES):
+                ids, size = encoder.encode(raw_texts(part))
+                cells = _binary(ids.astype(np.dtype(encoder.kind).newbyteorder("<")), np.cumsum(size))
+                tie = pa.array([zlib.crc32(x) for x in cells], pa.int64())
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), tie, pa.array(cells, pa.binary())], ["doc_id", "tie", "ids"])
 
     narrow = df.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    return narrow.mapInArrow(run, "doc_id long, ids binary")
+    return narrow.mapInArrow(run, "doc_id long, tie long, ids binary")
+
+
+def _key(doc_id: int | None, tie: int) -> tuple:
+    return (doc_id is None, doc_id or 0, tie)
+
+
+def range_bounds(keys: DataFrame, ranges: int, sampled: int = 50_000) -> list[tuple]:
+    """Lower bounds of all ranges but the first, from about so many sampled keys (doc_id, tie).
+
+    Bounds only balance the files; any bounds give the same order of documents.
+    """
+    n = keys.count()
+    some = keys.sample(fraction=min(1.0, sampled / max(n, 1)), seed=1) if n > sampled else keys
+    found = sorted(_key(*row) for row in some.collect())
+    return sorted({found[k * len(found) // ranges] for k in range(1, ranges)}) if found else []
 
 
 def write_token_files(df: DataFrame, folder: str, path: str, doc_id: str = "doc_id", text: str = "text") -> None:
@@ -226,7 +330,7 @@ def write_token_files(df: DataFrame, folder: str, path: str, doc_id: str = "doc_
     kind = "<u2" if vocabulary <= 1 << 16 else "<u4"
     encoded = f"{folder}/encoded"
     encode_documents(df, path, doc_id, text).write.option("compression", "zstd").parquet(encoded)
-    rows = spark.read.schema("doc_id long, ids binary").parquet(encoded)
+    rows = spark.read.schema("doc_id long, tie long, ids binary").parquet(encoded)
 
     def count(batches):
         total = np.zeros(vocabulary, np.int64)
@@ -244,6 +348,7 @@ def write_token_files(df: DataFrame, folder: str, path: str, doc_id: str = "doc_
     code_table = [(int(k), int(lengths[k])) for k in np.flatnonzero(lengths)]
     spark.createDataFrame(code_table, "id int, bits int").coalesce(1).write.parquet(f"{folder}/codes")
     files = max(1, -(-int(counts.sum()) // FILE_IDS))
+    bounds = range_bounds(rows.select("doc_id", "tie"), files)
 
     def code(batches):
         codes = canonical_codes(lengths)
@@ -253,47 +358,53 @@ def write_token_files(df: DataFrame, folder: str, path: str, doc_id: str = "doc_
                 ids = np.frombuffer(b"".join(raw), kind).astype(np.int64)
                 size = np.fromiter(map(len, raw), np.int64, len(raw)) // np.dtype(kind).itemsize
                 data, n_bytes, offsets, marks = pack(ids, size, lengths, codes)
-                tie = [zlib.crc32(x) for x in raw]
+                keys = zip(part.column("doc_id").to_pylist(), part.column("tie").to_pylist())
+                place = [bisect.bisect_right(bounds, _key(*k)) for k in keys]
                 yield pa.RecordBatch.from_arrays(
                     [
+                        pa.array(place, pa.int32()),
                         part.column("doc_id"),
-                        pa.array(tie, pa.int64()),
+                        part.column("tie"),
                         pa.array(size),
                         pa.array(_binary(offsets, np.cumsum(marks)), pa.binary()),
                         pa.array(_binary(np.frombuffer(data, np.uint8), np.cumsum(n_bytes)), pa.binary()),
                     ],
-                    ["doc_id", "tie", "size", "offsets", "bits"],
+                    ["part", "doc_id", "tie", "size", "offsets", "bits"],
                 )
 
-    coded = rows.mapInArrow(code, "doc_id long, tie long, size long, offsets binary, bits binary")
-    keys = [F.col("doc_id").asc_nulls_last(), F.col("tie"), F.xxhash64("bits")]
-    ordered = coded.repartitionByRange(files, *keys).sortWithinPartitions(*keys)
+    coded = rows.mapInArrow(code, "part int, doc_id long, tie long, size long, offsets binary, bits binary")
+    keys = [F.col("part"), F.col("doc_id").asc_nulls_last(), F.col("tie"), F.xxhash64("bits")]
+    ordered = coded.repartition(files, "part").sortWithinPartitions(*keys).drop("tie")
 
     def block(batches):
-        part, first, held, ids = TaskContext.get().partitionId(), 0, [], 0
+        part, first, held, ids = None, 0, [], 0
 
         def out():
             nonlocal first, held, ids
-            size = np.array([x[1] for x in held], "<i8")
+            size = np.array([x[2] for x in held], "<i8")
+            known = pa.array([x[1] for x in held], pa.int64()).fill_null(0).to_numpy().astype("<i8")
             row = {
                 "part": part,
                 "first_id": first,
                 "n_docs": len(held),
                 "n_ids": ids,
-                "doc_ids": pa.array([x[0] for x in held], pa.int64()).fill_null(0).to_numpy().astype("<i8").tobytes() + np.packbits([x[0] is None for x in held]).tobytes(),
+                "doc_ids": known.tobytes() + np.packbits([x[1] is None for x in held]).tobytes(),
                 "doc_sizes": size.tobytes(),
-                "doc_bytes": np.array([len(x[3]) for x in held], "<u4").tobytes(),
-                "checkpoints": b"".join(x[2] for x in held),
-                "payload": b"".join(x[3] for x in held),
+                "doc_bytes": np.array([len(x[4]) for x in held], "<u4").tobytes(),
+                "checkpoints": b"".join(x[3] for x in held),
+                "payload": b"".join(x[4] for x in held),
             }
             first, held, ids = first + ids, [], 0
             return pa.RecordBatch.from_pylist([row], schema=block_schema)
 
         for batch in batches:
-            columns = [batch.column(c).to_pylist() for c in ("doc_id", "size", "offsets", "bits")]
-            for row in zip(*columns):
+            for row in zip(*[batch.column(c).to_pylist() for c in ("part", "doc_id", "size", "offsets", "bits")]):
+                if row[0] != part:
+                    if held:
+                        yield out()
+                    part, first = row[0], 0
                 held.append(row)
-                ids += row[1]
+                ids += row[2]
                 if ids >= BLOCK_IDS:
                     yield out()
         if held:
@@ -301,7 +412,7 @@ def write_token_files(df: DataFrame, folder: str, path: str, doc_id: str = "doc_
 
     kinds = {"int": pa.int32(), "long": pa.int64(), "binary": pa.binary()}
     block_schema = pa.schema([(x.split()[0], kinds[x.split()[1]]) for x in _BLOCK.split(", ")])
-    ordered.drop("tie").mapInArrow(block, _BLOCK).write.option("compression", "uncompressed").parquet(f"{folder}/blocks")
+    ordered.mapInArrow(block, _BLOCK).write.option("compression", "uncompressed").parquet(f"{folder}/blocks")
 
 
 def read_token_files(spark: SparkSession, folder: str) -> DataFrame:

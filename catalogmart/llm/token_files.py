@@ -15,6 +15,7 @@ import itertools
 import os
 import uuid
 import zlib
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -27,22 +28,25 @@ MAX_BITS = 16
 #: Ids between checkpoints, ids per block (whole documents) and per file, about.
 CHECK, BLOCK_IDS, FILE_IDS = 256, 1 << 16, 8 << 20
 #: Pieces of text whose ids a worker remembers, their greatest length in bytes, and how many are encoded as one text.
-REMEMBERED, LONGEST, JOINED = 1_500_000, 64, 20_000
+REMEMBERED, LONGEST, JOINED = 1_500_000, 64, 200
 END_ID = 0
 
 # Characters that are white space for some tokenizer: ASCII ones, and the UTF-8 bytes that begin or spell the others.
 _BLANKS = np.isin(np.arange(256), [9, 10, 11, 12, 13, 28, 29, 30, 31, 32])
+_LETTERS = np.isin(np.arange(256), [*range(65, 91), *range(97, 123)])
+_STOPS = np.isin(np.arange(256), list(b",.;:!?"))
 _WIDE_BLANKS = (b"\xc2\x85", b"\xc2\xa0", b"\xe1\x9a\x80", b"\xe2\x80", b"\xe2\x81\x9f", b"\xe3\x80\x80")
 
 
 class Encoder:
     """Ids of texts by the tokenizers library.
 
-    A single blank between two other characters always starts a new word for a
-    byte-level tokenizer, so texts are cut at such blanks, each distinct piece is
+    For a byte-level tokenizer a new word always starts at a single blank between
+    two other characters, at a stop after an ASCII letter, and at both ends of
+    a single line break. Texts are cut there, each distinct piece is
     encoded once and remembered under a hash. Texts with blanks in a row stay
-    whole. The ids must spell the texts byte by byte; should a hash ever confuse
-    two pieces, the texts are encoded as they are.
+    whole. Pieces are compared byte by byte with the remembered ones; should a
+    hash ever confuse two, the texts are encoded as they are.
     """
 
     def __init__(self, path: str):
@@ -54,15 +58,13 @@ class Encoder:
         size = self.tokenizer.get_vocab_size()
         self.kind = np.uint16 if size <= 1 << 16 else np.uint32
         spelled = [_spelled(self.tokenizer.id_to_token(k) or "") for k in range(size)]
-        self.bytes = np.frombuffer(b"".join(spelled), np.uint8)
         self.length = np.fromiter(map(len, spelled), np.int64, size)
-        self.begin = np.cumsum(self.length) - self.length
-        self.factor = np.random.default_rng(5).integers(0, 1 << 63, LONGEST + 1, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
         self.forget()
 
     def forget(self) -> None:
         self.hashes, self.start, self.size = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
         self.table, self.flat = SortedHashes(self.hashes), np.zeros(0, self.kind)
+        self.blocks, self.first, self.width = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
 
     def _library(self, values: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the values one after the other, and how many each has."""
@@ -76,20 +78,39 @@ class Encoder:
         at = np.searchsorted(np.cumsum(self.length[ids]), np.cumsum(size), "left") + 1
         return ids, np.diff(np.append(0, at))
 
+    def _words(self, body: bytes, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The same for words of ASCII letters after at most one blank."""
+        text, tokenize, ids = body.decode("ascii").replace(" ", _CHARACTER[32]), self.tokenizer.model.tokenize, []
+        ends = [0, *np.cumsum(size).tolist()]
+        counts = np.empty(len(size), np.int64)
+        for k, (a, b) in enumerate(zip(ends, ends[1:])):
+            own = [token.id for token in tokenize(text[a:b])]
+            ids.extend(own)
+            counts[k] = len(own)
+        return np.array(ids, self.kind), counts
+
     def _learn(self, hashes: np.ndarray, data: np.ndarray, start: np.ndarray, size: np.ndarray, apart: np.ndarray) -> None:
-        """Remember the ids of new pieces of data, given by ascending hashes.
+        """Remember the ids and the bytes of new pieces of data, given by ascending hashes.
 
-        Pieces of a blank with other characters on both sides of the rest are
-        encoded many at a time; those set apart, and odd ones, each by itself.
+        A word of ASCII letters goes straight to the model, as the pattern keeps
+        it whole; other pieces of a blank and what follows it are encoded many at
+        a time; those set apart, and odd ones, each by itself.
         """
         end = start + size - 1
-        alike = ~apart & (size > 1) & (data[start] == 32) & ~_BLANKS[data[np.minimum(start + 1, end)]] & ~_BLANKS[data[end]]
-        order, parts = np.append(np.flatnonzero(alike), np.flatnonzero(~alike)), []
-        for k in range(0, int(alike.sum()), JOINED):
-            some = order[k : min(k + JOINED, int(alike.sum()))]
+        lead = (data[start] == 32) & (size > 1)
+        strange = np.add.reduceat((~_LETTERS[data[ragged(start, size)]]).astype(np.int64), np.cumsum(size) - size) - lead
+        plain = strange == 0
+        alike = ~plain & ~apart & lead & ~_BLANKS[data[np.minimum(start + 1, end)]] & ~_BLANKS[data[end]]
+        odd = ~plain & ~alike
+        order, parts = np.concatenate([np.flatnonzero(x) for x in (plain, alike, odd)]), []
+        if plain.any():
+            parts.append(self._words(data[ragged(start[plain], size[plain])].tobytes(), size[plain]))
+        many = np.flatnonzero(alike)
+        for k in range(0, len(many), JOINED):
+            some = many[k : k + JOINED]
             parts.append(self._joined(data[ragged(start[some], size[some])].tobytes(), size[some]))
-        if not alike.all():
-            parts.append(self._library([data[start[k] : start[k] + size[k]].tobytes().decode() for k in np.flatnonzero(~alike)]))
+        if odd.any():
+            parts.append(self._library([data[a : a + n].tobytes().decode() for a, n in zip(start[odd], size[odd])]))
         ids, count = (np.concatenate(x) for x in zip(*parts))
         begin = np.empty(len(order), np.int64)
         begin[order] = len(self.flat) + np.cumsum(count) - count
@@ -98,6 +119,13 @@ class Encoder:
         self.flat = np.append(self.flat, ids)
         at = np.searchsorted(self.hashes, hashes)
         self.start, self.size = np.insert(self.start, at, begin), np.insert(self.size, at, counts)
+        own = -(-size // 8)
+        first = np.cumsum(own) - own
+        blocks = np.zeros(int(own.sum()), np.uint64)
+        for k, lanes, value in _eights(data, start, size):
+            blocks[first[lanes] + k] = value
+        self.first = np.insert(self.first, at, first + len(self.blocks))
+        self.width, self.blocks = np.insert(self.width, at, size), np.append(self.blocks, blocks)
         self.hashes = np.insert(self.hashes, at, hashes)
         self.table = SortedHashes(self.hashes)
 
@@ -111,16 +139,21 @@ class Encoder:
         odd = np.zeros(len(data), bool)
         odd[1:] |= space[1:] & blank[:-1]
         odd[:-1] |= space[:-1] & blank[1:]
-        whole = sums(odd.view(np.int8), first, length) > 0
+        whole = sums(odd.view(np.int8), first, length) > 0 if odd.any() else np.zeros(len(raw), bool)
         whole |= np.array([not x.isascii() and any(c in x for c in _WIDE_BLANKS) for x in raw])
-        cut = space & ~np.repeat(whole, length)
+        cut = space.copy()
+        cut[1:] |= _STOPS[data[1:]] & _LETTERS[data[:-1]]
+        line = data == 10
+        line[1:] &= ~blank[:-1]
+        cut |= line
+        cut[1:] |= line[:-1] & ~blank[1:]
+        if whole.any():
+            cut &= ~np.repeat(whole, length)
         cut[first[length > 0]] = True
         start = np.flatnonzero(cut)
         size = np.diff(np.append(start, len(data)))
         short = size <= LONGEST
-        place = np.arange(len(data)) - np.repeat(start, size)
-        weighed = (data.astype(np.uint64) + np.uint64(1)) * self.factor[np.minimum(place, LONGEST)]
-        hashes = xxhash_long(np.add.reduceat(weighed, start) + size.astype(np.uint64))
+        hashes = _hash(data, start, np.where(short, size, 0))
         found = self.table.find(hashes)
         new = np.flatnonzero((found < 0) & short)
         if len(new):
@@ -140,11 +173,10 @@ class Encoder:
             ids, n = self._library([data[a : a + k].tobytes().decode() for a, k in zip(start[long], size[long])])
             begin[long], count[long] = len(flat) + np.cumsum(n) - n, n
             flat = np.append(flat, ids)
-        ids = flat[ragged(begin, count)]
-        if self.bytes[ragged(self.begin[ids], self.length[ids])].tobytes() != data.tobytes():
+        if self._confused(data, start, size, short, found):
             ids, total = self._library([x.decode() for x in raw])
         else:
-            total = sums(count, *_within(start, first, length))
+            ids, total = flat[ragged(begin, count)], sums(count, *_within(start, first, length))
         at_end = np.cumsum(total + 1) - 1
         out = np.full(len(ids) + len(raw), END_ID, np.uint32)
         body = np.ones(len(out), bool)
@@ -153,6 +185,33 @@ class Encoder:
         return out, total + 1
 
 
+    def _confused(self, data: np.ndarray, start: np.ndarray, size: np.ndarray, short: np.ndarray, found: np.ndarray) -> bool:
+        """Whether a piece differs from the remembered one of its hash."""
+        known = found[short]
+        if (self.width[known] != size[short]).any():
+            return True
+        first = self.first[known]
+        return any((self.blocks[first[lanes] + k] != value).any() for k, lanes, value in _eights(data, start[short], size[short]))
+
+
+def _eights(data: np.ndarray, start: np.ndarray, size: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """Eight bytes of the pieces at a time as integers, zero beyond the end: the turn, the pieces that have it, the values."""
+    wide = np.ndarray((len(data) + 1,), "<u8", np.append(data, np.zeros(8, np.uint8)), strides=(1,))
+    keep = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
+    lanes = np.flatnonzero(size > 0)
+    for k in range(int(-(-size.max(initial=0) // 8))):
+        lanes = lanes[size[lanes] > 8 * k] if k else lanes
+        yield k, lanes, wide[start[lanes] + 8 * k] & keep[np.minimum(size[lanes] - 8 * k, 8)]
+
+
+def _hash(data: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    out = size.astype(np.uint64) * np.uint64(0x9E3779B185EBCA87)
+    for _, lanes, value in _eights(data, start, size):
+        mixed = (out[lanes] ^ value) * np.uint64(0xC2B2AE3D27D4EB4F)
+        out[lanes] = mixed ^ (mixed >> np.uint64(32))
+    return out * np.uint64(0x9E3779B185EBCA87)
+
+
 def _within(start: np.ndarray, first: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Of each text the first of the pieces that start in it, and their number."""
     low = np.searchsorted(start, first)
@@ -172,6 +231,7 @@ def _byte_alphabet() -> dict[str, int]:
 
 
 _BYTE_OF = _byte_alphabet()
+_CHARACTER = {b: c for c, b in _BYTE_OF.items()}
 
 
 def code_lengths(counts: np.ndarray, limit: int = MAX_BITS) -> np.ndarray:
@@ -292,7 +352,7 @@ def encode_documents(df: DataFrame, path: str, doc_id: str = "doc_id", text: str
     def run(batches):
         encoder = cached(("encoder", path), lambda: Encoder(path))
         for batch in batches:
-            for part in slices(batch, "text", 2 * SLICE_BYTES):
+            for part in slices(batch, "text"):
                 ids, size = encoder.encode(raw_texts(part))
                 cells = _binary(ids.astype(np.dtype(encoder.kind).newbyteorder("<")), np.cumsum(size))
                 tie = pa.array([zlib.crc32(x) for x in cells], pa.int64())
@@ -353,7 +413,7 @@ def write_token_files(df: DataFrame, folder: str, path: str, doc_id: str = "doc_
     def code(batches):
         codes = canonical_codes(lengths)
         for batch in batches:
-            for part in slices(batch, "ids"):
+            for part in slices(batch, "ids", SLICE_BYTES // 4):
                 raw = part.column("ids").to_pylist()
                 ids = np.frombuffer(b"".join(raw), kind).astype(np.int64)
                 size = np.fromiter(map(len, raw), np.int64, len(raw)) // np.dtype(kind).itemsize
@@ -431,7 +491,7 @@ def read_token_files(spark: SparkSession, folder: str) -> DataFrame:
     def run(batches):
         table = cached(("codes", name), lambda: decode_table(lengths))
         for batch in batches:
-            for some in slices(batch, "payload"):
+            for some in slices(batch, "payload", SLICE_BYTES // 4):
                 rows = some.to_pylist()
                 n_docs = [r["n_docs"] for r in rows]
                 ids = np.concatenate([np.frombuffer(r["doc_ids"][: 8 * r["n_docs"]], "<i8") for r in rows])

@@ -27,9 +27,9 @@ def encoder():
     return f.Encoder(BYTE_BPE)
 
 
-def test_confused_pieces_fall_back_to_the_library(library):
+def test_confused_pieces_fall_back_to_the_library(library, monkeypatch):
     encoder = f.Encoder(BYTE_BPE)
-    encoder.factor[:] = 0  # pieces of the same length share a hash
+    monkeypatch.setattr(f, "_hash", lambda data, start, size: size.astype(np.uint64))
     ids, _ = encoder.encode([b"two old men", b"six new hats"])
     assert ids.tolist() == [*library("two old men"), 0, *library("six new hats"), 0]
 
@@ -45,8 +45,8 @@ def crc(ids):
     return zlib.crc32(np.array(ids, "<u4").tobytes())
 
 
-@settings(max_examples=200, deadline=None)
-@cases(st.lists(st.text(alphabet="ab \n\t\xa0é'!1 　<|endoftext|>", max_size=30), max_size=5))
+@settings(max_examples=1000, deadline=None)
+@cases(st.lists(st.text(alphabet="abT \n\t\xa0é'!1,.;: 　<|endoftext|>", max_size=30), max_size=5))
 def test_encoder_equals_the_library(library, encoder, values):
     ids, size = encoder.encode([x.encode() for x in values])
     at = 0

@@ -86,7 +86,7 @@ def _range_of(ranges: int) -> Column:
 def build_index(history: DataFrame, ranges: int) -> DataFrame:
     """One row per range: the packed hash, and by slot the digests, winners and counts."""
 
-    def one(key, pdf: pd.DataFrame) -> pd.DataFrame:
+    def one(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         digests = list(pdf["digest"])
         function = PerfectHash.build(digests)
         order = np.argsort(function.slots(digests))
@@ -106,7 +106,7 @@ def build_index(history: DataFrame, ranges: int) -> DataFrame:
 def look_up(arrivals: DataFrame, index: DataFrame, ranges: int) -> DataFrame:
     """digest, winner, n and member: one row per digest that the index or the arrivals hold."""
 
-    def one(key, new: pd.DataFrame, slots: pd.DataFrame) -> pd.DataFrame:
+    def one(key: tuple, new: pd.DataFrame, slots: pd.DataFrame) -> pd.DataFrame:
         digests, winner, n = list(new["digest"]), new["winner"].to_numpy(np.int64), new["n"].to_numpy(np.int64)
         out = []
         outside = np.ones(len(digests), bool)

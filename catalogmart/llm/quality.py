@@ -27,6 +27,8 @@ from catalogmart.llm.grams import GRAM_BITS, ORDER, count_grams, gram_keys, labe
 HASH_BITS = 24
 #: A band reaches this many quartile distances beyond the quartiles of its language.
 REACH = 6.0
+#: The quartile distance, in bits per byte, counts as at least so much.
+LEAST_SPREAD = 0.1
 MIN_WORDS, MAX_REPEATED_PERCENT, WINDOW = 20, 30, 8
 SYMBOLS = b"#*$%&|<>"
 BLANKS = b" \t\n\x0b\x0c\r"
@@ -194,7 +196,8 @@ def bands(measured: DataFrame, reach: float = REACH) -> DataFrame:
     q = F.percentile_approx("log2_perplexity", [0.25, 0.75], 10_000)
     spread = measured.where(~base_failed()).groupBy("lang").agg(q.alias("q"))
     low, high = F.col("q")[0], F.col("q")[1]
-    return spread.select("lang", (low - reach * (high - low)).alias("band_low"), (high + reach * (high - low)).alias("band_high"))
+    wide = reach * F.greatest(high - low, F.lit(LEAST_SPREAD))
+    return spread.select("lang", (low - wide).alias("band_low"), (high + wide).alias("band_high"))
 
 
 def base_failed():

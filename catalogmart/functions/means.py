@@ -5,24 +5,22 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-SCALE = 1_000_000
+EXACT = "decimal(30,20)"
 
 
-def scaled(value: Column) -> Column:
-    """Value as a whole number of millionths.
+def exact(value: Column) -> Column:
+    """The value as a decimal, in the shortest form that denotes the double; sums of it commute.
 
-    Ratings carry at most a few decimals, so integer sums are exact, commute,
-    and stay in primitive long buffers through both aggregation phases. One
-    group holds 9 * 10^11 ratings of 10; beyond, ANSI mode fails the job.
+    Holds ten digits before the point and twenty after it; beyond, ANSI mode fails the job.
     """
-    return F.round(value * SCALE).cast("bigint")
+    return value.cast(EXACT)
 
 
-def mean_of_scaled(total: Column, count: Column) -> Column:
-    """Mean from a sum of ``scaled`` values; NULL for an empty group."""
-    return F.when(count > 0, total.cast("double") / (count * SCALE).cast("double"))
+def mean_of(total: Column, count: Column) -> Column:
+    """Mean from a sum of ``exact`` values; NULL for an empty group."""
+    return F.when(count > 0, total.cast("double") / count.cast("double"))
 
 
 def exact_mean(value: Column) -> Column:
     """Aggregate: mean of the non-null values."""
-    return mean_of_scaled(F.sum(scaled(value)), F.count(value))
+    return mean_of(F.sum(exact(value)), F.count(value))

@@ -40,10 +40,19 @@ def named_tags(cell: Column, strict: bool = False) -> Column:
     return F.from_json(cell, NAMED_TAGS, STRICT_JSON if strict else LENIENT_JSON)
 
 
+def _elements(cell: Column) -> Column:
+    """Elements of a JSON list, of whatever types; NULL for any other or unreadable text."""
+    return F.try_variant_get(F.try_parse_json(cell), "$", "array<variant>")
+
+
+def tag_names(cell: Column) -> Column:
+    """Names of the objects in a JSON list; elements without a name give NULL."""
+    return F.transform(_elements(cell), lambda e: F.try_variant_get(e, "$.name", "string"))
+
+
 def id_tags(cell: Column) -> Column:
-    """JSON list of numbers as an array; elements that are no number become NULL."""
-    elements = F.from_json(cell, "array<string>", LENIENT_JSON)
-    return F.transform(elements, lambda e: e.try_cast("bigint"))
+    """Numbers of a JSON list as whole numbers, rounded; elements that are no number become NULL."""
+    return F.transform(_elements(cell), lambda e: F.round(F.try_variant_get(e, "$", "decimal(38,9)"), 0).cast("bigint"))
 
 
 def clean_name(text: Column, default: str) -> Column:

@@ -13,6 +13,8 @@ from catalogmart.functions.text import has_token, is_label
 from catalogmart.operators.exclusion import ExcludedIds
 
 PERCENTAGE_TOLERANCE = 0.051
+#: Parts that rows with a frequent id are dealt to.
+SALTS = 16
 
 
 def null_rows(df: DataFrame, column: str) -> DataFrame:
@@ -78,7 +80,8 @@ def excluded_occurrences(relations: Mapping[str, DataFrame], excluded: ExcludedI
 
     Matching on "either id" would pair every row with every excluded id, so all
     relations together meet each id set in one hash semi join. A row caught by
-    both ids shows up twice.
+    both ids shows up twice. The listed rows are dealt to ``SALTS`` parts, each
+    with its own copy of the ids, so a frequent id never gathers in one task.
     """
     columns = ["model_name", "imdb_id", "tmdb_id"]
     listed = []
@@ -87,9 +90,12 @@ def excluded_occurrences(relations: Mapping[str, DataFrame], excluded: ExcludedI
         tmdb = F.col("tmdb_id") if "tmdb_id" in df.columns else F.lit(None).cast("bigint")
         listed.append(df.select(F.lit(name).alias("model_name"), imdb.alias("imdb_id"), tmdb.alias("tmdb_id")))
     ids = reduce(DataFrame.unionByName, listed)
-    by_imdb = ids.filter("imdb_id IS NOT NULL").join(excluded.imdb, "imdb_id", "left_semi").select(columns)
-    by_tmdb = ids.filter("tmdb_id IS NOT NULL").join(excluded.tmdb, "tmdb_id", "left_semi").select(columns)
-    return by_imdb.unionByName(by_tmdb)
+    found = []
+    for column, wanted in (("imdb_id", excluded.imdb), ("tmdb_id", excluded.tmdb)):
+        dealt = ids.filter(F.col(column).isNotNull()).withColumn("_salt", F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)))
+        copies = wanted.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint"))))
+        found.append(dealt.join(copies, [column, "_salt"], "left_semi").select(columns))
+    return found[0].unionByName(found[1])
 
 
 def misranked_rows(
@@ -106,30 +112,42 @@ def misranked_rows(
 
 
 def histogram_issues(bins: DataFrame) -> DataFrame:
-    """Every broken invariant of a rating histogram, one row per finding."""
-    low = F.col("bucket_order")
-    label = F.concat(low.cast("string"), F.lit("-"), (low + 1).cast("string"))
-    invalid = bins.filter(
-        ~low.between(0, TOP_BRACKET)
-        | F.col("rating_bracket").isNull()
-        | (F.col("rating_bracket") != label)
-        | (F.col("movie_count") < 0)
-        | (F.col("total_no_of_movies") < F.col("movie_count"))
+    """(finding, bucket_order) of every broken invariant of a rating histogram; whole-list findings have no bucket.
+
+    A bin is one of the ten, is named after its bounds and holds between none and
+    all of the population; bins do not repeat, name one population, and add up to
+    it and to 100 percent.
+    """
+    low, count, population = F.col("bucket_order"), F.col("movie_count"), F.col("total_no_of_movies")
+    names = F.array(*[F.lit(f"{k}-{k + 1}") for k in range(TOP_BRACKET + 1)])
+    own = F.when(low.between(0, TOP_BRACKET), F.element_at(names, low + 1))
+    of_bin = {
+        "no_such_bin": own.isNull(),
+        "misnamed": own.isNotNull() & ~own.eqNullSafe(F.col("rating_bracket")),
+        "count_out_of_bounds": ~count.between(0, population),
+    }
+    per_bin = bins.select(
+        F.explode(F.array_compact(F.array(*[F.when(test, F.lit(name)) for name, test in of_bin.items()]))).alias("finding"),
+        low.alias("bucket_order"),
     )
-    duplicate = bins.groupBy("rating_bracket").agg(F.count(F.lit(1)).alias("n")).filter("n <> 1")
-    totals = bins.agg(
-        F.sum("movie_count").alias("counted"),
-        F.min("total_no_of_movies").alias("low"),
-        F.max("total_no_of_movies").alias("high"),
+    whole = bins.agg(
+        F.sum(count).alias("counted"),
         F.sum("percentage_of_movies").alias("percent"),
+        F.collect_set(population).alias("populations"),
+        (F.count("rating_bracket") - F.count_distinct("rating_bracket")).alias("surplus"),
+        F.max(population).alias("largest"),
     )
-    off = totals.filter(
-        (F.col("counted") != F.col("high"))
-        | (F.col("low") != F.col("high"))
-        | (F.abs(F.col("percent") - 100) > PERCENTAGE_TOLERANCE)
+    of_list = {
+        "repeated_bins": F.col("surplus") > 0,
+        "several_populations": F.size("populations") > 1,
+        "counts_do_not_add_up": F.col("counted") != F.col("largest"),
+        "percentages_do_not_add_up": F.abs(F.col("percent") - 100) > PERCENTAGE_TOLERANCE,
+    }
+    per_list = whole.select(
+        F.explode(F.array_compact(F.array(*[F.when(test, F.lit(name)) for name, test in of_list.items()]))).alias("finding"),
+        F.lit(None).cast("int").alias("bucket_order"),
     )
-    issues = [(invalid, "invalid_bin"), (duplicate, "duplicate_bin"), (off, "incorrect_population")]
-    return reduce(DataFrame.unionByName, [df.select(F.lit(issue).alias("issue")) for df, issue in issues])
+    return per_bin.unionByName(per_list)
 
 
 def mismatched_tokens(cases: DataFrame, token: str, text: str = "genres", expected: str = "expected") -> DataFrame:

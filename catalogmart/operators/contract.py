@@ -16,6 +16,7 @@ from catalogmart.sources.bounded import require_at_most
 SHARE_TOLERANCE = 0.0051
 REGIONS = ("IN", "US")
 PEOPLE_PER_ROLE = 20
+LARGEST_BYTES = 2 << 20
 
 
 def not_one_row(df: DataFrame, name: str, optional: bool = False) -> DataFrame:
@@ -133,18 +134,26 @@ def capture_evidence(now_playing: DataFrame) -> DataFrame:
     )
 
 
-def capture_issues(evidence: DataFrame, counts: DataFrame) -> DataFrame:
-    """Regions whose rows, distinct ids, dates and published count disagree, or that mix dates."""
-    joined = evidence.join(counts, "region", "left")
+def capture_issues(evidence: DataFrame, counts: DataFrame, regions: Sequence[str] = REGIONS) -> DataFrame:
+    """Regions whose rows, distinct ids, dates and published count disagree, or that mix dates.
+
+    An expected region without evidence or count, and one that is not expected, disagree as well.
+    """
+    names = F.explode(F.array(*[F.lit(r) for r in regions]))
+    expected = evidence.sparkSession.range(1).select(names.alias("region"), F.lit(True).alias("expected"))
+    joined = evidence.join(counts, "region", "full_outer").join(expected, "region", "full_outer")
     reconciled = (
-        (F.col("row_count") > 0)
+        F.col("expected").isNotNull()
+        & (F.col("row_count") > 0)
         & (F.col("row_count") == F.col("unique_movie_count"))
         & (F.col("row_count") == F.col("capture_date_count"))
         & F.col("row_count").eqNullSafe(F.col("movie_count"))
     )
     single_date = F.coalesce(F.col("min_capture_date") == F.col("max_capture_date"), F.lit(False))
     return joined.select(
-        "region", (~reconciled).alias("counts_disagree"), (~single_date).alias("dates_disagree")
+        "region",
+        (~F.coalesce(reconciled, F.lit(False))).alias("counts_disagree"),
+        (~single_date).alias("dates_disagree"),
     ).filter("counts_disagree OR dates_disagree")
 
 
@@ -180,10 +189,15 @@ def sequence_issues(df: DataFrame, completed: str, exported: str) -> DataFrame:
 
 
 class FieldRule(NamedTuple):
-    """Constraint of one public field; bounds, lengths and patterns are optional."""
+    """Constraint of one public field; type, bounds, lengths and patterns are optional.
+
+    An ``integer`` has no fraction; a ``finite`` number is neither NaN nor infinite.
+    """
 
     field: str
     nullable: bool = False
+    integer: bool = False
+    finite: bool = False
     low: float | None = None
     high: float | None = None
     values: tuple | None = None
@@ -197,6 +211,10 @@ class FieldRule(NamedTuple):
         tests = {}
         if not self.nullable:
             tests["required"] = c.isNull()
+        if self.integer:
+            tests["integer"] = ~F.coalesce(F.rint(c.try_cast("double")) == c.try_cast("double"), c.isNull())
+        if self.finite or self.integer:
+            tests["finite"] = not_finite(c.try_cast("double"))
         if self.low is not None:
             tests["minimum"] = c < self.low
         if self.high is not None:
@@ -238,9 +256,10 @@ def field_rule_issues(df: DataFrame, rules: Sequence[FieldRule]) -> DataFrame:
 def normalize_scalars(df: DataFrame) -> DataFrame:
     """Public text form of every column; NULL stays NULL.
 
-    Integral numbers lose their fraction, dates are ISO, instants are UTC with a
-    ``Z``. A NaN or infinite number fails the job; a timestamp without a zone is
-    refused when the plan is built.
+    Integral numbers lose their fraction and never take an exponent (beyond 2^63
+    the digits are the shortest that denote the double), dates are ISO, instants
+    are UTC with a ``Z``. A NaN or infinite number fails the job; a timestamp
+    without a zone is refused when the plan is built.
     """
     return df.select(*[_public_text(field.name, field.dataType.typeName()).alias(field.name) for field in df.schema])
 
@@ -250,9 +269,14 @@ def _public_text(name: str, kind: str) -> Column:
     if kind == "timestamp_ntz":
         raise ValueError(f"{name} needs an explicit time zone")
     if kind in ("double", "float"):
-        finite = F.when(not_finite(c), F.raise_error(F.lit(f"{name} is not finite")).cast("double")).otherwise(c)
-        whole = (finite == F.floor(finite)) & (F.abs(finite) < 2**53)
-        return F.when(whole, finite.cast("bigint").cast("string")).otherwise(finite.cast("string"))
+        # NaN is greater than any number, so the first two tests hold for finite numbers alone.
+        whole, size = F.rint(c) == c, F.abs(c)
+        return (
+            F.when(whole & (size < 2.0**63), c.cast("bigint").cast("string"))
+            .when(whole & (size < 1e38), c.cast("double").cast("decimal(38,0)").cast("string"))
+            .when(not_finite(c), F.raise_error(F.lit(f"{name} is not finite")).cast("string"))
+            .otherwise(c.cast("string"))
+        )
     if kind == "decimal":
         text = c.cast("string")
         trimmed = F.rtrim(F.rtrim(text, F.lit("0")), F.lit("."))
@@ -274,14 +298,17 @@ def non_finite_rows(df: DataFrame, identity: str, columns: Sequence[str]) -> Dat
     return df.select(identity, F.explode(F.array_compact(F.array(*cells))).alias("invalid_column"))
 
 
-def fingerprint(df: DataFrame, maximum: int) -> DataFrame:
-    """SHA-256 over the sorted JSON rows of a public result of at most ``maximum`` rows.
+def fingerprint(df: DataFrame, maximum: int, max_bytes: int = LARGEST_BYTES) -> DataFrame:
+    """SHA-256 over the sorted JSON rows of a public result of at most ``maximum`` rows and ``max_bytes`` bytes.
 
     Keys are in name order and row order does not matter, so an unchanged
     rebuild has an unchanged fingerprint. The rows meet in one aggregate, hence
-    the bound: a larger result fails.
+    the bounds: a larger result fails.
     """
     row = F.to_json(F.struct(*sorted(df.columns)), {"ignoreNullFields": "false"})
     rows = F.sort_array(F.collect_list(row))
     bounded = require_at_most(df, maximum, "fingerprinted result")
-    return bounded.agg(F.sha2(F.concat_ws("\n", rows), 256).alias("sha256"), F.count(F.lit(1)).alias("row_count"))
+    text = bounded.agg(F.concat_ws("\n", rows).alias("_text"), F.count(F.lit(1)).alias("row_count"))
+    too_long = F.raise_error(F.lit(f"fingerprinted result has more than {max_bytes} bytes"))
+    digest = F.when(F.octet_length("_text") > max_bytes, too_long.cast("string")).otherwise(F.sha2("_text", 256))
+    return text.select(digest.alias("sha256"), "row_count")

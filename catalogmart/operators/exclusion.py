@@ -12,7 +12,7 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from catalogmart.functions.text import has_token, id_tags, is_label, named_tags
+from catalogmart.functions.text import has_token, id_tags, is_label, tag_names
 from catalogmart.sources.tables import KeptTables
 
 EXCLUDED_LABEL = "news"
@@ -38,7 +38,7 @@ def tagged_by_name(details: DataFrame, label: str = EXCLUDED_LABEL) -> DataFrame
     """
     cell = F.col("genres")
     candidates = details.filter(F.contains(F.lower(cell), F.lit(label.lower())) | F.contains(cell, F.lit("\\")))
-    hits = candidates.filter(F.exists(named_tags(cell), lambda tag: is_label(tag["name"], label)))
+    hits = candidates.filter(F.exists(tag_names(cell), lambda name: is_label(name, label)))
     return hits.select(F.col("id").alias("tmdb_id"))
 
 

@@ -6,6 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+#: Values that rows without a key spread over.
+SPREAD = 1 << 20
+
+
 def without(df: DataFrame, ids: DataFrame, key: str) -> DataFrame:
     """Rows whose key is not in the ``ids`` column of the same name; rows with a NULL key stay."""
     return df.join(ids, key, "left_anti").select(*df.columns)
@@ -14,11 +18,18 @@ def without(df: DataFrame, ids: DataFrame, key: str) -> DataFrame:
 def left_join_known(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     """Left equi join on a column both sides share, for keys that are often NULL.
 
-    A NULL key matches nothing, yet hashing sends all such rows to one task.
-    They skip the join instead. ``left`` should be a scan or another plan the
-    two complementary filters push into.
+    A NULL key matches nothing, yet hashing sends all such rows to one task. The
+    join therefore has a second column: zero for a known key, and for a missing
+    one a hash of the row above zero, which spreads the rows and matches nothing.
+    The zeros of the right side are computed from its key, or the optimizer would
+    fold them into a filter and hash by the key alone.
     """
-    added = [field for field in right.schema if field.name != key]
-    keyed = left.filter(F.col(key).isNotNull()).join(right, key, "left").select(*left.columns, *[f.name for f in added])
-    unkeyed = left.filter(F.col(key).isNull()).select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in added])
-    return keyed.unionByName(unkeyed)
+    added = [field.name for field in right.schema if field.name != key]
+    spread = F.pmod(F.xxhash64(*left.columns), F.lit(SPREAD)) + 1
+    sided = left.withColumn("_spread", F.when(F.col(key).isNull(), spread).otherwise(0))
+    known = F.coalesce(F.col(key).cast("string"), F.lit(""))
+    sided = sided.withColumn("_key", known)
+    match = right.filter(F.col(key).isNotNull()).withColumn("_match", F.pmod(F.xxhash64(key), F.lit(1)))
+    match = match.withColumn("_known", F.col(key).cast("string")).drop(key)
+    joined = sided.join(match, (sided["_key"] == match["_known"]) & (sided["_spread"] == match["_match"]), "left")
+    return joined.select(*left.columns, *added)

@@ -37,18 +37,19 @@ def top_rows(df: DataFrame, order: Sequence[Column], k: int, rank: str) -> DataF
     return best.withColumn(rank, F.row_number().over(Window.partitionBy().orderBy(*order)))
 
 
-def numbered(df: DataFrame, by: str, number: str, kept: KeptTables) -> DataFrame:
-    """Rows numbered 1..n in the order of a unique column, without sorting them in one task.
+def numbered(df: DataFrame, by: str | Sequence[Column], number: str, kept: KeptTables) -> DataFrame:
+    """Rows numbered 1..n in a total order, without sorting them in one task.
 
-    Rows spread over ranges of the column, are numbered inside their range, and
+    Rows spread over ranges of the order, are numbered inside their range, and
     shift by the size of the ranges before it. The ranges are written first:
     a range split computed twice may differ. Only the range sizes, one row per
     partition, meet in one task and are broadcast.
     """
-    ranges = kept.keep(number, df.repartitionByRange(by).withColumn("_range", F.spark_partition_id()))
+    order = [F.col(by)] if isinstance(by, str) else list(by)
+    ranges = kept.keep(number, df.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()))
     sizes = ranges.groupBy("_range").agg(F.count(F.lit(1)).alias("_size"))
     earlier = Window.partitionBy().orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     shifts = sizes.select("_range", F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_shift"))
-    place = F.row_number().over(Window.partitionBy("_range").orderBy(by))
+    place = F.row_number().over(Window.partitionBy("_range").orderBy(*order))
     placed = ranges.withColumn("_place", place).join(F.broadcast(shifts), "_range")
     return placed.select((F.col("_place") + F.col("_shift")).alias(number), *df.columns)

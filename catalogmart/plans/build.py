@@ -99,7 +99,7 @@ class Catalogue:
     # curated -----------------------------------------------------------------
     @kept
     def dim_movies(self) -> DataFrame:
-        return curated.dim_movies(self.stg_details, self.stg_title_basics)
+        return curated.dim_movies(self.stg_details, self.stg_title_basics, self.kept)
 
     @layered
     def dim_person(self) -> DataFrame:
@@ -148,7 +148,7 @@ class Catalogue:
 
     @layered
     def mart_top_movies(self) -> DataFrame:
-        return marts.mart_top_movies(self.fct_movie_ratings, self.dim_movies)
+        return marts.mart_top_movies(self.fct_movie_ratings, self.dim_movies, self.kept)
 
     # The headline floor admits few titles. Kept step by step, the planner knows how
     # few: it finds their catalogue rows and then their credits without shuffling
@@ -188,11 +188,11 @@ class Catalogue:
 
     @layered
     def highest_rated_movie(self) -> DataFrame:
-        return kpis.highest_rated_movie(self.fct_movie_ratings, self.dim_movies)
+        return kpis.highest_rated_movie(self.fct_movie_ratings, self.dim_movies, self.kept)
 
     @layered
     def most_popular_movie(self) -> DataFrame:
-        return kpis.most_popular_movie(self.fct_movie_ratings, self.dim_movies)
+        return kpis.most_popular_movie(self.fct_movie_ratings, self.dim_movies, self.kept)
 
     @layered
     def latest_now_playing_snapshot(self) -> DataFrame:
@@ -225,5 +225,5 @@ class Catalogue:
     # public results ----------------------------------------------------------
     @cached_property
     def public_results(self) -> dict[str, DataFrame]:
-        """Every public result set, kept so that all contract checks see the same rows."""
-        return {name: self.kept.keep(f"public_{name}", public.result(name, self)) for name in public.RESULT_NAMES}
+        """Every public result set, kept so that all contract checks see the same rows; unranked lists have positions."""
+        return {name: self.kept.keep(f"public_{name}", public.positioned(name, self)) for name in public.RESULT_NAMES}

@@ -21,14 +21,14 @@ def _fallback_id() -> Column:
     return F.concat(F.lit(FALLBACK_ID_PREFIX), F.col("tmdb_id").cast("string"))
 
 
-def dim_movies(details: DataFrame, titles: DataFrame) -> DataFrame:
+def dim_movies(details: DataFrame, titles: DataFrame, kept: KeptTables) -> DataFrame:
     """Both sources merged on the shared id: every title and every detail row, once per match.
 
     A full outer join would hash all detail rows without an id, and all rows of
     a frequent id, to one task each, and Spark cannot split that join type.
-    The same result is a left join from the details (whose frequent ids adaptive
-    execution may split), the titles no detail links to, and the detail rows
-    without an id, which need no join.
+    The same result is a left join from the details, whose frequent ids adaptive
+    execution may split, and the titles no detail links to. Both branches read
+    the two narrow inputs from kept tables, so each is excluded once.
     """
     listed = catalogue_titles(titles).select(
         "imdb_id",
@@ -41,6 +41,7 @@ def dim_movies(details: DataFrame, titles: DataFrame) -> DataFrame:
         "content_type",
     )
     detail = details.select("imdb_id", "tmdb_id", "movie_title", "tmdb_release_date", "tmdb_runtime_min")
+    listed, detail = kept.keep("catalogue_titles", listed), kept.keep("catalogue_details", detail)
     with_details = left_join_known(detail, listed, "imdb_id")
     linked_ids = detail.filter(F.col("imdb_id").isNotNull()).select("imdb_id").distinct()
     title_only = listed.join(linked_ids, "imdb_id", "left_anti")
@@ -102,9 +103,8 @@ def bridge_movie_people(movies: DataFrame, principals: DataFrame) -> DataFrame:
 def fct_movie_ratings(movies: DataFrame, ratings: DataFrame, details: DataFrame) -> DataFrame:
     """Ratings and votes of both sources per catalogue row.
 
-    Most rows know one source only, so each join skips the rows without its key.
-    ``movies`` is read once per combination, with the key tests pushed into its
-    scan.
+    Most rows know one source only; each join spreads the rows without its key,
+    so the three inputs are read once each.
     """
     second = details.select("tmdb_id", "tmdb_avg_rating", F.col("tmdb_num_votes").alias("tmdb_num_of_votes"))
     first = ratings.select(

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from catalogmart.functions import rules
 from catalogmart.functions.means import exact_mean
 from catalogmart.plans.marts import average_rating_by_genre, headline_order, qualifying, with_names
+from catalogmart.sources.tables import KeptTables
 
 
 def average_runtime(movies: DataFrame) -> DataFrame:
@@ -20,23 +21,23 @@ def avg_movie_rating(ratings: DataFrame) -> DataFrame:
     return ratings.agg(F.round(exact_mean(rules.preferred_rating()), 2).alias("avg_movie_rating"))
 
 
-def highest_rated_movie(ratings: DataFrame, movies: DataFrame) -> DataFrame:
+def highest_rated_movie(ratings: DataFrame, movies: DataFrame, kept: KeptTables) -> DataFrame:
     """At most one row."""
     rated = qualifying(ratings, rules.HEADLINE_FLOOR).filter(F.col("avg_rating").isNotNull())
-    return _named(rated.orderBy(*headline_order()).limit(1), movies)
+    return _named(rated.orderBy(*headline_order()).limit(1), movies, kept)
 
 
-def most_popular_movie(ratings: DataFrame, movies: DataFrame) -> DataFrame:
+def most_popular_movie(ratings: DataFrame, movies: DataFrame, kept: KeptTables) -> DataFrame:
     """Most preferred votes among rated titles; at most one row."""
     rated = ratings.filter(rules.has_rating() & rules.has_votes()).select(
         "movie_id", rules.preferred_rating().alias("avg_rating"), rules.preferred_votes().alias("num_of_votes")
     )
     order = [F.col("num_of_votes").desc_nulls_last(), F.col("movie_id").asc(), F.col("avg_rating").desc_nulls_last()]
-    return _named(rated.orderBy(*order).limit(1), movies)
+    return _named(rated.orderBy(*order).limit(1), movies, kept)
 
 
-def _named(best: DataFrame, movies: DataFrame) -> DataFrame:
-    named = with_names(best, movies).select("movie_id", "movie_name", "avg_rating", "num_of_votes")
+def _named(best: DataFrame, movies: DataFrame, kept: KeptTables) -> DataFrame:
+    named = with_names(best, movies, kept).select("movie_id", "movie_name", "avg_rating", "num_of_votes")
     # One row even if the catalogue repeats the id.
     return named.orderBy(F.col("movie_name").asc_nulls_last()).limit(1)
 

@@ -1,7 +1,7 @@
 """Analytics marts over the curated layer.
 
-Vote floors filter the ratings before any join, and every average sums whole
-numbers, so results do not depend on partitioning.
+Vote floors filter the ratings before any join, and every average sums exact
+decimals, so results do not depend on partitioning.
 """
 
 from __future__ import annotations
@@ -10,8 +10,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from catalogmart.functions import rules
-from catalogmart.functions.means import exact_mean, mean_of_scaled, scaled
+from catalogmart.functions.means import exact, exact_mean, mean_of
 from catalogmart.operators.ranking import top_per_group, top_rows
+from catalogmart.sources.tables import KeptTables
 
 TITLES_SHOWN = 10
 YEARS_SHOWN = 10
@@ -51,14 +52,14 @@ def average_runtime_by_genre(genres: DataFrame, movies: DataFrame) -> DataFrame:
     return joined.groupBy("genre_name").agg(F.avg("runtime_min").alias("genre_avg_runtime"))
 
 
-def era_ratings(movies: DataFrame, ratings: DataFrame) -> DataFrame:
-    """Rated titles whose preferred votes reach the floor of their release year.
+def era_ratings(movies: DataFrame, ratings: DataFrame, least_votes: int = 0) -> DataFrame:
+    """Rated titles whose preferred votes reach the floor of their release year, and least_votes.
 
     The lowest floor of all applies before the join, each year's own after it.
     """
     rated = _rated(ratings.filter(rules.has_rating()))
     dated = movies.filter(F.col("release_year").isNotNull()).select("movie_id", "release_year")
-    lowest = min([rules.ERA_FLOOR_LATEST, *[votes for _, votes in rules.ERA_FLOORS]])
+    lowest = max(least_votes, min([rules.ERA_FLOOR_LATEST, *[votes for _, votes in rules.ERA_FLOORS]]))
     joined = dated.join(rated.filter(F.col("num_of_votes") >= lowest), "movie_id")
     return joined.filter(F.col("num_of_votes") >= rules.era_vote_floor(F.col("release_year"))).drop("num_of_votes")
 
@@ -75,10 +76,10 @@ def no_of_movies_every_decade(movies: DataFrame) -> DataFrame:
     return decades.groupBy("decade").agg(F.count(F.lit(1)).alias("movies_made_in_decade"))
 
 
-def mart_rating_distribution(ratings: DataFrame) -> DataFrame:
-    """Titles per rating bracket with their share of the qualifying population."""
+def mart_rating_distribution(ratings: DataFrame, floor: tuple[int, int] = rules.DISTRIBUTION_FLOOR) -> DataFrame:
+    """Titles per rating bracket with their share of the population that reaches the vote floor."""
     rating = rules.preferred_rating()
-    qualified = ratings.filter(rules.either_votes_reach(rules.DISTRIBUTION_FLOOR) & rules.has_rating())
+    qualified = ratings.filter(rules.either_votes_reach(floor) & rules.has_rating())
     bins = qualified.groupBy(
         rules.bracket_label(rating).alias("rating_bracket"), rules.bracket_order(rating).alias("bucket_order")
     ).agg(F.count(F.lit(1)).alias("movie_count"))
@@ -93,17 +94,19 @@ def mart_rating_distribution(ratings: DataFrame) -> DataFrame:
     )
 
 
-def mart_top_movies(ratings: DataFrame, movies: DataFrame, k: int = TITLES_SHOWN) -> DataFrame:
+def mart_top_movies(ratings: DataFrame, movies: DataFrame, kept: KeptTables, k: int = TITLES_SHOWN) -> DataFrame:
     ranked = top_rows(qualifying(ratings, rules.HEADLINE_FLOOR), headline_order(), k, "movie_rank")
-    return with_names(ranked, movies).select("movie_id", "movie_name", "avg_rating", "num_of_votes", "movie_rank")
+    return with_names(ranked, movies, kept).select("movie_id", "movie_name", "avg_rating", "num_of_votes", "movie_rank")
 
 
-def with_names(ranked: DataFrame, movies: DataFrame) -> DataFrame:
+def with_names(ranked: DataFrame, movies: DataFrame, kept: KeptTables) -> DataFrame:
     """Names for a ranked handful of titles; a title without a catalogue row keeps a NULL name.
 
-    ``ranked`` is a top-k result, so broadcasting it is bounded by k. The semi
-    join looks its names up without shuffling the catalogue.
+    ``ranked`` is a top-k result: its k rows are kept, so the ratings are ranked
+    once, and broadcasting them is bounded by k. The semi join looks their names
+    up without shuffling the catalogue.
     """
+    ranked = kept.keep("ranked", ranked)
     names = movies.select("movie_id", "movie_name")
     found = names.join(F.broadcast(ranked.select("movie_id")), "movie_id", "left_semi")
     return ranked.join(found, "movie_id", "left")
@@ -114,7 +117,7 @@ def headline_ratings(ratings: DataFrame) -> DataFrame:
     return (
         qualifying(ratings, rules.HEADLINE_FLOOR)
         .groupBy("movie_id")
-        .agg(F.sum(scaled(F.col("avg_rating"))).alias("total"), F.count("avg_rating").alias("rated"))
+        .agg(F.sum(exact(F.col("avg_rating"))).alias("total"), F.count("avg_rating").alias("rated"))
     )
 
 
@@ -140,7 +143,7 @@ def eligible_people(credits: DataFrame, headline: DataFrame) -> DataFrame:
         .agg(F.sum("total").alias("total"), F.sum("rated").alias("rated"))
     )
     per_person = per_title.groupBy("person_id", "job_role").agg(
-        mean_of_scaled(F.sum("total"), F.sum("rated")).alias("person_rating"), F.count(F.lit(1)).alias("movie_count")
+        mean_of(F.sum("total"), F.sum("rated")).alias("person_rating"), F.count(F.lit(1)).alias("movie_count")
     )
     return per_person.filter(F.col("movie_count") >= rules.role_minimum(F.col("job_role")))
 
@@ -160,10 +163,10 @@ def mart_top_people(
 def mart_top_years(era: DataFrame, k: int = YEARS_SHOWN) -> DataFrame:
     """Best years by rounded mean rating among years with enough distinct titles."""
     per_title = era.groupBy("release_year", "movie_id").agg(
-        F.sum(scaled(F.col("avg_rating"))).alias("total"), F.count("avg_rating").alias("rated")
+        F.sum(exact(F.col("avg_rating"))).alias("total"), F.count("avg_rating").alias("rated")
     )
     per_year = per_title.groupBy("release_year").agg(
-        F.round(mean_of_scaled(F.sum("total"), F.sum("rated")), 2).alias("release_yr_avg_rating"),
+        F.round(mean_of(F.sum("total"), F.sum("rated")), 2).alias("release_yr_avg_rating"),
         F.count(F.lit(1)).alias("movie_count"),
     )
     order = [F.col("release_yr_avg_rating").desc_nulls_last(), F.col("release_year").asc()]

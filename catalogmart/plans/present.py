@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 
 from catalogmart.functions.rules import DECADE_COUNT, FIRST_DECADE, TOP_BRACKET
 from catalogmart.operators.contract import not_finite
+from catalogmart.operators.ranking import numbered
 from catalogmart.plans.public import LARGEST
 from catalogmart.sources.bounded import require_at_most
+from catalogmart.sources.tables import KeptTables
 
 CHART_PEOPLE = 10
 STALE_DAYS = 8
@@ -37,11 +39,15 @@ def dense_decades(decades: DataFrame, value: str) -> DataFrame:
     return filled.filter("_any > 0").select("decade", value)
 
 
-def leaders(rows: DataFrame, value: str) -> DataFrame:
-    """All rows that share the largest known, finite value."""
+def leaders(rows: DataFrame, value: str, maximum: int = max(LARGEST.values())) -> DataFrame:
+    """All rows of a published list that share the largest known, finite value.
+
+    Fails beyond the largest published list, so the window that holds them is bounded.
+    """
     known = F.when(~not_finite(F.col(value).cast("double")), F.col(value))
-    best = rows.agg(F.max(known).alias("_best"))
-    return rows.join(best, rows[value] == best["_best"], "left_semi")
+    best = F.max(known).over(Window.partitionBy())
+    bounded = require_at_most(rows, maximum, "list")
+    return bounded.withColumn("_best", best).filter(F.col(value) == F.col("_best")).drop("_best")
 
 
 def coverage_ratio(rated: DataFrame, total: DataFrame) -> DataFrame:
@@ -88,12 +94,10 @@ def region_view(recommendations: DataFrame, counts: DataFrame, captures: DataFra
 
 
 def genre_order(rows: DataFrame, value: str) -> DataFrame:
-    """Chart order: value descending with unknown last, name ascending, with its position.
-
-    Fails beyond the published list size, so only bounded lists are numbered.
-    """
-    place = F.row_number().over(Window.partitionBy().orderBy(F.col(value).desc_nulls_last(), F.col("genre").asc()))
-    return require_at_most(rows, LARGEST["genre_ratings"], "genres").withColumn("position", place)
+    """Chart order: value descending with unknown last, name ascending, with its position."""
+    order = [F.col(value).desc_nulls_last(), F.col("genre").asc()]
+    placed = numbered(rows, order, "position", KeptTables(rows.sparkSession))
+    return placed.select(*rows.columns, F.col("position").cast("int").alias("position"))
 
 
 def shared_leader(highest: DataFrame, most_voted: DataFrame) -> DataFrame:

@@ -135,13 +135,25 @@ def result(name: str, catalogue) -> DataFrame:
 
 
 RESULT_NAMES = (*RELATIONS, "captures")
+#: Lists whose rows carry no rank.
+UNRANKED = ("rating_bins", "genre_ratings", "genre_runtimes", "decade_counts", "decade_ratings", "region_counts")
+
+
+def positioned(name: str, catalogue) -> DataFrame:
+    """One result set; a list without ranks gets the position at which each row is published."""
+    rows = result(name, catalogue)
+    if name not in UNRANKED:
+        return rows
+    by_mart = {column: field for field, column in FIELDS[name].items()}
+    order = [("-" if c.startswith("-") else "") + by_mart[c.removeprefix("-")] for c in ORDER[name]]
+    return top_rows(rows, _ordering(order), LARGEST[name], "position")
 
 
 # Constraints of the public fields.
 BRACKETS = ("0-1", "1-2", "2-3", "3-4", "4-5", "5-6", "6-7", "7-8", "8-9", "9-10")
 DECADE_PATTERN = r"^(189|19\d|20[0-2])0s$"
-COUNT = {"low": 0}
-RATING = {"nullable": True, "low": 0, "high": 10}
+COUNT = {"low": 0, "integer": True}
+RATING = {"nullable": True, "finite": True, "low": 0, "high": 10}
 NAME = {"nullable": True, "max_length": 2000}
 IDENTITY = {"min_length": 1, "max_length": 128}
 GENRE = FieldRule("genre", min_length=1, max_length=500)
@@ -150,49 +162,57 @@ TITLE_RULES = [
     FieldRule("movie_id", **IDENTITY),
     FieldRule("title", **NAME),
     FieldRule("rating", **RATING),
-    FieldRule("votes", nullable=True, low=0),
+    FieldRule("votes", nullable=True, integer=True, low=0),
 ]
 FIELD_RULES = {
     "rating_bins": [
         FieldRule("bracket", values=BRACKETS),
-        FieldRule("order", low=0, high=9),
+        FieldRule("order", integer=True, low=0, high=9),
         FieldRule("movie_count", **COUNT),
-        FieldRule("percentage", low=0, high=100),
+        FieldRule("percentage", finite=True, low=0, high=100),
         FieldRule("population_count", **COUNT),
     ],
     "genre_ratings": [GENRE, FieldRule("avg_rating", **RATING)],
-    "genre_runtimes": [GENRE, FieldRule("avg_runtime_minutes", nullable=True, low=40, high=300)],
+    "genre_runtimes": [GENRE, FieldRule("avg_runtime_minutes", nullable=True, finite=True, low=40, high=300)],
     "decade_counts": [DECADE, FieldRule("movie_count", **COUNT)],
     "decade_ratings": [DECADE, FieldRule("avg_rating", **RATING)],
     "top_years": [
-        FieldRule("rank", low=1, high=10),
-        FieldRule("year"),
+        FieldRule("rank", integer=True, low=1, high=10),
+        FieldRule("year", integer=True),
         FieldRule("avg_rating", **RATING),
-        FieldRule("movie_count", low=5),
+        FieldRule("movie_count", integer=True, low=5),
     ],
     "highest_rated_movie": TITLE_RULES,
     "most_voted_movie": TITLE_RULES,
-    "top_movies": [FieldRule("rank", low=1, high=10), *TITLE_RULES],
+    "top_movies": [FieldRule("rank", integer=True, low=1, high=10), *TITLE_RULES],
     "people": [
         FieldRule("role", values=tuple(ROLE_MINIMUMS)),
-        FieldRule("rank", low=1, high=20),
+        FieldRule("rank", integer=True, low=1, high=20),
         FieldRule("person_id", **IDENTITY),
         FieldRule("name", **NAME),
-        FieldRule("movie_count", low=3),
+        FieldRule("movie_count", integer=True, low=3),
         FieldRule("avg_rating", **RATING),
     ],
     "region_counts": [FieldRule("region", values=("IN", "US")), FieldRule("movie_count", **COUNT)],
     "recommendations": [
         FieldRule("region", values=("IN", "US")),
-        FieldRule("rank", low=1, high=5),
+        FieldRule("rank", integer=True, low=1, high=5),
         *TITLE_RULES,
         FieldRule("release_date", nullable=True),
         FieldRule("overview", **NAME),
-        FieldRule("popularity", nullable=True, low=0),
+        FieldRule("popularity", nullable=True, finite=True, low=0),
     ],
     "total_movies": [FieldRule("total_movies", **COUNT)],
     "rated_movies": [FieldRule("rated_movies", **COUNT)],
     "avg_rating": [FieldRule("avg_rating", **RATING)],
-    "avg_runtime_minutes": [FieldRule("avg_runtime_minutes", nullable=True, low=40, high=300)],
+    "avg_runtime_minutes": [FieldRule("avg_runtime_minutes", nullable=True, finite=True, low=40, high=300)],
     "latest_snapshot_date": [FieldRule("latest_snapshot_date")],
+    "captures": [
+        FieldRule("region", values=("IN", "US")),
+        FieldRule("min_capture_date"),
+        FieldRule("max_capture_date"),
+        FieldRule("row_count", integer=True, low=1),
+        FieldRule("unique_movie_count", integer=True, low=1),
+        FieldRule("capture_date_count", integer=True, low=1),
+    ],
 }

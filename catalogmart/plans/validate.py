@@ -27,21 +27,34 @@ RANKED_LISTS = {
         ["region"],
     ),
 }
+# list -> (identity, published order)
 UNRANKED_LISTS = {
-    "genre_ratings": "genre",
-    "genre_runtimes": "genre",
-    "decade_counts": "decade",
-    "decade_ratings": "decade",
+    "rating_bins": ("order", lambda: [F.col("order").asc()]),
+    "genre_ratings": ("genre", lambda: [_desc("avg_rating"), F.col("genre").asc()]),
+    "genre_runtimes": ("genre", lambda: [_desc("avg_runtime_minutes"), F.col("genre").asc()]),
+    "decade_counts": ("decade", lambda: [F.col("decade").asc()]),
+    "decade_ratings": ("decade", lambda: [F.col("decade").asc()]),
+    "region_counts": ("region", lambda: [F.col("region").asc()]),
 }
+#: list -> columns that must hold calendar dates.
+DATES = {
+    "recommendations": ["release_date"],
+    "captures": ["min_capture_date", "max_capture_date"],
+    "latest_snapshot_date": ["latest_snapshot_date"],
+}
+#: Column of an unranked list that says where a row was published.
+POSITION = "position"
 SCALARS = ("total_movies", "rated_movies", "avg_rating", "avg_runtime_minutes", "latest_snapshot_date")
 HIGHLIGHTS = ("highest_rated_movie", "most_voted_movie")
 
 
-def contract_issues(results: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+def contract_issues(results: Mapping[str, DataFrame], instants: DataFrame | None = None) -> dict[str, DataFrame]:
     """Violating rows of every contract check, by check name; all empty means publishable.
 
     ``results`` holds the public result sets by name. The sets are bounded, so
-    keep or cache them before running many checks.
+    keep or cache them before running many checks. A list without ranks is
+    checked for its order when it carries its ``position``; ``instants`` has the
+    texts ``completed`` and ``exported`` of a publication.
     """
     r = results
     found = {f"one_row {name}": contract.not_one_row(r[name], name) for name in SCALARS}
@@ -49,24 +62,31 @@ def contract_issues(results: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
     for name, (identity, order, within) in RANKED_LISTS.items():
         found[f"identity {name}"] = contract.repeated_identities(r[name], identity, within)
         found[f"ranks {name}"] = contract.broken_ranks(r[name], order(), within)
-    for name, identity in UNRANKED_LISTS.items():
+    for name, (identity, order) in UNRANKED_LISTS.items():
         found[f"identity {name}"] = contract.repeated_identities(r[name], identity)
+        placed = r[name] if POSITION in r[name].columns else r[name].limit(0).withColumn(POSITION, F.lit(0))
+        found[f"order {name}"] = contract.broken_ranks(placed, order(), rank=POSITION)
+    for name, columns in DATES.items():
+        texts = r[name].select(*[F.col(c).cast("string").alias(c) for c in columns])
+        found[f"dates {name}"] = reduce(DataFrame.unionAll, [contract.impossible_dates(texts, c) for c in columns])
+    if instants is not None:
+        found["sequence"] = contract.sequence_issues(instants, "completed", "exported")
     population = r["rating_bins"].agg(F.max("population_count").alias("n"))
     found["populations"] = contract.population_chain(population, r["rated_movies"], r["total_movies"])
-    found["bins"] = contract.bin_issues(r["rating_bins"])
+    found["bins"] = contract.bin_issues(r["rating_bins"].drop(POSITION))
     found["roles"] = contract.role_limit_issues(r["people"])
     found["regions"] = contract.region_coverage_issues(r["region_counts"], r["recommendations"])
     found["captures"] = contract.capture_issues(r["captures"], r["region_counts"])
     found["latest"] = contract.latest_mismatch(r["latest_snapshot_date"], r["captures"])
     for name, rules in public.FIELD_RULES.items():
-        found[f"fields {name}"] = contract.field_rule_issues(r[name], rules)
+        found[f"fields {name}"] = contract.field_rule_issues(r[name].drop(POSITION), rules)
     return found
 
 
-def summary(results: Mapping[str, DataFrame]) -> DataFrame:
+def summary(results: Mapping[str, DataFrame], instants: DataFrame | None = None) -> DataFrame:
     """(check, violations) of every contract check."""
     counted = [
         df.agg(F.count(F.lit(1)).alias("violations")).select(F.lit(name).alias("check"), "violations")
-        for name, df in contract_issues(results).items()
+        for name, df in contract_issues(results, instants).items()
     ]
     return reduce(DataFrame.unionByName, counted)

@@ -43,7 +43,7 @@ DETAIL_COLUMNS = (
     "poster_path",
 )
 LISTING = (
-    "results array<struct<id:bigint,title:string,release_date:string,vote_average:double,"
+    "page bigint, total_pages bigint, results array<struct<id:bigint,title:string,release_date:string,vote_average:double,"
     "vote_count:bigint,genre_ids:array<bigint>,overview:string,poster_path:string,popularity:double>>"
 )
 
@@ -87,7 +87,8 @@ def flatten_listing(pages: DataFrame, snapshot_date: Column, payload: str = "pay
     """Result rows of all listing pages, tagged with their region and capture date.
 
     ``pages`` holds one page per row with its ``region``; all regions and pages
-    flatten in one pass.
+    flatten in one pass. ``rejected_pages`` and ``missing_pages`` say what a
+    listing lacks; both must be empty before it is loaded.
     """
     parsed = F.from_json(payload, LISTING, LENIENT_JSON)
     rows = pages.select("region", snapshot_date.alias("snapshot_date"), F.inline(parsed["results"]))
@@ -106,6 +107,34 @@ def flatten_listing(pages: DataFrame, snapshot_date: Column, payload: str = "pay
     )
 
 
+def rejected_pages(pages: DataFrame, payload: str = "payload") -> DataFrame:
+    """Pages that ``flatten_listing`` cannot use whole, with the issue.
+
+    ``unreadable``: no JSON object, no list of results or no page count;
+    ``bad_item``: a result without a whole-number id.
+    """
+    parsed = F.from_json(payload, LISTING, LENIENT_JSON)
+    whole = parsed["results"].isNotNull() & parsed["total_pages"].isNotNull()
+    bad_item = F.exists(parsed["results"], lambda item: item["id"].isNull())
+    issue = F.when(~F.coalesce(whole, F.lit(False)), "unreadable").when(bad_item, "bad_item")
+    return pages.withColumn("issue", issue).filter("issue IS NOT NULL")
+
+
+def missing_pages(pages: DataFrame, payload: str = "payload") -> DataFrame:
+    """(region, page) of every page up to the region's page count that did not land readable."""
+    parsed = F.from_json(payload, "page bigint, total_pages bigint", LENIENT_JSON)
+    known = pages.select("region", parsed["page"].alias("page"), parsed["total_pages"].alias("total_pages"))
+    expected = known.groupBy("region").agg(F.max("total_pages").alias("total_pages")).filter("total_pages > 0")
+    expected = expected.select("region", F.explode(F.sequence(F.lit(1).cast("bigint"), "total_pages")).alias("page"))
+    return expected.join(known.select("region", "page").distinct(), ["region", "page"], "left_anti")
+
+
+def rejected_genres(payloads: DataFrame, payload: str = "payload") -> DataFrame:
+    """Payloads without a readable list of genres."""
+    parsed = F.from_json(payload, "genres array<struct<id:bigint,name:string>>", LENIENT_JSON)
+    return payloads.filter(parsed["genres"].isNull())
+
+
 def enrichment_keys(listing: DataFrame) -> DataFrame:
     """Distinct ids of the listing: the titles that need a detail row."""
     return listing.select("id").distinct()

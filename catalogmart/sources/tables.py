@@ -19,32 +19,47 @@ class IncompleteLoadError(RuntimeError):
     """A load misses rows it must have; the target was left as it was."""
 
 
+_PRIVATE: dict[str, str] = {}
+
+
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
-    A private folder stands in only in local mode, where driver and executors
-    are one process.
+    A private folder, one per application, stands in only in local mode, where
+    driver and executors are one process.
     """
     context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if folder:
         return folder.rstrip("/")
     if context.master.startswith("local"):
-        return tempfile.mkdtemp(prefix="catalogmart-")
+        if context.applicationId not in _PRIVATE:
+            _PRIVATE[context.applicationId] = tempfile.mkdtemp(prefix="catalogmart-")
+        return _PRIVATE[context.applicationId]
     raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
 
 
+def deleted_on_exit(spark: SparkSession, folder: str) -> None:
+    """Make the folder, to be deleted when the application ends."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.mkdirs(path)
+    files.deleteOnExit(path)
+
+
 class KeptTables:
     """Results that several plans read, written once as Parquet.
 
     A written table survives lost executors, cuts the lineage, and tells the
     planner its true size: joins against it broadcast only below
-    ``spark.sql.autoBroadcastJoinThreshold`` and shuffle beyond.
+    ``spark.sql.autoBroadcastJoinThreshold`` and shuffle beyond. The tables go
+    when the application ends, or with ``discard``.
     """
 
     def __init__(self, spark: SparkSession):
         self.spark = spark
         self.folder = f"{shared_folder(spark)}/kept-{uuid.uuid4().hex}"
+        deleted_on_exit(spark, self.folder)
 
     def keep(self, name: str, df: DataFrame) -> DataFrame:
         path = f"{self.folder}/{name}-{uuid.uuid4().hex}"

@@ -141,7 +141,7 @@ def test_merge_equals_a_brute_force_full_outer_join(rows, seed):
     for t in films:
         if t[0] not in met:
             expected.append((t[0], t[0], None, t[2], t[3], None, t[4], t[5], t[7], t[1]))
-    movies = curated.dim_movies(detail_df, title_df)
+    movies = curated.dim_movies(detail_df, title_df, KeptTables(detail_df.sparkSession))
     assert movies.columns == [
         "movie_id", "imdb_id", "tmdb_id", "movie_name", "imdb_original_title", "tmdb_movie_title", "is_adult",
         "release_year", "runtime_min", "content_type",
@@ -163,7 +163,7 @@ def test_genre_bridge(rows, seed):
 @pytest.mark.parametrize("seed", [1, 2, 3])
 def test_ratings_fact(rows, seed):
     _, details, title_df, detail_df = random_catalogue(rows, seed)
-    movies = curated.dim_movies(detail_df, title_df)
+    movies = curated.dim_movies(detail_df, title_df, KeptTables(detail_df.sparkSession))
     ratings = {f"tt{i}": (i / 10, i * 50) for i in range(0, 30, 2)}
     rating_df = rows([(k, *v) for k, v in ratings.items()], "imdb_id string, avg_rating double, num_of_votes bigint")
     by_id = {d[0]: d for d in details}
@@ -218,7 +218,7 @@ def test_one_highlight_even_if_the_catalogue_repeats_the_id(rows):
                  "movie_id string, imdb_avg_rating double, imdb_num_of_votes bigint, tmdb_avg_rating double, "
                  "tmdb_num_of_votes bigint")
     movies = rows([("a", "y"), ("a", "x")], "movie_id string, movie_name string")
-    assert tuples(kpis.highest_rated_movie(facts, movies)) == [("a", "x", 9.0, 100_000)]
+    assert tuples(kpis.highest_rated_movie(facts, movies, KeptTables(facts.sparkSession))) == [("a", "x", 9.0, 100_000)]
 
 
 def test_declared_tests_are_complete():

@@ -60,11 +60,13 @@ HISTOGRAM = (
     [
         (GOOD_BINS, []),
         ([], []),
-        ([("7-8", 7, 3, 60.0, 5), ("7-8", 7, 2, 40.0, 5)], ["duplicate_bin"]),
-        ([("7-8", 8, 3, 60.0, 5), ("9-10", 9, 2, 40.0, 5)], ["invalid_bin"]),
-        ([("7-8", 7, 3, 60.0, 5), ("9-10", 9, 2, 40.0, 6)], ["incorrect_population"]),
-        ([("7-8", 7, 3, 59.0, 5), ("9-10", 9, 2, 40.0, 5)], ["incorrect_population"]),
-        ([(None, 9, 5, 100.0, 5)], ["invalid_bin"]),
+        ([("7-8", 7, 3, 60.0, 5), ("7-8", 7, 2, 40.0, 5)], ["repeated_bins"]),
+        ([("7-8", 8, 3, 60.0, 5), ("9-10", 9, 2, 40.0, 5)], ["misnamed"]),
+        ([("7-8", 7, 3, 60.0, 5), ("9-10", 9, 2, 40.0, 6)], ["counts_do_not_add_up", "several_populations"]),
+        ([("7-8", 7, 3, 59.0, 5), ("9-10", 9, 2, 40.0, 5)], ["percentages_do_not_add_up"]),
+        ([(None, 9, 5, 100.0, 5)], ["misnamed"]),
+        ([("10-11", 10, 5, 100.0, 5)], ["no_such_bin"]),
+        ([("9-10", 9, -1, 100.0, 5)], ["count_out_of_bounds", "counts_do_not_add_up"]),
     ],
 )
 def test_histogram_invariants(rows, data, issues):
@@ -149,7 +151,11 @@ def test_capture_reconciliation(rows):
     assert issues([("US", None, None, 2, 2, 0), good[1]]) == [("US", True, True)]
     assert issues([("US", *good[0][1:3], 2, 0, 2), good[1]]) == [("US", True, False)]
     assert issues([("US", *good[0][1:3], 9, 9, 9), good[1]]) == [("US", True, False)]
-    assert issues([("XX", *good[0][1:3], 2, 2, 2)]) == [("XX", True, False)]
+    strange = [("XX", *good[0][1:3], 2, 2, 2)]
+    assert issues(strange) == [("IN", True, True), ("US", True, True), ("XX", True, False)]
+    assert issues(good[1:]) == [(good[0][0], True, True)]
+    gone = contract.capture_issues(rows(good, schema), counts.limit(0))
+    assert tuples(gone) == sorted((g[0], True, False) for g in good)
     latest = rows([(day(2026, 10, 1),)], "d date")
     assert contract.latest_mismatch(latest, rows(good, schema)).isEmpty()
     assert contract.latest_mismatch(latest, rows([], schema)).count() == 1
@@ -286,3 +292,31 @@ def test_overflowing_lists_fail(rows, name, schema, maximum):
     assert public.published(name, rows([(None,) * width] * maximum, schema)).count() == maximum
     with pytest.raises(PySparkException, match="more than"):
         public.published(name, rows([(None,) * width] * (maximum + 1), schema)).collect()
+
+
+def test_field_rules_know_types(rows):
+    titles = rows([("a", "A", 2.5, 2.5), ("b", "B", float("nan"), 3.0), ("c", "C", 1.0, None)], "movie_id string, title string, rating double, votes double")
+    found = {(r["field"], r["rule"]) for r in contract.field_rule_issues(titles, public.TITLE_RULES).collect()}
+    assert {("votes", "integer"), ("rating", "finite")} <= found and ("votes", "finite") not in found
+
+
+def test_large_whole_numbers_keep_their_digits(rows):
+    data = [(1e16,), (-(2.0**60),), (1e22,), (0.5,), (-0.0,), (None,)]
+    got = [r[0] for r in contract.normalize_scalars(rows(data, "x double")).collect()]
+    assert got == ["10000000000000000", "-1152921504606846976", "10000000000000000000000", "0.5", "0", None]
+    for odd in (float("nan"), float("inf"), float("-inf")):
+        with pytest.raises(Exception, match="not finite"):
+            contract.normalize_scalars(rows([(odd,)], "x double")).collect()
+
+
+def test_genres_of_any_number_are_placed(spark):
+    many = spark.range(1_500).selectExpr("concat('g', id) AS genre", "if(id % 7 = 0, null, cast(id % 50 AS double)) AS avg_rating")
+    places = [r["position"] for r in present.genre_order(many, "avg_rating").orderBy(F.col("avg_rating").desc_nulls_last(), "genre").collect()]
+    assert places == list(range(1, 1_501))
+
+
+def test_fingerprints_are_bounded_in_bytes(rows):
+    df = rows([("x" * 100,)], "a string")
+    assert contract.fingerprint(df, 5).first()["row_count"] == 1
+    with pytest.raises(Exception, match="more than 50 bytes"):
+        contract.fingerprint(df, 5, max_bytes=50).collect()

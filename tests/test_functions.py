@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from catalogmart.functions import rules, text
 from catalogmart.functions.means import exact_mean
+from catalogmart.functions.text import id_tags, tag_names
 
 # The token truth table.
 TOKEN_CASES = [
@@ -106,3 +107,15 @@ def test_mean_does_not_depend_on_order(spark, rows):
     down = rows(data[::-1], "r double").repartition(7).agg(exact_mean(F.col("r"))).first()[0]
     assert up == down == 5.0
     assert rows([(None,)], "r double").agg(exact_mean(F.col("r"))).first()[0] is None
+
+
+def test_means_keep_every_decimal(rows):
+    data = [(7.1234567,), (7.1234561,), (None,)]
+    assert rows(data, "r double").agg(exact_mean(F.col("r"))).first()[0] == 7.1234564
+    assert rows([(0.1,), (0.2,), (0.3,)], "r double").agg(exact_mean(F.col("r"))).first()[0] == 0.6 / 3
+
+
+def test_tags_are_read_from_lists_of_mixed_elements(rows):
+    cells = rows([('[{"id":1,"name":"News"},5]',), ("[7.0, 12, \"x\", null, \"9\", {}]",), ("{}",), ("[",), (None,)], "c string")
+    got = [tuple(r) for r in cells.select(tag_names(F.col("c")), id_tags(F.col("c"))).collect()]
+    assert got == [(["News", None], [None, 5]), ([None] * 6, [7, 12, None, None, 9, None]), (None, None), (None, None), (None, None)]

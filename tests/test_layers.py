@@ -6,8 +6,10 @@ import datetime
 from functools import partial
 
 import pytest
+from pyspark.sql import Window
+from pyspark.sql import functions as F
 
-from catalogmart.plans import layers, marts, quality, validate
+from catalogmart.plans import curated, layers, marts, quality, validate
 from catalogmart.plans.build import Catalogue
 from catalogmart.sources.schemas import CSV_RELATIONS, RAW_SCHEMAS, TSV_RELATIONS
 from catalogmart.sources.tables import EmptyLoadError
@@ -182,3 +184,38 @@ def test_golden_document_meets_the_contract(rows, changes):
 def test_contract_faults_are_named(rows, changes, broken):
     issues = validate.contract_issues(document(rows, **changes))
     assert not [name for name in broken if issues[name].isEmpty()]
+
+
+def test_published_order_dates_and_sequence_are_checked(rows):
+    good = document(rows)
+    for name in validate.UNRANKED_LISTS:
+        good[name] = good[name].withColumn("position", F.row_number().over(Window.orderBy(*validate.UNRANKED_LISTS[name][1]())))
+    instants = lambda a, b: rows([(a, b)], "completed string, exported string")
+    fine = instants("2026-10-01T10:00:00Z", "2026-10-01T11:00:00Z")
+    assert validate.summary(good, fine).filter("violations > 0").isEmpty()
+    swapped = good | {"genre_ratings": good["genre_ratings"].withColumn("position", 3 - F.col("position"))}
+    broken = {r["check"] for r in validate.summary(swapped, instants("2026-10-01T12:00:00Z", "2026-10-01T11:00:00Z")).filter("violations > 0").collect()}
+    assert broken == {"order genre_ratings", "sequence"}
+    texts = good | {"recommendations": good["recommendations"].withColumn("release_date", F.lit("2026-02-30"))}
+    assert not validate.contract_issues(texts)["dates recommendations"].isEmpty()
+
+
+def test_every_given_row_reaches_its_raw_relation(spark):
+    given = Given(spark, FOLDER)
+    assert given["now_playing"].count() == given.table("events").count()
+    counted = given.table("lineitem").groupBy("l_partkey").count()
+    assert given["title_ratings"].count() == counted.count()
+    assert given["title_principals"].count() == given.table("lineitem").count()
+    assert given["title_ratings"].filter("averagerating IS NULL").count() > 0
+
+
+def test_curated_plans_read_their_inputs_once(spark):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        c = Catalogue(spark, Given(spark, FOLDER))
+        fact = curated.fct_movie_ratings(c.dim_movies, c._ratings, c._details)
+        plan = fact._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("FileScan parquet") == 3 and plan.count("SortMergeJoin") == 2
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)

@@ -6,7 +6,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from catalogmart.operators.ranking import best_per_key
+from catalogmart.operators.checks import excluded_occurrences
+from catalogmart.operators.exclusion import ExcludedIds
+from catalogmart.operators.joins import left_join_known
 from catalogmart.plans import curated, marts
+from catalogmart.sources.tables import KeptTables
 
 SMALL_PARTITIONS = {
     "spark.sql.shuffle.partitions": "16",
@@ -62,7 +66,7 @@ def test_merge_splits_a_hot_link_and_spares_missing_ones(spark):
         F.lit(100).alias("tmdb_runtime_min"),
     )
     films = titles(spark)
-    rows, plan = executed(curated.dim_movies(details, films))
+    rows, plan = executed(curated.dim_movies(details, films, KeptTables(spark)))
     assert "skew=true" in plan and "FullOuter" not in plan
     expected = details.withColumnRenamed("imdb_id", "link").join(films, F.col("link") == F.col("imdb_id"), "full_outer")
     movie_id = F.coalesce("imdb_id", F.concat(F.lit("tmdb_"), F.col("tmdb_id").cast("string")))
@@ -120,3 +124,35 @@ def test_one_row_per_task_of_a_hot_key_is_shuffled(spark):
     assert next(r.popularity for r in rows if r.key == 7) == 39_999
     above, below = plan.split("Exchange", 1)
     assert "WindowGroupLimit" in above and "WindowGroupLimit" in below
+
+
+def largest_share(df, key):
+    """Share of the rows that the fullest partition holds."""
+    sizes = [row["count"] for row in df.withColumn("_p", F.spark_partition_id()).groupBy("_p").count().collect()]
+    return max(sizes) / sum(sizes)
+
+
+def test_missing_keys_spread_over_the_tasks_of_a_left_join(spark):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        left = spark.range(0, 30_000, 1, 4).select("id", F.when(F.col("id") % 3 == 0, F.col("id")).alias("k"))
+        right = spark.range(0, 30_000, 2, 4).select(F.col("id").alias("k"), F.lit("x").alias("name"))
+        joined = left_join_known(left, right, "k")
+        assert largest_share(joined, "k") < 0.15
+        assert joined.filter("name IS NOT NULL").count() == 5_000 and joined.count() == 30_000
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Range (") == 2
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_a_frequent_excluded_id_is_dealt_to_many_tasks(spark):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        listed = spark.range(0, 32_000, 1, 8).select(F.when(F.col("id") % 3 < 2, F.lit("tt7")).otherwise(F.concat(F.lit("tt"), "id")).alias("imdb_id"))
+        excluded = ExcludedIds(spark.createDataFrame([("tt7",)], "imdb_id string"), spark.createDataFrame([], "tmdb_id bigint"))
+        found = excluded_occurrences({"m": listed}, excluded)
+        assert found.count() == listed.filter("imdb_id = 'tt7'").count()
+        assert largest_share(found, "imdb_id") < 1 / 3
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")

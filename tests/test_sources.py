@@ -155,3 +155,37 @@ def test_kept_tables_live_in_the_shared_folder(spark, rows):
     assert "kept-" in df.inputFiles()[0]
     kept.discard()
     assert not os.path.exists(kept.folder)
+
+
+def test_fractions_of_whole_numbers_are_refused(spark, tmp_path):
+    path = tmp_path / "genres.csv"
+    path.write_text("id,name\n1.5,Action\n")
+    with pytest.raises(PySparkException, match="no whole number"):
+        scan_raw(spark, "genres", str(path)).collect()
+
+
+@pytest.mark.parametrize(("relation", "sep"), [("title_crew", "\t"), ("genres", ",")])
+def test_a_reordered_header_is_refused(spark, tmp_path, relation, sep):
+    columns = ["directors", "tconst", "writers"] if relation == "title_crew" else ["name", "id"]
+    path = tmp_path / "reordered"
+    path.write_text(sep.join(columns) + "\n" + sep.join(["1"] * len(columns)) + "\n")
+    with pytest.raises(Exception, match="header"):
+        scan_raw(spark, relation, str(path)).collect()
+
+
+def test_rejected_and_missing_pages(rows):
+    pages = rows(
+        [
+            ("US", '{"page":1,"total_pages":4,"results":[{"id":1}]}'),
+            ("US", '{"page":2,"total_pages":4,"results":[{"id":2},{"title":"x"}]}'),
+            ("US", '{"page":3,"total_pages":4}'),
+            ("US", "{"),
+            ("IN", '{"page":1,"results":[]}'),
+            ("IN", None),
+        ],
+        "region string, payload string",
+    )
+    assert sorted(r["issue"] for r in payloads.rejected_pages(pages).collect()) == ["bad_item"] + ["unreadable"] * 4
+    assert tuples(payloads.missing_pages(pages)) == [("US", 4)]
+    genres = rows([('{"genres":[]}',), ("{}",), ("[",)], "payload string")
+    assert payloads.rejected_genres(genres).count() == 2

@@ -35,9 +35,9 @@ SELECT concat('tt', cast(p_partkey AS string)) AS tconst,
 FROM {part}""",
     "title_ratings": """
 SELECT concat('tt', cast(l_partkey AS string)) AS tconst,
-       cast((l_partkey * 37) % 101 AS double) / 10 AS averagerating,
+       CASE WHEN l_partkey % 6 <> 5 THEN cast((l_partkey * 37) % 101 AS double) / 10 END AS averagerating,
        cast(count(*) * (1 + ((l_partkey % 3600) * (l_partkey % 3600) * 13) % 3600) AS bigint) AS numvotes
-FROM {lineitem} GROUP BY l_partkey HAVING count(*) >= 25""",
+FROM {lineitem} GROUP BY l_partkey""",
     "title_crew": """
 SELECT concat('tt', cast(p_partkey AS string)) AS tconst,
        concat('nm', cast(p_partkey % 100 AS string)) AS directors,
@@ -98,9 +98,9 @@ SELECT 100000 + user_id * 4 AS id,
        cast(NULL AS string) AS overview,
        cast(NULL AS string) AS poster_path,
        value AS popularity,
-       CASE event_type WHEN 'view' THEN 'US' ELSE 'IN' END AS region,
+       CASE WHEN event_type IN ('view', 'signup', 'error') THEN 'US' ELSE 'IN' END AS region,
        cast(ts AS date) AS snapshot_date
-FROM {events} WHERE event_type IN ('view', 'click')""",
+FROM {events}""",
 }
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from catalogmart.plans import layers, public, quality, validate
+from workload.relations_sql import ROLE_FLOOR
 
 
 def _counts(parts: list[tuple[str, str]], label: str) -> str:
@@ -69,23 +70,135 @@ def declared_tests_sql() -> str:
     return _counts([*_column_tests(), *_relation_tests(), *_invariants()], "test")
 
 
-# Listings of several capture dates break these two contract checks; the rest hold.
-BROKEN_BY_DATES = {
-    "identity recommendations": "SELECT region, movie_id FROM public_recommendations GROUP BY ALL HAVING count(*) > 1",
-    "captures": """SELECT c.region FROM public_captures c JOIN public_region_counts n ON c.region = n.region
-WHERE row_count <> unique_movie_count OR row_count <> movie_count OR min_capture_date <> max_capture_date""",
+# The published order of every list, and what its ranks restart within.
+LIST_ORDER = {
+    "top_years": ("year", "", "avg_rating DESC NULLS LAST, year"),
+    "top_movies": ("movie_id", "", "rating DESC NULLS LAST, votes DESC NULLS LAST, movie_id"),
+    "people": ("person_id", "role", "avg_rating DESC NULLS LAST, person_id"),
+    "recommendations": (
+        "movie_id", "region",
+        "rating DESC NULLS LAST, votes DESC NULLS LAST, popularity DESC NULLS LAST, movie_id, rank",
+    ),
+    "rating_bins": ("\"order\"", "", "\"order\""),
+    "genre_ratings": ("genre", "", "avg_rating DESC NULLS LAST, genre"),
+    "genre_runtimes": ("genre", "", "avg_runtime_minutes DESC NULLS LAST, genre"),
+    "decade_counts": ("decade", "", "decade"),
+    "decade_ratings": ("decade", "", "decade"),
+    "region_counts": ("region", "", "region"),
+}
+
+# What the faulty copy of the public results changes: a SELECT per result set.
+FAULTS = {
+    "total_movies": "SELECT * FROM public_total_movies UNION ALL SELECT * FROM public_total_movies",
+    "rated_movies": "SELECT rated_movies * 3 AS rated_movies FROM public_rated_movies",
+    "avg_rating": "SELECT avg_rating + 10 AS avg_rating FROM public_avg_rating",
+    "highest_rated_movie": "SELECT * REPLACE ('' AS movie_id) FROM public_highest_rated_movie",
+    "rating_bins": """SELECT * REPLACE (movie_count + CASE WHEN "order" = 2 THEN 1 ELSE 0 END AS movie_count)
+        FROM public_rating_bins""",
+    "genre_ratings": """SELECT * REPLACE (CASE WHEN length(genre) % 2 = 0 THEN avg_rating - 20 ELSE avg_rating END
+        AS avg_rating) FROM public_genre_ratings""",
+    "decade_counts": """SELECT * REPLACE (CASE WHEN decade = '1990s' THEN '1700s' ELSE decade END AS decade)
+        FROM public_decade_counts""",
+    "top_years": "SELECT * REPLACE (rank + year % 2 AS rank) FROM public_top_years",
+    "top_movies": "SELECT * REPLACE (votes + 0.5e0 AS votes) FROM public_top_movies",
+    "people": "SELECT * REPLACE (movie_count - 2 AS movie_count) FROM public_people",
+    "region_counts": """SELECT * REPLACE (CASE region WHEN 'IN' THEN 'FR' ELSE region END AS region)
+        FROM public_region_counts""",
+    "recommendations": """SELECT * REPLACE (CASE WHEN rank = 2 THEN '2024-02-30' ELSE strftime(release_date, '%Y-%m-%d')
+        END AS release_date) FROM public_recommendations""",
+    "latest_snapshot_date": """SELECT cast(latest_snapshot_date + INTERVAL 1 DAY AS date) AS latest_snapshot_date
+        FROM public_latest_snapshot_date""",
+    "captures": """SELECT * REPLACE (cast(CASE region WHEN 'US' THEN min_capture_date - INTERVAL 1 DAY
+        ELSE min_capture_date END AS date) AS min_capture_date) FROM public_captures""",
 }
 
 
-def contract_report_sql() -> str:
-    """(check, violations) of every contract check."""
-    names = [f"one_row {name}" for name in (*validate.SCALARS, *validate.HIGHLIGHTS)]
-    names += [f"{kind} {name}" for name in validate.RANKED_LISTS for kind in ("identity", "ranks")]
-    names += [f"identity {name}" for name in validate.UNRANKED_LISTS]
-    names += ["populations", "bins", "roles", "regions", "captures", "latest"]
-    names += [f"fields {name}" for name in public.FIELD_RULES]
-    nothing = "SELECT region FROM public_captures WHERE false"
-    return _counts([(name, f"FROM ({BROKEN_BY_DATES.get(name, nothing)})") for name in names], '"check"')
+def _results(faulty: bool) -> str:
+    """The result sets as r_ relations; unranked lists with the position their true order gives."""
+    ctes = []
+    for name in public.RESULT_NAMES:
+        text = FAULTS.get(name, f"SELECT * FROM public_{name}") if faulty else f"SELECT * FROM public_{name}"
+        if name in validate.UNRANKED_LISTS:
+            key, _, order = LIST_ORDER[name]
+            was = {"region_counts": "CASE region WHEN 'IN' THEN 'FR' ELSE region END", "decade_counts":
+                   "CASE WHEN decade = '1990s' THEN '1700s' ELSE decade END"}.get(name, key) if faulty else key
+            text = f"""SELECT f.*, p.position FROM ({text}) f JOIN (SELECT {was} AS k, row_number() OVER (ORDER BY {order})
+        AS position FROM public_{name}) p ON f.{key} = p.k"""
+        ctes.append(f"r_{name} AS ({text})")
+    return "WITH " + ",\n".join(ctes)
+
+
+def _field_tests(name: str) -> str:
+    """Every broken constraint of a result set's fields, as rows."""
+    found = []
+    for rule in public.FIELD_RULES[name]:
+        c, number = f'"{rule.field}"', f'try_cast("{rule.field}" AS double)'
+        tests = [] if rule.nullable else [f"{c} IS NULL"]
+        tests += [f"{number} <> floor({number}) OR ({c} IS NOT NULL AND {number} IS NULL)"] if rule.integer else []
+        tests += [f"isnan({number}) OR isinf({number})"] if rule.integer or rule.finite else []
+        tests += [f"{c} < {rule.low}"] if rule.low is not None else []
+        tests += [f"{c} > {rule.high}"] if rule.high is not None else []
+        tests += [f"{c} NOT IN ({', '.join(repr(v) for v in rule.values)})"] if rule.values is not None else []
+        tests += [f"NOT regexp_matches({c}, '{rule.pattern}')"] if rule.pattern is not None else []
+        tests += [f"length({c}) < {rule.min_length}"] if rule.min_length is not None else []
+        tests += [f"length({c}) > {rule.max_length}"] if rule.max_length is not None else []
+        found += [f"SELECT 1 FROM r_{name} WHERE {test}" for test in tests]
+    return "FROM (" + " UNION ALL ".join(found) + ")"
+
+
+_BINS = """FROM (
+  SELECT bracket FROM r_rating_bins WHERE bracket <> "order" || '-' || ("order" + 1)
+  UNION ALL SELECT bracket FROM r_rating_bins WHERE "order" NOT BETWEEN 0 AND 9 OR population_count = 0
+  UNION ALL SELECT bracket FROM r_rating_bins
+    WHERE population_count > 0 AND abs(percentage - movie_count * 100.0e0 / population_count) > 0.0051
+  UNION ALL SELECT min(bracket) FROM r_rating_bins GROUP BY "order" HAVING count(*) > 1
+  UNION ALL SELECT bracket FROM r_rating_bins GROUP BY bracket HAVING count(*) > 1
+  UNION ALL SELECT NULL FROM r_rating_bins HAVING min(population_count) <> max(population_count)
+  UNION ALL SELECT NULL FROM r_rating_bins HAVING coalesce(sum(movie_count), 0) <> coalesce(max(population_count), 0)
+  UNION ALL SELECT NULL FROM r_rating_bins HAVING abs(sum(percentage) - 100) > 0.051)"""
+_ROLES = f"""FROM (SELECT job_role FROM (SELECT role AS job_role, movie_count FROM r_people)
+  GROUP BY job_role HAVING count(*) > 20 OR count_if(movie_count < {ROLE_FLOOR}) > 0)"""
+_REGIONS = """FROM (
+  SELECT coalesce(s.region, c.region, l.region) AS region FROM (SELECT unnest(['IN', 'US']) AS region) s
+  FULL JOIN r_region_counts c ON s.region = c.region
+  FULL JOIN (SELECT region, count(*) AS n FROM r_recommendations GROUP BY region) l
+    ON l.region = coalesce(s.region, c.region)
+  WHERE s.region IS NULL OR c.movie_count IS NULL OR c.movie_count < 1 OR coalesce(l.n, 0) > c.movie_count)"""
+_CAPTURES = """FROM (
+  SELECT 1 FROM (SELECT unnest(['IN', 'US']) AS region) s
+  FULL JOIN r_captures k ON s.region = k.region
+  FULL JOIN r_region_counts c ON c.region = coalesce(s.region, k.region)
+  WHERE NOT coalesce(s.region IS NOT NULL AND row_count > 0 AND row_count = unique_movie_count
+                     AND row_count = capture_date_count AND row_count = movie_count, false)
+     OR NOT coalesce(min_capture_date = max_capture_date, false))"""
+_POPULATIONS = """FROM (SELECT coalesce((SELECT max(population_count) FROM r_rating_bins), 0) AS a,
+  coalesce((SELECT max(rated_movies) FROM r_rated_movies), 0) AS b,
+  coalesce((SELECT max(total_movies) FROM r_total_movies), 0) AS c) WHERE a > b OR b > c"""
+_LATEST = """FROM (SELECT (SELECT max(latest_snapshot_date) FROM r_latest_snapshot_date) AS a,
+  (SELECT max(max_capture_date) FROM r_captures) AS b) WHERE a IS DISTINCT FROM b"""
+
+
+def contract_report_sql(faulty: bool = False) -> str:
+    """(check, violations) of every contract check, of the public results or of their faulty copy."""
+    parts = [
+        (f"one_row {name}", f"FROM (SELECT count(*) AS n FROM r_{name}) WHERE n {test}")
+        for names, test in ((validate.SCALARS, "<> 1"), (validate.HIGHLIGHTS, "> 1"))
+        for name in names
+    ]
+    for name, (identity, within, order) in LIST_ORDER.items():
+        keys = f"{within}, {identity}" if within else identity
+        parts.append((f"identity {name}", f"FROM (SELECT 1 FROM r_{name} GROUP BY {keys} HAVING count(*) > 1)"))
+        kind, column = ("order", "position") if name in validate.UNRANKED_LISTS else ("ranks", "rank")
+        over = (f"PARTITION BY {within} " if within else "") + f"ORDER BY {order}"
+        places = f"SELECT {column} AS stored, row_number() OVER ({over}) AS place FROM r_{name}"
+        parts.append((f"{kind} {name}", f"FROM ({places}) WHERE stored IS DISTINCT FROM place"))
+    for name, columns in validate.DATES.items():
+        bad = [f"SELECT 1 FROM r_{name} WHERE {c} IS NOT NULL AND try_cast({c} AS date) IS NULL" for c in columns]
+        parts.append((f"dates {name}", _union(bad)))
+    parts += [("populations", _POPULATIONS), ("bins", _BINS), ("roles", _ROLES), ("regions", _REGIONS)]
+    parts += [("captures", _CAPTURES), ("latest", _LATEST)]
+    parts += [(f"fields {name}", _field_tests(name)) for name in public.FIELD_RULES]
+    return _results(faulty) + "\n" + _counts(parts, '"check"')
 
 
 def built_layers_sql() -> str:

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from catalogmart.sources.tables import shared_folder
 
 #: Bytes of text that one step inside a task works on.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -352,7 +352,7 @@ def encode_documents(df: DataFrame, path: str, doc_id: str = "doc_id", text: str
     def run(batches):
         encoder = cached(("encoder", path), lambda: Encoder(path))
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", 2 * SLICE_BYTES):
                 ids, size = encoder.encode(raw_texts(part))
                 cells = _binary(ids.astype(np.dtype(encoder.kind).newbyteorder("<")), np.cumsum(size))
                 tie = pa.array([zlib.crc32(x) for x in cells], pa.int64())
@@ -413,7 +413,7 @@ def write_token_files(df: DataFrame, folder: str, path: str, doc_id: str = "doc_
     def code(batches):
         codes = canonical_codes(lengths)
         for batch in batches:
-            for part in slices(batch, "ids", SLICE_BYTES // 4):
+            for part in slices(batch, "ids", SLICE_BYTES // 2):
                 raw = part.column("ids").to_pylist()
                 ids = np.frombuffer(b"".join(raw), kind).astype(np.int64)
                 size = np.fromiter(map(len, raw), np.int64, len(raw)) // np.dtype(kind).itemsize
@@ -491,7 +491,7 @@ def read_token_files(spark: SparkSession, folder: str) -> DataFrame:
     def run(batches):
         table = cached(("codes", name), lambda: decode_table(lengths))
         for batch in batches:
-            for some in slices(batch, "payload", SLICE_BYTES // 4):
+            for some in slices(batch, "payload", SLICE_BYTES // 2):
                 rows = some.to_pylist()
                 n_docs = [r["n_docs"] for r in rows]
                 ids = np.concatenate([np.frombuffer(r["doc_ids"][: 8 * r["n_docs"]], "<i8") for r in rows])

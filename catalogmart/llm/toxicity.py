@@ -28,9 +28,11 @@ TOXIC_ROWS, CLEAN_ROWS = 3_000, 9_000
 #: Candidate entries taken into the second count, by support.
 CANDIDATES = 20_000
 PREFIXES = (4, 5, 6, 7, 8)
-MIN_SUPPORT, MIN_WEIGHT, MIN_Z = 4, 3.0, 2.5
+MIN_SUPPORT, MIN_WEIGHT, MIN_Z = 4, 3.0, 2.8
 #: A beginning with a lower weight is split into longer ones.
 SPLIT_BELOW = 5.0
+#: A beginning is extended while so many of its documents have the longer one.
+SAME_SHARE = 0.95
 
 # Characters that look like a letter, and digits and signs written for one.
 # Small l and i fold together since the digit 1 stands for both.
@@ -109,7 +111,8 @@ def _count(sample: DataFrame, features) -> DataFrame:
 
 
 def choose_entries(toxic: dict[str, int], clean: dict[str, int], n_toxic: int, n_clean: int) -> dict[str, float]:
-    """Weighted entries: significant ones, and of one family the shortest that is precise."""
+    """Weighted entries: significant ones; of one family the shortest that is precise, extended as far as it is always
+    followed by the same letters, so that harmless words with the same beginning stay outside."""
 
     def weight(x: str) -> tuple[float, float]:
         a, b = toxic.get(x, 0) + 0.5, clean.get(x, 0) + 0.5
@@ -126,7 +129,13 @@ def choose_entries(toxic: dict[str, int], clean: dict[str, int], n_toxic: int, n
         ):
             continue  # a longer beginning says more
         taken[x] = w
-    return taken
+    return {y: weight(y)[0] for y in (_extended(x, toxic) for x in taken)}
+
+
+def _extended(x: str, toxic: dict[str, int]) -> str:
+    """The longest beginning or word that nearly all documents with x have."""
+    longer = [y for y in toxic if y.startswith(x) and toxic[y] >= SAME_SHARE * toxic[x]]
+    return max(longer, key=lambda y: (len(y), y), default=x)
 
 
 def automaton(lexicon: Lexicon):

@@ -135,6 +135,13 @@ def result(name: str, catalogue) -> DataFrame:
 
 
 RESULT_NAMES = (*RELATIONS, "captures")
+
+
+def columns(name: str) -> list[str]:
+    """Fields of a result set."""
+    return [rule.field for rule in FIELD_RULES[name]]
+
+
 #: Lists whose rows carry no rank.
 UNRANKED = ("rating_bins", "genre_ratings", "genre_runtimes", "decade_counts", "decade_ratings", "region_counts")
 

@@ -797,14 +797,20 @@ def _(c):
     return contract.field_rule_issues(rows, public.TITLE_RULES)
 
 
-@query(
-    "mart_fingerprint",
-    """
-SELECT sha256(string_agg(line, chr(10) ORDER BY line)) AS sha256, count(*) AS row_count
-FROM (SELECT '{"decade":"' || decade || '","movie_count":' || movie_count || '}' AS line FROM public_decade_counts)""",
-)
+def _fingerprint_sql(name: str) -> str:
+    fields = ", ".join(f"'{c}', \"{c}\"" for c in sorted(public.columns(name)))
+    return f"""
+SELECT '{name}' AS dataset, sha256(coalesce(string_agg(line, chr(10) ORDER BY line), '')) AS sha256, count(*) AS row_count
+FROM (SELECT cast(json_object({fields}) AS varchar) AS line FROM public_{name})"""
+
+
+@query("mart_fingerprint", "\nUNION ALL".join(_fingerprint_sql(name) for name in public.RESULT_NAMES))
 def _(c):
-    return contract.fingerprint(PUBLIC["public_decade_counts"](c), public.LARGEST["decade_counts"])
+    found = [
+        contract.fingerprint(PUBLIC[f"public_{name}"](c), public.LARGEST.get(name, 1)).withColumn("dataset", F.lit(name))
+        for name in public.RESULT_NAMES
+    ]
+    return reduce(DataFrame.unionByName, found).select("dataset", "sha256", "row_count")
 
 
 # Presentation ------------------------------------------------------------------

@@ -44,7 +44,7 @@ THRESHOLD = 0.4
 
 _QUOTED = r""""(?:[^"\\\n]|\\.)*"|'(?:[^'\\\n]|\\.)*'"""
 _STATEMENT = re.compile(
-    rf"""(?P<name>[A-Za-z_$][\w$.-]*)(?:["']?\]?)(?:[ \t]*(?::=|=>|\+=|[:=])(?![=>])|(?<=\S)[ \t]+(?=["']))[ \t]*"""
+    rf"""(?<![\w$.-])(?P<name>[A-Za-z_$][\w$.-]*+)(?:["']?\]?)(?:[ \t]*(?::=|=>|\+=|[:=])(?![=>])|(?<=\S)[ \t]+(?=["']))[ \t]*"""
     rf"""(?P<value>(?:{_QUOTED}|[^\s"',;(){{}}\[\]]+)(?:[ \t]*\+[ \t]*(?:{_QUOTED}|[A-Za-z_$][\w$.]*))*)""",
 )
 _PART = re.compile(rf"(?P<quoted>{_QUOTED})|(?P<bare>[^\s+\"']+(?:\+[^\s+\"']+)*)")

@@ -59,5 +59,14 @@ def test_harmless_pairs():
         assert literals(text) == [], text
 
 
+def test_very_long_tokens_take_linear_time():
+    import time
+
+    begin = time.process_time()
+    for text in ("a" * 400_000 + " = 1", "x-." * 200_000 + "= y", "=" * 400_000, 'k = "' + "\\" * 400_000, "a+" * 200_000 + "=b", "password " * 50_000 + ":"):
+        s.scan(text)
+    assert time.process_time() - begin < 10
+
+
 def test_empty_table(nothing):
     assert s.scan_secrets(nothing).collect() == []

@@ -43,7 +43,7 @@ class Model(NamedTuple):
 
 def _entry(kind: int, key):
     """Hash of a model entry; kind is 2n for probabilities of order n and 2n+1 for backoff weights of contexts."""
-    return F.shiftrightunsigned(F.xxhash64(F.lit(kind).cast("long"), key), 64 - HASH_BITS)
+    return F.shiftrightunsigned(F.xxhash64(F.lit(kind).cast("long"), key), 64 - HASH_BITS).cast("int")
 
 
 def _hash(kind: int, keys: np.ndarray) -> np.ndarray:

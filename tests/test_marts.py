@@ -9,6 +9,7 @@ import pytest
 
 from catalogmart.functions import rules
 from catalogmart.plans import kpis, marts
+from catalogmart.sources.tables import KeptTables
 from tests.conftest import as_dicts, tuples
 
 RATINGS = (
@@ -42,23 +43,23 @@ def test_nine_point_nine_and_ten_share_a_bin(rows):
 
 def test_rank_ties_break_by_id(rows):
     facts, movies = catalogue(rows, ("b", 8.5), ("a", 8.5))
-    assert [r["movie_id"] for r in as_dicts(marts.mart_top_movies(facts, movies).orderBy("movie_rank"))] == ["a", "b"]
-    assert as_dicts(kpis.highest_rated_movie(facts, movies))[0]["movie_id"] == "a"
-    assert as_dicts(kpis.most_popular_movie(facts, movies))[0]["movie_id"] == "a"
+    assert [r["movie_id"] for r in as_dicts(marts.mart_top_movies(facts, movies, KeptTables(facts.sparkSession)).orderBy("movie_rank"))] == ["a", "b"]
+    assert as_dicts(kpis.highest_rated_movie(facts, movies, KeptTables(facts.sparkSession)))[0]["movie_id"] == "a"
+    assert as_dicts(kpis.most_popular_movie(facts, movies, KeptTables(facts.sparkSession)))[0]["movie_id"] == "a"
 
 
 def test_unknown_rating_is_not_zero(rows):
     facts, movies = catalogue(rows, ("a", None))
-    assert as_dicts(marts.mart_top_movies(facts, movies))[0]["avg_rating"] is None
+    assert as_dicts(marts.mart_top_movies(facts, movies, KeptTables(facts.sparkSession)))[0]["avg_rating"] is None
     assert marts.mart_rating_distribution(facts).isEmpty()
-    assert kpis.highest_rated_movie(facts, movies).isEmpty()
+    assert kpis.highest_rated_movie(facts, movies, KeptTables(facts.sparkSession)).isEmpty()
     assert kpis.avg_movie_rating(facts).first()[0] is None
     assert kpis.rated_movies(facts).first()[0] == 0
 
 
 def test_displayed_votes_may_lie_below_the_floor(rows):
     facts = rows([("a", 9.0, 50, 8.0, 200_000)], RATINGS)
-    got = as_dicts(marts.mart_top_movies(facts, rows([], MOVIES)))
+    got = as_dicts(marts.mart_top_movies(facts, rows([], MOVIES), KeptTables(facts.sparkSession)))
     assert got == [{"movie_id": "a", "movie_name": None, "avg_rating": 9.0, "num_of_votes": 50, "movie_rank": 1}]
 
 
@@ -74,7 +75,7 @@ def test_recommendations_order_ties_by_id_and_unknown_last(rows):
 def test_top_lists_are_cut_per_group(rows):
     facts, movies = catalogue(rows, *[(f"m{i:02}", i / 10) for i in range(30)])
     listing = rows([(f"m{i:02}", "n", r, None, None, 1.0, None) for i in range(30) for r in ("US", "IN")], LISTING)
-    assert [r["movie_rank"] for r in as_dicts(marts.mart_top_movies(facts, movies).orderBy("movie_rank"))] == list(
+    assert [r["movie_rank"] for r in as_dicts(marts.mart_top_movies(facts, movies, KeptTables(facts.sparkSession)).orderBy("movie_rank"))] == list(
         range(1, 11)
     )
     got = marts.mart_now_playing_recommendations(listing, facts).groupBy("tmdb_region").count()

@@ -3,7 +3,9 @@
 A source's words, its documents in seeded order, fall into blocks of equal
 length. Seats, one per block of the mix, go to the sources by their highest
 quotients target / (2k + 1); a source's seats are full passes over its blocks
-and a seeded choice of the rest. Everything here is DataFrame expressions.
+and a seeded choice of the rest. Where documents must stay whole, the same
+targets and order choose documents instead. Everything here is DataFrame
+expressions.
 """
 
 from __future__ import annotations
@@ -106,8 +108,48 @@ def shard_quotas(plan: DataFrame) -> DataFrame:
     return plan.select("rank", F.explode("shards").alias("shard")).groupBy("rank", "shard").agg(F.count("*").alias("quota"))
 
 
+def placed_rows(rows: DataFrame, targets: DataFrame, seed: int, scratch: Scratch) -> DataFrame:
+    """rows with rank, source_size, target and the words of their source up to begin and end of the row, in seeded order."""
+    known = scratch.small(targets.select(F.col("source").alias("s"), "rank", "source_size", "target"))
+    order = seeded(seed, F.col("doc_id"))
+    placed = rows.join(known, F.col("source").eqNullSafe(F.col("s"))).withColumn("order", order)
+    placed = placed.withColumn("stretch", F.substring("order", 1, STRETCH_DIGITS)).drop("source", "s")
+    stretches = placed.groupBy("rank", "stretch").agg(F.sum("size").alias("words"))
+    ahead = Window.partitionBy("rank").orderBy("stretch").rowsBetween(Window.unboundedPreceding, -1)
+    starts = stretches.select(F.col("rank").alias("r"), F.col("stretch").alias("t"), F.coalesce(F.sum("words").over(ahead), F.lit(0)).alias("start"))
+    within = Window.partitionBy("rank", "stretch").orderBy("order", "size").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    placed = placed.withColumn("upto", F.sum("size").over(within))
+    placed = placed.join(starts, (F.col("rank") == F.col("r")) & (F.col("stretch") == F.col("t")))
+    return placed.withColumn("end", F.col("start") + F.col("upto")).withColumn("begin", F.col("end") - F.col("size"))
+
+
+def sized_rows(df: DataFrame, scratch: Scratch, doc_id: str, text: str, source: str) -> tuple[DataFrame, DataFrame]:
+    """doc_id, source and size of every row; source and source_size of every source."""
+    rows = scratch.keep(df.select(F.col(doc_id).alias("doc_id"), F.col(source).alias("source"), word_count(F.col(text)).alias("size")))
+    return rows, scratch.keep(rows.groupBy("source").agg(F.sum("size").alias("source_size")))
+
+
 def mix(df: DataFrame, weights: tuple[float, ...] = WEIGHTS, seed: int = SEED, doc_id: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
-    """doc_id, size, source_size, target and taken of every row.
+    """doc_id, size, source_size, target and taken of every row, by whole documents.
+
+    All documents of a source are taken as often as its target holds its size;
+    the rest of the target goes to the first documents in seeded order, and only
+    the document at its end is taken in part. So taken adds up to the target of
+    every source, rounded to a word. Nulls and repeated ids as in mix_blocks.
+    """
+    scratch = Scratch(df.sparkSession, "mixing")
+    rows, sources = sized_rows(df, scratch, doc_id, text, source)
+    targets = scratch.keep(source_targets(sources, weights))
+    placed = placed_rows(rows, targets, seed, scratch)
+    want, held = F.floor(F.col("target") + 0.5).cast("long"), F.greatest(F.col("source_size"), F.lit(1))
+    placed = placed.withColumn("rest", F.pmod(want, held)).withColumn("times", ((want - F.col("rest")) / held).cast("long"))
+    again = F.greatest(F.lit(0), F.least("end", "rest") - F.col("begin"))
+    taken = (F.col("times") * F.col("size") + again).cast("long").alias("taken")
+    return placed.select("doc_id", "size", "source_size", "target", taken)
+
+
+def mix_blocks(df: DataFrame, weights: tuple[float, ...] = WEIGHTS, seed: int = SEED, doc_id: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
+    """doc_id, size, source_size, target and taken of every row, by blocks.
 
     taken counts the words of the document that lie in chosen blocks, repeats
     included. A null source is a source of its own, a null text has size 0; a
@@ -115,24 +157,13 @@ def mix(df: DataFrame, weights: tuple[float, ...] = WEIGHTS, seed: int = SEED, d
     by size. Further columns are ignored.
     """
     scratch = Scratch(df.sparkSession, "mixing")
-    rows = scratch.keep(df.select(F.col(doc_id).alias("doc_id"), F.col(source).alias("source"), word_count(F.col(text)).alias("size")))
-    sources = scratch.keep(rows.groupBy("source").agg(F.sum("size").alias("source_size")))
+    rows, sources = sized_rows(df, scratch, doc_id, text, source)
     facts = sources.agg(F.sum("source_size").alias("total"), F.count("*").alias("n")).first()
     total, n = facts["total"] or 0, facts["n"]
     block = max(1, total // max(BLOCKS, BLOCKS_PER_SOURCE * n))
     targets = scratch.keep(source_targets(sources, weights))
     plan = scratch.small(block_plan(seats(targets, block, total // block, total, n), block, seed), 100_000)
-    known = scratch.small(targets.select(F.col("source").alias("s"), "rank", "source_size", "target"))
-    order = seeded(seed, F.col("doc_id"))
-    placed = rows.join(known, F.col("source").eqNullSafe(F.col("s"))).withColumn("order", order)
-    placed = placed.withColumn("stretch", F.substring("order", 1, STRETCH_DIGITS)).drop("source", "s")
-    stretches = placed.groupBy("rank", "stretch").agg(F.sum("size").alias("words"))
-    ahead = Window.partitionBy("rank").orderBy("stretch").rowsBetween(Window.unboundedPreceding, -1)
-    starts = stretches.select(F.col("rank").alias("r"), F.col("stretch").alias("t"), F.coalesce(F.sum("words").over(ahead), F.lit(0)).alias("start"))
-    within = Window.partitionBy("rank", "stretch").orderBy("order", "size").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    placed = placed.withColumn("upto", F.sum("size").over(within))
-    placed = placed.join(starts, (F.col("rank") == F.col("r")) & (F.col("stretch") == F.col("t")))
-    placed = placed.withColumn("end", F.col("start") + F.col("upto")).withColumn("begin", F.col("end") - F.col("size"))
+    placed = placed_rows(rows, targets, seed, scratch)
     for edge in ("begin", "end"):
         at = F.expr(f"({edge} - 1) div {block}")
         side = plan.select(F.col("rank").alias("r2"), F.col("block").alias("at"), "copies", "before")
@@ -144,7 +175,10 @@ def mix(df: DataFrame, weights: tuple[float, ...] = WEIGHTS, seed: int = SEED, d
 
 
 def apply_mix(df: DataFrame, weights: tuple[float, ...] = WEIGHTS, seed: int = SEED, doc_id: str = "doc_id") -> DataFrame:
-    """The rows of df as often as the mix takes them, all columns kept: taken / size, rounded; rows without words go."""
+    """The rows of df as often as the mix takes them, all columns kept; rows without words go.
+
+    Rounding taken / size concerns the one document a source at most that mix takes in part.
+    """
     times = F.floor(F.sum("taken") / F.sum("size") + 0.5).cast("int")
     plan = mix(df, weights, seed, doc_id).where("size > 0").groupBy(F.col("doc_id").alias("__id")).agg(times.alias("__times"))
     kept = df.join(plan.where("__times > 0"), F.col(doc_id).eqNullSafe(F.col("__id")))

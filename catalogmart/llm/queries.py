@@ -52,7 +52,7 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mix(documents(spark, sf_dir))
+    return mixing.mix_blocks(documents(spark, sf_dir))
 
 
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -99,3 +99,39 @@ def test_empty_table_and_applied_mix(spark, nothing, messy):
 def test_documents_without_words(spark):
     df = spark.createDataFrame([(1, None, "a"), (2, "", "b")], "doc_id long, text string, source string")
     assert [(r["size"], r["source_size"], r["target"], r["taken"]) for r in m.mix(df).collect()] == [(0, 0, 0.0, 0)] * 2
+
+
+def words_by_source(rows):
+    words = Counter()
+    for r in rows:
+        words[r["source"]] += len(re.findall(r"[^\x20\x09-\x0D]+", r["text"] or ""))
+    return words
+
+
+def test_applied_mix_meets_the_targets_in_whole_documents(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rows = docs.collect()
+    target, got = plain_targets(words_by_source(rows)), words_by_source(m.apply_mix(docs).collect())
+    longest = {s: max(words_by_source([r])[s] for r in rows if r["source"] == s) for s in target}
+    assert all(abs(got[s] - target[s]) <= longest[s] / 2 + 1 for s in target)
+
+
+def test_long_documents_stay_in_the_mix(spark):
+    rows = [(k, f"w{k} " * 400, "abcc"[k % 4]) for k in range(120)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    target, got = plain_targets(words_by_source(df.collect())), words_by_source(m.apply_mix(df).collect())
+    assert target["c"] < 0.4 * 60 * 400 and all(abs(got[s] - target[s]) <= 201 for s in "abc")
+
+
+@pytest.mark.parametrize("source", ["given", "messy"])
+def test_mix_of_blocks_is_near_the_targets(given, messy, source):
+    docs = given("documents") if source == "given" else messy
+    rows = docs.collect()
+    sizes, taken, of = words_by_source(rows), Counter(), {r["doc_id"]: r["source"] for r in rows}
+    target, found = plain_targets(sizes), m.mix_blocks(docs).collect()
+    assert len(found) == len(rows) and all(0 <= r["taken"] <= 3 * r["size"] for r in found)
+    for r in found:
+        taken[of[r["doc_id"]]] += r["taken"]
+    block = max(1, sum(sizes.values()) // max(m.BLOCKS, m.BLOCKS_PER_SOURCE * len(sizes)))
+    assert all(abs(taken[s] - target[s]) <= 3 * block for s in sizes)
+    assert sorted(map(repr, found)) == sorted(map(repr, m.mix_blocks(docs.repartition(5)).collect()))

@@ -2,7 +2,9 @@
 
 Spark counts the 5-grams of all texts per language and derives continuation
 counts, discounts, probabilities and backoff weights by grouping and joining.
-The finished model is a sorted hash array; scoring looks every byte up in it. A
+The finished model is a sorted hash array; scoring looks every byte up in it. The
+texts of a language are counted in two parts, and each part is scored by the
+other's model, so no text and none of its copies is predicted from itself. A
 document is rejected when its perplexity leaves the band of its language.
 
 Grams are bytes, not words: the corpus has about as many word bigrams as words,
@@ -17,7 +19,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from catalogmart.llm.common import Scratch, SortedHashes, cached, joined, per_slice, raw_texts, sums, xxhash_long
@@ -26,9 +28,9 @@ from catalogmart.llm.grams import GRAM_BITS, ORDER, count_grams, gram_keys, labe
 #: Bits that tell model entries apart; a model has at most 2**HASH_BITS entries of 8 bytes (128 MB), whatever the corpus.
 HASH_BITS = 24
 #: A band reaches this many quartile distances beyond the quartiles of its language.
-REACH = 6.0
-#: The quartile distance, in bits per byte, counts as at least so much.
-LEAST_SPREAD = 0.1
+REACH = 3.1
+#: Texts fall into so many parts by their hash; each part is scored by the counts of the next one.
+PARTS = 2
 MIN_WORDS, MAX_REPEATED_PERCENT, WINDOW = 20, 30, 8
 SYMBOLS = b"#*$%&|<>"
 BLANKS = b" \t\n\x0b\x0c\r"
@@ -68,7 +70,7 @@ def kneser_ney(counts: DataFrame, scratch: Scratch) -> DataFrame:
     entries, lower = None, None
     for n in range(1, ORDER + 1):
         of = [F.sum((F.col("c") == k).cast("double")).alias(f"n{k}") for k in (1, 2, 3, 4)]
-        y = F.expr("n1 / (n1 + 2 * n2)")
+        y = F.expr("n1 / nullif(n1 + 2 * n2, 0)")
         d = levels[n].groupBy("code").agg(*of).withColumn("y", y)
         for k in (1, 2, 3):
             raw = F.expr(f"{k} - {k + 1} * y * n{k + 1} / nullif(n{k}, 0)")
@@ -169,8 +171,14 @@ def base_counts(parts: list[bytes]) -> list[np.ndarray]:
     return [n_words, sums(flag[data], start, size), sums(symbol[data], start, size), np.array(lines, np.int64), repeated]
 
 
-def measure(df: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
-    """doc_id, lang, the base counts, and log2_perplexity (bits per byte; null for an empty text)."""
+def part_label(text: str, lang: str, ahead: int = 0) -> Column:
+    """Label of a language's part: that of the text, or the one so many parts ahead."""
+    part = F.pmod(F.pmod(F.xxhash64(F.coalesce(F.col(text), F.lit(""))), F.lit(PARTS)) + ahead, F.lit(PARTS))
+    return F.concat_ws(" ", part.cast("string"), F.col(lang))
+
+
+def measure(df: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", label: Column | None = None) -> DataFrame:
+    """doc_id, lang, the base counts, and log2_perplexity (bits per byte; null for an empty text) under the label's counts."""
     shared, name = df.sparkSession.sparkContext.broadcast(tuple(model)), uuid.uuid4().hex
 
     def process(part):
@@ -178,13 +186,13 @@ def measure(df: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "te
         table = cached(("quality", name), lambda: SortedHashes(own.hashes))
         raw = raw_texts(part)
         keys, start, size = gram_keys(raw)
-        codes = np.repeat(label_codes(part.column("lang").to_pylist()), size)
+        codes = np.repeat(label_codes(part.column("label").to_pylist()), size)
         bits = -sums(log2_probabilities(own, table, codes, keys), start, size)
         per_byte = pa.array(bits / np.maximum(size, 1), mask=size == 0)
         columns = [part.column("doc_id"), part.column("lang"), *map(pa.array, base_counts(raw)), per_byte]
         return pa.RecordBatch.from_arrays(columns, names)
 
-    narrow = df.select(F.col(doc_id).alias("doc_id"), F.col(lang).alias("lang"), F.col(text).alias("text"))
+    narrow = df.select(F.col(doc_id).alias("doc_id"), F.col(lang).alias("lang"), F.col(text).alias("text"), (F.col(lang) if label is None else label).alias("label"))
     kind = dict(narrow.dtypes)
     schema = f"doc_id {kind['doc_id']}, lang string, {_BASE}, log2_perplexity double"
     names = [x.split()[0] for x in schema.split(", ")]
@@ -196,7 +204,7 @@ def bands(measured: DataFrame, reach: float = REACH) -> DataFrame:
     q = F.percentile_approx("log2_perplexity", [0.25, 0.75], 10_000)
     spread = measured.where(~base_failed()).groupBy("lang").agg(q.alias("q"))
     low, high = F.col("q")[0], F.col("q")[1]
-    wide = reach * F.greatest(high - low, F.lit(LEAST_SPREAD))
+    wide = reach * (high - low)
     return spread.select("lang", (low - wide).alias("band_low"), (high + wide).alias("band_high"))
 
 
@@ -214,8 +222,9 @@ def quality_rules(df: DataFrame, doc_id: str = "doc_id", text: str = "text", lan
     Further columns of df are ignored.
     """
     scratch = Scratch(df.sparkSession, "quality")
-    model = collect_model(kneser_ney(count_grams(df, text, lang), scratch))
-    measured = scratch.keep(measure(df, model, doc_id, text, lang))
+    labelled = df.select(F.col(text).alias("text"), part_label(text, lang).alias("lang"))
+    model = collect_model(kneser_ney(count_grams(labelled), scratch))
+    measured = scratch.keep(measure(df, model, doc_id, text, lang, part_label(text, lang, 1)))
     found = measured.alias("m").join(scratch.small(bands(measured, reach)).alias("b"), F.expr("m.lang <=> b.lang"), "left")
     inside = F.col("log2_perplexity").between(F.col("band_low"), F.col("band_high"))
     return found.select(

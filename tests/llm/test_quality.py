@@ -106,3 +106,16 @@ def test_null_language_has_a_band_of_its_own(spark):
     text = " ".join(f"w{k}" for k in range(30))
     rows = quality.quality_rules(spark.createDataFrame([(1, text, None), (2, text, None)], "doc_id long, text string, lang string")).collect()
     assert [r["kept"] for r in rows] == [True, True]
+
+
+def test_bands_reject_junk_and_keep_prose(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang")
+    english = docs.where("lang = 'en' AND NOT text RLIKE '[#*$%&|<>]' AND length(text) > 600").orderBy("doc_id").limit(60).collect()
+    prose = [r["text"] for r in english[::12]]
+    digits = [" ".join(f"{(k + 7) * j * 7919 % 100003:x}q{j * j % 89}" for j in range(120)) for k in range(5)]
+    junk = [(-1 - k, t, "en") for k, t in enumerate(digits)] + [(-101 - k, t + " and", "de") for k, t in enumerate(prose)]
+    rows = quality.quality_rules(docs.union(spark.createDataFrame(junk, docs.schema))).collect()
+    odd = [r for r in rows if r["doc_id"] < 0 and not r["base_failed"]]
+    clean = [r for r in rows if r["doc_id"] >= 0 and not r["base_failed"] and 100 * r["n_symbols"] < r["word_chars"]]
+    assert len(odd) >= 8 and not any(r["kept"] for r in odd)
+    assert sum(r["kept"] for r in clean) > 0.9 * len(clean)

@@ -22,11 +22,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from catalogmart.llm.common import Scratch, SortedHashes, cached, joined, per_slice, raw_texts, sums, xxhash_long
+from catalogmart.llm.common import SLICE_BYTES, Scratch, SortedHashes, cached, joined, per_slice, raw_texts, sums, xxhash_long
 from catalogmart.llm.grams import GRAM_BITS, ORDER, count_grams, gram_keys, label_codes
 
-#: Bits that tell model entries apart; a model has at most 2**HASH_BITS entries of 8 bytes (128 MB), whatever the corpus.
-HASH_BITS = 24
 #: A band reaches this many quartile distances beyond the quartiles of its language.
 REACH = 3.1
 #: Texts fall into so many parts by their hash; each part is scored by the counts of the next one.
@@ -41,24 +39,32 @@ _BASE = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repe
 class Model(NamedTuple):
     hashes: np.ndarray
     log2: np.ndarray
+    kind: np.ndarray
 
 
 def _entry(kind: int, key):
-    """Hash of a model entry; kind is 2n for probabilities of order n and 2n+1 for backoff weights of contexts."""
-    return F.shiftrightunsigned(F.xxhash64(F.lit(kind).cast("long"), key), 64 - HASH_BITS).cast("int")
+    """Hash of a model entry; kind is 2n for probabilities of order n and 2n+1 for backoff weights of contexts.
+
+    XXH64 of a 64-bit integer is a bijection for each seed: with its kind, a hash stands for one entry.
+    """
+    return F.xxhash64(F.lit(kind).cast("long"), key)
 
 
 def _hash(kind: int, keys: np.ndarray) -> np.ndarray:
-    seed = xxhash_long(np.array([kind]), 42)[0]
-    drop = np.uint64(64 - HASH_BITS)
-    return (xxhash_long(keys, seed) >> drop) << drop
+    return xxhash_long(keys, xxhash_long(np.array([kind]), 42)[0])
+
+
+def _find(model: Model, table: SortedHashes, kind: int, keys: np.ndarray) -> np.ndarray:
+    """Place of each entry of the kind, -1 where the model has none."""
+    place = table.find(_hash(kind, keys))
+    return np.where((place >= 0) & (model.kind[place] == kind), place, -1) if len(model.kind) else place
 
 
 def kneser_ney(counts: DataFrame, scratch: Scratch) -> DataFrame:
-    """Model entries (slot, log2) from gram counts (key, c).
+    """Model entries (kind, slot, log2) from gram counts (key, c).
 
     Discounts are per language and order; where the counts of counts leave one
-    undefined it is 0.5, 1 or 1.5. Entries that share a slot are averaged.
+    undefined it is 0.5, 1 or 1.5.
     """
     code = F.shiftrightunsigned("key", GRAM_BITS)
     level = scratch.keep(counts.select(code.alias("code"), F.col("key").bitwiseAND((1 << GRAM_BITS) - 1).alias("gram"), "c"))
@@ -88,19 +94,27 @@ def kneser_ney(counts: DataFrame, scratch: Scratch) -> DataFrame:
             own = own.withColumn("p", F.expr("(c - d) / total + gamma * p_low"))
         lower = scratch.keep(own.select("code", "gram", "context", "p", "gamma"))
         key = lambda x: F.shiftleft("code", GRAM_BITS).bitwiseOR(F.col(x))
-        level = lower.select(_entry(2 * n, key("gram")).alias("slot"), F.log2("p").alias("log2"))
+        entry = lambda kind, x, value: [F.lit(kind).cast("byte").alias("kind"), _entry(kind, key(x)).alias("slot"), F.log2(value).cast("float").alias("log2")]
+        level = lower.select(*entry(2 * n, "gram", "p"))
         back = lower.groupBy("code", "context").agg(F.max("gamma").alias("gamma"))
-        level = level.union(back.select(_entry(2 * n + 1, key("context")).alias("slot"), F.log2("gamma").alias("log2")))
+        level = level.union(back.select(*entry(2 * n + 1, "context", "gamma")))
         entries = level if entries is None else entries.union(level)
-    return entries.groupBy("slot").agg(F.avg("log2").cast("float").alias("log2"))
+    return entries
 
 
 def collect_model(entries: DataFrame) -> Model:
-    """The sorted hash array; at most 2**HASH_BITS entries reach the driver."""
+    """The sorted hash array, with the kind of every entry to verify what is found.
+
+    Two entries of different kinds with one 64-bit hash, which have a chance of
+    one in 100,000 even among 2**24, end the query rather than stand for each other.
+    """
     table = entries.toArrow()
-    slot, log2 = table.column("slot").to_numpy(), table.column("log2").to_numpy()
+    slot = table.column("slot").to_numpy().view(np.uint64)
     order = np.argsort(slot)
-    return Model(slot[order].astype(np.uint64) << np.uint64(64 - HASH_BITS), log2[order].astype(np.float32))
+    hashes = slot[order]
+    if (hashes[1:] == hashes[:-1]).any():
+        raise ValueError("two model entries share a 64-bit hash")
+    return Model(hashes, table.column("log2").to_numpy()[order], table.column("kind").to_numpy()[order])
 
 
 def log2_probabilities(model: Model, table: SortedHashes, codes: np.ndarray, keys: np.ndarray) -> np.ndarray:
@@ -109,13 +123,13 @@ def log2_probabilities(model: Model, table: SortedHashes, codes: np.ndarray, key
     rest, top = np.arange(len(keys)), codes << np.uint64(GRAM_BITS)
     for n in range(ORDER, 0, -1):
         gram = keys[rest] & np.uint64((1 << (8 * n)) - 1)
-        place = table.find(_hash(2 * n, gram | top[rest]))
+        place = _find(model, table, 2 * n, gram | top[rest])
         seen = place >= 0
         out[rest[seen]] += model.log2[place[seen]]
         rest, gram = rest[~seen], gram[~seen]
         if not len(rest):
             return out
-        place = table.find(_hash(2 * n + 1, (gram >> np.uint64(8)) | top[rest]))
+        place = _find(model, table, 2 * n + 1, (gram >> np.uint64(8)) | top[rest])
         known = place >= 0
         out[rest[known]] += model.log2[place[known]]
     out[rest] -= 8
@@ -196,7 +210,7 @@ def measure(df: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "te
     kind = dict(narrow.dtypes)
     schema = f"doc_id {kind['doc_id']}, lang string, {_BASE}, log2_perplexity double"
     names = [x.split()[0] for x in schema.split(", ")]
-    return narrow.mapInArrow(per_slice(process), schema)
+    return narrow.mapInArrow(per_slice(process, limit=SLICE_BYTES // 4), schema)
 
 
 def bands(measured: DataFrame, reach: float = REACH) -> DataFrame:

@@ -119,3 +119,16 @@ def test_bands_reject_junk_and_keep_prose(spark):
     clean = [r for r in rows if r["doc_id"] >= 0 and not r["base_failed"] and 100 * r["n_symbols"] < r["word_chars"]]
     assert len(odd) >= 8 and not any(r["kept"] for r in odd)
     assert sum(r["kept"] for r in clean) > 0.9 * len(clean)
+
+
+def test_every_entry_is_found_as_itself(spark):
+    texts = [" ".join(f"{k * j * 7919 % 1000003:x}" for j in range(1, 900)) for k in range(1, 30)]
+    df = spark.createDataFrame([(t, "en") for t in texts], "text string, lang string")
+    entries = quality.kneser_ney(grams.count_grams(df), Scratch(spark, "test"))
+    model = quality.collect_model(entries)
+    assert len(model.hashes) == entries.count() > 100_000 and (np.diff(model.hashes) > 0).all()
+    table, keys = SortedHashes(model.hashes), grams.gram_keys([t.encode() for t in texts])[0]
+    top = grams.label_codes(["en"])[0] << np.uint64(grams.GRAM_BITS)
+    assert (model.kind[quality._find(model, table, 2 * grams.ORDER, np.unique(keys) | top)] == 2 * grams.ORDER).all()
+    unseen = np.setdiff1d(np.arange(2_000_000, dtype=np.uint64) * np.uint64(524287) % np.uint64(1 << 40), keys)
+    assert (quality._find(model, table, 2 * grams.ORDER, unseen | top) < 0).all()

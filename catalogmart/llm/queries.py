@@ -4,8 +4,23 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-
-from catalogmart.llm import exact_dedup, language, mixing, piece_sampling, quality, secret_scan, sharding, simhash, token_files, toxicity
+from pyspark.sql import functions as F
+
+from catalogmart.llm import (
+    exact_dedup,
+    language,
+    line_dedup,
+    merkle,
+    mixing,
+    periodic,
+    piece_sampling,
+    quality,
+    secret_scan,
+    sharding,
+    simhash,
+    token_files,
+    toxicity,
+)
 from catalogmart.llm.common import documents
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -55,6 +70,18 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_blocks(documents(spark, sf_dir))
 
 
+def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.digest_lines(line_dedup.dedup_lines(documents(spark, sf_dir)))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.digest_runs(periodic.periodic_runs(documents(spark, sf_dir), words=periodic.planted_words))
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.manifest(documents(spark, sf_dir), merkle.stripped_text(F.col("doc_id"), F.col("text")))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -74,6 +101,9 @@ QUERIES = {
         op8_simhash,
         op9_exact_dedup,
         op10_mixing,
+        op11_line_dedup,
+        op12_periodic_runs,
+        op13_merkle_manifest,
         pipeline,
     )
 }
@@ -137,4 +167,111 @@ FROM placed p LEFT JOIN copies c ON c.rank = p.rank AND c.lo < p.lo + p.size AND
 GROUP BY doc_id, p.lo, p.rank
 """
 
-SQL = {"op9_exact_dedup": _EXACT, "op10_mixing": _MIX}
+_BLANKS = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+_WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+def _crc32(digits: str) -> str:
+    """Checksum of an ASCII text, bit by bit."""
+    byte = f"list_transform(range(1, strlen({digits}) + 1), lambda k: ascii(substr({digits}, k, 1)))"
+    bits = "list_reduce(range(8), lambda x, k: CASE WHEN x % 2 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END, xor(c, b))"
+    return f"xor(list_reduce({byte}, lambda c, b: {bits}, 4294967295), 4294967295)"
+
+
+_LINES = rf"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents),
+l AS (SELECT r, doc_id, unnest(parts) AS line, generate_subscripts(parts, 1) AS position FROM d),
+k AS (SELECT *, translate(trim(line, {_BLANKS}), '{_UPPER}', '{_LOWER}') AS key FROM l),
+s AS (SELECT key, max(doc_id) AS keeper FROM k WHERE length(key) >= {line_dedup.MIN_LENGTH} GROUP BY key
+      HAVING count(DISTINCT doc_id) >= {line_dedup.MIN_DOCUMENTS})
+SELECT k.doc_id, count(*) AS n_lines, count(*) FILTER (keeper <> k.doc_id) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY position) FILTER (keeper IS NULL OR keeper = k.doc_id), '')) AS kept_sha256
+FROM k LEFT JOIN s USING (key) GROUP BY r, k.doc_id
+"""
+
+_RUNS = rf"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS} AS words, {_crc32("coalesce(doc_id::VARCHAR, '')")} AS h FROM documents),
+e AS (SELECT *, len(words) AS n, CASE WHEN len(words) > 0 THEN h // 10 % len(words) END AS a FROM d),
+f AS (SELECT *, 1 + (n - a) // (3 + h // 10 % 8) AS p FROM e),
+v AS (SELECT r, doc_id, n, unnest(range(n)) AS i, h, a, p, words FROM f),
+w AS (SELECT r, i, words[1 + CASE WHEN h % 10 = 0 AND i >= a THEN a + (i - a) % p ELSE i END] AS word FROM v),
+grams AS (
+  SELECT r, i, concat_ws(' ', word, lead(word, 1) OVER o, lead(word, 2) OVER o, lead(word, 3) OVER o, lead(word, 4) OVER o,
+                          lead(word, 5) OVER o) AS gram, lead(i, 5) OVER o AS whole
+  FROM w WINDOW o AS (PARTITION BY r ORDER BY i)),
+distances AS (
+  SELECT DISTINCT x.r, y.i - x.i AS q FROM grams x JOIN grams y ON x.r = y.r AND x.gram = y.gram AND x.i < y.i
+  JOIN e ON e.r = x.r WHERE x.whole IS NOT NULL AND y.whole IS NOT NULL AND 2 * (y.i - x.i) <= n),
+equal AS (
+  SELECT q.r, q.q, x.i, x.i - row_number() OVER (PARTITION BY q.r, q.q ORDER BY x.i) AS island
+  FROM distances q JOIN w x ON x.r = q.r JOIN w y ON y.r = q.r AND y.i = x.i + q.q AND x.word = y.word),
+stretches AS (SELECT r, q, min(i) AS start, count(*) + q AS length FROM equal GROUP BY r, q, island HAVING count(*) >= q AND count(*) + q >= 12),
+runs AS (SELECT r, start, length, min(q) AS period FROM stretches GROUP BY r, start, length),
+best AS (
+  SELECT r, count(*) AS n_runs, first(start ORDER BY length DESC, start, period) AS start, max(length) AS length,
+         first(period ORDER BY length DESC, start, period) AS period,
+         string_agg(concat_ws(',', start, length, period) || chr(10), '' ORDER BY start, period) AS listed
+  FROM runs GROUP BY r),
+gone AS (SELECT DISTINCT r, unnest(range(start + period, start + length)) AS i FROM runs),
+kept AS (SELECT r, string_agg(word, ' ' ORDER BY i) AS body FROM w ANTI JOIN gone USING (r, i) GROUP BY r)
+SELECT doc_id, coalesce(n_runs, 0) AS n_runs, start, length, period, 1000 * length // period AS exponent_milli,
+       sha256(coalesce(listed, '')) AS runs_sha256, sha256(coalesce(body, '')) AS collapsed_sha256, CAST(n AS BIGINT) AS n_words
+FROM e LEFT JOIN best USING (r) LEFT JOIN kept USING (r)
+"""
+
+
+def _field(value: str) -> str:
+    return f"CASE WHEN {value} IS NULL THEN '-' ELSE strlen({value}::VARCHAR) || ':' || {value}::VARCHAR END"
+
+
+def _leaf(text: str) -> str:
+    return "sha256(" + " || ".join(map(_field, ("doc_id", "source", "lang", "n_chars", text))) + ")"
+
+
+_MERKLE = rf"""
+WITH RECURSIVE d AS (
+  SELECT *, CASE WHEN {_crc32("coalesce(doc_id::VARCHAR, '')")} % 2 = 0 THEN replace(text, chr(10), '') ELSE text END AS stripped FROM documents),
+h AS (SELECT doc_id, dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS s, {_leaf("text")} AS leaf, {_leaf("stripped")} AS tampered FROM d),
+leaves AS (
+  SELECT *, row_number() OVER () AS r, row_number() OVER (PARTITION BY s ORDER BY doc_id NULLS FIRST, leaf) - 1 AS place,
+         count(*) OVER (PARTITION BY s) AS n FROM h),
+t AS (
+  SELECT 0 AS level, s, place, leaf AS digest, n FROM leaves
+  UNION ALL
+  SELECT any_value(level) + 1, s, place // 3, sha256(string_agg(digest, '' ORDER BY place)), (any_value(n) + 2) // 3
+  FROM t WHERE n > 1 GROUP BY s, place // 3),
+subroots AS (SELECT s, digest AS subroot FROM t WHERE n = 1),
+u AS (
+  SELECT 0 AS level, s AS place, subroot AS digest, count(*) OVER () AS n FROM subroots
+  UNION ALL
+  SELECT any_value(level) + 1, place // 3, sha256(string_agg(digest, '' ORDER BY place)), (any_value(n) + 2) // 3
+  FROM u WHERE n > 1 GROUP BY place // 3),
+near AS (
+  SELECT r, level, t.place AS i, x.place // (3 ** level)::BIGINT AS own, digest
+  FROM leaves x JOIN t ON x.s = t.s AND t.n > 1 AND t.place // 3 = x.place // (3 ** (level + 1))::BIGINT
+  UNION ALL
+  SELECT r, 1000 + level, u.place, s // (3 ** level)::BIGINT, digest
+  FROM leaves x JOIN u ON u.n > 1 AND u.place // 3 = s // (3 ** (level + 1))::BIGINT),
+steps AS (
+  SELECT r, row_number() OVER (PARTITION BY r ORDER BY level) AS k,
+         coalesce(string_agg(digest, '' ORDER BY i) FILTER (i < own), '') AS ahead,
+         coalesce(string_agg(digest, '' ORDER BY i) FILTER (i > own), '') AS behind
+  FROM near GROUP BY r, level),
+folded AS (
+  SELECT r, 1 AS k, tampered AS digest FROM leaves
+  UNION ALL
+  SELECT f.r, f.k + 1, sha256(ahead || digest || behind) FROM folded f JOIN steps s ON s.r = f.r AND s.k = f.k),
+ends AS (SELECT r, arg_max(digest, k) AS folded_root FROM folded GROUP BY r),
+proofs AS (SELECT r, string_agg(ahead || behind, '' ORDER BY k) AS proof FROM steps GROUP BY r)
+SELECT doc_id, leaf, subroot, root, sha256(coalesce(proof, '')) AS proof_sha256, folded_root, folded_root = root AS verified
+FROM leaves JOIN subroots USING (s) JOIN ends USING (r) LEFT JOIN proofs USING (r) CROSS JOIN (SELECT digest AS root FROM u WHERE n = 1)
+"""
+
+SQL = {
+    "op9_exact_dedup": _EXACT,
+    "op10_mixing": _MIX,
+    "op11_line_dedup": _LINES,
+    "op12_periodic_runs": _RUNS,
+    "op13_merkle_manifest": _MERKLE,
+}

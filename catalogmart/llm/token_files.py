@@ -46,7 +46,8 @@ class Encoder:
     a single line break. Texts are cut there, each distinct piece is
     encoded once and remembered under a hash. Texts with blanks in a row stay
     whole. Pieces are compared byte by byte with the remembered ones; should a
-    hash ever confuse two, the texts are encoded as they are.
+    hash ever confuse two, the texts are encoded as they are. So is a text that
+    spells an added token, which the library cuts out before anything else.
     """
 
     def __init__(self, path: str):
@@ -54,7 +55,7 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.added = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
         size = self.tokenizer.get_vocab_size()
         self.kind = np.uint16 if size <= 1 << 16 else np.uint32
         spelled = [_spelled(self.tokenizer.id_to_token(k) or "") for k in range(size)]
@@ -74,6 +75,9 @@ class Encoder:
 
     def _joined(self, body: bytes, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The same for pieces in a row that each start a new word: encoded as one text, cut by spelled length."""
+        if any(t in body for t in self.added):
+            ends = np.cumsum(size).tolist()
+            return self._library([body[b - n : b].decode() for b, n in zip(ends, size.tolist())])
         ids, _ = self._library([body.decode()])
         at = np.searchsorted(np.cumsum(self.length[ids]), np.cumsum(size), "left") + 1
         return ids, np.diff(np.append(0, at))
@@ -131,6 +135,19 @@ class Encoder:
 
     def encode(self, raw: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """All ids, each text followed by the end id, and the number of ids of each text."""
+        spelled = np.array([any(t in x for t in self.added) for x in raw], bool)
+        if not spelled.any():
+            return self._encode(raw)
+        ids, size = self._encode([x for x, own in zip(raw, spelled) if not own])
+        own, n = self._library([x.decode() for x, own in zip(raw, spelled) if own])
+        own = np.insert(own.astype(np.uint32), np.cumsum(n), END_ID)
+        counts, begin = np.empty(len(raw), np.int64), np.empty(len(raw), np.int64)
+        counts[~spelled], counts[spelled] = size, n + 1
+        begin[~spelled], begin[spelled] = np.cumsum(size) - size, len(ids) + np.cumsum(n + 1) - (n + 1)
+        return np.append(ids, own)[ragged(begin, counts)], counts
+
+    def _encode(self, raw: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """encode() for texts that spell no added token."""
         data, first, length = joined(raw)
         if not len(data):
             return np.full(len(raw), END_ID, np.uint32), np.ones(len(raw), np.int64)

@@ -18,7 +18,6 @@ def library():
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(BYTE_BPE)
-    tokenizer.encode_special_tokens = True
     return lambda text: tokenizer.encode(text or "", add_special_tokens=False).ids
 
 
@@ -55,6 +54,24 @@ def test_encoder_equals_the_library(library, encoder, values):
         at += n
 
 
+@settings(max_examples=500, deadline=None)
+@cases(st.lists(st.lists(st.sampled_from(["<|endoftext|>", "<|endof", "text|>", "a", " b", "\n", " ", "é"]), max_size=8).map("".join), max_size=5))
+def test_added_tokens_are_cut_out_as_the_library_does(library, encoder, values):
+    ids, size = encoder.encode([x.encode() for x in values])
+    assert size.tolist() == [len(library(x)) + 1 for x in values]
+    assert ids.tolist() == [k for x in values for k in [*library(x), 0]]
+
+
+def test_pieces_of_different_texts_spell_no_added_token(library):
+    encoder = f.Encoder(BYTE_BPE)
+    encoder.added = [b"x1 y2"]
+    assert encoder.encode([b"a x1", b"b", b"c y2"])[0].tolist() == [k for x in ("a x1", "b", "c y2") for k in [*library(x), 0]]
+
+
+def test_an_added_token_in_a_text(library, encoder):
+    assert library("a <|endoftext|> b") == encoder.encode([b"a <|endoftext|> b"])[0].tolist()[:-1] == [64, 220, 50256, 275]
+
+
 @settings(max_examples=100, deadline=None)
 @cases(st.lists(st.integers(0, 1 << 40), min_size=1, max_size=400))
 def test_code_lengths_are_limited_and_optimal(counts):

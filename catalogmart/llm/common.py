@@ -46,6 +46,16 @@ class Scratch:
         return F.broadcast(kept) if kept.count() <= rows else kept
 
 
+def unused(columns: list[str], *names: str) -> list[str]:
+    """The names, each with as many underscores before it as it takes to be none of the columns, in any case."""
+    taken, out = {c.lower() for c in columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        out.append(name)
+    return out
+
+
 def held_out(doc_id: Column | str) -> Column:
     """True for rows that no learner may see: crc32 of the id as text is divisible by 5."""
     column = F.col(doc_id) if isinstance(doc_id, str) else doc_id

@@ -1,11 +1,12 @@
 """Mixing sources to target weights by Sainte-Laguë apportionment of equal-token blocks.
 
 A source's words, its documents in seeded order, fall into blocks of equal
-length. Seats, one per block of the mix, go to the sources by their highest
-quotients target / (2k + 1); a source's seats are full passes over its blocks
-and a seeded choice of the rest. Where documents must stay whole, the same
-targets and order choose documents instead. Everything here is DataFrame
-expressions.
+length, short enough that the smallest source has many. Seats, one per block of
+the mix, go to the sources by their highest quotients target / (2k + 1), never
+more than REPEAT times its words to one source; a seat beyond that goes to the
+next quotient. The seats of a source are dealt to the shards, and each shard
+takes its quota from the source's blocks in turn, after the last one from the
+first again. Everything here is DataFrame expressions.
 """
 
 from __future__ import annotations
@@ -13,13 +14,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from catalogmart.llm.common import Scratch
+from catalogmart.llm.common import Scratch, unused
 
 WEIGHTS = (5, 2, 1)
 #: No source is repeated more often.
 REPEAT = 3
-#: Blocks of the mix: this many, or BLOCKS_PER_SOURCE per source if that is more.
-BLOCKS, BLOCKS_PER_SOURCE = 4_096, 256
+#: Blocks of the smallest source that has words, if it has as many words; the block length follows from it.
+BLOCKS_PER_SOURCE = 4_096
 SHARDS, SEED = 8, 11
 #: Hex digits of the ordering hash that cut a source into stretches summed on their own.
 STRETCH_DIGITS = 3
@@ -58,60 +59,58 @@ def source_targets(sources: DataFrame, weights: tuple[float, ...] = WEIGHTS, rep
     return ranked.withColumn("target", target).select("source", "rank", "source_size", "weight", "target")
 
 
+def block_words(sources: DataFrame) -> tuple[int, int, int]:
+    """Words of a block, words of all sources, and number of sources."""
+    full = F.when(F.col("source_size") > 0, F.col("source_size"))
+    facts = sources.agg(F.min(full).alias("least"), F.sum("source_size").alias("total"), F.count("*").alias("n")).first()
+    return max(1, (facts["least"] or 0) // BLOCKS_PER_SOURCE), facts["total"] or 0, facts["n"]
+
+
 def seats(targets: DataFrame, block: int, total_seats: int, total: int, n_sources: int, repeat: int = REPEAT) -> DataFrame:
-    """targets with quota: the highest total_seats quotients target / (2k + 1), ties by rank, at most repeat per block.
+    """targets with quota: the highest total_seats quotients target / (2k + 1), ties by rank, of a source at most
+    repeat times its words.
 
     With a divisor a little above total / seats every quotient reached is among
-    the highest; a little below, all the highest are reached. Only the quotients
-    between the two, about two per source, are ranked.
+    the highest; a little below, all the highest are reached, though full sources
+    leave their seats to the others. Only the quotients between the two, a few
+    per source, are ranked.
     """
     if total_seats <= 0:
         return targets.withColumn("quota", F.lit(0).cast("long"))
-    sure_divisor = total / max(total_seats - n_sources / 2, 0.5) if total_seats > n_sources / 2 else float("inf")
+    most = F.floor(repeat * F.col("source_size") / F.lit(block)).cast("long")
+    free = targets.agg(F.sum(F.when(F.col("target") < repeat * F.col("source_size") - 2 * block, F.col("target")))).first()[0] or 0
     wide_divisor = total / (total_seats + n_sources / 2 + 1)
-    reached = lambda d: F.floor(F.col("target") / F.lit(d) + 0.5).cast("long") if d != float("inf") else F.lit(0).cast("long")
-    ranged = targets.withColumn("sure", reached(sure_divisor)).withColumn("wide", reached(wide_divisor))
+    if free:
+        wide_divisor = min(wide_divisor, free / (free * total_seats / total + 4 * n_sources + 1))
+    sure_divisor = total / (total_seats - n_sources / 2) if total_seats > n_sources / 2 else None
+    reached = lambda d: F.least(most, F.floor(F.col("target") / F.lit(d) + 0.5).cast("long"))
+    sure = reached(sure_divisor) if sure_divisor else F.lit(0).cast("long")
+    ranged = targets.withColumn("sure", sure).withColumn("wide", reached(wide_divisor))
     taken = ranged.agg(F.sum("sure").alias("s")).first()["s"] or 0
     open_ = ranged.where("wide > sure").select("rank", "target", F.explode(F.sequence("sure", F.col("wide") - 1)).alias("k"))
     quotient = F.col("target") / (2 * F.col("k") + 1)
     last = open_.orderBy(quotient.desc(), "rank", "k").limit(max(0, int(total_seats - taken)))
     more = last.groupBy("rank").agg(F.count("*").alias("more"))
-    quota = F.least(F.col("sure") + F.coalesce("more", F.lit(0)), F.floor(repeat * F.col("source_size") / F.lit(block)))
+    quota = F.col("sure") + F.coalesce("more", F.lit(0))
     return ranged.join(more, "rank", "left").withColumn("quota", quota.cast("long")).drop("sure", "wide", "more")
 
 
-def block_plan(quotas: DataFrame, block: int, seed: int = SEED, shards: int = SHARDS) -> DataFrame:
-    """rank, block, copies, shards (the shard of each copy) and before (words taken from the blocks ahead).
+def shard_quotas(quotas: DataFrame, shards: int = SHARDS) -> DataFrame:
+    """quotas with by_shard: the blocks that each shard takes of the source.
 
     The seats of all sources form one row, source after source, dealt to the
     shards in turn: shards differ by one block at most, in total and per source.
     """
-    upto = Window.orderBy("rank").rowsBetween(Window.unboundedPreceding, -1)
-    based = quotas.withColumn("base", F.coalesce(F.sum("quota").over(upto), F.lit(0)))
-    n_blocks = F.ceil(F.col("source_size") / F.lit(block)).cast("long")
-    rows = based.where("source_size > 0").withColumn("n_blocks", n_blocks)
-    rows = rows.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n_blocks") - 1)))
-    drawn = Window.partitionBy("rank").orderBy(seeded(seed, F.col("rank"), F.col("block")), "block")
-    rows = rows.withColumn("turn", F.row_number().over(drawn) - 1)
-    full, rest = F.floor(F.col("quota") / F.col("n_blocks")), F.col("quota") % F.col("n_blocks")
-    rows = rows.withColumn("copies", (full + (F.col("turn") < rest).cast("long")).cast("long"))
-    seat = lambda c: F.pmod(F.col("base") + F.col("turn") + c * F.col("n_blocks"), F.lit(shards)).cast("int")
-    dealt = F.when(F.col("copies") > 0, F.transform(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1), seat)).otherwise(F.array().cast("array<int>"))
-    length = F.least(F.lit(block), F.col("source_size") - F.col("block") * block)
-    ahead = Window.partitionBy("rank").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    before = F.coalesce(F.sum(F.col("copies") * length).over(ahead), F.lit(0)).cast("long")
-    return rows.select("rank", "block", "copies", dealt.alias("shards"), before.alias("before"))
-
-
-def shard_quotas(plan: DataFrame) -> DataFrame:
-    """rank, shard and quota: the blocks that each shard takes of each source."""
-    return plan.select("rank", F.explode("shards").alias("shard")).groupBy("rank", "shard").agg(F.count("*").alias("quota"))
+    ahead = Window.orderBy("rank").rowsBetween(Window.unboundedPreceding, -1)
+    based = quotas.withColumn("base", F.coalesce(F.sum("quota").over(ahead), F.lit(0)))
+    own = [F.expr(f"(quota + {shards - 1} - pmod({k} - base, {shards})) div {shards}") for k in range(shards)]
+    return based.withColumn("by_shard", F.array(*own)).drop("base")
 
 
 def placed_rows(rows: DataFrame, targets: DataFrame, seed: int, scratch: Scratch) -> DataFrame:
-    """rows with rank, source_size, target and the words of their source up to begin and end of the row, in seeded order."""
-    known = scratch.small(targets.select(F.col("source").alias("s"), "rank", "source_size", "target"))
-    order = seeded(seed, F.col("doc_id"))
+    """rows with the columns of targets and the words of their source up to begin and end of the row, in seeded order."""
+    known = scratch.small(targets.withColumnRenamed("source", "s").drop("weight"))
+    order = seeded(seed, F.col("doc_id"), F.col("digest"))
     placed = rows.join(known, F.col("source").eqNullSafe(F.col("s"))).withColumn("order", order)
     placed = placed.withColumn("stretch", F.substring("order", 1, STRETCH_DIGITS)).drop("source", "s")
     stretches = placed.groupBy("rank", "stretch").agg(F.sum("size").alias("words"))
@@ -124,62 +123,58 @@ def placed_rows(rows: DataFrame, targets: DataFrame, seed: int, scratch: Scratch
 
 
 def sized_rows(df: DataFrame, scratch: Scratch, doc_id: str, text: str, source: str) -> tuple[DataFrame, DataFrame]:
-    """doc_id, source and size of every row; source and source_size of every source."""
-    rows = scratch.keep(df.select(F.col(doc_id).alias("doc_id"), F.col(source).alias("source"), word_count(F.col(text)).alias("size")))
+    """doc_id, source, size and digest (MD5 of the text) of every row; source and source_size of every source."""
+    digest = F.md5(F.coalesce(F.col(text), F.lit("")).cast("binary")).alias("digest")
+    rows = scratch.keep(df.select(F.col(doc_id).alias("doc_id"), F.col(source).alias("source"), word_count(F.col(text)).alias("size"), digest))
     return rows, scratch.keep(rows.groupBy("source").agg(F.sum("size").alias("source_size")))
 
 
-def mix(df: DataFrame, weights: tuple[float, ...] = WEIGHTS, seed: int = SEED, doc_id: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
-    """doc_id, size, source_size, target and taken of every row, by whole documents.
-
-    All documents of a source are taken as often as its target holds its size;
-    the rest of the target goes to the first documents in seeded order, and only
-    the document at its end is taken in part. So taken adds up to the target of
-    every source, rounded to a word. Nulls and repeated ids as in mix_blocks.
-    """
-    scratch = Scratch(df.sparkSession, "mixing")
-    rows, sources = sized_rows(df, scratch, doc_id, text, source)
-    targets = scratch.keep(source_targets(sources, weights))
-    placed = placed_rows(rows, targets, seed, scratch)
-    want, held = F.floor(F.col("target") + 0.5).cast("long"), F.greatest(F.col("source_size"), F.lit(1))
-    placed = placed.withColumn("rest", F.pmod(want, held)).withColumn("times", ((want - F.col("rest")) / held).cast("long"))
-    again = F.greatest(F.lit(0), F.least("end", "rest") - F.col("begin"))
-    taken = (F.col("times") * F.col("size") + again).cast("long").alias("taken")
-    return placed.select("doc_id", "size", "source_size", "target", taken)
+def words_before(place: str) -> str:
+    """How many of the first place words, the source's words again and again, are the row's."""
+    return f"({place} div source_size * size + greatest(0L, least(size, {place} % source_size - begin)))"
 
 
-def mix_blocks(df: DataFrame, weights: tuple[float, ...] = WEIGHTS, seed: int = SEED, doc_id: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
-    """doc_id, size, source_size, target and taken of every row, by blocks.
+def mix(
+    df: DataFrame,
+    weights: tuple[float, ...] = WEIGHTS,
+    seed: int = SEED,
+    shards: int = SHARDS,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    source: str = "source",
+) -> DataFrame:
+    """doc_id, size, source_size, target, taken and shard_words of every row.
 
     taken counts the words of the document that lie in chosen blocks, repeats
-    included. A null source is a source of its own, a null text has size 0; a
-    mix without words takes nothing. Rows that repeat an id follow one another
-    by size. Further columns are ignored.
+    included; shard_words parts them by shard. A source's taken words are its
+    quota of whole blocks. A null source is a source of its own, a null text has
+    size 0; a mix without words takes nothing. Rows that repeat an id follow the
+    hash of their text; rows equal in both follow one another. Further columns
+    are ignored.
     """
     scratch = Scratch(df.sparkSession, "mixing")
     rows, sources = sized_rows(df, scratch, doc_id, text, source)
-    facts = sources.agg(F.sum("source_size").alias("total"), F.count("*").alias("n")).first()
-    total, n = facts["total"] or 0, facts["n"]
-    block = max(1, total // max(BLOCKS, BLOCKS_PER_SOURCE * n))
+    block, total, n = block_words(sources)
     targets = scratch.keep(source_targets(sources, weights))
-    plan = scratch.small(block_plan(seats(targets, block, total // block, total, n), block, seed), 100_000)
-    placed = placed_rows(rows, targets, seed, scratch)
-    for edge in ("begin", "end"):
-        at = F.expr(f"({edge} - 1) div {block}")
-        side = plan.select(F.col("rank").alias("r2"), F.col("block").alias("at"), "copies", "before")
-        joined = placed.join(side, (F.col("rank") == F.col("r2")) & (at == F.col("at")) & (F.col(edge) > 0), "left")
-        words = F.coalesce(F.col("before") + F.col("copies") * (F.col(edge) - F.col("at") * block), F.lit(0))
-        placed = joined.withColumn(f"{edge}_words", words.cast("long")).drop("r2", "at", "copies", "before")
-    taken = (F.col("end_words") - F.col("begin_words")).alias("taken")
-    return placed.select("doc_id", "size", "source_size", "target", taken)
+    quotas = shard_quotas(scratch.keep(seats(targets, block, total // block, total, n)), shards)
+    upto = [F.expr("0L" + "".join(f" + by_shard[{j}]" for j in range(k))) * block for k in range(shards + 1)]
+    quotas = scratch.keep(quotas.withColumn("edges", F.array(*upto)).drop("by_shard", "quota"))
+    placed = placed_rows(rows, quotas, seed, scratch)
+    at_edges = F.when(F.col("source_size") > 0, F.expr(f"transform(edges, e -> {words_before('e')})"))
+    placed = placed.withColumn("at_edges", F.coalesce(at_edges, F.expr(f"array_repeat(0L, {shards + 1})")))
+    parts = F.expr(f"transform(sequence(1, {shards}), k -> at_edges[k] - at_edges[k - 1])").alias("shard_words")
+    return placed.select("doc_id", "size", "source_size", "target", F.col("at_edges")[shards].alias("taken"), parts)
 
 
 def apply_mix(df: DataFrame, weights: tuple[float, ...] = WEIGHTS, seed: int = SEED, doc_id: str = "doc_id") -> DataFrame:
     """The rows of df as often as the mix takes them, all columns kept; rows without words go.
 
-    Rounding taken / size concerns the one document a source at most that mix takes in part.
+    Documents stay whole: taken / size is rounded, which changes the one document
+    a source at most in which its quota of blocks ends.
     """
+    names = unused(df.columns, "id", "times", "copy")
     times = F.floor(F.sum("taken") / F.sum("size") + 0.5).cast("int")
-    plan = mix(df, weights, seed, doc_id).where("size > 0").groupBy(F.col("doc_id").alias("__id")).agg(times.alias("__times"))
-    kept = df.join(plan.where("__times > 0"), F.col(doc_id).eqNullSafe(F.col("__id")))
-    return kept.select(*[F.col(f"`{c}`") for c in df.columns], F.explode(F.sequence(F.lit(1), "__times")).alias("__copy")).drop("__copy")
+    plan = mix(df, weights, seed, doc_id=doc_id).where("size > 0").groupBy(F.col("doc_id").alias(names[0])).agg(times.alias(names[1]))
+    kept = df.join(plan.where(F.col(names[1]) > 0), F.col(f"`{doc_id}`").eqNullSafe(F.col(names[0])))
+    again = F.explode(F.sequence(F.lit(1), F.col(names[1]))).alias(names[2])
+    return kept.select(*[F.col(f"`{c}`") for c in df.columns], again).drop(names[2])

@@ -67,7 +67,7 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mix_blocks(documents(spark, sf_dir))
+    return mixing.mix(documents(spark, sf_dir))
 
 
 def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -121,7 +121,7 @@ FROM d WINDOW w AS (PARTITION BY body)
 _MIX = rf"""
 WITH RECURSIVE d AS (
   SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
-         md5('{mixing.SEED}:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS place
+         md5('{mixing.SEED}:' || coalesce(CAST(doc_id AS VARCHAR), '') || ':' || md5(coalesce(text, ''))) AS place
   FROM documents),
 s AS (
   SELECT source, CAST(sum(size) AS BIGINT) AS source_size, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS rank
@@ -140,31 +140,28 @@ shared AS (
   WHERE round < (SELECT count(*) FROM w)),
 t AS (SELECT rank, target FROM shared WHERE round = (SELECT max(round) FROM shared)),
 const AS (
-  SELECT greatest(1, sum(source_size)::BIGINT // greatest({mixing.BLOCKS}, {mixing.BLOCKS_PER_SOURCE} * count(*))) AS b,
-         sum(source_size)::BIGINT AS total FROM s),
+  SELECT greatest(1, min(source_size) FILTER (source_size > 0) // {mixing.BLOCKS_PER_SOURCE}) AS b, sum(source_size)::BIGINT AS total FROM s),
 q AS (
   SELECT rank, count(*) AS won FROM (
-    SELECT rank, k, row_number() OVER (ORDER BY target / (2 * k + 1) DESC, rank, k) AS n
-    FROM (SELECT rank, target, unnest(range(CAST(target / (SELECT b FROM const) AS BIGINT) + 3)) AS k FROM t))
+    SELECT rank, row_number() OVER (ORDER BY target / (2 * k + 1) DESC, rank, k) AS n
+    FROM (SELECT rank, target, unnest(range(3 * source_size // b)) AS k FROM t JOIN s USING (rank) CROSS JOIN const))
   WHERE n <= (SELECT total // b FROM const) GROUP BY rank),
-quota AS (
-  SELECT w.*, least(coalesce(won, 0), 3 * source_size // (SELECT b FROM const)) AS quota, t.target
-  FROM w JOIN t USING (rank) LEFT JOIN q USING (rank)),
-blocks AS (
-  SELECT *, row_number() OVER (PARTITION BY rank ORDER BY md5('{mixing.SEED}:' || rank || ':' || block), block) - 1 AS turn
-  FROM (SELECT *, unnest(range(CAST(ceil(source_size / (SELECT b FROM const)::DOUBLE) AS BIGINT))) AS block,
-               CAST(ceil(source_size / (SELECT b FROM const)::DOUBLE) AS BIGINT) AS n_blocks FROM quota)),
-copies AS (
-  SELECT rank, block * (SELECT b FROM const) AS lo, least((block + 1) * (SELECT b FROM const), source_size) AS hi,
-         quota // n_blocks + CASE WHEN turn < quota % n_blocks THEN 1 ELSE 0 END AS copies FROM blocks),
+seat AS (
+  SELECT rank, j, (row_number() OVER (ORDER BY rank, j) - 1) % {mixing.SHARDS} AS shard
+  FROM (SELECT rank, unnest(range(won)) AS j FROM q)),
+share AS (
+  SELECT rank, shard, sum(count(*)) OVER (PARTITION BY rank ORDER BY shard) * b AS hi, (sum(count(*)) OVER (PARTITION BY rank ORDER BY shard) - count(*)) * b AS lo
+  FROM seat CROSS JOIN const GROUP BY rank, shard, b),
 placed AS (
-  SELECT d.doc_id, d.size, quota.rank, quota.source_size, quota.target,
-         sum(size) OVER (PARTITION BY quota.rank ORDER BY place, size ROWS UNBOUNDED PRECEDING) - size AS lo
-  FROM d JOIN quota ON d.source IS NOT DISTINCT FROM quota.source)
-SELECT doc_id, any_value(p.size) AS size, any_value(source_size) AS source_size, any_value(target) AS target,
-       CAST(coalesce(sum(copies * greatest(0, least(p.lo + p.size, c.hi) - greatest(p.lo, c.lo))), 0) AS BIGINT) AS taken
-FROM placed p LEFT JOIN copies c ON c.rank = p.rank AND c.lo < p.lo + p.size AND c.hi > p.lo
-GROUP BY doc_id, p.lo, p.rank
+  SELECT row_number() OVER () AS r, doc_id, size, s.rank, source_size, target,
+         sum(size) OVER (PARTITION BY s.rank ORDER BY place ROWS UNBOUNDED PRECEDING) - size AS lo
+  FROM d JOIN s ON d.source IS NOT DISTINCT FROM s.source JOIN t ON t.rank = s.rank),
+part AS (
+  SELECT r, shard, sum(greatest(0, least(p.lo + size + m * source_size, hi) - greatest(p.lo + m * source_size, x.lo))) AS words
+  FROM placed p CROSS JOIN range(3) AS m(m) CROSS JOIN range({mixing.SHARDS}) AS h(shard) LEFT JOIN share x USING (rank, shard) GROUP BY r, shard)
+SELECT doc_id, size, source_size, target, CAST(sum(coalesce(words, 0)) AS BIGINT) AS taken,
+       list(CAST(coalesce(words, 0) AS BIGINT) ORDER BY shard) AS shard_words
+FROM placed JOIN part USING (r) GROUP BY r, doc_id, size, source_size, target
 """
 
 _BLANKS = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"

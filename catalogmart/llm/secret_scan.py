@@ -42,7 +42,15 @@ PLACEHOLDER = re.compile(r"(?i)^(?:change_?me|example.*|your[-_ ].*|x{3,}|\*{3,}
 #: Least product of name and literal score for a secret.
 THRESHOLD = 0.4
 
-_QUOTED = r""""(?:[^"\\\n]|\\.)*"|'(?:[^'\\\n]|\\.)*'"""
+#: A literal of more characters is known by its first and last ones, its length and the shares of its characters.
+SHOWN = 512
+
+_QUOTED = (
+    r"(?:\b[bBfFrRuU]{1,2})?(?:"
+    + "|".join([r'"""(?:[^"\\]|\\.|"(?!""))*+"""', r"'''(?:[^'\\]|\\.|'(?!''))*+'''", r'"(?:[^"\\\n]|\\.)*+"', r"'(?:[^'\\\n]|\\.)*+'"])
+    + ")"
+)
+_OPENING = re.compile(r"""[A-Za-z]*(\"{3}|'{3}|["'])""")
 _STATEMENT = re.compile(
     rf"""(?<![\w$.-])(?P<name>[A-Za-z_$][\w$.-]*+)(?:["']?\]?)(?:[ \t]*(?::=|=>|\+=|[:=])(?![=>])|(?<=\S)[ \t]+(?=["']))[ \t]*"""
     rf"""(?P<value>(?:{_QUOTED}|[^\s"',;(){{}}\[\]]+)(?:[ \t]*\+[ \t]*(?:{_QUOTED}|[A-Za-z_$][\w$.]*))*)""",
@@ -62,53 +70,104 @@ def name_score(name: str) -> float:
     return max(0.0, min(1.0, max(up) + 0.5 * (sum(up) - max(up)) + sum(down)))
 
 
-def literal_score(value: str) -> float:
-    """Between 0 and 1 by length and entropy; 0 for placeholders, blanks inside and under six characters."""
-    if len(value) < 6 or PLACEHOLDER.match(value) or re.search(r"\s", value):
-        return 0.0
-    counts = Counter(value)
-    entropy = -sum(c / len(value) * math.log2(c / len(value)) for c in counts.values())
-    kinds = sum(bool(re.search(p, value)) for p in (r"[a-z]", r"[A-Z]", r"[0-9]", r"[^A-Za-z0-9]"))
-    return min(1.0, 0.15 * kinds + 0.2 * entropy)
+class Literal:
+    """A value put together from pieces of the text.
 
+    Constants that add themselves to themselves double with every line, so a
+    long value is never joined: beyond SHOWN characters both ends stand for it.
+    places holds spans and the literals that it was made of.
+    """
 
-def name_literal_pairs(text: str) -> list[tuple[str, str, tuple[tuple[int, int], ...]]]:
-    """(name, literal, spans of its pieces) of every assignment, constants propagated; spans exclude quotes."""
-    constants: dict[str, tuple[str, tuple[tuple[int, int], ...]]] = {}
+    __slots__ = ("shown", "length", "shares", "places")
+
+    def __init__(self, value: str, places: list):
+        self.length, self.places = len(value), places
+        self.shown = value if len(value) <= SHOWN else value[: SHOWN // 2] + value[-SHOWN // 2 :]
+        self.shares = {c: n / len(value) for c, n in Counter(value).items()} if len(value) > SHOWN else None
+
+    @classmethod
+    def joined(cls, parts: list[Literal]) -> Literal:
+        if len(parts) == 1:
+            return parts[0]
+        length = sum(p.length for p in parts)
+        if length <= SHOWN:
+            return cls("".join(p.shown for p in parts), parts)
+        out, half = cls("", parts), SHOWN // 2
+        out.length = min(length, 1 << 53)
+        head, tail = "", ""
+        for part in parts:
+            head += part.shown[:half]
+            if part.length > half or len(head) >= half:
+                break
+        for part in reversed(parts):
+            tail = part.shown[-half:] + tail
+            if part.length > half or len(tail) >= half:
+                break
+        out.shown, shares = head[:half] + tail[-half:], Counter()
+        for part in parts:
+            for c, share in part.character_shares().items():
+                shares[c] += share * (part.length / length)
+        out.shares = dict(shares)
+        return out
+
+    def character_shares(self) -> dict[str, float]:
+        return self.shares or {c: n / self.length for c, n in Counter(self.shown).items()}
+
+    def score(self) -> float:
+        """Between 0 and 1 by length and entropy; 0 for placeholders, blanks inside and under six characters."""
+        if self.length < 6 or PLACEHOLDER.match(self.shown):
+            return 0.0
+        shares = self.character_shares()
+        if any(c.isspace() for c in shares):
+            return 0.0
+        entropy = -sum(p * math.log2(p) for p in shares.values() if p)
+        held = "".join(shares)
+        kinds = sum(bool(re.search(p, held)) for p in (r"[a-z]", r"[A-Z]", r"[0-9]", r"[^A-Za-z0-9]"))
+        return min(1.0, 0.15 * kinds + 0.2 * entropy)
+
+
+def name_literal_pairs(text: str) -> list[tuple[str, Literal]]:
+    """(name, literal) of every assignment, constants propagated; spans exclude quotes and the letters before them."""
+    constants: dict[str, Literal] = {}
     pairs = []
     for m in _STATEMENT.finditer(text):
-        literal, spans, plain = "", [], True
+        parts, bare = [], []
         base = m.start("value")
         for part in _PART.finditer(m["value"]):
             if part["quoted"]:
-                literal += part["quoted"][1:-1]
-                spans.append((base + part.start() + 1, base + part.end() - 1))
-                plain = False
+                opening = _OPENING.match(part["quoted"])
+                a, b = opening.end(), len(part["quoted"]) - len(opening[1])
+                start = base + part.start()
+                parts.append(Literal(part["quoted"][a:b], [(start + a, start + b)]))
             elif part["bare"] in constants:
-                value, at = constants[part["bare"]]
-                literal += value
-                spans.extend(at)
-                plain = False
+                parts.append(constants[part["bare"]])
             else:
-                literal += part["bare"]
-                spans.append((base + part.start(), base + part.end()))
-        if plain and _IDENTIFIER.match(literal) and not any(c.isdigit() for c in literal):
+                bare.append(Literal(part["bare"], [(base + part.start(), base + part.end())]))
+        if not parts and not bare:
+            continue
+        known = Literal.joined(parts or bare)  # beside a quoted or known part, a bare one is a name of unknown value
+        if not parts and _IDENTIFIER.match(known.shown) and not any(c.isdigit() for c in known.shown):
             continue  # another name whose value is unknown, or prose
-        known = (literal, tuple(dict.fromkeys(spans)))
         constants[m["name"]] = known
-        pairs.append((m["name"], *known))
+        pairs.append((m["name"], known))
     return pairs
 
 
 def named_spans(text: str, threshold: float = THRESHOLD) -> list[tuple[int, int]]:
     """Spans of literals that reach a sensitive name."""
-    if "=" not in text and ":" not in text and "#define" not in text:
+    if not any(c in text for c in "=:\"'"):
         return []
-    found = set()
-    for name, literal, spans in name_literal_pairs(text):
+    found, seen, open_ = set(), set(), []
+    for name, literal in name_literal_pairs(text):
         sensitivity = name_score(name)
-        if sensitivity and sensitivity * literal_score(literal) >= threshold:
-            found.update(s for s in spans if s[1] > s[0])
+        if sensitivity and sensitivity * literal.score() >= threshold:
+            open_.append(literal)
+        while open_:
+            at = open_.pop()
+            if id(at) not in seen:
+                seen.add(id(at))
+                found.update(p for p in at.places if isinstance(p, tuple) and p[1] > p[0])
+                open_.extend(p for p in at.places if isinstance(p, Literal))
     return sorted(found)
 
 

@@ -63,10 +63,41 @@ def test_very_long_tokens_take_linear_time():
     import time
 
     begin = time.process_time()
-    for text in ("a" * 400_000 + " = 1", "x-." * 200_000 + "= y", "=" * 400_000, 'k = "' + "\\" * 400_000, "a+" * 200_000 + "=b", "password " * 50_000 + ":"):
+    for text in ("a" * 400_000 + " = 1", "x-." * 200_000 + "= y", "=" * 400_000, 'k = "' + "\\" * 400_000, "a+" * 200_000 + "=b", 'k = """' * 60_000, "k = ''' " * 60_000, 'k = "' * 100_000, "password " * 50_000 + ":"):
         s.scan(text)
     assert time.process_time() - begin < 10
 
 
+def test_constants_that_add_themselves_take_linear_time():
+    """Doubling, long chains and many names of one chain; the spans are those of the pieces."""
+    import time
+
+    begin = time.process_time()
+    for k in (22, 40, 400, 20_000):
+        text = 'a = "abcDEF12"\n' + "a = a + a\n" * k + "password = a\n"
+        assert literals(text) == ["abcDEF12"]
+    chain = 'x0 = "h7Gk2!pQ9x"\n' + "".join(f'x{k + 1} = x{k} + "{k}z"\n' for k in range(20_000))
+    assert len(literals(chain + "password = x20000\n")) == 20_001
+    assert len(literals(chain + "".join(f"password{k} = x{k * 10}\n" for k in range(1, 2_000)))) == 19_991
+    cycle = "a = b\nb = a\n" * 40_000 + 'a = "h7Gk2!pQ9x"\nb = a + b\nsecret = b\n'
+    assert literals(cycle) == ["h7Gk2!pQ9x"]
+    assert time.process_time() - begin < 20
+
+
+def test_long_literals_score_as_short_ones():
+    body = "h7Gk2!pQ9x" * 60
+    joined = s.Literal.joined([s.Literal(body[:300], []), s.Literal(body[300:], [])])
+    assert joined.length == 600 and joined.shown == s.Literal(body, []).shown
+    assert abs(joined.score() - s.Literal(body, []).score()) < 1e-9 and abs(joined.score() - s.Literal(body[:500], []).score()) < 1e-9
+    assert s.Literal("a b" * 300, []).score() == s.Literal("x" * 600, []).score() == s.Literal("<" + "q7" * 400 + ">", []).score() == 0
+
+
+def test_prefixed_and_triple_quoted_literals():
+    for text in ('db_pwd = b"h7Gk2!pQ9x"', "credentials: rb'h7Gk2!pQ9x'", 'passphrase = f"h7Gk2!pQ9x"', 'user_pwd = """h7Gk2!pQ9x"""', "user_pwd = '''h7Gk2!pQ9x'''"):
+        assert literals(text) == ["h7Gk2!pQ9x"], text
+    assert literals('db_pwd "h7Gk2!pQ9x"') == ["h7Gk2!pQ9x"]
+    assert literals('note = """\npassword = "in a text of many words"\n"""\n') == []
+
+
 def test_empty_table(nothing):
     assert s.scan_secrets(nothing).collect() == []

@@ -11,10 +11,9 @@ from pyspark.sql import functions as F
 from catalogmart.functions.rules import RATING_LIMITS, TOP_BRACKET
 from catalogmart.functions.text import has_token, is_label
 from catalogmart.operators.exclusion import ExcludedIds
+from catalogmart.operators.joins import balanced_join
 
 PERCENTAGE_TOLERANCE = 0.051
-#: Parts that rows with a frequent id are dealt to.
-SALTS = 16
 
 
 def null_rows(df: DataFrame, column: str) -> DataFrame:
@@ -79,9 +78,8 @@ def excluded_occurrences(relations: Mapping[str, DataFrame], excluded: ExcludedI
     """Rows of any relation that still hold an excluded id of either source.
 
     Matching on "either id" would pair every row with every excluded id, so all
-    relations together meet each id set in one hash semi join. A row caught by
-    both ids shows up twice. The listed rows are dealt to ``SALTS`` parts, each
-    with its own copy of the ids, so a frequent id never gathers in one task.
+    relations together meet each id set in one hash semi join, in which a
+    frequent id is dealt to many tasks. A row caught by both ids shows up twice.
     """
     columns = ["model_name", "imdb_id", "tmdb_id"]
     listed = []
@@ -92,9 +90,8 @@ def excluded_occurrences(relations: Mapping[str, DataFrame], excluded: ExcludedI
     ids = reduce(DataFrame.unionByName, listed)
     found = []
     for column, wanted in (("imdb_id", excluded.imdb), ("tmdb_id", excluded.tmdb)):
-        dealt = ids.filter(F.col(column).isNotNull()).withColumn("_salt", F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)))
-        copies = wanted.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint"))))
-        found.append(dealt.join(copies, [column, "_salt"], "left_semi").select(columns))
+        known = ids.filter(F.col(column).isNotNull())
+        found.append(balanced_join(known, wanted.select(column), column, "left_semi").select(columns))
     return found[0].unionByName(found[1])
 
 

@@ -13,16 +13,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from catalogmart.functions.text import has_token, id_tags, is_label, tag_names
+from catalogmart.operators.sketches import fits_broadcast, id_filter
 from catalogmart.sources.tables import KeptTables
 
 EXCLUDED_LABEL = "news"
 
 
 class ExcludedIds(NamedTuple):
-    """Distinct, non-null ids per source."""
+    """Distinct, non-null ids per source, and a filter of each set that is too large to broadcast."""
 
     imdb: DataFrame  # imdb_id
     tmdb: DataFrame  # tmdb_id
+    imdb_filter: DataFrame | None = None
+    tmdb_filter: DataFrame | None = None
 
 
 def tagged_in_list(title_basics: DataFrame, label: str = EXCLUDED_LABEL) -> DataFrame:
@@ -84,7 +87,16 @@ def excluded_ids(
         "excluded_tmdb",
         direct.union(links.join(imdb, "imdb_id", "left_semi").select("tmdb_id")).distinct(),
     )
-    return ExcludedIds(imdb, tmdb)
+    return filtered(ExcludedIds(imdb, tmdb), kept)
+
+
+def filtered(excluded: ExcludedIds, kept: KeptTables) -> ExcludedIds:
+    """The id sets with a kept filter of each one that the planner would not broadcast."""
+    held = {}
+    for source, ids in (("imdb", excluded.imdb), ("tmdb", excluded.tmdb)):
+        if not fits_broadcast(ids):
+            held[f"{source}_filter"] = kept.keep(f"{source}_filter", id_filter(ids, f"{source}_id"))
+    return excluded._replace(**held)
 
 
 def tagged_union(excluded: ExcludedIds) -> DataFrame:

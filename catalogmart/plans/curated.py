@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from catalogmart.functions.rules import CATALOGUE_TYPES, FALLBACK_ID_PREFIX, FALLBACK_TYPE
 from catalogmart.functions.text import comma_elements, named_tags
-from catalogmart.operators.joins import left_join_known
+from catalogmart.operators.joins import balanced_join, left_join_known, parts_if_shuffled
 from catalogmart.operators.ranking import numbered
 from catalogmart.sources.tables import KeptTables
 
@@ -26,8 +26,8 @@ def dim_movies(details: DataFrame, titles: DataFrame, kept: KeptTables) -> DataF
 
     A full outer join would hash all detail rows without an id, and all rows of
     a frequent id, to one task each, and Spark cannot split that join type.
-    The same result is a left join from the details, whose frequent ids adaptive
-    execution may split, and the titles no detail links to. Both branches read
+    The same result is a left join from the details, whose frequent ids are
+    dealt to parts, and the titles no detail links to. Both branches read
     the two narrow inputs from kept tables, so each is excluded once.
     """
     listed = catalogue_titles(titles).select(
@@ -42,7 +42,7 @@ def dim_movies(details: DataFrame, titles: DataFrame, kept: KeptTables) -> DataF
     )
     detail = details.select("imdb_id", "tmdb_id", "movie_title", "tmdb_release_date", "tmdb_runtime_min")
     listed, detail = kept.keep("catalogue_titles", listed), kept.keep("catalogue_details", detail)
-    with_details = left_join_known(detail, listed, "imdb_id")
+    with_details = left_join_known(detail, listed, "imdb_id", parts_if_shuffled(detail, listed, "imdb_id"))
     linked_ids = detail.filter(F.col("imdb_id").isNotNull()).select("imdb_id").distinct()
     title_only = listed.join(linked_ids, "imdb_id", "left_anti")
     merged = with_details.unionByName(title_only, allowMissingColumns=True)
@@ -95,7 +95,7 @@ def bridge_movie_people(movies: DataFrame, principals: DataFrame) -> DataFrame:
     """Credits of catalogue titles; a credit without a person is dropped."""
     credits = principals.filter(F.col("person_id").isNotNull())
     keyed = movies.filter(F.col("imdb_id").isNotNull()).select("movie_id", "imdb_id")
-    return keyed.join(credits, "imdb_id").select(
+    return balanced_join(credits, keyed, "imdb_id").select(
         "movie_id", "imdb_id", "principal_order", "person_id", "job_role", "specific_job"
     )
 
@@ -103,15 +103,17 @@ def bridge_movie_people(movies: DataFrame, principals: DataFrame) -> DataFrame:
 def fct_movie_ratings(movies: DataFrame, ratings: DataFrame, details: DataFrame) -> DataFrame:
     """Ratings and votes of both sources per catalogue row.
 
-    Most rows know one source only; each join spreads the rows without its key,
-    so the three inputs are read once each.
+    Most rows know one source only; each join spreads the rows without its key
+    and deals those of a hot key. The three inputs are read once each, but for
+    the keys among which hot ones are sought when ratings are too many to broadcast.
     """
     second = details.select("tmdb_id", "tmdb_avg_rating", F.col("tmdb_num_votes").alias("tmdb_num_of_votes"))
     first = ratings.select(
         "imdb_id", F.col("avg_rating").alias("imdb_avg_rating"), F.col("num_of_votes").alias("imdb_num_of_votes")
     )
     ids = movies.select("movie_id", "imdb_id", "tmdb_id")
-    rated = left_join_known(left_join_known(ids, second, "tmdb_id"), first, "imdb_id")
+    with_second = left_join_known(ids, second, "tmdb_id", parts_if_shuffled(ids, second, "tmdb_id"))
+    rated = left_join_known(with_second, first, "imdb_id", parts_if_shuffled(ids, first, "imdb_id"))
     return rated.select(
         "movie_id",
         "imdb_id",

@@ -100,7 +100,7 @@ def projected(relation: str, raw: DataFrame) -> DataFrame:
 
 def staged_titles(relation: str, raw: DataFrame, excluded: ExcludedIds) -> DataFrame:
     """A first-source relation without excluded titles; titles of every type stay."""
-    return without(projected(relation, raw), excluded.imdb, "imdb_id")
+    return without(projected(relation, raw), excluded.imdb, "imdb_id", excluded.imdb_filter)
 
 
 def stg_name_basics(raw: DataFrame) -> DataFrame:
@@ -108,7 +108,7 @@ def stg_name_basics(raw: DataFrame) -> DataFrame:
 
 
 def stg_details(raw: DataFrame, excluded: ExcludedIds) -> DataFrame:
-    return without(projected("details", raw), excluded.tmdb, "tmdb_id")
+    return without(projected("details", raw), excluded.tmdb, "tmdb_id", excluded.tmdb_filter)
 
 
 def stg_genres(raw: DataFrame, label: str = EXCLUDED_LABEL) -> DataFrame:
@@ -127,4 +127,4 @@ def stg_now_playing(raw: DataFrame, excluded: ExcludedIds) -> DataFrame:
     order = [F.col("popularity").desc_nulls_first(), F.col("vote_count").desc_nulls_first()]
     ties = ["title", "release_date", "vote_average", "genre_ids", "overview", "poster_path"]
     best = best_per_key(raw, ["id", "region", "snapshot_date"], order + [F.col(c).asc_nulls_first() for c in ties])
-    return without(projected("now_playing", best), excluded.tmdb, "tmdb_id")
+    return without(projected("now_playing", best), excluded.tmdb, "tmdb_id", excluded.tmdb_filter)

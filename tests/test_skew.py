@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from catalogmart.operators.ranking import best_per_key
 from catalogmart.operators.checks import excluded_occurrences
-from catalogmart.operators.exclusion import ExcludedIds
-from catalogmart.operators.joins import left_join_known
+from catalogmart.operators.exclusion import ExcludedIds, filtered
+from catalogmart.operators.joins import balanced_join, dealt, left_join_known, without
+from catalogmart.operators.sketches import hot_keys, id_filter, maybe_among, parts_of_hot_keys
 from catalogmart.plans import curated, marts
 from catalogmart.sources.tables import KeptTables
 
@@ -38,6 +39,17 @@ def executed(df):
     return rows, plan.split("Initial Plan")[0]
 
 
+def fullest_to_mean(spark, df):
+    """Rows of the fullest task of the last join to the mean, without help from adaptive execution."""
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        sizes = [r["count"] for r in df().withColumn("_p", F.spark_partition_id()).groupBy("_p").count().collect()]
+        return max(sizes) / (sum(sizes) / tasks)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
 def titles(spark):
     return spark.range(0, 6000, 1, 4).select(
         F.concat(F.lit("tt"), F.col("id").cast("string")).alias("imdb_id"),
@@ -67,7 +79,10 @@ def test_merge_splits_a_hot_link_and_spares_missing_ones(spark):
     )
     films = titles(spark)
     rows, plan = executed(curated.dim_movies(details, films, KeptTables(spark)))
-    assert "skew=true" in plan and "FullOuter" not in plan
+    assert "FullOuter" not in plan
+    links = details.select("imdb_id", "tmdb_id")
+    parts = parts_of_hot_keys(links, "imdb_id")
+    assert fullest_to_mean(spark, lambda: left_join_known(links, films, "imdb_id", parts)) < 2
     expected = details.withColumnRenamed("imdb_id", "link").join(films, F.col("link") == F.col("imdb_id"), "full_outer")
     movie_id = F.coalesce("imdb_id", F.concat(F.lit("tmdb_"), F.col("tmdb_id").cast("string")))
     name = F.coalesce("primary_title", "movie_title")
@@ -94,8 +109,91 @@ def movies(spark):
 
 def test_credits_of_a_hot_title_are_split(spark):
     people, plan = executed(curated.bridge_movie_people(movies(spark), credits(spark)))
-    assert "skew=true" in plan
-    assert len(people) == 40_000
+    assert len(people) == 40_000 and "BroadcastNestedLoop" not in plan and "Cartesian" not in plan
+    assert fullest_to_mean(spark, lambda: curated.bridge_movie_people(movies(spark), credits(spark))) < 2
+
+
+def test_identical_credits_are_dealt_too(spark):
+    """Equal rows compress to nothing, so splitting by bytes would leave them in one task."""
+    same = spark.range(0, 60_000, 1, 8).select(
+        F.when(F.col("id") % 3 == 0, F.lit("tt77")).otherwise(F.concat(F.lit("tt"), (F.col("id") % 6000).cast("string"))).alias("imdb_id"),
+        F.lit(1).alias("principal_order"),
+        F.lit("nm1").alias("person_id"),
+        F.lit("director").alias("job_role"),
+        F.lit("j").alias("specific_job"),
+    )
+    bridge = lambda: curated.bridge_movie_people(movies(spark), same)
+    assert fullest_to_mean(spark, bridge) < 2 and bridge().count() == 60_000
+
+
+def test_only_hot_keys_are_copied(spark):
+    left, right = credits(spark).filter("imdb_id IS NOT NULL"), movies(spark)
+    parts = parts_of_hot_keys(left, "imdb_id", 16)
+    assert {r.hot_key: r.parts for r in parts.collect()} == {"tt77": 65}
+    sided, copies = dealt(left, right, "imdb_id", parts)
+    assert copies.count() == right.count() + 64 and sided.count() == left.count()
+    held = {r["_part"]: r["count"] for r in sided.filter("imdb_id = 'tt77'").groupBy("_part").count().collect()}
+    assert len(held) == 65 and max(held.values()) <= 1.5 * min(held.values())
+    assert sided.filter("imdb_id <> 'tt77' AND _part <> 0").isEmpty()
+
+
+def test_joins_of_dealt_rows_equal_plain_joins(spark):
+    left = credits(spark).select("imdb_id", "principal_order")
+    right = movies(spark).filter(F.col("movie_id") != "tt5").select("imdb_id", "movie_name")
+    right = right.unionAll(right.filter("imdb_id IN ('tt77', 'tt78')").withColumn("movie_name", F.lit("again")))
+    for how in ("inner", "left", "left_semi"):
+        got, plain = balanced_join(left, right, "imdb_id", how), left.join(right, "imdb_id", how)
+        assert got.columns == plain.columns and got.exceptAll(plain).isEmpty() and plain.exceptAll(got).isEmpty()
+    got, plain = left_join_known(left, right, "imdb_id", parts_of_hot_keys(left, "imdb_id")), left.join(right, "imdb_id", "left").select("imdb_id", "principal_order", "movie_name")
+    assert got.exceptAll(plain).isEmpty() and plain.exceptAll(got).isEmpty()
+
+
+def test_hot_keys_are_found_and_counted(spark):
+    rows = credits(spark)
+    assert [tuple(r) for r in hot_keys(rows, "imdb_id", 0.01).collect()] == [("tt77", rows.filter("imdb_id = 'tt77'").count())]
+    assert {r[0]: r[1] for r in hot_keys(rows, "person_id", 0.1).collect()} == {"nm1": rows.filter("person_id = 'nm1'").count()}
+    assert hot_keys(rows.limit(0), "imdb_id", 0.01).isEmpty() and parts_of_hot_keys(rows.filter("imdb_id IS NULL"), "imdb_id") is None
+
+
+def many_ids(spark, n=4_000):
+    return spark.range(n).select(F.concat(F.lit("tt"), (F.col("id") * 3).cast("string")).alias("imdb_id"))
+
+
+def test_id_filters_lose_no_id_and_pass_few_others(spark):
+    ids = many_ids(spark)
+    held = KeptTables(spark).keep("filter", id_filter(ids, "imdb_id"))
+    others = spark.range(200_000).select(F.concat(F.lit("tx"), F.col("id").cast("string")).alias("imdb_id"))
+    assert maybe_among(ids, held, "imdb_id").filter("NOT _maybe").isEmpty()
+    assert maybe_among(others, held, "imdb_id").filter("_maybe").count() < 0.02 * 200_000
+    assert held.count() <= held.first()["words"] == 1024
+    tight = id_filter(ids, "imdb_id", most_words=64)
+    assert tight.count() == 64 and maybe_among(ids, tight, "imdb_id").filter("NOT _maybe").isEmpty()
+    empty = id_filter(ids.limit(0), "imdb_id")
+    assert maybe_among(ids, empty, "imdb_id").filter("_maybe").isEmpty()
+
+
+def test_filtered_exclusion_shuffles_only_rows_that_may_leave(spark):
+    """With broadcasting off, the exclusion of a large id set keeps nearly all rows out of the shuffle."""
+    rows = spark.range(0, 60_000, 1, 8).select(
+        F.when(F.col("id") % 10 == 0, None).otherwise(F.concat(F.lit("tt"), (F.col("id") * 7).cast("string"))).alias("imdb_id"), F.col("id").alias("value")
+    )
+    kept = KeptTables(spark)
+    ids = kept.keep("ids", many_ids(spark))
+    excluded = filtered(ExcludedIds(ids, kept.keep("none", spark.createDataFrame([], "tmdb_id bigint"))), kept)
+    assert excluded.imdb_filter is not None
+    got = without(rows, excluded.imdb, "imdb_id", excluded.imdb_filter)
+    plain = without(rows, excluded.imdb, "imdb_id")
+    assert got.columns == rows.columns and got.exceptAll(plain).isEmpty() and plain.exceptAll(got).isEmpty()
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = without(rows, excluded.imdb, "imdb_id", excluded.imdb_filter)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    surely, maybe = plan.split("SortMergeJoin")
+    assert "BroadcastHashJoin" in surely and "Exchange hashpartitioning" not in surely and "Exchange hashpartitioning" in maybe
+    may_leave = maybe_among(rows, excluded.imdb_filter, "imdb_id").filter("_maybe").count()
+    leave = rows.count() - plain.count()
+    assert leave <= may_leave <= leave + 0.02 * 60_000
 
 
 def test_people_sums_start_before_the_shuffle(spark):
@@ -153,6 +251,6 @@ def test_a_frequent_excluded_id_is_dealt_to_many_tasks(spark):
         excluded = ExcludedIds(spark.createDataFrame([("tt7",)], "imdb_id string"), spark.createDataFrame([], "tmdb_id bigint"))
         found = excluded_occurrences({"m": listed}, excluded)
         assert found.count() == listed.filter("imdb_id = 'tt7'").count()
-        assert largest_share(found, "imdb_id") < 1 / 3
+        assert largest_share(found, "imdb_id") < 2 / 16
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")

@@ -16,8 +16,9 @@ from pyspark.sql import functions as F
 from catalogmart.functions.rules import ROLE_MINIMUMS
 from catalogmart.functions.text import LENIENT_JSON, NAMED_TAGS, comma_elements, has_token
 from catalogmart.operators import checks, contract, exclusion
-from catalogmart.operators.joins import without
-from catalogmart.plans import layers, marts, present, public, quality, validate
+from catalogmart.operators.joins import dealt, without
+from catalogmart.operators.sketches import hot_keys, id_filter, maybe_among, parts_of_hot_keys
+from catalogmart.plans import layers, marts, present, public, quality, staging, validate
 from catalogmart.plans.build import Catalogue
 from catalogmart.sources import payloads
 from catalogmart.sources.bounded import bounded_select
@@ -479,6 +480,65 @@ def _(c):
     return checks.histogram_issues(broken)
 
 
+@query("filtered_exclusion", "SELECT * FROM stg_title_principals")
+def _(c):
+    """The largest staged relation by way of the id filter, which the planner only takes for large id sets."""
+    rows = staging.projected("title_principals", c.raw["title_principals"])
+    return without(rows, c.excluded.imdb, "imdb_id", c.kept.keep("forced_filter", id_filter(c.excluded.imdb, "imdb_id")))
+
+
+@query(
+    "id_filter",
+    """
+SELECT 'title_principals' AS relation, count(*) AS listed, count_if(tconst IN (SELECT imdb_id FROM excluded_imdb)) AS leaving,
+       0 AS missed, true AS few_others FROM raw_title_principals
+UNION ALL
+SELECT 'title_akas', count(*), count_if(titleid IN (SELECT imdb_id FROM excluded_imdb)), 0, true FROM raw_title_akas""",
+)
+def _(c):
+    """What a filter of the excluded ids says of every credit and alternate title: it misses none and passes few others."""
+    held = c.kept.keep("forced_filter", id_filter(c.excluded.imdb, "imdb_id"))
+    ids = c.excluded.imdb.withColumn("excluded", F.lit(True))
+    found = []
+    for relation, column in (("title_principals", "tconst"), ("title_akas", "titleid")):
+        rows = maybe_among(c.raw[relation].select(F.col(column).alias("imdb_id")), held, "imdb_id").join(ids, "imdb_id", "left")
+        leaving, maybe = F.coalesce("excluded", F.lit(False)), F.col("_maybe")
+        counted = rows.agg(
+            F.count(F.lit(1)).alias("listed"),
+            F.count_if(leaving).alias("leaving"),
+            F.count_if(leaving & ~maybe).alias("missed"),
+            (F.count_if(~leaving & maybe) <= 0.02 * F.count(F.lit(1))).alias("few_others"),
+        )
+        found.append(counted.select(F.lit(relation).alias("relation"), "*"))
+    return found[0].unionByName(found[1])
+
+
+@query(
+    "hot_keys",
+    """
+SELECT nconst, count(*) AS rows FROM raw_title_principals WHERE nconst IS NOT NULL GROUP BY nconst
+HAVING count(*) >= 0.001e0 * (SELECT count(nconst) FROM raw_title_principals)""",
+)
+def _(c):
+    return hot_keys(c.raw["title_principals"], "nconst", 0.001)
+
+
+@query(
+    "dealt_join",
+    """
+SELECT p.nconst, p.tconst, p.ordering, n.primaryname FROM raw_title_principals p JOIN raw_name_basics n ON p.nconst = n.nconst""",
+)
+def _(c):
+    """Credits meet their people with every person of a thousandth of the credits dealt to parts."""
+    credits = c.raw["title_principals"].select("nconst", "tconst", "ordering")
+    people = c.raw["name_basics"].select("nconst", "primaryname")
+    parts = parts_of_hot_keys(credits, "nconst", 200)
+    if parts is None:
+        return credits.join(people, "nconst")
+    left, right = dealt(credits, people, "nconst", parts)
+    return left.join(right, ["nconst", "_part"]).drop("_part")
+
+
 def _token_cases():
     """Variants of a title's own list and whether they must match; NULL: as the title itself."""
     own = F.coalesce("genres", F.lit(""))

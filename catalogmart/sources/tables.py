@@ -10,6 +10,8 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from catalogmart.sources.versions import Versions
+
 
 class EmptyLoadError(RuntimeError):
     """A load produced no rows; the target was left as it was."""
@@ -120,51 +122,75 @@ def ensure_database(spark: SparkSession, database: str, folder: str) -> None:
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{folder.rstrip('/')}/{database}'")
 
 
-def guarded_replace(
-    df: DataFrame, table: str, folder: str, allow_empty: bool = False, buckets: Buckets | None = None
-) -> DataFrame:
-    """Replace all rows of an external Parquet table, or leave it untouched.
+class Replacement:
+    """A load that replaces all rows of an external Parquet table, or leaves it untouched.
 
-    New rows go to the slot the table does not point at; a failed or empty load
-    never reaches the live slot. One catalog update then repoints the table, so
-    readers see either the old or the new rows. Two slots alternate, which keeps
-    the previous load readable until the next one. A table's columns and
-    bucketing stay as first created.
+    It begins on the version that is live then. ``publish`` writes the new rows to
+    a folder of their own, checks them, and commits them as the next version; if
+    another load has done so since, it raises ConcurrentLoadError and leaves the
+    table to that load. Readers see either the old or the new rows, and go on
+    reading the version they began with. A table's columns and bucketing stay as
+    first created. ``Versions.expire`` removes old versions.
     """
-    spark = df.sparkSession
-    exists = spark.catalog.tableExists(table)
-    live = _described(spark, table, "Location") if exists else ""
-    slot = f"{folder.rstrip('/')}/{'b' if live.rstrip('/').endswith('/a') else 'a'}"
-    if exists:
-        target = spark.table(table).schema
+
+    def __init__(self, spark: SparkSession, table: str, folder: str, buckets: Buckets | None = None):
+        self.spark, self.table, self.buckets = spark, table, buckets
+        self.versions = Versions(spark, folder)
+        self.began_on = self.versions.latest().number
+
+    def publish(self, df: DataFrame, allow_empty: bool = False) -> DataFrame:
+        if self.spark.catalog.tableExists(self.table):
+            df = self._as_target(df)
+        slot = self.versions.new_slot()
+        try:
+            _write_slot(df, self.table, slot, self.buckets)
+            if not allow_empty and self.spark.read.schema(df.schema).parquet(slot).isEmpty():
+                raise EmptyLoadError(f"load of {self.table} has no rows; the table was left unchanged")
+            self.versions.commit(self.began_on, slot)
+        except BaseException:
+            self.versions.discard(slot)
+            raise
+        self._point(df)
+        return self.spark.table(self.table)
+
+    def _as_target(self, df: DataFrame) -> DataFrame:
+        target = self.spark.table(self.table).schema
         missing = set(target.names) ^ set(df.columns)
         if missing:
-            raise ValueError(f"columns do not match {table}: {sorted(missing)}")
-        if _described(spark, table, "Num Buckets") != (str(buckets.count) if buckets else None):
-            raise ValueError(f"bucketing does not match {table}")
-        df = df.select(*[F.col(field.name).cast(field.dataType) for field in target])
-    _write_slot(df, table, slot, buckets)
-    if not allow_empty and spark.read.schema(df.schema).parquet(slot).isEmpty():
-        raise EmptyLoadError(f"load of {table} has no rows; the table was left unchanged")
-    if exists:
-        spark.sql(f"ALTER TABLE {table} SET LOCATION '{slot}'")
-        spark.catalog.refreshTable(table)
-    else:
-        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
-        layout = f"CLUSTERED BY ({buckets.column}) INTO {buckets.count} BUCKETS" if buckets else ""
-        spark.sql(f"CREATE TABLE {table} ({columns}) USING parquet {layout} LOCATION '{slot}'")
-    return spark.table(table)
+            raise ValueError(f"columns do not match {self.table}: {sorted(missing)}")
+        if _described(self.spark, self.table, "Num Buckets") != (str(self.buckets.count) if self.buckets else None):
+            raise ValueError(f"bucketing does not match {self.table}")
+        return df.select(*[F.col(field.name).cast(field.dataType) for field in target])
+
+    def _point(self, df: DataFrame) -> None:
+        """Let the catalog's table read the last version; again if a later load committed meanwhile."""
+        while True:
+            version = self.versions.latest()
+            if not self.spark.catalog.tableExists(self.table):
+                columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
+                layout = f"CLUSTERED BY ({self.buckets.column}) INTO {self.buckets.count} BUCKETS" if self.buckets else ""
+                self.spark.sql(f"CREATE TABLE IF NOT EXISTS {self.table} ({columns}) USING parquet {layout} LOCATION '{version.slot}'")
+            self.spark.sql(f"ALTER TABLE {self.table} SET LOCATION '{version.slot}'")
+            self.spark.catalog.refreshTable(self.table)
+            if self.versions.latest().number == version.number:
+                return
+
+
+def guarded_replace(
+    df: DataFrame, table: str, folder: str, allow_empty: bool = False, buckets: Buckets | None = None
+) -> DataFrame:
+    """Replace all rows of an external Parquet table, or leave it untouched; see Replacement."""
+    return Replacement(df.sparkSession, table, folder, buckets).publish(df, allow_empty)
 
 
 def _write_slot(df: DataFrame, table: str, slot: str, buckets: Buckets | None) -> None:
     if buckets is None:
-        df.write.mode("overwrite").parquet(slot)
+        df.write.mode("error").parquet(slot)
         return
     # Bucketed files can only be written through a table; dropping an external one keeps them.
-    following = f"{table}_next"
-    df.sparkSession.sql(f"DROP TABLE IF EXISTS {following}")
+    following = f"{table}_next_{uuid.uuid4().hex}"
     by_bucket = df.repartition(buckets.count, buckets.column)  # one file per bucket
-    by_bucket.write.mode("overwrite").bucketBy(*reversed(buckets)).option("path", slot).saveAsTable(following)
+    by_bucket.write.mode("error").bucketBy(*reversed(buckets)).option("path", slot).saveAsTable(following)
     df.sparkSession.sql(f"DROP TABLE {following}")
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime
 from functools import partial
+from pathlib import Path
 
 import pytest
 from pyspark.sql import Window
@@ -13,6 +14,7 @@ from catalogmart.plans import curated, layers, marts, quality, validate
 from catalogmart.plans.build import Catalogue
 from catalogmart.sources.schemas import CSV_RELATIONS, RAW_SCHEMAS, TSV_RELATIONS
 from catalogmart.sources.tables import EmptyLoadError
+from catalogmart.sources.versions import Versions
 from tests.conftest import tuples
 from workload.raw import Given
 
@@ -71,13 +73,14 @@ def test_bucketed_layers_join_without_a_shuffle(spark, tmp_path):
     given = Given(spark, FOLDER)
     build = partial(layers.build_layers, spark, given, str(tmp_path), "curated_bucketed", "analytics_bucketed")
     build(buckets=4)
-    built = build(buckets=4)  # into the other slots
+    built = build(buckets=4)  # as the next version
     with pytest.raises(ValueError):
         build(buckets=5)
     direct = Catalogue(spark, given)
     for name in layers.CURATED:
         assert tuples(spark.table(f"curated_bucketed.{name}")) == tuples(getattr(direct, name))
-    assert len(list((tmp_path / "curated_bucketed" / "dim_movies" / "b").glob("*.parquet"))) == 4
+    live = Versions(spark, f"{tmp_path}/curated_bucketed/dim_movies").latest()
+    assert live.number == 2 and len(list(Path(live.slot).glob("*.parquet"))) == 4
     threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:

@@ -3,6 +3,7 @@ from __future__ import annotations
 import gzip
 import json
 import os
+from concurrent.futures import ThreadPoolExecutor
 
 import pytest
 from pyspark.errors import PySparkException
@@ -12,7 +13,8 @@ from catalogmart.plans.layers import replace_details
 from catalogmart.sources import payloads
 from catalogmart.sources.bounded import bounded_select
 from catalogmart.sources.readers import scan_raw
-from catalogmart.sources.tables import EmptyLoadError, IncompleteLoadError, KeptTables, guarded_replace, shared_folder
+from catalogmart.sources.tables import EmptyLoadError, IncompleteLoadError, KeptTables, Replacement, guarded_replace, shared_folder
+from catalogmart.sources.versions import ConcurrentLoadError, Versions
 from tests.conftest import as_dicts, tuples
 
 
@@ -128,6 +130,70 @@ def test_guarded_replace(spark, rows, tmp_path):
     spark.sql("DROP TABLE ratings")
 
 
+def test_one_of_two_loads_wins(spark, rows, tmp_path):
+    """Loads that began on the same version: the first to publish wins, the other learns of it and may begin again."""
+    folder, schema = str(tmp_path / "raced"), "id bigint"
+    first, second = Replacement(spark, "raced", folder), Replacement(spark, "raced", folder)
+    assert tuples(second.publish(rows([(2,)], schema))) == [(2,)]
+    with pytest.raises(ConcurrentLoadError, match="version 1"):
+        first.publish(rows([(1,)], schema))
+    assert tuples(spark.table("raced")) == [(2,)]
+    assert len(list((tmp_path / "raced").glob("v-*"))) == 1
+    assert tuples(Replacement(spark, "raced", folder).publish(rows([(1,)], schema))) == [(1,)]
+    with pytest.raises(ConcurrentLoadError):
+        second.publish(rows([(5,)], schema))
+    spark.sql("DROP TABLE raced")
+
+
+def test_many_loads_at_once_have_one_winner(spark, rows, tmp_path):
+    folder, schema = str(tmp_path / "crowd"), "id bigint"
+    guarded_replace(rows([(0,)], schema), "crowd", folder)
+    loads = [(k, Replacement(spark, "crowd", folder)) for k in range(1, 6)]
+
+    def run(load):
+        k, replacement = load
+        try:
+            replacement.publish(rows([(k,)] * k, schema))
+            return k
+        except ConcurrentLoadError:
+            return None
+
+    with ThreadPoolExecutor(5) as pool:
+        won = [k for k in pool.map(run, loads) if k]
+    assert len(won) == 1 and tuples(spark.table("crowd")) == [(won[0],)] * won[0]
+    assert Versions(spark, folder).latest().number == 2
+    spark.sql("DROP TABLE crowd")
+
+
+def test_commits_by_rename_refuse_a_taken_number(spark, tmp_path, monkeypatch):
+    """What other file systems than a local disk use."""
+    monkeypatch.setattr(Versions, "_link", Versions._rename)
+    versions = Versions(spark, str(tmp_path / "renamed"))
+    versions.commit(0, "one")
+    with pytest.raises(ConcurrentLoadError):
+        versions.commit(0, "two")
+    versions.commit(1, "three")
+    assert [(v.number, v.slot) for v in versions.all()] == [(1, "one"), (2, "three")]
+    assert not [name for name in os.listdir(tmp_path / "renamed" / "_versions") if len(name) > 30 and not name.endswith(".crc")]
+
+
+def test_a_reader_keeps_its_version(spark, rows, tmp_path):
+    folder, schema = str(tmp_path / "read"), "id bigint"
+    reader = guarded_replace(rows([(1,), (2,)], schema), "read_slowly", folder)
+    for k in range(3, 6):
+        guarded_replace(rows([(k,)], schema), "read_slowly", folder)
+    assert tuples(reader) == [(1,), (2,)] and tuples(spark.table("read_slowly")) == [(5,)]
+    versions = Versions(spark, folder)
+    orphan = versions.new_slot()
+    rows([(9,)], schema).write.parquet(orphan)
+    assert versions.expire() == [] and tuples(reader) == [(1,), (2,)]  # all too young
+    assert len(versions.expire(keep=2, older_than=-60)) == 3  # two versions and the load that never committed
+    assert [v.number for v in versions.all()] == [3, 4] and tuples(spark.table("read_slowly")) == [(5,)]
+    guarded_replace(rows([(6,)], schema), "read_slowly", folder)
+    assert versions.latest().number == 5 and tuples(spark.table("read_slowly")) == [(6,)]
+    spark.sql("DROP TABLE read_slowly")
+
+
 def test_details_are_replaced_only_when_complete(spark, rows, tmp_path):
     folder, listing = str(tmp_path / "details"), rows([(1,), (1,), (2,)], "id bigint")
     schema = "id bigint, title string"

@@ -23,7 +23,8 @@ from catalogmart.plans.build import Catalogue
 from catalogmart.sources import payloads
 from catalogmart.sources.bounded import bounded_select
 from catalogmart.sources.readers import scan_raw
-from catalogmart.sources.tables import EmptyLoadError, guarded_replace
+from catalogmart.sources.tables import EmptyLoadError, Replacement, guarded_replace
+from catalogmart.sources.versions import ConcurrentLoadError
 from workload.raw import Given
 from workload.relations_sql import ROLE_FLOOR, with_query
 from workload.report_sql import built_layers_sql, contract_report_sql, declared_tests_sql
@@ -228,6 +229,27 @@ def _(c):
     raise AssertionError("an empty load replaced the table")
 
 
+@query(
+    "concurrent_replace",
+    """
+SELECT 'live' AS seen, * FROM raw_title_ratings
+UNION ALL SELECT 'first version', * FROM raw_title_ratings WHERE numvotes < 1000""",
+)
+def _(c):
+    """Two loads that begin together: one is refused, and begins again after the other; a reader keeps what it read first."""
+    loads, spark = c.raw["title_ratings"], c.raw.spark
+    table, folder = f"title_ratings_{uuid.uuid4().hex}", _scratch(c, "title_ratings")
+    reader = guarded_replace(loads.filter("numvotes < 1000"), table, folder)
+    one, other = Replacement(spark, table, folder), Replacement(spark, table, folder)
+    other.publish(loads.filter("numvotes < 2000"))
+    try:
+        one.publish(loads)
+    except ConcurrentLoadError:
+        live = Replacement(spark, table, folder).publish(loads)
+        return live.select(F.lit("live").alias("seen"), "*").unionAll(reader.select(F.lit("first version"), "*"))
+    raise AssertionError("two loads replaced the same version")
+
+
 @query("bounded_select", "SELECT titletype AS kind, count(*) AS titles FROM raw_title_basics GROUP BY 1")
 def _(c):
     kinds = c.raw["title_basics"].groupBy("titletype").agg(F.count(F.lit(1)).alias("n"))

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 
+from catalogmart.operators.contract import REGIONS
 from catalogmart.plans.build import Catalogue
-from catalogmart.sources.payloads import enrichment_gaps
+from catalogmart.sources.payloads import enrichment_gaps, flatten_listing, listing_faults
 from catalogmart.sources.readers import scan_raw
 from catalogmart.sources.tables import Buckets, IncompleteLoadError, LayerTables, ensure_database, guarded_replace
 
@@ -85,6 +86,17 @@ def replace_details(listing: DataFrame, details: DataFrame, table: str, folder:
     return guarded_replace(details, table, folder)
 
 
+def replace_listing(
+    pages: DataFrame, snapshot_date: Column, table: str, folder: str, regions: Sequence[str] = REGIONS
+) -> DataFrame:
+    """Replace the listing rows only by a whole listing of the regions: every page landed, readable and numbered."""
+    faults = listing_faults(pages, regions).orderBy("region", "issue", "first_page").limit(5).collect()
+    if faults:
+        named = "; ".join(f"{r['region']}: {r['issue']}" + (f" {r['first_page']}-{r['last_page']}" if r["first_page"] else "") for r in faults)
+        raise IncompleteLoadError(f"{table} was left unchanged, the listing is not whole: {named}")
+    return guarded_replace(flatten_listing(pages, snapshot_date), table, folder)
+
+
 def build_layers(
     spark: SparkSession,
     raw: Mapping[str, DataFrame],

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from catalogmart.functions.text import LENIENT_JSON
@@ -48,6 +49,10 @@ LISTING = (
 )
 
 
+#: A listing of more pages is damaged.
+MOST_PAGES = 10_000
+
+
 def _has_required_keys(payload: Column) -> Column:
     """Every required key is present; a JSON null value is allowed."""
     keys = F.json_object_keys(payload)
@@ -87,8 +92,8 @@ def flatten_listing(pages: DataFrame, snapshot_date: Column, payload: str = "pay
     """Result rows of all listing pages, tagged with their region and capture date.
 
     ``pages`` holds one page per row with its ``region``; all regions and pages
-    flatten in one pass. ``rejected_pages`` and ``missing_pages`` say what a
-    listing lacks; both must be empty before it is loaded.
+    flatten in one pass. ``listing_faults`` says what a listing lacks; it must be
+    empty before the listing is loaded.
     """
     parsed = F.from_json(payload, LISTING, LENIENT_JSON)
     rows = pages.select("region", snapshot_date.alias("snapshot_date"), F.inline(parsed["results"]))
@@ -120,13 +125,68 @@ def rejected_pages(pages: DataFrame, payload: str = "payload") -> DataFrame:
     return pages.withColumn("issue", issue).filter("issue IS NOT NULL")
 
 
-def missing_pages(pages: DataFrame, payload: str = "payload") -> DataFrame:
+def _read_pages(pages: DataFrame, payload: str) -> DataFrame:
+    """(region, page, total_pages, whole) of every page; a whole one has results and a page count."""
+    parsed = F.from_json(payload, LISTING, LENIENT_JSON)
+    whole = F.coalesce(parsed["results"].isNotNull() & parsed["total_pages"].isNotNull(), F.lit(False))
+    return pages.select("region", parsed["page"].alias("page"), parsed["total_pages"].alias("total_pages"), whole.alias("whole"))
+
+
+def page_gaps(pages: DataFrame, payload: str = "payload", most_pages: int = MOST_PAGES) -> DataFrame:
+    """(region, first_page, last_page) of every stretch of page numbers that no page has, up to the region's count.
+
+    The count is the largest stated one of at most ``most_pages``; so a region has
+    at most that many numbers to put in order, whatever a damaged page states.
+    """
+    read = _read_pages(pages, payload)
+    stated = F.when(F.col("total_pages").between(1, most_pages), F.col("total_pages"))
+    counts = read.groupBy("region").agg(F.max(stated).alias("total")).filter("total IS NOT NULL")
+    numbers = read.select("region", "page").filter(F.col("page").between(1, most_pages)).distinct()
+    # The number behind the last page closes the last stretch.
+    ends = counts.select("region", (F.col("total") + 1).alias("page"))
+    inside = numbers.join(counts, "region").filter("page <= total").select("region", "page").unionByName(ends)
+    before = F.lag("page", 1, 0).over(Window.partitionBy("region").orderBy("page"))
+    stretches = inside.select("region", (before + 1).alias("first_page"), (F.col("page") - 1).alias("last_page"))
+    return stretches.filter("first_page <= last_page")
+
+
+def missing_pages(pages: DataFrame, payload: str = "payload", most_pages: int = MOST_PAGES) -> DataFrame:
     """(region, page) of every page up to the region's page count that did not land readable."""
-    parsed = F.from_json(payload, "page bigint, total_pages bigint", LENIENT_JSON)
-    known = pages.select("region", parsed["page"].alias("page"), parsed["total_pages"].alias("total_pages"))
-    expected = known.groupBy("region").agg(F.max("total_pages").alias("total_pages")).filter("total_pages > 0")
-    expected = expected.select("region", F.explode(F.sequence(F.lit(1).cast("bigint"), "total_pages")).alias("page"))
-    return expected.join(known.select("region", "page").distinct(), ["region", "page"], "left_anti")
+    gaps = page_gaps(pages, payload, most_pages)
+    return gaps.select("region", F.explode(F.sequence("first_page", "last_page")).alias("page"))
+
+
+def listing_faults(pages: DataFrame, regions: Sequence[str], payload: str = "payload", most_pages: int = MOST_PAGES) -> DataFrame:
+    """(region, issue, first_page, last_page, pages) of all that a landed listing of the regions lacks; empty means whole.
+
+    ``no_readable_page``: a wanted region has none; ``unwanted_region``: pages of
+    another region; ``unnumbered``: readable pages without a number from 1 on;
+    ``page_count``: pages that state no count from 1 to ``most_pages`` or not the
+    region's; ``beyond_count``: pages with a number above it; ``missing``: a stretch
+    of numbers that no page has; ``unreadable`` and ``bad_item`` as
+    ``rejected_pages`` finds them.
+    """
+    wanted = pages.sparkSession.range(1).select(F.explode(F.array(*map(F.lit, regions))).alias("region"))
+    read = _read_pages(pages, payload).filter("whole")
+    stated = F.when(F.col("total_pages").between(1, most_pages), F.col("total_pages"))
+    counts = read.groupBy("region").agg(F.max(stated).alias("total"))
+    known = read.withColumnRenamed("region", "_region").join(counts, F.col("_region").eqNullSafe(F.col("region")))
+    own = F.coalesce(F.col("page") >= 1, F.lit(False))
+    issues = {
+        "unnumbered": ~own,
+        "page_count": ~F.coalesce(F.col("total_pages") == F.col("total"), F.lit(False)),
+        "beyond_count": own & (F.col("page") > F.col("total")),
+        "unwanted_region": ~F.coalesce(F.col("region").isin(list(regions)), F.lit(False)),
+    }
+    named = F.explode(F.array_compact(F.array(*[F.when(test, F.lit(name)) for name, test in issues.items()])))
+    of_pages = known.select("region", named.alias("issue")).unionAll(rejected_pages(pages, payload).select("region", "issue"))
+    nowhere = F.lit(None).cast("bigint")
+    faults = of_pages.groupBy("region", "issue").agg(F.count(F.lit(1)).alias("pages"))
+    lost = wanted.join(counts, "region", "left_anti").select("region", F.lit("no_readable_page").alias("issue"), F.lit(0).cast("bigint").alias("pages"))
+    whole = faults.unionByName(lost).select("region", "issue", nowhere.alias("first_page"), nowhere.alias("last_page"), "pages")
+    gaps = page_gaps(pages, payload, most_pages)
+    length = F.col("last_page") - F.col("first_page") + 1
+    return whole.unionAll(gaps.select("region", F.lit("missing"), "first_page", "last_page", length))
 
 
 def rejected_genres(payloads: DataFrame, payload: str = "payload") -> DataFrame:

@@ -9,7 +9,7 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from catalogmart.plans.layers import replace_details
+from catalogmart.plans.layers import replace_details, replace_listing
 from catalogmart.sources import payloads
 from catalogmart.sources.bounded import bounded_select
 from catalogmart.sources.readers import scan_raw
@@ -255,3 +255,47 @@ def test_rejected_and_missing_pages(rows):
     assert tuples(payloads.missing_pages(pages)) == [("US", 4)]
     genres = rows([('{"genres":[]}',), ("{}",), ("[",)], "payload string")
     assert payloads.rejected_genres(genres).count() == 2
+
+
+def page(region, number, total, *ids):
+    text = {"page": number, "total_pages": total, "results": [{"id": i, "title": "t"} for i in ids]}
+    return region, json.dumps({k: v for k, v in text.items() if v is not None})
+
+
+def faults(df, **options):
+    return {(r["region"], r["issue"], r["first_page"], r["last_page"], r["pages"]) for r in payloads.listing_faults(df, ("IN", "US"), **options).collect()}
+
+
+def test_listing_faults_are_named(rows):
+    schema = "region string, payload string"
+    whole = [page("US", k, 3, k) for k in (1, 2, 3)] + [page("IN", 1, 1, 7)]
+    assert faults(rows(whole, schema)) == set()
+    # A region without any readable page, lost stretches, a page without a number, absurd and differing counts.
+    broken = [page("US", 3, 9, 1), page("US", 4, 9, 2), page("US", None, 9, 3), page("US", 8, 10**12, 4), page("US", 12, 9, 5), page("US", 0, 8, 6)]
+    broken += [("IN", "{"), ("IN", None), page("FR", 1, 1, 1), (None, "{"), page("US", 9, -1, 2)]
+    assert faults(rows(broken, schema)) == {
+        ("US", "missing", 1, 2, 2),
+        ("US", "missing", 5, 7, 3),
+        ("US", "unnumbered", None, None, 2),
+        ("US", "page_count", None, None, 3),
+        ("US", "beyond_count", None, None, 1),
+        ("IN", "no_readable_page", None, None, 0),
+        ("IN", "unreadable", None, None, 2),
+        ("FR", "unwanted_region", None, None, 1),
+        (None, "unreadable", None, None, 1),
+    }
+    absurd = [page("US", 1, 10**15, 1), page("IN", 1, 1, 2)]
+    assert faults(rows(absurd, schema)) == {("US", "page_count", None, None, 1)}
+    assert payloads.missing_pages(rows(absurd, schema)).isEmpty()
+    assert faults(rows([], schema)) == {("US", "no_readable_page", None, None, 0), ("IN", "no_readable_page", None, None, 0)}
+
+
+def test_a_listing_is_replaced_only_when_whole(spark, rows, tmp_path):
+    folder, schema, day = str(tmp_path / "listing"), "region string, payload string", F.lit("2026-02-03").cast("date")
+    whole = [page("US", 1, 2, 1), page("US", 2, 2, 2), page("IN", 1, 1, 3)]
+    assert replace_listing(rows(whole, schema), day, "listing_table", folder).count() == 3
+    for lost, named in ((0, "US: missing 1-1"), (2, "IN: no_readable_page")):
+        with pytest.raises(IncompleteLoadError, match=named):
+            replace_listing(rows(whole[:lost] + whole[lost + 1 :], schema), day, "listing_table", folder)
+    assert spark.table("listing_table").count() == 3
+    spark.sql("DROP TABLE listing_table")

@@ -205,6 +205,33 @@ def _(c):
     return payloads.missing_pages(_landed_pages(c))
 
 
+@query(
+    "listing_faults",
+    f"""{LANDED_PAGES},
+us AS (SELECT page, page % 13 = 0 AS unnumbered, page % 17 = 0 AS absurd, total FROM landed WHERE region = 'US'),
+whole AS (SELECT * FROM us WHERE page % 7 <> 0),
+numbers AS (SELECT DISTINCT page FROM whole WHERE NOT unnumbered UNION ALL SELECT max(total) + 1 FROM us),
+stretches AS (SELECT coalesce(lag(page) OVER (ORDER BY page), 0) + 1 AS first_page, page - 1 AS last_page FROM numbers)
+SELECT 'US' AS region, 'missing' AS issue, first_page, last_page, last_page - first_page + 1 AS pages
+FROM stretches WHERE first_page <= last_page
+UNION ALL SELECT * FROM (SELECT 'US', 'unnumbered', NULL, NULL, count_if(unnumbered) FROM whole) WHERE #5 > 0
+UNION ALL SELECT * FROM (SELECT 'US', 'page_count', NULL, NULL, count_if(absurd) FROM whole) WHERE #5 > 0
+UNION ALL SELECT 'US', 'unreadable', NULL, NULL, count(*) FROM us WHERE page % 7 = 0 HAVING count(*) > 0
+UNION ALL SELECT 'US', 'bad_item', NULL, NULL, count(*) FROM whole WHERE page % 11 = 0 HAVING count(*) > 0
+UNION ALL SELECT 'IN', 'unreadable', NULL, NULL, count(*) FROM landed WHERE region = 'IN'
+UNION ALL SELECT unnest(['IN', 'CA']), 'no_readable_page', NULL, NULL, 0""",
+)
+def _(c):
+    """The landed pages with one region wholly damaged, another never landed, pages without a number and absurd counts."""
+    text = F.col("payload")
+    number = F.get_json_object(text, "$.page").cast("bigint")
+    text = F.when(number % 13 == 0, F.regexp_replace(text, '"page":', '"leaf":')).otherwise(text)
+    absurd = F.regexp_replace(text, r'"total_pages":\d+', '"total_pages":1000000000000')
+    damaged = F.when(F.col("region") == "IN", F.substring(text, 1, 12)).when(number % 17 == 0, absurd).otherwise(text)
+    pages = _landed_pages(c).withColumn("payload", damaged)
+    return payloads.listing_faults(pages, ("US", "IN", "CA"))
+
+
 @query("enrichment_keys", "SELECT DISTINCT id FROM raw_now_playing")
 def _(c):
     return payloads.enrichment_keys(c.raw["now_playing"])

@@ -16,11 +16,43 @@ from catalogmart.operators.joins import balanced_join
 PERCENTAGE_TOLERANCE = 0.051
 
 
+def counted(found: Mapping[str, DataFrame], label: str, tallied: Sequence[DataFrame] = (), names: Sequence[str] = ()) -> DataFrame:
+    """(label, violations) of every check by name, counted together in one aggregate; zero for those without any.
+
+    ``tallied`` holds (label, n) rows of further checks, whose names are given.
+    """
+    named = F.explode(F.array(*map(F.lit, [*found, *names]))).alias(label)
+    some = next(iter([*found.values(), *tallied]))
+    none = some.sparkSession.range(1).select(named, F.lit(0).cast("bigint").alias("n"))
+    rows = [df.select(F.lit(name).alias(label), F.lit(1).cast("bigint").alias("n")) for name, df in found.items()]
+    return reduce(DataFrame.unionAll, [*rows, *tallied], none).groupBy(label).agg(F.sum("n").alias("violations"))
+
+
 def null_rows(df: DataFrame, column: str) -> DataFrame:
     """Rows where the column is unknown."""
     return df.filter(F.col(column).isNull())
 
 
+def column_counts(
+    df: DataFrame, known: Mapping[str, str], unique: Mapping[str, str], keys: Mapping[str, Sequence[str]], label: str
+) -> DataFrame:
+    """(label, n): violations of the column tests of a relation, by test name, in parts to be summed.
+
+    ``known`` columns must hold a value, the known values of a ``unique`` column
+    and the composite ``keys``, unknown parts included, must not repeat. All
+    tests meet in one grouping by (test, key): a relation is read once and has one
+    exchange, however many tests it has. Rows without a fault of a ``known``
+    column add nothing to it.
+    """
+    entry = lambda name, key: F.struct(F.lit(name).alias(label), key.alias("key"))
+    held = [F.when(F.col(column).isNull(), entry(name, F.lit(None).cast("string"))) for name, column in known.items()]
+    held += [F.when(F.col(column).isNotNull(), entry(name, F.col(column).cast("string"))) for name, column in unique.items()]
+    held += [entry(name, F.to_json(F.struct(*columns))) for name, columns in keys.items()]
+    rows = df.select(F.inline(F.array_compact(F.array(*held))))
+    grouped = rows.groupBy(label, "key").agg(F.count(F.lit(1)).alias("n"))
+    return grouped.select(label, F.when(F.col("key").isNull(), F.col("n")).otherwise((F.col("n") > 1).cast("bigint")).alias("n"))
+
+
 def repeated_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Key combinations that occur more than once, with their count."""
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("record_count")).filter("record_count > 1")

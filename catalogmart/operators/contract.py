@@ -264,6 +264,12 @@ def normalize_scalars(df: DataFrame) -> DataFrame:
     return df.select(*[_public_text(field.name, field.dataType.typeName()).alias(field.name) for field in df.schema])
 
 
+def public_cells(df: DataFrame, name: str) -> DataFrame:
+    """(result, field, value) of every cell of a result set, in public text form."""
+    cells = F.array(*[F.struct(F.lit(c).alias("field"), F.col(c).alias("value")) for c in df.columns])
+    return normalize_scalars(df).select(F.lit(name).alias("result"), F.inline(cells))
+
+
 def _public_text(name: str, kind: str) -> Column:
     c = F.col(name)
     if kind == "timestamp_ntz":

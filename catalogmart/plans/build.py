@@ -4,12 +4,16 @@ Each relation is an attribute built on first use. Staging stays a view. Results
 that several relations read are kept as written tables, so one build computes
 the exclusion set, the merged catalogue and its facts once. Given ``LayerTables``
 the curated and analytics relations become the tables of a build instead.
+Several threads may build relations of one catalogue side by side.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping
-from functools import cached_property, wraps
+from collections import defaultdict
+from collections.abc import Iterable, Mapping
+from concurrent.futures import ThreadPoolExecutor, wait
+from functools import wraps
+from threading import Lock, RLock
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -18,13 +22,32 @@ from catalogmart.plans import curated, kpis, marts, public, staging
 from catalogmart.sources.tables import KeptTables
 
 
+#: Relations built at the same time; each is a few Spark jobs.
+SIDE_BY_SIDE = 8
+
+
+class built_once:
+    """An attribute built on first use. Whoever else asks meanwhile waits for it; attributes need each other without cycles."""
+
+    def __init__(self, build):
+        self.build, self.name = build, build.__name__
+
+    def __get__(self, owner, _=None):
+        if owner is None:
+            return self
+        with owner.lock(self.name):
+            if self.name not in owner.__dict__:
+                owner.__dict__[self.name] = self.build(owner)
+            return owner.__dict__[self.name]
+
+
 def _stored(how: str):
     def mark(build):
         @wraps(build)
         def get(self):
             return getattr(self.kept, how)(build.__name__, build(self))
 
-        return cached_property(get)
+        return built_once(get)
 
     return mark
 
@@ -39,60 +62,77 @@ class Catalogue:
     def __init__(self, spark: SparkSession, raw: Mapping[str, DataFrame], kept: KeptTables | None = None):
         self.raw = raw
         self.kept = kept or KeptTables(spark)
+        self._locks, self._guard = defaultdict(RLock), Lock()
+
+    def lock(self, name: str) -> RLock:
+        with self._guard:
+            return self._locks[name]
+
+    def build(self, names: Iterable[str]) -> None:
+        """Build the relations, those that do not need each other side by side.
 
-    @cached_property
+        A relation that fails takes along those that need it; the others are
+        finished before the first failure is raised.
+        """
+        with ThreadPoolExecutor(SIDE_BY_SIDE) as pool:
+            running = [pool.submit(getattr, self, name) for name in names]
+            wait(running)
+        for relation in running:
+            relation.result()
+
+    @built_once
     def excluded(self) -> ExcludedIds:
         raw = self.raw
         return excluded_ids(raw["title_basics"], raw["details"], raw["now_playing"], raw["genres"], self.kept)
 
     # staging -----------------------------------------------------------------
-    @cached_property
+    @built_once
     def stg_name_basics(self) -> DataFrame:
         return staging.stg_name_basics(self.raw["name_basics"])
 
-    @cached_property
+    @built_once
     def stg_title_basics(self) -> DataFrame:
         return staging.staged_titles("title_basics", self.raw["title_basics"], self.excluded)
 
-    @cached_property
+    @built_once
     def stg_title_akas(self) -> DataFrame:
         return staging.staged_titles("title_akas", self.raw["title_akas"], self.excluded)
 
-    @cached_property
+    @built_once
     def stg_title_crew(self) -> DataFrame:
         return staging.staged_titles("title_crew", self.raw["title_crew"], self.excluded)
 
-    @cached_property
+    @built_once
     def stg_title_principals(self) -> DataFrame:
         return staging.staged_titles("title_principals", self.raw["title_principals"], self.excluded)
 
-    @cached_property
+    @built_once
     def stg_title_ratings(self) -> DataFrame:
         return staging.staged_titles("title_ratings", self.raw["title_ratings"], self.excluded)
 
-    @cached_property
+    @built_once
     def stg_details(self) -> DataFrame:
         return staging.stg_details(self.raw["details"], self.excluded)
 
-    @cached_property
+    @built_once
     def stg_genres(self) -> DataFrame:
         return staging.stg_genres(self.raw["genres"])
 
-    @cached_property
+    @built_once
     def stg_now_playing(self) -> DataFrame:
         return staging.stg_now_playing(self.raw["now_playing"], self.excluded)
 
     # Projections without exclusion, for joins from the merged catalogue. Its ids
     # hold no excluded title: the excluded sets are closed over the identity link.
-    @cached_property
+    @built_once
     def _principals(self) -> DataFrame:
         return staging.projected("title_principals", self.raw["title_principals"])
 
-    @cached_property
+    @built_once
     def _ratings(self) -> DataFrame:
         return staging.projected("title_ratings", self.raw["title_ratings"])
 
-    @cached_property
+    @built_once
     def _details(self) -> DataFrame:
         return staging.projected("details", self.raw["details"])
 
@@ -223,7 +263,12 @@ class Catalogue:
         return kpis.total_movies(self.dim_movies)
 
     # public results ----------------------------------------------------------
-    @cached_property
+    @built_once
     def public_results(self) -> dict[str, DataFrame]:
-        """Every public result set, kept so that all contract checks see the same rows; unranked lists have positions."""
-        return {name: self.kept.keep(f"public_{name}", public.positioned(name, self)) for name in public.RESULT_NAMES}
+        """Every public result set, kept so that all contract checks see the same rows; lists have their written positions."""
+        with ThreadPoolExecutor(SIDE_BY_SIDE) as pool:
+            return dict(zip(public.RESULT_NAMES, pool.map(self._published, public.RESULT_NAMES)))
+
+    def _published(self, name: str) -> DataFrame:
+        rows = public.result(name, self)
+        return self.kept.keep_listed(f"public_{name}", rows, public.POSITION) if name in public.ORDER else self.kept.keep(f"public_{name}", rows)

@@ -105,7 +105,7 @@ def build_layers(
     analytics: str = "analytics",
     buckets: int | None = None,
 ) -> Catalogue:
-    """Build everything: staging as views, curated and analytics as replaced tables.
+    """Build everything: staging as views, curated and analytics as replaced tables, independent ones side by side.
 
     The returned catalogue reads the written tables, so tests and public results
     that follow see what was published. With ``buckets`` the relations that meet
@@ -117,6 +117,5 @@ def build_layers(
     built = Catalogue(spark, raw, LayerTables(spark, databases, folder, layout))
     for name in STAGING:
         getattr(built, name).createOrReplaceTempView(name)
-    for name in databases:
-        getattr(built, name)
+    built.build(databases)
     return built

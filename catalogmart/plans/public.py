@@ -142,18 +142,18 @@ def columns(name: str) -> list[str]:
     return [rule.field for rule in FIELD_RULES[name]]
 
 
-#: Lists whose rows carry no rank.
-UNRANKED = ("rating_bins", "genre_ratings", "genre_runtimes", "decade_counts", "decade_ratings", "region_counts")
-
-
-def positioned(name: str, catalogue) -> DataFrame:
-    """One result set; a list without ranks gets the position at which each row is published."""
-    rows = result(name, catalogue)
-    if name not in UNRANKED:
-        return rows
-    by_mart = {column: field for field, column in FIELDS[name].items()}
-    order = [("-" if c.startswith("-") else "") + by_mart[c.removeprefix("-")] for c in ORDER[name]]
-    return top_rows(rows, _ordering(order), LARGEST[name], "position")
+#: Column of a written list that says at which place a row stands.
+POSITION = "position"
+
+
+def publication(catalogue) -> DataFrame:
+    """(completed, exported): when the captures were complete and when the results left, as texts with their zones.
+
+    A build from given tables has no clock of its own: both follow from the last capture date.
+    """
+    day = F.date_format(F.max("max_capture_date"), "yyyy-MM-dd")
+    last = captures(catalogue.fct_now_playing).agg(day.alias("day")).filter("day IS NOT NULL")
+    return last.select(F.concat("day", F.lit("T00:00:00Z")).alias("completed"), F.concat("day", F.lit("T01:30:00+01:00")).alias("exported"))
 
 
 # Constraints of the public fields.

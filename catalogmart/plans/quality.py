@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from functools import reduce
+from concurrent.futures import ThreadPoolExecutor
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 from catalogmart.operators import checks
 from catalogmart.operators.exclusion import EXCLUDED_LABEL
 from catalogmart.plans import marts
+from catalogmart.plans.build import SIDE_BY_SIDE
 
 # Declared column tests. N: not null, U: unique.
 COLUMN_TESTS = {
@@ -134,29 +136,22 @@ class _Tested:
         setattr(self, relation, df)
         return df
 
+    def keep_all(self, relations) -> None:
+        """Build and keep the relations side by side."""
+        self._c.build(relations)
+        with ThreadPoolExecutor(SIDE_BY_SIDE) as pool:
+            list(pool.map(partial(getattr, self), relations))
 
-def summary(c) -> DataFrame:
-    """(test, violations) of every declared test.
 
-    All not-null tests of a relation share one pass over it, and staged
-    relations are excluded once.
-    """
-    c, parts = _Tested(c), []
+def summary(c) -> DataFrame:
+    """(test, violations) of every declared test; staged relations are excluded once, column tests take one pass a relation."""
+    c, tallied, names = _Tested(c), [], []
+    c.keep_all(COLUMN_TESTS)
     for relation, columns in COLUMN_TESTS.items():
-        df = getattr(c, relation)
-        known = [column for column, tests in columns.items() if "N" in tests]
-        nulls = df.agg(*[F.count(F.when(F.col(column).isNull(), 1)).alias(column) for column in known])
-        named = [
-            F.struct(F.lit(f"not_null {relation}.{column}").alias("test"), F.col(column).alias("violations"))
-            for column in known
-        ]
-        parts.append(nulls.select(F.inline(F.array(*named))))
-        for column, tests in columns.items():
-            if "U" in tests:
-                parts.append(_counted(f"unique {relation}.{column}", checks.repeated_values(df, column)))
-    parts += [_counted(name, df) for name, df in _wide_violations(c).items()]
-    return reduce(DataFrame.unionByName, parts)
-
-
-def _counted(name: str, df: DataFrame) -> DataFrame:
-    return df.agg(F.count(F.lit(1)).alias("violations")).select(F.lit(name).alias("test"), "violations")
+        known = {f"not_null {relation}.{column}": column for column, tests in columns.items() if "N" in tests}
+        unique = {f"unique {relation}.{column}": column for column, tests in columns.items() if "U" in tests}
+        keys = {f"unique_key {relation}": COMPOSITE_KEYS[relation]} if relation in COMPOSITE_KEYS else {}
+        tallied.append(checks.column_counts(getattr(c, relation), known, unique, keys, "test"))
+        names += [*known, *unique, *keys]
+    rest = {name: df for name, df in _wide_violations(c).items() if name not in names}
+    return checks.counted(rest, "test", tallied, names)

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from catalogmart.operators import contract
+from catalogmart.operators.checks import counted
 from catalogmart.plans import public
 
 
@@ -42,8 +43,9 @@ DATES = {
     "captures": ["min_capture_date", "max_capture_date"],
     "latest_snapshot_date": ["latest_snapshot_date"],
 }
-#: Column of an unranked list that says where a row was published.
-POSITION = "position"
+# list -> the order of its rows as a whole; ranks restart within it
+LISTED_BY = {"top_years": ["rank"], "top_movies": ["rank"], "people": ["role", "rank"], "recommendations": ["region", "rank"]}
+POSITION = public.POSITION
 SCALARS = ("total_movies", "rated_movies", "avg_rating", "avg_runtime_minutes", "latest_snapshot_date")
 HIGHLIGHTS = ("highest_rated_movie", "most_voted_movie")
 
@@ -52,20 +54,22 @@ def contract_issues(results: Mapping[str, DataFrame], instants: DataFrame | None
     """Violating rows of every contract check, by check name; all empty means publishable.
 
     ``results`` holds the public result sets by name. The sets are bounded, so
-    keep or cache them before running many checks. A list without ranks is
-    checked for its order when it carries its ``position``; ``instants`` has the
-    texts ``completed`` and ``exported`` of a publication.
+    keep or cache them before running many checks. A list is checked for the
+    order of its rows when it carries the ``position`` at which each was written;
+    ``instants`` has the texts ``completed`` and ``exported`` of a publication.
     """
     r = results
+    unplaced = lambda df: df if POSITION in df.columns else df.limit(0).withColumn(POSITION, F.lit(0))
     found = {f"one_row {name}": contract.not_one_row(r[name], name) for name in SCALARS}
     found |= {f"one_row {name}": contract.not_one_row(r[name], name, optional=True) for name in HIGHLIGHTS}
     for name, (identity, order, within) in RANKED_LISTS.items():
         found[f"identity {name}"] = contract.repeated_identities(r[name], identity, within)
         found[f"ranks {name}"] = contract.broken_ranks(r[name], order(), within)
+        listed = [F.col(c).asc() for c in LISTED_BY[name]]
+        found[f"order {name}"] = contract.broken_ranks(unplaced(r[name]), listed, rank=POSITION)
     for name, (identity, order) in UNRANKED_LISTS.items():
         found[f"identity {name}"] = contract.repeated_identities(r[name], identity)
-        placed = r[name] if POSITION in r[name].columns else r[name].limit(0).withColumn(POSITION, F.lit(0))
-        found[f"order {name}"] = contract.broken_ranks(placed, order(), rank=POSITION)
+        found[f"order {name}"] = contract.broken_ranks(unplaced(r[name]), order(), rank=POSITION)
     for name, columns in DATES.items():
         texts = r[name].select(*[F.col(c).cast("string").alias(c) for c in columns])
         found[f"dates {name}"] = reduce(DataFrame.unionAll, [contract.impossible_dates(texts, c) for c in columns])
@@ -85,8 +89,4 @@ def contract_issues(results: Mapping[str, DataFrame], instants: DataFrame | None
 
 def summary(results: Mapping[str, DataFrame], instants: DataFrame | None = None) -> DataFrame:
     """(check, violations) of every contract check."""
-    counted = [
-        df.agg(F.count(F.lit(1)).alias("violations")).select(F.lit(name).alias("check"), "violations")
-        for name, df in contract_issues(results, instants).items()
-    ]
-    return reduce(DataFrame.unionByName, counted)
+    return counted(contract_issues(results, instants), "check")

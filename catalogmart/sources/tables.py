@@ -68,6 +68,13 @@ class KeptTables:
         df.write.mode("error").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def keep_listed(self, name: str, df: DataFrame, position: str) -> DataFrame:
+        """A small ordered list, written to one file in its order; ``position`` is the place a row really has there."""
+        path = f"{self.folder}/{name}-{uuid.uuid4().hex}"
+        df.coalesce(1).write.mode("error").parquet(path)
+        rows = self.spark.read.schema(df.schema).parquet(path)
+        return rows.select("*", (F.col("_metadata.row_index") + 1).cast("int").alias(position))
+
     def layer(self, name: str, df: DataFrame) -> DataFrame:
         """A relation of the curated or analytics layer; read where it is needed, not kept."""
         return df

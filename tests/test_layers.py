@@ -7,13 +7,15 @@ from functools import partial
 from pathlib import Path
 
 import pytest
+from pyspark.errors import PySparkException
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from catalogmart.plans import curated, layers, marts, quality, validate
+from catalogmart.operators import checks, contract
+from catalogmart.plans import curated, layers, marts, public, quality, validate
 from catalogmart.plans.build import Catalogue
 from catalogmart.sources.schemas import CSV_RELATIONS, RAW_SCHEMAS, TSV_RELATIONS
-from catalogmart.sources.tables import EmptyLoadError
+from catalogmart.sources.tables import EmptyLoadError, KeptTables
 from catalogmart.sources.versions import Versions
 from tests.conftest import tuples
 from workload.raw import Given
@@ -203,6 +205,76 @@ def test_published_order_dates_and_sequence_are_checked(rows):
     assert not validate.contract_issues(texts)["dates recommendations"].isEmpty()
 
 
+def test_positions_are_those_of_the_written_list(spark, rows):
+    """A list written in another order than the published one is found, whatever its values say."""
+    kept, good = KeptTables(spark), document(rows)
+    written = lambda name, *order: kept.keep_listed(name, good[name].orderBy(*order), validate.POSITION)
+    right = {"genre_ratings": written("genre_ratings", F.desc("avg_rating")), "people": written("people", "role", "rank")}
+    assert validate.summary(good | right).filter("violations > 0").isEmpty()
+    wrong = {"genre_ratings": written("genre_ratings", "avg_rating"), "people": written("people", F.desc("role"))}
+    broken = {r["check"] for r in validate.summary(good | wrong).filter("violations > 0").collect()}
+    assert broken == {"order genre_ratings", "order people"}
+
+
+def test_written_lists_stand_in_one_file(spark):
+    listed = KeptTables(spark).keep_listed("many", spark.range(0, 500, 1, 7).orderBy(F.desc("id")), "position")
+    assert [(r["position"], r["id"]) for r in listed.collect()] == [(k + 1, 499 - k) for k in range(500)]
+    assert len(listed.inputFiles()) == 1
+
+
+def test_publication_instants_are_checked(spark):
+    c = Catalogue(spark, Given(spark, FOLDER))
+    assert contract.sequence_issues(public.publication(c), "completed", "exported").isEmpty()
+    assert validate.summary(c.public_results, public.publication(c)).filter("check = 'sequence'").first()["violations"] == 0
+
+
+def test_relations_are_built_once_and_side_by_side(spark):
+    """Threads that want one relation wait for it; those that need others do not stand in each other's way."""
+    built = []
+
+    class Counting(KeptTables):
+        def keep(self, name, df):
+            built.append(name)
+            return super().keep(name, df)
+
+    c = Catalogue(spark, Given(spark, FOLDER), Counting(spark))
+    c.build(["fct_movie_ratings", "bridge_movie_people", "dim_movies", "era_ratings", "fct_now_playing"] * 2)
+    assert sorted(built) == sorted(set(built)) and {"dim_movies", "fct_movie_ratings", "excluded_imdb"} <= set(built)
+
+
+def test_a_failing_relation_leaves_its_old_version(spark, tmp_path):
+    given = Given(spark, FOLDER)
+    build = lambda raw: layers.build_layers(spark, raw, str(tmp_path), "curated_failing", "analytics_failing")
+    build(given)
+    broken = {name: given[name] for name in (*TSV_RELATIONS, *CSV_RELATIONS)}
+    broken["name_basics"] = given["name_basics"].withColumn("primaryname", F.raise_error(F.lit("broken names")).cast("string"))
+    with pytest.raises(PySparkException, match="broken names"):
+        build(broken)
+    versions = {name: Versions(spark, f"{tmp_path}/curated_failing/{name}").latest().number for name in ("dim_person", "dim_movies", "dim_genre")}
+    assert versions == {"dim_person": 1, "dim_movies": 2, "dim_genre": 2}
+    assert spark.table("curated_failing.dim_person").count() == given["name_basics"].count()
+    for database in ("curated_failing", "analytics_failing"):
+        spark.sql(f"DROP DATABASE {database} CASCADE")
+    for view in layers.STAGING:
+        spark.catalog.dropTempView(view)
+
+
+def test_column_tests_take_one_exchange_a_relation(rows):
+    df = rows([(1, "a", None), (1, None, 2), (2, "a", None), (None, "b", None), (None, "c", 2)], "k int, s string, n int")
+    known, keys = {"known k": "k", "known n": "n"}, {"key": ("k", "n"), "wide": ("k", "s", "n")}
+
+    def violations(df):
+        names = [*known, "unique k", "unique s", *keys]
+        tallied = checks.column_counts(df, known, {"unique k": "k", "unique s": "s"}, keys, "test")
+        return dict(map(tuple, checks.counted({"rows": df.filter("k = 1")}, "test", [tallied], names).collect()))
+
+    assert violations(df) == {"known k": 2, "known n": 3, "unique k": 1, "unique s": 1, "key": 0, "wide": 0, "rows": 2}
+    assert violations(df.unionAll(df)) == {"known k": 4, "known n": 6, "unique k": 2, "unique s": 3, "key": 5, "wide": 5, "rows": 4}
+    assert violations(df.limit(0)) == dict.fromkeys(["known k", "known n", "unique k", "unique s", "key", "wide", "rows"], 0)
+    plan = checks.column_counts(df, known, {"unique k": "k"}, keys, "test")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and plan.count("Scan") == 1
+
+
 def test_every_given_row_reaches_its_raw_relation(spark):
     given = Given(spark, FOLDER)
     assert given["now_playing"].count() == given.table("events").count()

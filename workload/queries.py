@@ -1034,7 +1034,7 @@ def _(c):
 
 @query("contract_report", contract_report_sql())
 def _(c):
-    return validate.summary(c.public_results)
+    return validate.summary(c.public_results, public.publication(c))
 
 
 def _faulty(results):
@@ -1068,7 +1068,22 @@ def _faulty(results):
 
 @query("contract_faults", contract_report_sql(faulty=True))
 def _(c):
-    return validate.summary(_faulty(c.public_results))
+    early = public.publication(c).withColumn("exported", F.replace("exported", F.lit("T01:30"), F.lit("T00:30")))
+    return validate.summary(_faulty(c.public_results), early)
+
+
+def _cells_sql(name: str, field: str) -> str:
+    """Every cell of a field as text; whole numbers have no fraction."""
+    text = f'cast("{field}" AS varchar)'
+    if field in ("avg_rating", "avg_runtime_minutes", "rating", "percentage", "popularity"):
+        text = f'CASE WHEN "{field}" = floor("{field}") THEN cast(cast("{field}" AS bigint) AS varchar) ELSE {text} END'
+    return f"SELECT '{name}' AS result, '{field}' AS field, {text} AS value FROM public_{name}"
+
+
+@query("public_cells", "\nUNION ALL\n".join(_cells_sql(name, field) for name in public.RESULT_NAMES for field in public.columns(name)))
+def _(c):
+    """Every cell of every public result set in its public text form."""
+    return reduce(DataFrame.unionAll, [contract.public_cells(df.drop(public.POSITION), name) for name, df in c.public_results.items()])
 
 
 @query("built_layers", built_layers_sql())

@@ -118,6 +118,11 @@ def _results(faulty: bool) -> str:
     ctes = []
     for name in public.RESULT_NAMES:
         text = FAULTS.get(name, f"SELECT * FROM public_{name}") if faulty else f"SELECT * FROM public_{name}"
+        if name in validate.LISTED_BY:
+            order = ", ".join(validate.LISTED_BY[name])
+            key = {"top_years": "year", "top_movies": "movie_id", "people": "person_id, role", "recommendations": "region, rank"}[name]
+            text = f"""SELECT f.*, p.position FROM ({text}) f JOIN (SELECT {key}, row_number() OVER (ORDER BY {order})
+        AS position FROM public_{name}) p USING ({key})"""
         if name in validate.UNRANKED_LISTS:
             key, _, order = LIST_ORDER[name]
             was = {"region_counts": "CASE region WHEN 'IN' THEN 'FR' ELSE region END", "decade_counts":
@@ -192,6 +197,12 @@ def contract_report_sql(faulty: bool = False) -> str:
         over = (f"PARTITION BY {within} " if within else "") + f"ORDER BY {order}"
         places = f"SELECT {column} AS stored, row_number() OVER ({over}) AS place FROM r_{name}"
         parts.append((f"{kind} {name}", f"FROM ({places}) WHERE stored IS DISTINCT FROM place"))
+    for name, columns in validate.LISTED_BY.items():
+        places = f"SELECT position AS stored, row_number() OVER (ORDER BY {', '.join(columns)}) AS place FROM r_{name}"
+        parts.append((f"order {name}", f"FROM ({places}) WHERE stored IS DISTINCT FROM place"))
+    out = "-" if faulty else "+"
+    clock = f"cast(max(max_capture_date) AS timestamp) AS done, cast(max(max_capture_date) AS timestamp) {out} INTERVAL 30 MINUTE AS out"
+    parts.append(("sequence", f"FROM (SELECT {clock} FROM r_captures) WHERE done > out"))
     for name, columns in validate.DATES.items():
         bad = [f"SELECT 1 FROM r_{name} WHERE {c} IS NOT NULL AND try_cast({c} AS date) IS NULL" for c in columns]
         parts.append((f"dates {name}", _union(bad)))

@@ -56,6 +56,14 @@ def unused(columns: list[str], *names: str) -> list[str]:
     return out
 
 
+def require_whole_ids(df: DataFrame, doc_id: str) -> str:
+    """The type of the ids; TypeError unless they are whole numbers of at most 64 bits."""
+    kind = dict(df.select(F.col(doc_id).alias("id")).dtypes)["id"]
+    if kind not in ("tinyint", "smallint", "int", "bigint"):
+        raise TypeError(f"{doc_id} must be a whole number of at most 64 bits, not {kind}")
+    return kind
+
+
 def held_out(doc_id: Column | str) -> Column:
     """True for rows that no learner may see: crc32 of the id as text is divisible by 5."""
     column = F.col(doc_id) if isinstance(doc_id, str) else doc_id

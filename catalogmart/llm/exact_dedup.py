@@ -13,7 +13,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from catalogmart.llm.common import Scratch, xxhash_long
+from catalogmart.llm.common import Scratch, require_whole_ids, unused, xxhash_long
 
 #: Digests per range of the index, about.
 RANGE_DIGESTS = 50_000
@@ -159,8 +159,10 @@ def exact_dedup(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Da
 
     Texts are equal when identical; a null counts as empty. The largest doc_id
     of a group stays; rows that repeat both id and text are kept together, as
-    nothing tells them apart. Further columns are ignored.
+    nothing tells them apart. doc_id must be a whole number of at most 64 bits.
+    Further columns are ignored.
     """
+    require_whole_ids(df, doc_id)
     scratch = Scratch(df.sparkSession, "exact")
     rows = scratch.keep(df.select(F.col(doc_id).alias("doc_id"), digest_of(F.col(text)).alias("digest")))
     found = winners(rows, in_history(), scratch).select("digest", F.col("winner").alias("keep_id"), F.col("n").alias("group_size"))
@@ -174,13 +176,18 @@ def exact_dedup(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Da
 
 
 def keep_one(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of df that win their group, all columns kept; of rows that repeat id and text, one stays."""
+    """The rows of df that win their group, all columns kept; of rows that repeat id and text, one stays.
+
+    doc_id must be a whole number, as in exact_dedup.
+    """
+    require_whole_ids(df, doc_id)
     scratch = Scratch(df.sparkSession, "exact")
     rows = scratch.keep(df.select(F.col(doc_id).alias("doc_id"), digest_of(F.col(text)).alias("digest")))
-    found = winners(rows, in_history(), scratch).select(F.col("winner").alias("__winner"), F.col("digest").alias("__digest"))
-    marked = df.withColumn("__digest", digest_of(F.col(text)))
-    won = marked.join(found, (marked["__digest"] == found["__digest"]) & F.col(doc_id).eqNullSafe(F.col("__winner")), "left_semi")
+    own, winner, digest = unused(df.columns, "own_digest", "winner", "digest")
+    found = winners(rows, in_history(), scratch).select(F.col("winner").alias(winner), F.col("digest").alias(digest))
+    marked = df.withColumn(own, digest_of(F.col(text)))
+    won = marked.join(found, (F.col(own) == F.col(digest)) & F.col(f"`{doc_id}`").eqNullSafe(F.col(winner)), "left_semi")
     repeated = rows.groupBy("doc_id", "digest").count().where("count > 1").limit(1).count()
     if repeated:
-        won = won.dropDuplicates([doc_id, "__digest"])
-    return won.drop("__digest")
+        won = won.dropDuplicates([doc_id, own])
+    return won.drop(own)

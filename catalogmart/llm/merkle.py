@@ -24,19 +24,16 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from catalogmart.llm.common import Scratch
+from catalogmart.llm.common import Scratch, require_whole_ids
 from catalogmart.llm.sharding import number_rows
 
 #: Children of a node, and leaves of a slot array (a power of FAN).
 FAN, ARRAY = 3, 3**6
 #: Ids of one bitmap, as a power of two, and of one step of the directory above it.
-STRETCH_BITS, STEP_BITS = 12, 16
+STRETCH_BITS, STEP_BITS = 10, 16
 #: Bitmaps a task holds before it passes them on.
 HELD = 20_000
 
-INTEGERS = ("tinyint", "smallint", "int", "bigint")
-
-
 def field(value: Column) -> Column:
     """`-` for null, else the UTF-8 byte count, `:` and the value."""
     shown = value.cast("string")
@@ -367,9 +364,7 @@ def manifest(df: DataFrame, tampered: Column | None = None, doc_id: str = "doc_i
     of its own and comes first. doc_id must be a whole number. Further columns
     are ignored; an empty table has an empty manifest.
     """
-    kind = dict(df.select(F.col(doc_id).alias("doc_id")).dtypes)["doc_id"]
-    if kind not in INTEGERS:
-        raise TypeError(f"doc_id must be a whole number of at most 64 bits, not {kind}")
+    kind = require_whole_ids(df, doc_id)
     scratch = Scratch(df.sparkSession, "merkle")
     values = [F.col(c) for c in fields]
     other = values[:-1] + [values[-1] if tampered is None else tampered]

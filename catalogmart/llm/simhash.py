@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from catalogmart.llm.common import Scratch, per_slice, raw_texts, sums
+from catalogmart.llm.common import Scratch, per_slice, raw_texts, sums, unused
 from catalogmart.llm.components import components
 
 BITS, SHINGLE, DISTANCE, SEED = 64, 3, 2, 42
@@ -258,5 +258,6 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", s
 
 def keep_representatives(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of df whose id is the component_id of their group, all columns kept; a null id stays only alone among nulls."""
-    found = near_duplicates(df, doc_id, text).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__id")).distinct()
-    return df.join(found, F.col(doc_id).eqNullSafe(F.col("__id")), "left_semi")
+    (name,) = unused(df.columns, "id")
+    found = near_duplicates(df, doc_id, text).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias(name)).distinct()
+    return df.join(found, F.col(f"`{doc_id}`").eqNullSafe(F.col(name)), "left_semi")

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from catalogmart.llm.common import SLICE_BYTES, Scratch, SortedHashes, cached, joined, ragged, raw_texts, slices, sums, xxhash_long
+from catalogmart.llm.common import SLICE_BYTES, Scratch, SortedHashes, cached, joined, ragged, raw_texts, require_whole_ids, slices, sums, xxhash_long
 
 MAX_BITS = 16
 #: Ids between checkpoints, ids per block (whole documents) and per file, about.
@@ -364,7 +364,7 @@ def _binary(values: np.ndarray, ends: np.ndarray) -> list[bytes]:
 
 
 def encode_documents(df: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, tie (a checksum) and ids (little-endian 16-bit, 32-bit for larger vocabularies) with the end id; a null counts as empty."""
+    """doc_id (a whole number), tie (a checksum) and ids (little-endian 16-bit, 32-bit for larger vocabularies) with the end id; a null counts as empty."""
 
     def run(batches):
         encoder = cached(("encoder", path), lambda: Encoder(path))
@@ -375,6 +375,7 @@ def encode_documents(df: DataFrame, path: str, doc_id: str = "doc_id", text: str
                 tie = pa.array([zlib.crc32(x) for x in cells], pa.int64())
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), tie, pa.array(cells, pa.binary())], ["doc_id", "tie", "ids"])
 
+    require_whole_ids(df, doc_id)
     narrow = df.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     return narrow.mapInArrow(run, "doc_id long, tie long, ids binary")
 

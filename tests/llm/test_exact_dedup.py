@@ -69,3 +69,10 @@ def test_empty_table_and_survivors(nothing, messy):
     assert kept.columns == messy.columns
     bodies = [r["text"] or "" for r in kept.collect()]
     assert len(bodies) == len(set(bodies)) == len({r["text"] or "" for r in messy.collect()})
+
+
+def test_other_ids_are_refused(messy):
+    named = messy.withColumn("doc_id", F.concat(F.lit("x"), F.col("doc_id")))
+    for operator in (e.exact_dedup, e.keep_one):
+        with pytest.raises(TypeError, match="whole number"):
+            operator(named)

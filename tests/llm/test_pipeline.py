@@ -56,3 +56,14 @@ def test_each_stage_takes_messy_and_empty_tables(spark, messy, nothing):
             columns = docs.columns
             docs = spark.createDataFrame(stage(spark, docs, FOLDER).collect(), stage(spark, docs, FOLDER).schema)
             assert docs.columns == columns or name == "piece sampling"
+
+
+def test_stages_keep_columns_named_like_their_own(spark):
+    """Columns with the names that operators use themselves stay what they are."""
+    names = ["winner", "digest", "own_digest", "id", "times", "copy", "__winner", "__digest", "__id", "__times"]
+    rows = [(k, f"the text number {k % 20} of this table has some words", "en", "ab"[k % 2], None, *range(len(names))) for k in range(40)]
+    schema = "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"{n} int" for n in names)
+    docs = spark.createDataFrame(rows, schema)
+    for _, stage in corpus_pipeline.STAGES[1:4]:
+        out = stage(spark, docs, FOLDER)
+        assert out.columns == docs.columns and {tuple(r[n] for n in names) for r in out.collect()} == {tuple(range(len(names)))}

@@ -11,6 +11,7 @@ falls apart at the blanks and each distinct word is filtered once per slice.
 
 from __future__ import annotations
 
+import math
 import re
 from typing import NamedTuple
 
@@ -27,6 +28,8 @@ FLATNESS = 1.0
 #: Log weight of a byte that stands for a character without a piece.
 BYTE_LOG_WEIGHT = -20.0
 
+#: Words of more bytes are cut where no piece crosses; steps with fewer edges or draws than FEW go one by one.
+LONG, FEW = 64, 48
 _WORDS = re.compile(rb" +[^ ]*|[^ ]+")
 
 
@@ -110,6 +113,27 @@ def words_of(raw: bytes) -> list[bytes]:
     return _WORDS.findall(b" " + raw)
 
 
+def cut_words(pieces: Pieces, words: list[bytes]) -> list[list[bytes]]:
+    """Each word cut at the characters that no piece crosses.
+
+    All ways through the lattice meet there, so the parts are filtered and
+    sampled apart with the same result. Scripts without blanks fall into short
+    parts this way.
+    """
+    at, length, _, begin, size = _edges(pieces, words)
+    crossed = np.zeros(int(size.sum()) + 1, np.int64)
+    np.add.at(crossed, at + 1, 1)
+    np.add.at(crossed, at + length, -1)
+    body = b"".join(words)
+    data = np.frombuffer(body, np.uint8)
+    free = (np.cumsum(crossed)[:-1] == 0) & ((data & 0xC0) != 0x80)
+    free[begin] = True
+    cuts = np.append(np.flatnonzero(free), len(data)).tolist()
+    parts = [body[a:b] for a, b in zip(cuts, cuts[1:])]
+    ends = np.searchsorted(cuts, np.append(begin, len(data))).tolist()
+    return [parts[a:b] for a, b in zip(ends, ends[1:])]
+
+
 class Lattice(NamedTuple):
     """Edges by end node; of the edges of a node, the running share of the filtered weight."""
 
@@ -167,7 +191,10 @@ def _edges(pieces: Pieces, words: list[bytes]) -> tuple[np.ndarray, ...]:
 
 
 def forward_filter(pieces: Pieces, words: list[bytes]) -> Lattice:
-    """Lattice of the words; a position's weight is the sum over all ways to it, taken level by level."""
+    """Lattice of the words; a position's weight is the sum over all ways to it, taken level by level.
+
+    Levels that only a few long words reach have few edges and go node by node.
+    """
     at, length, piece, begin, size = _edges(pieces, words)
     word = np.repeat(np.arange(len(words)), size)[at]
     origin, end = at + word, at + word + length  # a word of n bytes has n + 1 nodes
@@ -183,7 +210,10 @@ def forward_filter(pieces: Pieces, words: list[bytes]) -> Lattice:
     value = np.empty(len(end))
     node_level = level[first]
     steps = np.flatnonzero(np.append(True, node_level[1:] != node_level[:-1])) if len(first) else np.zeros(0, np.int64)
-    for a, b in zip(steps, np.append(steps[1:], len(first))):
+    edges_of = np.diff(np.append(first[steps], len(end)))
+    many = np.flatnonzero(edges_of >= FEW)
+    tail = int(many[-1]) + 1 if len(many) else 0
+    for a, b in zip(steps[:tail], np.append(steps[1:], len(first))[:tail]):
         lo, hi = first[a], first[b] if b < len(first) else len(end)
         part = log_sum[origin[lo:hi]] + weight[lo:hi]
         edge = first[a:b] - lo
@@ -194,6 +224,9 @@ def forward_filter(pieces: Pieces, words: list[bytes]) -> Lattice:
         with np.errstate(divide="ignore", invalid="ignore"):
             log_sum[node[a:b]] = top + np.log(total)
             value[lo:hi] = share / np.repeat(total, count[a:b])
+    if tail < len(steps):
+        a = steps[tail]
+        value[first[a] :] = _node_by_node(log_sum, node[a:], count[a:], origin[first[a] :], weight[first[a] :])
     value = np.nan_to_num(value)
     running = np.cumsum(value)
     upto = running - np.repeat(running[first] - value[first], count) if len(first) else running
@@ -203,12 +236,57 @@ def forward_filter(pieces: Pieces, words: list[bytes]) -> Lattice:
     return Lattice(at_node, upto, origin, piece, begin + np.arange(len(words)), size)
 
 
+def _node_by_node(log_sum: np.ndarray, node: np.ndarray, count: np.ndarray, origin: np.ndarray, weight: np.ndarray) -> list[float]:
+    """Shares of the edges, which end in the nodes in their order; sets the nodes' weights."""
+    known, k, out = memoryview(log_sum), 0, []
+    origins, weights = origin.tolist(), weight.tolist()
+    for at, n in zip(node.tolist(), count.tolist()):
+        part = [known[o] + w for o, w in zip(origins[k : k + n], weights[k : k + n])]
+        top = max(part)
+        if top == -math.inf:
+            known[at] = top
+            out.extend([0.0] * n)
+        else:
+            share = [math.exp(x - top) for x in part]
+            total = sum(share)
+            known[at] = top + math.log(total)
+            out.extend([x / total for x in share])
+        k += n
+    return out
+
+
+def _draws(key: np.ndarray | np.uint64, place: np.ndarray) -> np.ndarray:
+    """A number from 0 to 1 for each row key and byte position."""
+    with np.errstate(over="ignore"):
+        return (xxhash_long(key + place * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(11)).astype(np.float64) * 2.0**-53
+
+
+def _walk(lattice: Lattice, node: int, home: int, offset: int, key: np.uint64) -> list[int]:
+    """The pieces drawn from a node back to the word's first, last one first."""
+    if node <= home:
+        return []
+    u = _draws(key, np.arange(offset, offset + node - home + 1, dtype=np.uint64)).tolist()
+    first, upto, origin, piece = (memoryview(np.ascontiguousarray(x)) for x in (lattice.first, lattice.upto, lattice.origin, lattice.piece))
+    out = []
+    while node > home:
+        edge, drawn = first[node], u[node - home]
+        while upto[edge] <= drawn:
+            edge += 1
+        out.append(piece[edge])
+        node = origin[edge]
+    return out
+
+
 def sample(pieces: Pieces, raw: list[bytes], keys: np.ndarray, seed: int = SEED) -> tuple[np.ndarray, np.ndarray]:
     """One sampled segmentation per text: all ids, and the number of ids of each text."""
     index: dict[bytes, int] = {}
     codes, counts = [], np.zeros(len(raw), np.int64)
-    for k, text in enumerate(raw):
-        words = words_of(text)
+    listed = list(map(words_of, raw))
+    long = list({w for words in listed for w in words if len(w) > LONG})
+    parts = dict(zip(long, cut_words(pieces, long))) if long else {}
+    for k, words in enumerate(listed):
+        if parts:
+            words = [x for w in words for x in (parts[w] if len(w) > LONG else (w,))]
         codes.extend([index.setdefault(w, len(index)) for w in words])
         counts[k] = len(words)
     if not codes:
@@ -225,9 +303,7 @@ def sample(pieces: Pieces, raw: list[bytes], keys: np.ndarray, seed: int = SEED)
     node, lane = home + size, np.arange(len(word))
     drawn: list[tuple[np.ndarray, np.ndarray]] = []
     while len(lane):
-        place = offset[lane] + (node - home[lane]).astype(np.uint64)
-        with np.errstate(over="ignore"):
-            u = (xxhash_long(own[lane] + place * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(11)).astype(np.float64) * 2.0**-53
+        u = _draws(own[lane], offset[lane] + (node - home[lane]).astype(np.uint64))
         edge = lattice.first[node]
         rest = np.flatnonzero(lattice.upto[edge] <= u)
         while len(rest):
@@ -237,13 +313,20 @@ def sample(pieces: Pieces, raw: list[bytes], keys: np.ndarray, seed: int = SEED)
         node = lattice.origin[edge]
         on = node > home[lane]
         lane, node = lane[on], node[on]
+        if len(lane) < FEW:
+            break
+    rest = {int(k): _walk(lattice, int(n), int(home[k]), int(offset[k]), own[k]) for k, n in zip(lane, node)}
     taken = np.zeros(len(word), np.int64)
     for lanes, _ in drawn:
         taken[lanes] += 1
+    for k, walked in rest.items():
+        taken[k] += len(walked)
     last = np.cumsum(taken) - 1
     ids = np.empty(int(taken.sum()), np.int64)
     for step, (lanes, piece) in enumerate(drawn):
         ids[last[lanes] - step] = piece
+    for k, walked in rest.items():
+        ids[last[k] - len(drawn) - len(walked) + 1 : last[k] - len(drawn) + 1] = walked[::-1]
     total = np.append(0, np.cumsum(taken))
     return ids, np.diff(total[np.append(0, np.cumsum(counts))])
 

@@ -101,3 +101,35 @@ def test_tables_decode(given, messy, source):
 
 def test_empty_table(nothing):
     assert p.sample_pieces(nothing, PIECES).collect() == []
+
+
+def test_long_words_are_cut_without_changing_a_draw(pieces, monkeypatch):
+    """Texts without blanks, in scripts with many, few and no pieces, and broken bytes: the same ids as uncut and in step."""
+    raw = [b"thecatsatonthematandthedogsatontherug" * 60, "日本語のテキストです漢字かな交じり文".encode() * 30, "ééßüñ中文x".encode() * 40]
+    raw += [b"\xe6\x97" * 50 + b"abc", b"a" * 2_000, b"", b" a " + b"q" * 300 + b" b", b"short words only"]
+    keys = np.arange(len(raw), dtype=np.uint64)
+    cut = p.sample(pieces, raw, keys)
+    monkeypatch.setattr(p, "LONG", 1 << 30)
+    monkeypatch.setattr(p, "FEW", 0)
+    plain = p.sample(pieces, raw, keys)
+    assert cut[1].tolist() == plain[1].tolist() and cut[0].tolist() == plain[0].tolist()
+    assert pieces.decode(*cut) == raw
+
+
+def test_cuts_are_where_no_piece_crosses(pieces):
+    words = [b" thecatsat", "日本語".encode(), b"x", "é中".encode() * 3]
+    for word, parts in zip(words, p.cut_words(pieces, words)):
+        assert b"".join(parts) == word and all(parts)
+        at, length, _, _, _ = p._edges(pieces, [word])
+        inner = {k for a, n in zip(at.tolist(), length.tolist()) for k in range(a + 1, a + n)}
+        ends = set(np.cumsum([len(x) for x in parts]).tolist()) - {len(word)}
+        assert ends == {k for k in range(1, len(word)) if k not in inner and word[k] & 0xC0 != 0x80}
+
+
+def test_texts_without_blanks_take_linear_time(pieces):
+    import time
+
+    begin = time.process_time()
+    body = b"thequickbrownfoxjumpsoverthelazydogwhileotheranimalsarelooking" * 16_000
+    ids, size = p.sample(pieces, [body], np.zeros(1, np.uint64))
+    assert pieces.decode(ids, size) == [body] and time.process_time() - begin < 20

@@ -11,7 +11,8 @@ EXACT = "decimal(30,20)"
 def exact(value: Column) -> Column:
     """The value as a decimal, in the shortest form that denotes the double; sums of it commute.
 
-    Holds ten digits before the point and twenty after it; beyond, ANSI mode fails the job.
+    Holds ten digits before the point, or ANSI mode fails the job, and twenty after it; finer ones are rounded away,
+    alike in any order.
     """
     return value.cast(EXACT)
 

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from catalogmart.functions.rules import ROLE_MINIMUMS, TOP_BRACKET, role_minimum
+from catalogmart.functions.public_text import normalize_scalars, not_finite
 from catalogmart.operators.checks import PERCENTAGE_TOLERANCE
 from catalogmart.sources.bounded import require_at_most
 
@@ -253,51 +254,12 @@ def field_rule_issues(df: DataFrame, rules: Sequence[FieldRule]) -> DataFrame:
     return df.select(F.inline(F.array_compact(F.array(*cells))))
 
 
-def normalize_scalars(df: DataFrame) -> DataFrame:
-    """Public text form of every column; NULL stays NULL.
-
-    Integral numbers lose their fraction and never take an exponent (beyond 2^63
-    the digits are the shortest that denote the double), dates are ISO, instants
-    are UTC with a ``Z``. A NaN or infinite number fails the job; a timestamp
-    without a zone is refused when the plan is built.
-    """
-    return df.select(*[_public_text(field.name, field.dataType.typeName()).alias(field.name) for field in df.schema])
-
-
 def public_cells(df: DataFrame, name: str) -> DataFrame:
     """(result, field, value) of every cell of a result set, in public text form."""
     cells = F.array(*[F.struct(F.lit(c).alias("field"), F.col(c).alias("value")) for c in df.columns])
     return normalize_scalars(df).select(F.lit(name).alias("result"), F.inline(cells))
 
 
-def _public_text(name: str, kind: str) -> Column:
-    c = F.col(name)
-    if kind == "timestamp_ntz":
-        raise ValueError(f"{name} needs an explicit time zone")
-    if kind in ("double", "float"):
-        # NaN is greater than any number, so the first two tests hold for finite numbers alone.
-        whole, size = F.rint(c) == c, F.abs(c)
-        return (
-            F.when(whole & (size < 2.0**63), c.cast("bigint").cast("string"))
-            .when(whole & (size < 1e38), c.cast("double").cast("decimal(38,0)").cast("string"))
-            .when(not_finite(c), F.raise_error(F.lit(f"{name} is not finite")).cast("string"))
-            .otherwise(c.cast("string"))
-        )
-    if kind == "decimal":
-        text = c.cast("string")
-        trimmed = F.rtrim(F.rtrim(text, F.lit("0")), F.lit("."))
-        return F.when(F.instr(text, ".") > 0, trimmed).otherwise(text)
-    if kind == "timestamp":
-        utc = F.to_utc_timestamp(c, F.current_timezone())
-        text = F.date_format(utc, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
-        return F.concat(F.replace(text, F.lit(".000000"), F.lit("")), F.lit("Z"))
-    return c.cast("string")
-
-
-def not_finite(c: Column) -> Column:
-    return F.isnan(c) | (F.abs(c) == float("inf"))
-
-
 def non_finite_rows(df: DataFrame, identity: str, columns: Sequence[str]) -> DataFrame:
     """(identity, column) of every NaN or infinite value."""
     cells = [F.when(not_finite(F.col(c).cast("double")), F.lit(c)) for c in columns]

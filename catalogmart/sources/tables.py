@@ -10,6 +10,7 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from catalogmart.functions.public_text import multiset_digest
 from catalogmart.sources.versions import Versions
 
 
@@ -137,7 +138,9 @@ class Replacement:
     another load has done so since, it raises ConcurrentLoadError and leaves the
     table to that load. Readers see either the old or the new rows, and go on
     reading the version they began with. A table's columns and bucketing stay as
-    first created. ``Versions.expire`` removes old versions.
+    first created. ``Versions.expire`` removes old versions. With
+    ``skip_unchanged`` a load that brings the rows the table already has, in any
+    order, makes no new version; both are read once more for that.
     """
 
     def __init__(self, spark: SparkSession, table: str, folder: str, buckets: Buckets | None = None):
@@ -145,14 +148,18 @@ class Replacement:
         self.versions = Versions(spark, folder)
         self.began_on = self.versions.latest().number
 
-    def publish(self, df: DataFrame, allow_empty: bool = False) -> DataFrame:
-        if self.spark.catalog.tableExists(self.table):
+    def publish(self, df: DataFrame, allow_empty: bool = False, skip_unchanged: bool = False) -> DataFrame:
+        exists = self.spark.catalog.tableExists(self.table)
+        if exists:
             df = self._as_target(df)
         slot = self.versions.new_slot()
         try:
             _write_slot(df, self.table, slot, self.buckets)
             if not allow_empty and self.spark.read.schema(df.schema).parquet(slot).isEmpty():
                 raise EmptyLoadError(f"load of {self.table} has no rows; the table was left unchanged")
+            if skip_unchanged and exists and self._digest(slot, df) == self._digest(self.versions.latest().slot, df):
+                self.versions.discard(slot)
+                return self.spark.table(self.table)
             self.versions.commit(self.began_on, slot)
         except BaseException:
             self.versions.discard(slot)
@@ -160,6 +167,9 @@ class Replacement:
         self._point(df)
         return self.spark.table(self.table)
 
+    def _digest(self, slot: str, df: DataFrame) -> tuple:
+        return tuple(multiset_digest(self.spark.read.schema(df.schema).parquet(slot)).first())
+
     def _as_target(self, df: DataFrame) -> DataFrame:
         target = self.spark.table(self.table).schema
         missing = set(target.names) ^ set(df.columns)

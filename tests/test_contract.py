@@ -8,6 +8,7 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
+from catalogmart.functions.public_text import multiset_digest
 from catalogmart.operators import checks, contract
 from catalogmart.operators.exclusion import ExcludedIds
 from catalogmart.plans import present, public
@@ -320,3 +321,23 @@ def test_fingerprints_are_bounded_in_bytes(rows):
     assert contract.fingerprint(df, 5).first()["row_count"] == 1
     with pytest.raises(Exception, match="more than 50 bytes"):
         contract.fingerprint(df, 5, max_bytes=50).collect()
+
+
+def test_digests_of_relations_ignore_order_and_count_repeats(rows):
+    schema = "id bigint, name string, x double, day date"
+    data = [(k, f"n{k % 7}" if k % 5 else None, k / 4, None) for k in range(200)]
+    digest = lambda df, key="": tuple(multiset_digest(df, key).first())
+    df = rows(data, schema)
+    assert digest(df) == digest(rows(data[::-1], schema).repartition(7).select("x", "day", "name", "id"))
+    others = [digest(rows(data[:-1], schema)), digest(rows([*data, data[0]], schema)), digest(df, "key")]
+    others += [digest(df.withColumn("name", F.coalesce("name", F.lit("-")))), digest(df.withColumn("id", F.col("id") + 1))]
+    assert len({digest(df), *others}) == 6
+    assert digest(df.limit(0)) == (0, "0", "0")
+    plan = multiset_digest(df)._jdf.queryExecution().executedPlan().toString()
+    assert "partial_sum" in plan and "hashpartitioning" not in plan
+
+
+def test_small_and_large_fractions_take_no_exponent(rows):
+    data = [(0.0005,), (-0.000025,), (1.25e-9,), (12345678.5,), (9007199254740991.5 / 2,), (0.1,), (1e-300,), (123.456,)]
+    got = [r[0] for r in contract.normalize_scalars(rows(data, "x double")).collect()]
+    assert got == ["0.0005", "-0.000025", "0.00000000125", "12345678.5", "4503599627370496", "0.1", "1.0E-300", "123.456"]

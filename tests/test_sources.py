@@ -145,6 +145,16 @@ def test_one_of_two_loads_wins(spark, rows, tmp_path):
     spark.sql("DROP TABLE raced")
 
 
+def test_an_unchanged_load_makes_no_version(spark, rows, tmp_path):
+    folder, schema, data = str(tmp_path / "same"), "id bigint, name string", [(k, f"n{k}") for k in range(50)]
+    load = lambda data: Replacement(spark, "unchanged", folder).publish(rows(data, schema), skip_unchanged=True).count()
+    assert load(data) == 50 and load(data[::-1]) == 50
+    assert Versions(spark, folder).latest().number == 1 and len(list((tmp_path / "same").glob("v-*"))) == 1
+    assert load(data[:-1]) == 49 and load([*data[:-1], data[0]]) == 50
+    assert Versions(spark, folder).latest().number == 3
+    spark.sql("DROP TABLE unchanged")
+
+
 def test_many_loads_at_once_have_one_winner(spark, rows, tmp_path):
     folder, schema = str(tmp_path / "crowd"), "id bigint"
     guarded_replace(rows([(0,)], schema), "crowd", folder)

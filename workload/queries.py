@@ -13,6 +13,7 @@ from functools import partial, reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from catalogmart.functions.public_text import multiset_digest, normalize_scalars
 from catalogmart.functions.rules import ROLE_MINIMUMS
 from catalogmart.functions.text import LENIENT_JSON, NAMED_TAGS, comma_elements, has_token
 from catalogmart.operators import checks, contract, exclusion
@@ -664,7 +665,7 @@ def _(c):
         F.concat(day, F.lit(" 11:00:00-07:00")).cast("timestamp").alias("received"),
         F.lit(None).cast("double").alias("note"),
     )
-    return contract.normalize_scalars(rows)
+    return normalize_scalars(rows)
 
 
 @query(
@@ -1080,6 +1081,30 @@ def _cells_sql(name: str, field: str) -> str:
     return f"SELECT '{name}' AS result, '{field}' AS field, {text} AS value FROM public_{name}"
 
 
+def _digest_sql(relation: str) -> str:
+    """The digest of a staged relation; whole doubles have no fraction, small ones no exponent."""
+    fields = []
+    for c in sorted(staging.COLUMNS[relation]):
+        number = f"try_cast(cast({c} AS varchar) AS double)"
+        whole = f"typeof({c}) = 'DOUBLE' AND {number} = floor({number})"
+        small = f"typeof({c}) = 'DOUBLE' AND abs({number}) < 1e-3"
+        plain = f"rtrim(cast(try_cast(cast({c} AS varchar) AS decimal(38, 28)) AS varchar), '0')"
+        text = f"CASE WHEN {whole} THEN cast(cast({number} AS bigint) AS varchar) WHEN {small} THEN {plain} ELSE cast({c} AS varchar) END"
+        fields.append(f"CASE WHEN {c} IS NULL THEN '-' ELSE strlen({text}) || ':' || {text} END")
+    name = f"stg_{relation}"
+    half = lambda at: f"cast(coalesce(sum(cast('0x' || substr(h, {at}, 16) AS ubigint)), 0) % 18446744073709551616 AS varchar)"
+    hashed = f"SELECT md5('{name}' || {' || '.join(fields)}) AS h FROM {name}"
+    return f"SELECT '{name}' AS relation, count(*) AS row_count, {half(1)} AS high, {half(17)} AS low FROM ({hashed})"
+
+
+@query("relation_digests", "\nUNION ALL\n".join(map(_digest_sql, staging.COLUMNS)))
+def _(c):
+    """An order-free digest of every staged relation."""
+    names = [f"stg_{relation}" for relation in staging.COLUMNS]
+    found = [multiset_digest(getattr(c, name), name).select(F.lit(name).alias("relation"), "*") for name in names]
+    return reduce(DataFrame.unionAll, found)
+
+
 @query("public_cells", "\nUNION ALL\n".join(_cells_sql(name, field) for name in public.RESULT_NAMES for field in public.columns(name)))
 def _(c):
     """Every cell of every public result set in its public text form."""

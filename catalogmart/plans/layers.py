@@ -64,8 +64,9 @@ def load_raw(
     database: str,
     folder: str,
     partitions: int | None = None,
+    in_ranges: bool = False,
 ) -> dict[str, DataFrame]:
-    """Replace raw tables from landed files, each only after its own load has rows.
+    """Replace raw tables from landed files, each only after its own load has rows; ``in_ranges`` splits quoted files too.
 
     Replacement is atomic per table: a failing file leaves its table and those
     after it on their previous rows.
@@ -73,7 +74,7 @@ def load_raw(
     ensure_database(spark, database, folder)
     return {
         relation: guarded_replace(
-            scan_raw(spark, relation, path, partitions), f"{database}.{relation}", f"{folder}/{relation}"
+            scan_raw(spark, relation, path, partitions, in_ranges), f"{database}.{relation}", f"{folder}/{relation}"
         )
         for relation, path in landed.items()
     }

@@ -88,13 +88,23 @@ def _(c):
     return scan_raw(c.raw.spark, "title_basics", path)
 
 
-@query("scan_csv", "SELECT * FROM raw_details")
-def _(c):
+def _written_details(c) -> str:
     path = _scratch(c, "details.csv")
     c.raw["details"].write.csv(
         path, header=True, quote='"', escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
     )
-    return scan_raw(c.raw.spark, "details", path)
+    return path
+
+
+@query("scan_csv", "SELECT * FROM raw_details")
+def _(c):
+    return scan_raw(c.raw.spark, "details", _written_details(c))
+
+
+@query("scan_csv_ranges", "SELECT * FROM raw_details")
+def _(c):
+    """The same files, each read by as many tasks as it has ranges."""
+    return scan_raw(c.raw.spark, "details", _written_details(c), in_ranges=True)
 
 
 COMPACT_GENRES = """replace(replace(replace(genres, '": ', '":'), ', "', ',"'), '}, {', '},{')"""

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from catalogmart.functions.rules import RATING_LIMITS, TOP_BRACKET
@@ -16,18 +16,31 @@ from catalogmart.operators.joins import balanced_join
 PERCENTAGE_TOLERANCE = 0.051
 
 
-def counted(found: Mapping[str, DataFrame], label: str, tallied: Sequence[DataFrame] = (), names: Sequence[str] = ()) -> DataFrame:
+def counted(
+    found: Mapping[str, DataFrame],
+    label: str,
+    tallied: Sequence[DataFrame] = (),
+    names: Sequence[str] = (),
+    given: Mapping[str, int] = {},
+) -> DataFrame:
     """(label, violations) of every check by name, counted together in one aggregate; zero for those without any.
 
-    ``tallied`` holds (label, n) rows of further checks, whose names are given.
+    ``tallied`` holds (label, n) rows of further checks, whose names are given;
+    ``given`` are checks already counted.
     """
-    named = F.explode(F.array(*map(F.lit, [*found, *names]))).alias(label)
+    start = dict.fromkeys([*found, *names], 0) | given
     some = next(iter([*found.values(), *tallied]))
-    none = some.sparkSession.range(1).select(named, F.lit(0).cast("bigint").alias("n"))
+    none = stated(some.sparkSession, start, label, "n")
     rows = [df.select(F.lit(name).alias(label), F.lit(1).cast("bigint").alias("n")) for name, df in found.items()]
     return reduce(DataFrame.unionAll, [*rows, *tallied], none).groupBy(label).agg(F.sum("n").alias("violations"))
 
 
+def stated(spark: SparkSession, counts: Mapping[str, int], label: str, n: str) -> DataFrame:
+    """A row per count that is already known."""
+    row = lambda name, count: F.struct(F.lit(name).alias(label), F.lit(count).cast("bigint").alias(n))
+    return spark.range(1).select(F.inline(F.array(*[row(*item) for item in counts.items()])))
+
+
 def null_rows(df: DataFrame, column: str) -> DataFrame:
     """Rows where the column is unknown."""
     return df.filter(F.col(column).isNull())

@@ -18,7 +18,7 @@ from threading import Lock, RLock
 from pyspark.sql import DataFrame, SparkSession
 
 from catalogmart.operators.exclusion import ExcludedIds, excluded_ids
-from catalogmart.plans import curated, kpis, marts, public, staging
+from catalogmart.plans import curated, declared, kpis, marts, public, staging
 from catalogmart.sources.tables import KeptTables
 
 
@@ -61,7 +61,7 @@ class Catalogue:
 
     def __init__(self, spark: SparkSession, raw: Mapping[str, DataFrame], kept: KeptTables | None = None):
         self.raw = raw
-        self.kept = kept or KeptTables(spark)
+        self.kept = kept or KeptTables(spark, declared.watched())
         self._locks, self._guard = defaultdict(RLock), Lock()
 
     def lock(self, name: str) -> RLock:

@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 
 from catalogmart.operators.contract import REGIONS
+from catalogmart.plans import declared
 from catalogmart.plans.build import Catalogue
 from catalogmart.sources.payloads import enrichment_gaps, flatten_listing, listing_faults
 from catalogmart.sources.readers import scan_raw
@@ -109,13 +110,14 @@ def build_layers(
     """Build everything: staging as views, curated and analytics as replaced tables, independent ones side by side.
 
     The returned catalogue reads the written tables, so tests and public results
-    that follow see what was published. With ``buckets`` the relations that meet
+    that follow see what was published; what writing them has counted stands in
+    its ``kept.observed``. With ``buckets`` the relations that meet
     on the movie id are bucketed by it, and the marts join them without a
     shuffle; count one bucket per few hundred megabytes of the largest of them.
     """
     databases = {**dict.fromkeys(CURATED, curated), **dict.fromkeys(ANALYTICS, analytics)}
     layout = dict.fromkeys(JOINED_BY_MOVIE, Buckets("movie_id", buckets)) if buckets else None
-    built = Catalogue(spark, raw, LayerTables(spark, databases, folder, layout))
+    built = Catalogue(spark, raw, LayerTables(spark, databases, folder, layout, declared.watched()))
     for name in STAGING:
         getattr(built, name).createOrReplaceTempView(name)
     built.build(databases)

@@ -12,54 +12,17 @@ from catalogmart.operators import checks
 from catalogmart.operators.exclusion import EXCLUDED_LABEL
 from catalogmart.plans import marts
 from catalogmart.plans.build import SIDE_BY_SIDE
-
-# Declared column tests. N: not null, U: unique.
-COLUMN_TESTS = {
-    "stg_name_basics": {"person_id": "NU", "primary_name": "N"},
-    "stg_title_akas": {"imdb_id": "N", "alternate_title_order": "N", "alternate_title": "N"},
-    "stg_title_basics": {"imdb_id": "NU", "content_type": "N", "primary_title": "N"},
-    "stg_title_crew": {"imdb_id": "NU"},
-    "stg_title_principals": {"imdb_id": "N", "principal_order": "N", "person_id": "N"},
-    "stg_title_ratings": {"imdb_id": "NU", "avg_rating": "N", "num_of_votes": "N"},
-    "stg_details": {"tmdb_id": "NU", "movie_title": "N"},
-    "stg_genres": {"tmdb_genre_id": "NU", "genre_name": "NU"},
-    "stg_now_playing": {"tmdb_id": "N", "movie_title": "N", "tmdb_region": "N", "snapshot_date": "N"},
-    "dim_movies": {"movie_id": "NU", "movie_name": "N", "content_type": "N"},
-    "dim_person": {"person_id": "NU", "person_name": "N"},
-    "dim_genre": {"genre_id": "NU", "genre_name": "NU"},
-    "bridge_movie_genres": {"movie_id": "N", "genre_name": "N", "genre_source": "N"},
-    "bridge_movie_people": {"movie_id": "N", "person_id": "N"},
-    "fct_movie_ratings": {"movie_id": "NU"},
-    "fct_now_playing": {"movie_id": "N", "tmdb_id": "N", "movie_name": "N", "tmdb_region": "N", "snapshot_date": "N"},
-}
-ACCEPTED_VALUES = {
-    ("dim_movies", "content_type"): ("movie", "tvMovie", "tmdb_movie"),
-    ("bridge_movie_genres", "genre_source"): ("imdb", "tmdb"),
-}
-REFERENCES = {
-    ("bridge_movie_genres", "movie_id"): ("dim_movies", "movie_id"),
-    ("bridge_movie_people", "movie_id"): ("dim_movies", "movie_id"),
-    ("fct_movie_ratings", "movie_id"): ("dim_movies", "movie_id"),
-}
-COMPOSITE_KEYS = {
-    "stg_title_akas": ("imdb_id", "alternate_title_order"),
-    "stg_title_principals": ("imdb_id", "principal_order"),
-    "stg_now_playing": ("tmdb_id", "tmdb_region", "snapshot_date"),
-}
-EXCLUSION_SCOPE = (
-    "stg_title_basics",
-    "stg_title_ratings",
-    "stg_title_crew",
-    "stg_title_principals",
-    "stg_title_akas",
-    "stg_details",
-    "dim_movies",
-    "fct_movie_ratings",
-    "fct_now_playing",
-    "stg_now_playing",
+from catalogmart.plans.declared import (
+    ACCEPTED_VALUES,
+    COLUMN_TESTS,
+    COMPOSITE_KEYS,
+    EXCLUSION_SCOPE,
+    LABEL_SCOPE,
+    RATING_COLUMNS,
+    REFERENCES,
+    VOTE_COLUMNS,
+    kept_name,
 )
-LABEL_SCOPE = ("dim_genre", "bridge_movie_genres", "stg_genres")
-
 
 def recommendation_order():
     return [
@@ -109,8 +72,8 @@ def _wide_violations(c) -> dict[str, DataFrame]:
     for relation, keys in COMPOSITE_KEYS.items():
         found[f"unique_key {relation}"] = checks.repeated_keys(getattr(c, relation), keys)
     ratings = c.fct_movie_ratings
-    found["rating_range"] = checks.outside_range(ratings, "movie_id", ["imdb_avg_rating", "tmdb_avg_rating"])
-    found["votes_nonnegative"] = checks.negative_values(ratings, "movie_id", ["imdb_num_of_votes", "tmdb_num_of_votes"])
+    found["rating_range"] = checks.outside_range(ratings, "movie_id", RATING_COLUMNS)
+    found["votes_nonnegative"] = checks.negative_values(ratings, "movie_id", VOTE_COLUMNS)
     found["label_excluded"] = checks.label_occurrences({r: getattr(c, r) for r in LABEL_SCOPE}, EXCLUDED_LABEL)
     found["ids_excluded"] = checks.excluded_occurrences({r: getattr(c, r) for r in EXCLUSION_SCOPE}, c.excluded)
     found["rank_order"] = rank_violations(c.mart_top_movies, c.mart_top_people, c.mart_now_playing_recommendations)
@@ -132,7 +95,7 @@ class _Tested:
         df = getattr(self._c, relation)
         if relation in COLUMN_TESTS and relation.startswith("stg_"):
             wanted = {*COLUMN_TESTS[relation], *COMPOSITE_KEYS.get(relation, ()), "imdb_id", "tmdb_id", "genre_name"}
-            df = self._c.kept.keep(f"tested_{relation}", df.select([name for name in df.columns if name in wanted]))
+            df = self._c.kept.keep(kept_name(relation), df.select([name for name in df.columns if name in wanted]))
         setattr(self, relation, df)
         return df
 
@@ -143,15 +106,37 @@ class _Tested:
             list(pool.map(partial(getattr, self), relations))
 
 
+def observed_counts(c, relations=tuple(COLUMN_TESTS)) -> dict[str, int]:
+    """Row counts by name that writing the relations of ``c`` has taken along; those not written have none."""
+    taken = [c.kept.observed.get(kept_name(relation), {}) for relation in relations]
+    return reduce(dict.__or__, taken, {})
+
+
+def _already_counted(counts: dict[str, int]) -> dict[str, int]:
+    """Violations by test that follow from counts taken along; accepted values only where none is outside."""
+    exact = ("not_null ", "rating_range", "votes_nonnegative")
+    known = {name: n for name, n in counts.items() if name.startswith(exact) or (name.startswith("accepted_values ") and n == 0)}
+    labels = [counts.get(f"label_excluded {relation}") for relation in LABEL_SCOPE]
+    return known if None in labels else {**known, "label_excluded": sum(labels)}
+
+
 def summary(c) -> DataFrame:
-    """(test, violations) of every declared test; staged relations are excluded once, column tests take one pass a relation."""
-    c, tallied, names = _Tested(c), [], []
+    """(test, violations) of every declared test.
+
+    Staged relations are excluded once. Tests of single rows were counted while
+    their relation was written, and cost no scan; the other column tests of a
+    relation take one pass over it.
+    """
+    kept, c, tallied, names = c, _Tested(c), [], []
     c.keep_all(COLUMN_TESTS)
+    given = _already_counted(observed_counts(kept))
     for relation, columns in COLUMN_TESTS.items():
         known = {f"not_null {relation}.{column}": column for column, tests in columns.items() if "N" in tests}
+        known = {name: column for name, column in known.items() if name not in given}
         unique = {f"unique {relation}.{column}": column for column, tests in columns.items() if "U" in tests}
         keys = {f"unique_key {relation}": COMPOSITE_KEYS[relation]} if relation in COMPOSITE_KEYS else {}
-        tallied.append(checks.column_counts(getattr(c, relation), known, unique, keys, "test"))
-        names += [*known, *unique, *keys]
-    rest = {name: df for name, df in _wide_violations(c).items() if name not in names}
-    return checks.counted(rest, "test", tallied, names)
+        if known or unique or keys:
+            tallied.append(checks.column_counts(getattr(c, relation), known, unique, keys, "test"))
+            names += [*known, *unique, *keys]
+    rest = {name: df for name, df in _wide_violations(c).items() if name not in names and name not in given}
+    return checks.counted(rest, "test", tallied, names, given)

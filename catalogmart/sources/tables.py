@@ -4,10 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from catalogmart.functions.public_text import multiset_digest
@@ -57,18 +57,35 @@ class KeptTables:
     planner its true size: joins against it broadcast only below
     ``spark.sql.autoBroadcastJoinThreshold`` and shuffle beyond. The tables go
     when the application ends, or with ``discard``.
+
+    ``watched`` names aggregates per relation, which are taken along while it is
+    written and then stand in ``observed``: counts of its rows need no scan of
+    their own. Aggregates of distinct values cannot be taken along.
     """
 
-    def __init__(self, spark: SparkSession):
+    def __init__(self, spark: SparkSession, watched: Mapping[str, Mapping[str, Column]] | None = None):
         self.spark = spark
+        self.watched = watched or {}
+        self.observed: dict[str, dict[str, int]] = {}
         self.folder = f"{shared_folder(spark)}/kept-{uuid.uuid4().hex}"
         deleted_on_exit(spark, self.folder)
 
     def keep(self, name: str, df: DataFrame) -> DataFrame:
         path = f"{self.folder}/{name}-{uuid.uuid4().hex}"
-        df.write.mode("error").parquet(path)
+        self._watching(name, lambda tap: tap(df).write.mode("error").parquet(path))
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def _watching(self, name: str, write: Callable):
+        """write(tap), in which tap takes the relation's aggregates along; it must be the last step before the rows are
+        written, since Spark counts a task of that stage once even if it runs again, but not one of an earlier stage."""
+        metrics = self.watched.get(name)
+        if not metrics:
+            return write(lambda rows: rows)
+        seen = Observation()
+        result = write(lambda rows: rows.observe(seen, *[metric.alias(key) for key, metric in metrics.items()]))
+        self.observed[name] = seen.get
+        return result
+
     def keep_listed(self, name: str, df: DataFrame, position: str) -> DataFrame:
         """A small ordered list, written to one file in its order; ``position`` is the place a row really has there."""
         path = f"{self.folder}/{name}-{uuid.uuid4().hex}"
@@ -108,8 +125,9 @@ class LayerTables(KeptTables):
         databases: Mapping[str, str],
         folder: str,
         buckets: Mapping[str, Buckets] | None = None,
+        watched: Mapping[str, Mapping[str, Column]] | None = None,
     ):
-        super().__init__(spark)
+        super().__init__(spark, watched)
         self.databases = databases
         self.buckets = buckets or {}
         self.tables_folder = folder.rstrip("/")
@@ -122,7 +140,8 @@ class LayerTables(KeptTables):
     def layer(self, name: str, df: DataFrame) -> DataFrame:
         database = self.databases[name]
         folder = f"{self.tables_folder}/{database}/{name}"
-        return guarded_replace(df, f"{database}.{name}", folder, True, self.buckets.get(name))
+        target = Replacement(self.spark, f"{database}.{name}", folder, self.buckets.get(name))
+        return self._watching(name, lambda tap: target.publish(df, allow_empty=True, tap=tap))
 
 
 def ensure_database(spark: SparkSession, database: str, folder: str) -> None:
@@ -140,7 +159,8 @@ class Replacement:
     reading the version they began with. A table's columns and bucketing stay as
     first created. ``Versions.expire`` removes old versions. With
     ``skip_unchanged`` a load that brings the rows the table already has, in any
-    order, makes no new version; both are read once more for that.
+    order, makes no new version; both are read once more for that. ``tap`` is put
+    on the rows right before they are written, as an observation is.
     """
 
     def __init__(self, spark: SparkSession, table: str, folder: str, buckets: Buckets | None = None):
@@ -148,13 +168,15 @@ class Replacement:
         self.versions = Versions(spark, folder)
         self.began_on = self.versions.latest().number
 
-    def publish(self, df: DataFrame, allow_empty: bool = False, skip_unchanged: bool = False) -> DataFrame:
+    def publish(
+        self, df: DataFrame, allow_empty: bool = False, skip_unchanged: bool = False, tap: Callable = lambda rows: rows
+    ) -> DataFrame:
         exists = self.spark.catalog.tableExists(self.table)
         if exists:
             df = self._as_target(df)
         slot = self.versions.new_slot()
         try:
-            _write_slot(df, self.table, slot, self.buckets)
+            _write_slot(df, self.table, slot, self.buckets, tap)
             if not allow_empty and self.spark.read.schema(df.schema).parquet(slot).isEmpty():
                 raise EmptyLoadError(f"load of {self.table} has no rows; the table was left unchanged")
             if skip_unchanged and exists and self._digest(slot, df) == self._digest(self.versions.latest().slot, df):
@@ -200,14 +222,14 @@ def guarded_replace(
     return Replacement(df.sparkSession, table, folder, buckets).publish(df, allow_empty)
 
 
-def _write_slot(df: DataFrame, table: str, slot: str, buckets: Buckets | None) -> None:
+def _write_slot(df: DataFrame, table: str, slot: str, buckets: Buckets | None, tap: Callable) -> None:
     if buckets is None:
-        df.write.mode("error").parquet(slot)
+        tap(df).write.mode("error").parquet(slot)
         return
     # Bucketed files can only be written through a table; dropping an external one keeps them.
     following = f"{table}_next_{uuid.uuid4().hex}"
     by_bucket = df.repartition(buckets.count, buckets.column)  # one file per bucket
-    by_bucket.write.mode("error").bucketBy(*reversed(buckets)).option("path", slot).saveAsTable(following)
+    tap(by_bucket).write.mode("error").bucketBy(*reversed(buckets)).option("path", slot).saveAsTable(following)
     df.sparkSession.sql(f"DROP TABLE {following}")
 
 

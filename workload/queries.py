@@ -28,7 +28,7 @@ from catalogmart.sources.tables import EmptyLoadError, Replacement, guarded_repl
 from catalogmart.sources.versions import ConcurrentLoadError
 from workload.raw import Given
 from workload.relations_sql import ROLE_FLOOR, with_query
-from workload.report_sql import built_layers_sql, contract_report_sql, declared_tests_sql
+from workload.report_sql import built_layers_sql, contract_report_sql, declared_tests_sql, observed_counts_sql
 
 SPARK: dict[str, Callable[[Catalogue], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -1038,6 +1038,16 @@ def _(c):
 
 
 # Whole-catalogue reports -------------------------------------------------------
+OBSERVED = ("dim_movies", "bridge_movie_genres", "fct_movie_ratings", "fct_now_playing")
+
+
+@query("observed_counts", observed_counts_sql(OBSERVED))
+def _(c):
+    """Rows and row-wise violations of four relations, taken along while they were written."""
+    c.build(OBSERVED)
+    return checks.stated(c.raw.spark, quality.observed_counts(c, OBSERVED), "metric", "n")
+
+
 @query("declared_tests", declared_tests_sql())
 def _(c):
     return quality.summary(c)

@@ -70,6 +70,17 @@ def declared_tests_sql() -> str:
     return _counts([*_column_tests(), *_relation_tests(), *_invariants()], "test")
 
 
+def observed_counts_sql(relations) -> str:
+    """(metric, n): rows of the relations and the violations that single rows show."""
+    parts = [(f"rows {relation}", f"FROM {relation}") for relation in relations]
+    parts += [(name, body) for name, body in _column_tests() if name.startswith("not_null") and name.split(" ")[1].split(".")[0] in relations]
+    for (relation, column), accepted in quality.ACCEPTED_VALUES.items():
+        parts.append((f"accepted_values {relation}.{column}", f"FROM {relation} WHERE {column} NOT IN {accepted}"))
+    parts.append(("label_excluded bridge_movie_genres", "FROM bridge_movie_genres WHERE lower(trim(genre_name)) = 'news'"))
+    parts += [(name, body) for name, body in _invariants() if name in ("rating_range", "votes_nonnegative")]
+    return f"SELECT metric, violations AS n FROM ({_counts(parts, 'metric')})"
+
+
 # The published order of every list, and what its ranks restart within.
 LIST_ORDER = {
     "top_years": ("year", "", "avg_rating DESC NULLS LAST, year"),

@@ -1,4 +1,4 @@
-"""What is declared about the relations, and the counts of it that their writing takes along."""
+"""What is declared about the relations, and what their writing takes along: counts of violations, scalars of the KPIs."""
 
 from __future__ import annotations
 
@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from catalogmart.functions.rules import RATING_LIMITS
 from catalogmart.functions.text import is_label
 from catalogmart.operators.exclusion import EXCLUDED_LABEL
+from catalogmart.plans import kpis
 
 # Declared column tests. N: not null, U: unique.
 COLUMN_TESTS = {
@@ -90,4 +91,4 @@ def row_counts(relation: str) -> dict[str, Column]:
 
 def watched() -> dict[str, dict[str, Column]]:
     """The aggregates to take along while a relation is written, by the name under which it is."""
-    return {kept_name(relation): row_counts(relation) for relation in WATCHED}
+    return {kept_name(relation): row_counts(relation) | kpis.scalars(relation) for relation in WATCHED}

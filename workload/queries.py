@@ -19,7 +19,7 @@ from catalogmart.functions.text import LENIENT_JSON, NAMED_TAGS, comma_elements,
 from catalogmart.operators import checks, contract, exclusion
 from catalogmart.operators.joins import dealt, without
 from catalogmart.operators.sketches import hot_keys, id_filter, maybe_among, parts_of_hot_keys
-from catalogmart.plans import layers, marts, present, public, quality, staging, validate
+from catalogmart.plans import kpis, layers, marts, present, public, quality, staging, validate
 from catalogmart.plans.build import Catalogue
 from catalogmart.sources import payloads
 from catalogmart.sources.bounded import bounded_select
@@ -379,6 +379,26 @@ relation("kpi_total_genres", "total_genres")
 relation("kpi_total_titles", "total_movies")
 
 
+@query(
+    "kpi_board",
+    """
+SELECT 'average_runtime' AS kpi, cast(NULL AS varchar) AS item, cast(average_runtime AS double) AS value FROM average_runtime
+UNION ALL SELECT 'avg_movie_rating', NULL, avg_movie_rating FROM avg_movie_rating
+UNION ALL SELECT 'highest_rated_movie', movie_name, avg_rating FROM highest_rated_movie
+UNION ALL SELECT 'most_popular_movie', movie_name, num_of_votes FROM most_popular_movie
+UNION ALL SELECT 'latest_now_playing_snapshot', cast(latest_now_playing_snapshot AS varchar), NULL FROM latest_now_playing_snapshot
+UNION ALL SELECT 'number_of_movies_now_playing', tmdb_region, no_of_movies_now_playing FROM number_of_movies_now_playing
+UNION ALL SELECT 'rated_movies', NULL, total_rated_movies FROM rated_movies
+UNION ALL SELECT 'top_recommended_now_playing_movie', tmdb_region, avg_rating FROM top_recommended_now_playing_movie
+UNION ALL SELECT 'top_rated_genre', genre_name, genre_avg_rating FROM top_rated_genre
+UNION ALL SELECT 'total_genres', NULL, total_genres FROM total_genres
+UNION ALL SELECT 'total_movies', NULL, total_movies FROM total_movies
+""",
+)
+def _(c):
+    return kpis.board(c)
+
+
 # Data-quality checks -----------------------------------------------------------
 @query("check_not_null", "SELECT tconst, titletype FROM raw_title_basics WHERE genres IS NULL")
 def _(c):

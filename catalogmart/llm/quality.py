@@ -2,8 +2,10 @@
 
 Spark counts the 5-grams of all texts per language and derives continuation
 counts, discounts, probabilities and backoff weights by grouping and joining.
-The finished model is a sorted hash array; scoring looks every byte up in it. The
-texts of a language are counted in two parts, and each part is scored by the
+The finished model is stored in sorted hash arrays, slices of bounded size by
+language and by the two bytes before the scored one: in a pass over the texts
+each byte is looked up if the pass's slice is its own, so driver and workers hold
+one slice, however large the model. The texts of a language are counted in two parts, and each part is scored by the
 other's model, so no text and none of its copies is predicted from itself. A
 document is rejected when its perplexity leaves the band of its language.
 
@@ -15,10 +17,12 @@ language are few and their counts still come from every text.
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -29,6 +33,8 @@ from catalogmart.llm.grams import GRAM_BITS, ORDER, count_grams, gram_keys, labe
 REACH = 3.1
 #: Texts fall into so many parts by their hash; each part is scored by the counts of the next one.
 PARTS = 2
+#: Grams of three bytes and more that a slice of the model holds, about; their contexts come on top.
+SLICE_GRAMS = 8_000_000
 MIN_WORDS, MAX_REPEATED_PERCENT, WINDOW = 20, 30, 8
 SYMBOLS = b"#*$%&|<>"
 BLANKS = b" \t\n\x0b\x0c\r"
@@ -61,7 +67,10 @@ def _find(model: Model, table: SortedHashes, kind: int, keys: np.ndarray) -> np.
 
 
 def kneser_ney(counts: DataFrame, scratch: Scratch) -> DataFrame:
-    """Model entries (kind, slot, log2) from gram counts (key, c).
+    """Model entries (kind, slot, log2, home) from gram counts (key, c).
+
+    home is the label code and the two bytes before the scored one, null for
+    grams of one or two bytes, which every slice holds.
 
     Discounts are per language and order; where the counts of counts leave one
     undefined it is 0.5, 1 or 1.5.
@@ -94,7 +103,8 @@ def kneser_ney(counts: DataFrame, scratch: Scratch) -> DataFrame:
             own = own.withColumn("p", F.expr("(c - d) / total + gamma * p_low"))
         lower = scratch.keep(own.select("code", "gram", "context", "p", "gamma"))
         key = lambda x: F.shiftleft("code", GRAM_BITS).bitwiseOR(F.col(x))
-        entry = lambda kind, x, value: [F.lit(kind).cast("byte").alias("kind"), _entry(kind, key(x)).alias("slot"), F.log2(value).cast("float").alias("log2")]
+        own_home = lambda before: (_home(F.col("code"), before) if n > 2 else F.lit(None).cast("long")).alias("home")
+        entry = lambda kind, x, value: [F.lit(kind).cast("byte").alias("kind"), _entry(kind, key(x)).alias("slot"), F.log2(value).cast("float").alias("log2"), own_home(F.col("context"))]
         level = lower.select(*entry(2 * n, "gram", "p"))
         back = lower.groupBy("code", "context").agg(F.max("gamma").alias("gamma"))
         level = level.union(back.select(*entry(2 * n + 1, "context", "gamma")))
@@ -102,13 +112,29 @@ def kneser_ney(counts: DataFrame, scratch: Scratch) -> DataFrame:
     return entries
 
 
+def _home(code, before):
+    """Label code and last two bytes of a context, for columns and for arrays."""
+    if isinstance(before, Column):
+        return F.shiftleft(code, 16).bitwiseOR(before.bitwiseAND(0xFFFF))
+    return (code << np.uint64(16)) | (before & np.uint64(0xFFFF))
+
+
+def in_slice(home: np.ndarray, k: int, of: int) -> np.ndarray:
+    """Whether each home belongs to slice k, as slice_entries deals them."""
+    return xxhash_long(home).view(np.int64) % of == k
+
+
+def slice_entries(entries: DataFrame, k: int, of: int) -> DataFrame:
+    return entries.where(F.col("home").isNull() | (F.pmod(F.xxhash64("home"), F.lit(of)) == k))
+
+
 def collect_model(entries: DataFrame) -> Model:
-    """The sorted hash array, with the kind of every entry to verify what is found.
+    """The sorted hash array of a slice, with the kind of every entry to verify what is found.
 
     Two entries of different kinds with one 64-bit hash, which have a chance of
     one in 100,000 even among 2**24, end the query rather than stand for each other.
     """
-    table = entries.toArrow()
+    table = entries.select("kind", "slot", "log2").toArrow()
     slot = table.column("slot").to_numpy().view(np.uint64)
     order = np.argsort(slot)
     hashes = slot[order]
@@ -191,26 +217,78 @@ def part_label(text: str, lang: str, ahead: int = 0) -> Column:
     return F.concat_ws(" ", part.cast("string"), F.col(lang))
 
 
-def measure(df: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", label: Column | None = None) -> DataFrame:
-    """doc_id, lang, the base counts, and log2_perplexity (bits per byte; null for an empty text) under the label's counts."""
-    shared, name = df.sparkSession.sparkContext.broadcast(tuple(model)), uuid.uuid4().hex
+def _table(name: str, own: Model) -> SortedHashes:
+    """The sorted hashes of the named slice; a worker holds those of one slice."""
+    held = cached(("quality",), dict)
+    if name not in held:
+        held.clear()
+        held[name] = SortedHashes(own.hashes)
+    return held[name]
+
+
+def _scored(df: DataFrame, shared: Broadcast, k: int, of: int, text: str, counted: bool) -> DataFrame:
+    """Negative log2 probability (bits) of the bytes of each text whose slice is k of so many, under the counts of label.
+
+    With counted the rows have all their columns but text, and the base counts;
+    else only digest, label and bits.
+    """
+    name = uuid.uuid4().hex
+    kept = [c for c in df.columns if c != text] if counted else ["digest", "label"]
 
     def process(part):
         own = Model(*shared.value)
-        table = cached(("quality", name), lambda: SortedHashes(own.hashes))
-        raw = raw_texts(part)
+        table = _table(name, own)
+        raw = raw_texts(part, text)
         keys, start, size = gram_keys(raw)
         codes = np.repeat(label_codes(part.column("label").to_pylist()), size)
-        bits = -sums(log2_probabilities(own, table, codes, keys), start, size)
-        per_byte = pa.array(bits / np.maximum(size, 1), mask=size == 0)
-        columns = [part.column("doc_id"), part.column("lang"), *map(pa.array, base_counts(raw)), per_byte]
+        if of == 1:
+            log2 = log2_probabilities(own, table, codes, keys)
+        else:
+            here = np.flatnonzero(in_slice(_home(codes, keys >> np.uint64(8)), k, of))
+            log2 = np.zeros(len(keys), np.float32)
+            log2[here] = log2_probabilities(own, table, codes[here], keys[here])
+        columns = [*(part.column(c) for c in kept), pa.array(-sums(log2, start, size))]
+        columns += [*map(pa.array, base_counts(raw)), pa.array(size)] if counted else []
         return pa.RecordBatch.from_arrays(columns, names)
 
-    narrow = df.select(F.col(doc_id).alias("doc_id"), F.col(lang).alias("lang"), F.col(text).alias("text"), (F.col(lang) if label is None else label).alias("label"))
-    kind = dict(narrow.dtypes)
-    schema = f"doc_id {kind['doc_id']}, lang string, {_BASE}, log2_perplexity double"
-    names = [x.split()[0] for x in schema.split(", ")]
-    return narrow.mapInArrow(per_slice(process, limit=SLICE_BYTES // 4), schema)
+    kind = dict(df.dtypes)
+    fields = [f"{c} {kind[c]}" for c in kept] + ["bits double"] + ([*_BASE.split(", "), "n_bytes long"] if counted else [])
+    names = [x.split()[0] for x in fields]
+    return df.mapInArrow(per_slice(process, text, SLICE_BYTES // 4), ", ".join(fields))
+
+
+def measure(
+    df: DataFrame, entries: DataFrame, scratch: Scratch, doc_id: str = "doc_id", text: str = "text", lang: str = "lang",
+    label: Column | None = None, slice_grams: int = SLICE_GRAMS,
+) -> DataFrame:
+    """doc_id, lang, the base counts, and log2_perplexity (bits per byte; null for an empty text) under the label's counts.
+
+    entries is what kneser_ney returns. The texts are read once per slice of the
+    model; the bits of a text's bytes, told by its digest and label, add up over
+    the slices.
+    """
+    of = max(1, -(-entries.where("kind >= 6 AND kind % 2 = 0").count() // slice_grams))
+    rows = df.select(
+        F.col(doc_id).alias("doc_id"),
+        F.col(lang).alias("lang"),
+        F.coalesce(F.col(lang) if label is None else label, F.lit("")).alias("label"),
+        F.unhex(F.md5(F.coalesce(F.col(text), F.lit("")).cast("binary"))).alias("digest"),
+        F.col(text).alias("text"),
+    )
+    passes = []
+    for k in range(of):
+        shared = df.sparkSession.sparkContext.broadcast(tuple(collect_model(slice_entries(entries, k, of))))
+        passes.append(scratch.keep(_scored(rows, shared, k, of, "text", k == 0)))
+        shared.destroy()  # the pass is written; the next one has a slice of its own
+    found, more = passes[0], [rest.withColumn("k", F.lit(k)) for k, rest in enumerate(passes[1:])]
+    if more:
+        # Equal texts of one label have equal bits in every pass.
+        one = reduce(DataFrame.unionAll, more).groupBy("digest", "label", "k").agg(F.max("bits").alias("bits"))
+        further = one.groupBy(F.col("digest").alias("d"), F.col("label").alias("l")).agg(F.sum("bits").alias("further"))
+        found = found.join(further, (F.col("digest") == F.col("d")) & (F.col("label") == F.col("l")), "left")
+        found = found.withColumn("bits", F.col("bits") + F.col("further"))
+    per_byte = F.when(F.col("n_bytes") > 0, F.col("bits") / F.col("n_bytes"))
+    return found.select("doc_id", "lang", *[x.split()[0] for x in _BASE.split(", ")], per_byte.alias("log2_perplexity"))
 
 
 def bands(measured: DataFrame, reach: float = REACH) -> DataFrame:
@@ -227,7 +305,7 @@ def base_failed():
     return few | (100 * F.col("n_repeat_words") > MAX_REPEATED_PERCENT * F.col("n_words"))
 
 
-def quality_rules(df: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", reach: float = REACH) -> DataFrame:
+def quality_rules(df: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", reach: float = REACH, slice_grams: int = SLICE_GRAMS) -> DataFrame:
     """One row per document: base counts, perplexity, band and verdict.
 
     A null text counts as empty and fails (no words); a null language is a
@@ -237,8 +315,8 @@ def quality_rules(df: DataFrame, doc_id: str = "doc_id", text: str = "text", lan
     """
     scratch = Scratch(df.sparkSession, "quality")
     labelled = df.select(F.col(text).alias("text"), part_label(text, lang).alias("lang"))
-    model = collect_model(kneser_ney(count_grams(labelled), scratch))
-    measured = scratch.keep(measure(df, model, doc_id, text, lang, part_label(text, lang, 1)))
+    entries = kneser_ney(count_grams(labelled), scratch)
+    measured = scratch.keep(measure(df, entries, scratch, doc_id, text, lang, part_label(text, lang, 1), slice_grams))
     found = measured.alias("m").join(scratch.small(bands(measured, reach)).alias("b"), F.expr("m.lang <=> b.lang"), "left")
     inside = F.col("log2_perplexity").between(F.col("band_low"), F.col("band_high"))
     return found.select(

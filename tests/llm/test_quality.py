@@ -132,3 +132,33 @@ def test_every_entry_is_found_as_itself(spark):
     assert (model.kind[quality._find(model, table, 2 * grams.ORDER, np.unique(keys) | top)] == 2 * grams.ORDER).all()
     unseen = np.setdiff1d(np.arange(2_000_000, dtype=np.uint64) * np.uint64(524287) % np.uint64(1 << 40), keys)
     assert (quality._find(model, table, 2 * grams.ORDER, unseen | top) < 0).all()
+
+
+def test_slices_share_out_the_model_and_the_bytes(spark, given):
+    docs = given("documents")
+    entries = quality.kneser_ney(grams.count_grams(docs), Scratch(spark, "test"))
+    rows = [tuple(r) for r in entries.where("home IS NOT NULL").select("kind", "slot", "home").collect()]
+    of, met = 7, Counter()
+    for k in range(of):
+        held = {tuple(r) for r in quality.slice_entries(entries, k, of).select("kind", "slot", "home").collect()}
+        own = {r for r in held if r[2] is not None}
+        met.update(own)
+        homes = np.array([r[2] for r in rows], np.uint64)
+        assert {rows[j] for j in np.flatnonzero(quality.in_slice(homes, k, of))} == own
+        assert 0.5 < len(own) / (len(rows) / of) < 2
+    assert set(met) == set(rows) and set(met.values()) == {1}
+
+
+@pytest.mark.parametrize("source", ["given", "messy"])
+def test_the_result_does_not_depend_on_the_slices(spark, given, messy, source):
+    docs = given("documents") if source == "given" else messy
+    docs = docs.union(docs.limit(5))
+    whole, sliced = [
+        sorted(map(tuple, quality.quality_rules(docs, slice_grams=size).collect()), key=lambda r: (repr(r[0]), r[1:6]))
+        for size in (10**9, 40_000 if source == "given" else 9_000)
+    ]
+    assert len(whole) == len(sliced) == docs.count()
+    for one, other in zip(whole, sliced):
+        assert one[:7] == other[:7] and one[-1] == other[-1]
+        for a, b in zip(one[7:-1], other[7:-1]):
+            assert a == b or math.isclose(a, b, rel_tol=1e-6)

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from catalogmart.functions.text import has_token, id_tags, is_label, tag_names
+from catalogmart.operators.joins import sized_join
 from catalogmart.operators.sketches import fits_broadcast, id_filter
 from catalogmart.sources.tables import KeptTables
 
@@ -79,19 +80,19 @@ def excluded_ids(
     imdb = kept.keep(
         "excluded_imdb",
         tagged_in_list(title_basics, label)
-        .union(links.join(direct, "tmdb_id", "left_semi").select("imdb_id"))
+        .union(sized_join(links, direct, "tmdb_id", "left_semi").select("imdb_id"))
         .filter(F.col("imdb_id").isNotNull())
         .distinct(),
     )
     tmdb = kept.keep(
         "excluded_tmdb",
-        direct.union(links.join(imdb, "imdb_id", "left_semi").select("tmdb_id")).distinct(),
+        direct.union(sized_join(links, imdb, "imdb_id", "left_semi").select("tmdb_id")).distinct(),
     )
     return filtered(ExcludedIds(imdb, tmdb), kept)
 
 
 def filtered(excluded: ExcludedIds, kept: KeptTables) -> ExcludedIds:
-    """The id sets with a kept filter of each one that the planner would not broadcast."""
+    """The id sets with a kept filter of each one that is too large to broadcast."""
     held = {}
     for source, ids in (("imdb", excluded.imdb), ("tmdb", excluded.tmdb)):
         if not fits_broadcast(ids):

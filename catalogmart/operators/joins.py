@@ -1,4 +1,4 @@
-"""Join shapes that stay balanced when a key is missing or very frequent."""
+"""Join shapes that stay balanced when a key is missing or very frequent, and send no side whole that grows with the data."""
 
 from __future__ import annotations
 
@@ -21,7 +21,20 @@ def without(df: DataFrame, ids: DataFrame, key: str, id_filter: DataFrame | None
         return df.join(ids, key, "left_anti").select(*df.columns)
     marked = maybe_among(df, id_filter, key)
     surely = marked.filter(~F.col("_maybe")).select(*df.columns)
-    return surely.unionByName(marked.filter("_maybe").select(*df.columns).join(ids, key, "left_anti").select(*df.columns))
+    left = marked.filter("_maybe").select(*df.columns).join(ids.hint("merge"), key, "left_anti")
+    return surely.unionByName(left.select(*df.columns))
+
+
+def sized_join(left: DataFrame, right: DataFrame, key: str, how: str = "inner") -> DataFrame:
+    """Equi join on a column both sides share; the right side is broadcast if it is small in memory, else both are shuffled.
+
+    Left to itself, the planner goes by written bytes and may send either side.
+    """
+    return left.join(right.hint(_strategy(right)), key, how)
+
+
+def _strategy(right: DataFrame) -> str:
+    return "broadcast" if fits_broadcast(right) else "merge"
 
 
 def dealt(left: DataFrame, right: DataFrame, key: str, parts: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -38,25 +51,28 @@ def dealt(left: DataFrame, right: DataFrame, key: str, parts: DataFrame) -> tupl
     return sided.drop("_hot_key", "_parts"), copies.drop("_hot_key", "_parts")
 
 
-def parts_if_shuffled(left: DataFrame, right: DataFrame, key: str) -> DataFrame | None:
-    """The parts of the left side's hot keys; None without any, or if the right side is broadcast and none does harm."""
-    return None if fits_broadcast(right) else parts_of_hot_keys(left, key)
+def planned(left: DataFrame, right: DataFrame, key: str) -> tuple[DataFrame | None, str]:
+    """The parts of the left side's hot keys, and how to join; no parts if the right side is broadcast and none does harm."""
+    strategy = _strategy(right)
+    return None if strategy == "broadcast" else parts_of_hot_keys(left, key), strategy
 
 
 def balanced_join(left: DataFrame, right: DataFrame, key: str, how: str = "inner") -> DataFrame:
     """Equi join on a column both sides share, whose values may be very frequent on the left.
 
-    A right side that the planner broadcasts needs no care. Else hot keys are
+    A right side small enough to broadcast needs no care. Else hot keys are
     looked for first, and dealt to parts. ``how`` is inner, left or left_semi.
     """
-    parts = parts_if_shuffled(left, right, key)
+    parts, strategy = planned(left, right, key)
     if parts is None:
-        return left.join(right, key, how)
+        return left.join(right.hint(strategy), key, how)
     sided, copies = dealt(left, right, key, parts)
-    return sided.join(copies, [key, "_part"], how).drop("_part")
+    return sided.join(copies.hint(strategy), [key, "_part"], how).drop("_part")
 
 
-def left_join_known(left: DataFrame, right: DataFrame, key: str, parts: DataFrame | None = None) -> DataFrame:
+def left_join_known(
+    left: DataFrame, right: DataFrame, key: str, parts: DataFrame | None = None, strategy: str | None = None
+) -> DataFrame:
     """Left equi join on a column both sides share, for keys that are often NULL.
 
     A NULL key matches nothing, yet hashing sends all such rows to one task. The
@@ -64,7 +80,8 @@ def left_join_known(left: DataFrame, right: DataFrame, key: str, parts: DataFram
     one a hash of the row above zero, which spreads the rows and matches nothing.
     The zeros of the right side are computed from its key, or the optimizer would
     fold them into a filter and hash by the key alone. Given the parts of hot
-    keys, a hot key has their numbers in place of zero.
+    keys, a hot key has their numbers in place of zero. Without a strategy the
+    planner chooses it.
     """
     added = [field.name for field in right.schema if field.name != key]
     spread = F.pmod(F.xxhash64(*left.columns), F.lit(SPREAD)) + 1
@@ -78,5 +95,6 @@ def left_join_known(left: DataFrame, right: DataFrame, key: str, parts: DataFram
     sided = sided.withColumn("_key", known)
     match = match.withColumn("_match", copy)
     match = match.withColumn("_known", F.col(key).cast("string")).drop(key)
+    match = match.hint(strategy) if strategy else match
     joined = sided.join(match, (sided["_key"] == match["_known"]) & (sided["_spread"] == match["_match"]), "left")
     return joined.select(*left.columns, *added)

@@ -10,19 +10,35 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Bits a filter spends on an id, and the most 64-bit words it may have: 2^20 words are 8 MB.
 FILTER_BITS, FILTER_WORDS = 16, 1 << 20
 #: A key is hot from this fraction of a task's fair share on.
 GRAIN = 8
+#: Types whose values take eight bytes of a row.
+EIGHT_BYTES = (T.IntegralType, T.FractionalType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
 #: Keys a heavy-hitter sketch follows for each it may report, and the most that approx_top_k follows.
 FOLLOWED, MOST_FOLLOWED = 8, 1_000_000
 
 
+def row_bytes(df: DataFrame) -> Column:
+    """What a row of df takes in memory: eight bytes and eight per column, and the text of values of no fixed size."""
+    texts = [F.col(f"`{field.name}`").cast("string") for field in df.schema if not isinstance(field.dataType, EIGHT_BYTES)]
+    return sum([F.coalesce(F.octet_length(text), F.lit(0)) for text in texts], F.lit(8 + 8 * len(df.columns)).cast("long"))
+
+
 def fits_broadcast(df: DataFrame) -> bool:
-    """Whether the planner would broadcast df, by its own size estimate and threshold."""
+    """Whether df is small enough to go to the driver and every task, by the planner's threshold.
+
+    The planner estimates written bytes, and columns of ordered or equal values
+    are many times larger in memory. So what it would broadcast is measured, in
+    one pass over no more written bytes than the threshold.
+    """
     threshold = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()) <= threshold
+    if int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()) > threshold:
+        return False
+    return (df.agg(F.sum(row_bytes(df))).first()[0] or 0) <= threshold
 
 
 # Id filters --------------------------------------------------------------------

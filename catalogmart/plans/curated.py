@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from catalogmart.functions.rules import CATALOGUE_TYPES, FALLBACK_ID_PREFIX, FALLBACK_TYPE
 from catalogmart.functions.text import comma_elements, named_tags
-from catalogmart.operators.joins import balanced_join, left_join_known, parts_if_shuffled
+from catalogmart.operators.joins import balanced_join, left_join_known, planned, sized_join
 from catalogmart.operators.ranking import numbered
 from catalogmart.sources.tables import KeptTables
 
@@ -42,9 +42,9 @@ def dim_movies(details: DataFrame, titles: DataFrame, kept: KeptTables) -> DataF
     )
     detail = details.select("imdb_id", "tmdb_id", "movie_title", "tmdb_release_date", "tmdb_runtime_min")
     listed, detail = kept.keep("catalogue_titles", listed), kept.keep("catalogue_details", detail)
-    with_details = left_join_known(detail, listed, "imdb_id", parts_if_shuffled(detail, listed, "imdb_id"))
+    with_details = left_join_known(detail, listed, "imdb_id", *planned(detail, listed, "imdb_id"))
     linked_ids = detail.filter(F.col("imdb_id").isNotNull()).select("imdb_id").distinct()
-    title_only = listed.join(linked_ids, "imdb_id", "left_anti")
+    title_only = sized_join(listed, linked_ids, "imdb_id", "left_anti")
     merged = with_details.unionByName(title_only, allowMissingColumns=True)
     return merged.select(
         F.coalesce("title_id", _fallback_id()).alias("movie_id"),
@@ -79,7 +79,7 @@ def bridge_movie_genres(titles: DataFrame, details: DataFrame) -> DataFrame:
         F.lit("imdb").alias("genre_source"),
     )
     tagged = details.filter(F.col("tmdb_genres").isNotNull())
-    linked = tagged.filter(F.col("imdb_id").isNotNull()).join(listed.select("imdb_id"), "imdb_id", "left_anti")
+    linked = sized_join(tagged.filter(F.col("imdb_id").isNotNull()), listed.select("imdb_id"), "imdb_id", "left_anti")
     unlinked = tagged.filter(F.col("imdb_id").isNull())
     tags = F.explode(named_tags(F.col("tmdb_genres"), strict=True)).alias("tag")
     tmdb = (
@@ -112,8 +112,8 @@ def fct_movie_ratings(movies: DataFrame, ratings: DataFrame, details: DataFrame)
         "imdb_id", F.col("avg_rating").alias("imdb_avg_rating"), F.col("num_of_votes").alias("imdb_num_of_votes")
     )
     ids = movies.select("movie_id", "imdb_id", "tmdb_id")
-    with_second = left_join_known(ids, second, "tmdb_id", parts_if_shuffled(ids, second, "tmdb_id"))
-    rated = left_join_known(with_second, first, "imdb_id", parts_if_shuffled(ids, first, "imdb_id"))
+    with_second = left_join_known(ids, second, "tmdb_id", *planned(ids, second, "tmdb_id"))
+    rated = left_join_known(with_second, first, "imdb_id", *planned(ids, first, "imdb_id"))
     return rated.select(
         "movie_id",
         "imdb_id",
@@ -130,7 +130,7 @@ def fct_movie_ratings(movies: DataFrame, ratings: DataFrame, details: DataFrame)
 def fct_now_playing(now_playing: DataFrame, movies: DataFrame) -> DataFrame:
     """Listing rows with their catalogue identity, falling back to the listing's own."""
     known = movies.filter(F.col("tmdb_id").isNotNull()).select("tmdb_id", "movie_id", "imdb_id", "movie_name")
-    joined = now_playing.join(known, "tmdb_id", "left")
+    joined = sized_join(now_playing, known, "tmdb_id", "left")
     return joined.select(
         F.coalesce("movie_id", _fallback_id()).alias("movie_id"),
         "imdb_id",

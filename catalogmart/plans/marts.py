@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from catalogmart.functions import rules
 from catalogmart.functions.means import exact, exact_mean, mean_of
+from catalogmart.operators.joins import sized_join
 from catalogmart.operators.ranking import top_per_group, top_rows
 from catalogmart.sources.tables import KeptTables
 
@@ -42,13 +43,13 @@ def headline_order():
 
 def average_rating_by_genre(genres: DataFrame, ratings: DataFrame) -> DataFrame:
     rated = qualifying(ratings, rules.GENRE_FLOOR)
-    joined = genres.select("movie_id", "genre_name").join(rated, "movie_id")
+    joined = sized_join(genres.select("movie_id", "genre_name"), rated, "movie_id")
     return joined.groupBy("genre_name").agg(exact_mean(F.col("avg_rating")).alias("genre_avg_rating"))
 
 
 def average_runtime_by_genre(genres: DataFrame, movies: DataFrame) -> DataFrame:
     eligible = movies.filter(rules.runtime_eligible(F.col("runtime_min"))).select("movie_id", "runtime_min")
-    joined = genres.select("movie_id", "genre_name").join(eligible, "movie_id")
+    joined = sized_join(genres.select("movie_id", "genre_name"), eligible, "movie_id")
     return joined.groupBy("genre_name").agg(F.avg("runtime_min").alias("genre_avg_runtime"))
 
 
@@ -60,7 +61,7 @@ def era_ratings(movies: DataFrame, ratings: DataFrame, least_votes: int = 0) ->
     rated = _rated(ratings.filter(rules.has_rating()))
     dated = movies.filter(F.col("release_year").isNotNull()).select("movie_id", "release_year")
     lowest = max(least_votes, min([rules.ERA_FLOOR_LATEST, *[votes for _, votes in rules.ERA_FLOORS]]))
-    joined = dated.join(rated.filter(F.col("num_of_votes") >= lowest), "movie_id")
+    joined = sized_join(dated, rated.filter(F.col("num_of_votes") >= lowest), "movie_id")
     return joined.filter(F.col("num_of_votes") >= rules.era_vote_floor(F.col("release_year"))).drop("num_of_votes")
 
 
@@ -123,7 +124,8 @@ def headline_ratings(ratings: DataFrame) -> DataFrame:
 
 def headline_titles(movies: DataFrame, headline: DataFrame) -> DataFrame:
     """Their catalogue rows, so a credit meets its title and the title's ratings in a single join."""
-    return movies.select("movie_id", "imdb_id").filter(F.col("imdb_id").isNotNull()).join(headline, "movie_id")
+    known = movies.select("movie_id", "imdb_id").filter(F.col("imdb_id").isNotNull())
+    return sized_join(known, headline, "movie_id")
 
 
 def eligible_people(credits: DataFrame, headline: DataFrame) -> DataFrame:
@@ -137,8 +139,7 @@ def eligible_people(credits: DataFrame, headline: DataFrame) -> DataFrame:
     roles = list(rules.ROLE_MINIMUMS)
     named = credits.filter(F.col("job_role").isin(roles) & F.col("person_id").isNotNull())
     per_title = (
-        named.select("imdb_id", "person_id", "job_role")
-        .join(headline, "imdb_id")
+        sized_join(named.select("imdb_id", "person_id", "job_role"), headline, "imdb_id")
         .groupBy("person_id", "job_role", "movie_id")
         .agg(F.sum("total").alias("total"), F.sum("rated").alias("rated"))
     )
@@ -182,7 +183,7 @@ def _recommendable(now_playing: DataFrame, ratings: DataFrame) -> DataFrame:
         "now_playing_overview",
         "now_playing_popularity",
     )
-    return listed.join(qualifying(ratings, rules.RECOMMENDATION_FLOOR), "movie_id")
+    return sized_join(listed, qualifying(ratings, rules.RECOMMENDATION_FLOOR), "movie_id")
 
 
 def mart_now_playing_recommendations(

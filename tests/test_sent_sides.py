@@ -1,0 +1,93 @@
+"""Sides of joins that are small as written and large in memory: they are shuffled, not sent to the driver and every task."""
+
+from __future__ import annotations
+
+import pytest
+from pyspark.sql import functions as F
+
+from catalogmart.operators.joins import sized_join, without
+from catalogmart.operators.sketches import fits_broadcast, id_filter
+from catalogmart.plans import curated, marts
+from catalogmart.sources.tables import KeptTables
+from tests.conftest import tuples
+
+N = 30_000
+
+
+@pytest.fixture
+def written(spark):
+    """Kept relations with a key each row, and the threshold at the largest written size."""
+    kept, number = KeptTables(spark), F.col("id")
+    title = F.concat(F.lit("tt"), number.cast("string"))
+    name, none = F.concat(F.lit("a long name, the same in every row, " * 3), number % 3), F.lit(None)
+    columns = {
+        "movies": {"movie_id": title, "imdb_id": title, "tmdb_id": number, "movie_name": name, "release_year": F.lit(1990), "runtime_min": F.lit(90)},
+        "facts": {
+            "movie_id": title,
+            "imdb_avg_rating": F.lit(8.5),
+            "imdb_num_of_votes": F.lit(900_000).cast("long"),
+            "tmdb_avg_rating": none.cast("double"),
+            "tmdb_num_of_votes": none.cast("long"),
+        },
+        "genres": {"movie_id": title, "genre_name": F.lit("Drama"), "genre_source": F.lit("imdb")},
+        "credits": {"imdb_id": title, "principal_order": F.lit(1), "person_id": F.lit("nm1"), "job_role": F.lit("director"), "specific_job": none.cast("string")},
+        "ratings": {"imdb_id": title, "avg_rating": F.lit(8.5), "num_of_votes": F.lit(900_000).cast("long")},
+        "details": {"imdb_id": title, "tmdb_id": number, "movie_title": name, "tmdb_release_date": none.cast("date"), "tmdb_runtime_min": F.lit(90), "tmdb_avg_rating": F.lit(7.5), "tmdb_num_votes": number, "tmdb_genres": F.lit('[{"id": 1, "name": "Drama"}]')},
+        "titles": {"imdb_id": title, "content_type": F.lit("movie"), "primary_title": name, "original_title": name, "is_adult": F.lit(0), "start_year": F.lit(1990), "end_year": none.cast("int"), "runtime_min": F.lit(90), "genres": F.lit("Drama")},
+        "listing": {"tmdb_id": number, "movie_title": name, "now_playing_release_date": none.cast("date"), "now_playing_overview": name, "now_playing_poster_path": none.cast("string"), "now_playing_popularity": F.lit(1.0), "tmdb_region": F.lit("US"), "snapshot_date": F.lit("2024-01-01").cast("date")},
+        "listed": {"movie_id": title, "movie_name": name, "tmdb_region": F.lit("US"), "now_playing_release_date": none.cast("date"), "now_playing_overview": name, "now_playing_popularity": F.lit(1.0)},
+    }
+    tables = {of: kept.keep(of, spark.range(0, N, 1, 1).select(*[c.alias(k) for k, c in named.items()])) for of, named in columns.items()}
+    size = lambda df: int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(max(map(size, tables.values()))))
+    yield tables
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    kept.discard()
+
+
+def plan_after(df):
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+
+
+JOINED = {
+    "fct_now_playing": lambda t: curated.fct_now_playing(t["listing"], t["movies"]),
+    "fct_movie_ratings": lambda t: curated.fct_movie_ratings(t["movies"], t["ratings"], t["details"]),
+    "dim_movies": lambda t: curated.dim_movies(t["details"], t["titles"], KeptTables(t["titles"].sparkSession)),
+    "bridge_movie_people": lambda t: curated.bridge_movie_people(t["movies"], t["credits"]),
+    "bridge_movie_genres": lambda t: curated.bridge_movie_genres(t["titles"], t["details"]),
+    "average_rating_by_genre": lambda t: marts.average_rating_by_genre(t["genres"], t["facts"]),
+    "average_runtime_by_genre": lambda t: marts.average_runtime_by_genre(t["genres"], t["movies"]),
+    "era_ratings": lambda t: marts.era_ratings(t["movies"], t["facts"]),
+    "headline_titles": lambda t: marts.headline_titles(t["movies"], t["facts"].select("movie_id")),
+    "recommendations": lambda t: marts.mart_now_playing_recommendations(t["listed"], t["facts"]),
+}
+
+
+@pytest.mark.parametrize("relation", list(JOINED))
+def test_a_side_that_is_large_in_memory_is_shuffled(written, relation):
+    plan = plan_after(JOINED[relation](written))
+    assert "SortMergeJoin" in plan and "BroadcastExchange" not in plan
+
+
+def test_sizes_are_those_in_memory(spark, written):
+    facts = written["facts"]
+    few = facts.filter("movie_id IN ('tt1', 'tt2')")
+    assert not fits_broadcast(facts) and fits_broadcast(few) and fits_broadcast(facts.limit(0))
+    assert "BroadcastHashJoin" in plan_after(sized_join(written["movies"], few, "movie_id"))
+    joined = sized_join(written["movies"], facts, "movie_id", "left")
+    assert joined.count() == N
+    odd = spark.createDataFrame([(None, [1, 2], b"ab", 1.5), ("x" * 500, None, None, None)], "s string, `a.b` array<int>, d binary, n double")
+    kept = KeptTables(spark).keep("odd", odd)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "100000")
+    assert fits_broadcast(kept)
+
+
+def test_ids_with_a_filter_are_not_sent_either(spark, written):
+    ids = written["movies"].filter("tmdb_id % 2 = 0").select("imdb_id")
+    held = KeptTables(spark).keep("filter", id_filter(ids, "imdb_id"))
+    left = without(written["credits"], ids, "imdb_id", held)
+    plan = left._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and plan.count("BroadcastHashJoin") == 2  # the filter's words, once per branch
+    assert left.count() == N // 2 and tuples(left.agg(F.min("imdb_id"))) == [("tt1",)]

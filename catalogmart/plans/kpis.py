@@ -127,10 +127,10 @@ def board(c) -> DataFrame:
     if firsts:
         found = [F.struct(F.lit(kpi).alias("kpi"), F.lit(movie).cast("string").alias("movie_id"), F.lit(value).alias("value")) for kpi, movie, value in firsts]
         found = spark.range(1).select(F.inline(F.array(*found)))
-        wanted = c.dim_movies.filter(F.col("movie_id").isin([movie for _, movie, _ in firsts])).select("movie_id", "movie_name")
-        # One row even if the catalogue repeats the id.
-        names = found.join(wanted, "movie_id", "left").groupBy("kpi", "value").agg(F.min("movie_name").alias("item"))
-        parts.append(names.select("kpi", "item", "value"))
+        wanted = c.dim_movies.filter(F.col("movie_id").isin([movie for _, movie, _ in firsts]))
+        # One row an id even if the catalogue repeats it, so at most one for each title is broadcast.
+        names = wanted.groupBy("movie_id").agg(F.min("movie_name").alias("item"))
+        parts.append(found.join(F.broadcast(names), "movie_id", "left").select("kpi", "item", "value"))
 
     listed = c.fct_now_playing.groupBy("tmdb_region").agg(F.count("movie_id").alias("n"), F.max("snapshot_date").alias("latest"))
     dated = listed.agg(F.max("latest").alias("latest"))

@@ -8,7 +8,7 @@ from types import SimpleNamespace
 
 import pytest
 
-from catalogmart.plans import declared, kpis
+from catalogmart.plans import declared, kpis, marts
 from catalogmart.sources.tables import KeptTables
 from tests.conftest import tuples
 
@@ -67,3 +67,56 @@ def test_the_ratings_are_read_for_the_distinct_count_alone(spark, rows):
     c = catalogue(spark, rows, random_facts(6, 60), MOVIES, True)
     plan = kpis.board(c)._jdf.queryExecution().executedPlan().toString()
     assert len(re.findall(r"FileScan parquet \[[^]]*imdb_avg_rating", plan)) == 1
+
+
+def test_an_often_repeated_title_is_named_without_sending_its_rows(spark, rows):
+    """Both titles are looked up by one row each, however many rows the catalogue has for them."""
+    n = 20_000
+    c = catalogue(spark, rows, [("a", "x", 1, 9.0, None, 900_000, None)], MOVIES, True)
+    named = spark.range(0, n, 1, 4).selectExpr("'movie' AS content_type", "'a' AS movie_id", "concat('name ', id) AS movie_name", "90 AS runtime_min")
+    c.dim_movies = KeptTables(spark).keep("dim_movies", named)
+    board = kpis.board(c)
+    assert [tuple(r) for r in board.collect() if r.item and r.item.startswith("name")] == [("highest_rated_movie", "name 0", 9.0), ("most_popular_movie", "name 0", 900_000.0)]
+    assert max(sent(board)) <= 2
+
+
+def sent(df):
+    """Rows of each broadcast of the executed plan."""
+    nodes, found = [df._jdf.queryExecution().executedPlan()], []
+    while nodes:
+        node = nodes.pop()
+        if node.nodeName() == "AdaptiveSparkPlan":
+            nodes.append(node.executedPlan())
+        elif node.nodeName().endswith("QueryStage"):
+            nodes.append(node.plan())
+        else:
+            if node.nodeName() == "BroadcastExchange":
+                found.append(node.metrics().apply("numOutputRows").value())
+            children = node.children()
+            nodes += [children.apply(k) for k in range(children.size())]
+    return found
+
+
+def test_the_joined_kpis_send_no_relation_whole(spark, rows):
+    """Facts, listing and genres that are small as written and large in memory."""
+    kept, n = KeptTables(spark), 30_000
+    title = "concat('tt', id) AS movie_id"
+    write = lambda name, *columns: kept.keep(name, spark.range(0, n, 1, 1).selectExpr(title, *columns))
+    facts = write("facts", "id % 9 + 0.5D AS imdb_avg_rating", "cast(null AS double) AS tmdb_avg_rating", "900000L AS imdb_num_of_votes", "cast(null AS bigint) AS tmdb_num_of_votes", "'x' AS imdb_id", "1L AS tmdb_id")
+    text = "repeat('the same text in every row ', 8)"
+    listed = write("listed", f"{text} AS movie_name", "'US' AS tmdb_region", "date'2024-01-01' AS now_playing_release_date", f"{text} AS now_playing_overview", "1.0D AS now_playing_popularity", "date'2024-01-01' AS snapshot_date")
+    genres = write("genres", "concat('genre ', id % 5) AS genre_name", "'imdb' AS genre_source")
+    movies = write("movies", "'movie' AS content_type", f"{text} AS movie_name", "90 AS runtime_min")
+    c = SimpleNamespace(kept=kept, fct_movie_ratings=facts, dim_movies=movies, fct_now_playing=listed, dim_genre=rows([(1,), (2,)], "genre_id int"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    largest = max(int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()) for df in (facts, listed, genres, movies))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(largest))
+    try:
+        c.top_rated_genre = kpis.top_rated_genre(genres, facts)
+        c.top_recommended_now_playing_movie = marts.top_recommended_now_playing_movie(listed, facts)
+        board = kpis.board(c)
+        got = tuples(board)
+        assert max(sent(board)) <= 2
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert ("total_movies", None, float(n)) in got and ("top_recommended_now_playing_movie", "US", 8.5) in got

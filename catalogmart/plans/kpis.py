@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from catalogmart.functions import rules
 from catalogmart.functions.means import exact_mean
 from catalogmart.plans.marts import average_rating_by_genre, headline_order, qualifying, with_names
-from catalogmart.sources.tables import KeptTables
+from catalogmart.sources.tables import SCALAR, KeptTables
 
 #: What a KPI that is a title shows of it.
 FIRST_TITLES = {"highest_rated_movie": "avg_rating", "most_popular_movie": "num_of_votes"}
@@ -97,16 +97,16 @@ def scalars(relation: str) -> dict[str, Column]:
             ),
         },
     }
-    return {f"kpi {name}": aggregate for name, aggregate in by_relation.get(relation, {}).items()}
+    return {f"{SCALAR}{name}": aggregate for name, aggregate in by_relation.get(relation, {}).items()}
 
 
 def _taken(c, relation: str) -> dict:
     """The scalars of a relation: as its writing has taken them along, else from one scan."""
     df, wanted = getattr(c, relation), scalars(relation)
-    seen = c.kept.observed.get(relation, {})
+    seen = c.kept.scalars.get(relation, {})
     if not set(wanted) <= set(seen):
         seen = df.agg(*[aggregate.alias(name) for name, aggregate in wanted.items()]).first().asDict()
-    return {name.removeprefix("kpi "): seen[name] for name in wanted}
+    return {name.removeprefix(SCALAR): seen[name] for name in wanted}
 
 
 def board(c) -> DataFrame:

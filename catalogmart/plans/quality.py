@@ -109,7 +109,7 @@ class _Tested:
 def observed_counts(c, relations=tuple(COLUMN_TESTS)) -> dict[str, int]:
     """Row counts by name that writing the relations of ``c`` has taken along; those not written have none."""
     taken = [c.kept.observed.get(kept_name(relation), {}) for relation in relations]
-    return {name: n for counts in taken for name, n in counts.items() if not name.startswith("kpi ")}
+    return {name: n for counts in taken for name, n in counts.items()}
 
 
 def _already_counted(counts: dict[str, int]) -> dict[str, int]:

@@ -14,6 +14,10 @@ from catalogmart.functions.public_text import multiset_digest
 from catalogmart.sources.versions import Versions
 
 
+#: Names of watched aggregates that are scalars begin so; the others count rows.
+SCALAR = "kpi "
+
+
 class EmptyLoadError(RuntimeError):
     """A load produced no rows; the target was left as it was."""
 
@@ -59,14 +63,16 @@ class KeptTables:
     when the application ends, or with ``discard``.
 
     ``watched`` names aggregates per relation, which are taken along while it is
-    written and then stand in ``observed``: counts of its rows need no scan of
-    their own. Aggregates of distinct values cannot be taken along.
+    written and then stand in ``observed``, or in ``scalars`` if they count no
+    rows: neither needs a scan of its own. Aggregates of distinct values cannot
+    be taken along.
     """
 
     def __init__(self, spark: SparkSession, watched: Mapping[str, Mapping[str, Column]] | None = None):
         self.spark = spark
         self.watched = watched or {}
         self.observed: dict[str, dict[str, int]] = {}
+        self.scalars: dict[str, dict] = {}
         self.folder = f"{shared_folder(spark)}/kept-{uuid.uuid4().hex}"
         deleted_on_exit(spark, self.folder)
 
@@ -83,7 +89,9 @@ class KeptTables:
             return write(lambda rows: rows)
         seen = Observation()
         result = write(lambda rows: rows.observe(seen, *[metric.alias(key) for key, metric in metrics.items()]))
-        self.observed[name] = seen.get
+        taken = seen.get
+        self.observed[name] = {key: n for key, n in taken.items() if not key.startswith(SCALAR)}
+        self.scalars[name] = {key: value for key, value in taken.items() if key.startswith(SCALAR)}
         return result
 
     def keep_listed(self, name: str, df: DataFrame, position: str) -> DataFrame:

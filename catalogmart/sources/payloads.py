@@ -49,8 +49,10 @@ LISTING = (
 )
 
 
-#: A listing of more pages is damaged.
-MOST_PAGES = 10_000
+#: Page numbers are 32-bit whole numbers; a larger count is none and so damaged.
+MOST_PAGES = 2**31 - 1
+#: Page numbers that agree but for this many low bits are put in order together.
+BLOCK_BITS = 16
 
 
 def _has_required_keys(payload: Column) -> Column:
@@ -135,8 +137,9 @@ def _read_pages(pages: DataFrame, payload: str) -> DataFrame:
 def page_gaps(pages: DataFrame, payload: str = "payload", most_pages: int = MOST_PAGES) -> DataFrame:
     """(region, first_page, last_page) of every stretch of page numbers that no page has, up to the region's count.
 
-    The count is the largest stated one of at most ``most_pages``; so a region has
-    at most that many numbers to put in order, whatever a damaged page states.
+    The count is the largest stated one of at most ``most_pages``, by default every
+    number that a page can have. Numbers are put in order within blocks, and of each
+    block only the first meets those of the region's other blocks.
     """
     read = _read_pages(pages, payload)
     stated = F.when(F.col("total_pages").between(1, most_pages), F.col("total_pages"))
@@ -145,15 +148,29 @@ def page_gaps(pages: DataFrame, payload: str = "payload", most_pages: int = MOST
     # The number behind the last page closes the last stretch.
     ends = counts.select("region", (F.col("total") + 1).alias("page"))
     inside = numbers.join(counts, "region").filter("page <= total").select("region", "page").unionByName(ends)
-    before = F.lag("page", 1, 0).over(Window.partitionBy("region").orderBy("page"))
-    stretches = inside.select("region", (before + 1).alias("first_page"), (F.col("page") - 1).alias("last_page"))
+    # Region and block are one value here, or rows that lie by region would stay so.
+    block = Window.partitionBy("_block")
+    placed = inside.withColumn("_block", F.struct("region", F.shiftright("page", BLOCK_BITS))).withColumns(
+        {"_before": F.lag("page").over(block.orderBy("page")), "_high": F.max("page").over(block)}
+    )
+    # The first number of a block has none before it there: the highest of the block before it is.
+    edges = placed.filter("_before IS NULL OR _before < page - 1")
+    first, together = F.col("_before").isNull(), F.when(F.col("_before").isNotNull(), F.col("_block"))
+    high_before = F.lag("_high", 1, 0).over(Window.partitionBy("region", together).orderBy("page"))
+    before = F.when(first, high_before).otherwise(F.col("_before"))
+    stretches = edges.select("region", (before + 1).alias("first_page"), (F.col("page") - 1).alias("last_page"))
     return stretches.filter("first_page <= last_page")
 
 
 def missing_pages(pages: DataFrame, payload: str = "payload", most_pages: int = MOST_PAGES) -> DataFrame:
     """(region, page) of every page up to the region's page count that did not land readable."""
     gaps = page_gaps(pages, payload, most_pages)
-    return gaps.select("region", F.explode(F.sequence("first_page", "last_page")).alias("page"))
+    # A stretch may be longer than an array can be, so it is listed in parts.
+    length = 1 << BLOCK_BITS
+    starts = F.explode(F.sequence("first_page", "last_page", F.lit(length).cast("bigint")))
+    parts = gaps.select("region", starts.alias("first_page"), "last_page")
+    end = F.least("last_page", F.col("first_page") + (length - 1))
+    return parts.select("region", F.explode(F.sequence("first_page", end)).alias("page"))
 
 
 def listing_faults(pages: DataFrame, regions: Sequence[str], payload: str = "payload", most_pages: int = MOST_PAGES) -> DataFrame:

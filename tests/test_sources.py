@@ -300,6 +300,34 @@ def test_listing_faults_are_named(rows):
     assert faults(rows([], schema)) == {("US", "no_readable_page", None, None, 0), ("IN", "no_readable_page", None, None, 0)}
 
 
+def test_listings_of_many_pages_are_searched_whole(rows):
+    schema, block = "region string, payload string", 1 << payloads.BLOCK_BITS
+    # The second half of a listing of 12,000 pages is lost, also every page but the first of one of 11,000.
+    pages = rows([page("US", k, 12_000, k) for k in range(1, 6_001)] + [page("IN", 1, 11_000, 1)], schema)
+    assert {tuple(r) for r in payloads.page_gaps(pages).collect()} == {("US", 6_001, 12_000), ("IN", 2, 11_000)}
+    assert set(tuples(payloads.missing_pages(pages))) == {("US", k) for k in range(6_001, 12_001)} | {("IN", k) for k in range(2, 11_001)}
+    assert faults(pages) == {("US", "missing", 6_001, 12_000, 6_000), ("IN", "missing", 2, 11_000, 10_999)}
+    # Stretches within, between and over blocks of numbers; numbers at their ends; pages beyond the count or twice.
+    landed = (2, 5, block - 1, block, block + 1, 3 * block - 1, 3 * block + 2, 3 * block + 2, 4 * block + 9, 9 * block)
+    pages = rows([page("US", k, 4 * block, 1) for k in landed] + [page("IN", 2 * block - 1, 2 * block - 1, 1)], schema)
+    assert sorted(tuple(r) for r in payloads.page_gaps(pages).collect()) == [
+        ("IN", 1, 2 * block - 2),
+        ("US", 1, 1),
+        ("US", 3, 4),
+        ("US", 6, block - 2),
+        ("US", block + 2, 3 * block - 2),
+        ("US", 3 * block, 3 * block + 1),
+        ("US", 3 * block + 3, 4 * block),
+    ]
+    missing = [r["page"] for r in payloads.missing_pages(pages).filter("region = 'US'").collect()]
+    assert sorted(missing) == sorted(set(range(1, 4 * block + 1)) - set(landed))
+    # The largest page number is a count, one more is none.
+    most = 2**31 - 1
+    pages = rows([page("US", 1, most, 1), page("IN", 1, most + 1, 1)], schema)
+    assert tuples(payloads.page_gaps(pages)) == [("US", 2, most)]
+    assert payloads.missing_pages(pages).limit(3).count() == 3
+
+
 def test_a_listing_is_replaced_only_when_whole(spark, rows, tmp_path):
     folder, schema, day = str(tmp_path / "listing"), "region string, payload string", F.lit("2026-02-03").cast("date")
     whole = [page("US", 1, 2, 1), page("US", 2, 2, 2), page("IN", 1, 1, 3)]
